@@ -1,7 +1,7 @@
 """Named queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator.
 
-Every query reads the scale-factor tables (or views Spark derives from them)
-in full; the SQL twin of each key is in ``quaylake.plans.oracle``.
+Every query reads the scale-factor tables (or tables Spark derives from
+them) in full; the SQL twin of each key is in ``quaylake.plans.oracle``.
 """
 
 from __future__ import annotations
@@ -9,13 +9,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quaylake.functions.events import decode_events, encode_events, json_field
+from quaylake.functions.shipments import derive_revenue as revenue_rule
+from quaylake.operators import dml, evolve, kpis
+from quaylake.operators.quality import report
 from quaylake.operators.quality import validate as V
-from quaylake.operators.quality.rules import retail_suite
-from quaylake.sources import fixtures
+from quaylake.operators.quality.gate import DEFAULT_THRESHOLD, gate, gated_rows
+from quaylake.operators.quality.rules import between, retail_suite
+from quaylake.plans import lab
+from quaylake.plans.broadcast import join_small
+from quaylake.schemas import DELIVERY_RATING, RETAIL_ORDER_SCHEMA, SHIPMENT_SCHEMA
+from quaylake.session import scratch_path
+from quaylake.sources import fixtures, results_io
+from quaylake.sources.csv_io import read_csv, write_csv
+from quaylake.sources.tables import read_table
+from quaylake.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+MERGE_SET = {"status": "status", "timestamp": "timestamp"}  # WHEN MATCHED SET
+LOW_THRESHOLD = 80.0
+
 
 # ---------------------------------------------------------------- quality
 def _annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,13 +59,226 @@ def dq_reasons_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.reasons_long(_annotated(spark, sf_dir))
 
 
-def _rule_query(index: int) -> Query:
+def dq_split_semi_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean rows as ``batch LEFT ANTI JOIN failed row ids``."""
+    base = fixtures.retail_orders(spark, sf_dir).withColumn("_rid", F.monotonically_increasing_id())
+    failed_ids = V.annotate(base, retail_suite()).where(F.size(V.FAILURES) > 0).select("_rid")
+    return join_small(base, failed_ids, "_rid", "left_anti").drop("_rid")
+
+
+def dq_between_two_sided(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [between("quantity", 1, 5)]
+    return V.rule_failures(V.annotate(fixtures.retail_orders(spark, sf_dir), rules), rules, 0)
+
+
+def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gate(dq_batch_stats(spark, sf_dir), DEFAULT_THRESHOLD)
+
+
+def _gated(threshold: float) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return V.rule_failures(_annotated(spark, sf_dir), retail_suite(), index)
+        ann = _annotated(spark, sf_dir)
+        return gated_rows(V.clean_rows(ann), V.batch_stats(ann), threshold)
 
     return run
 
 
+def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.rule_stats(_annotated(spark, sf_dir), retail_suite(), with_kwargs=True)
+
+
+def dq_report_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.report_checks(_results(spark, sf_dir))
+
+
+def dq_report_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ann = _annotated(spark, sf_dir)
+    return report.report_summary(V.rule_stats(ann, retail_suite()), V.batch_stats(ann))
+
+
+def dq_results_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results document written as JSON and read back, one row per rule."""
+    path = scratch_path(spark, "results_json")
+    results_io.write_results(results_io.results_document(_results(spark, sf_dir)), path)
+    return results_io.read_results(spark, path).drop("kwargs")
+
+
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retail batch written as CSV, read back with the declared schema."""
+    path = scratch_path(spark, "retail_csv")
+    write_csv(fixtures.retail_orders(spark, sf_dir), path)
+    return read_csv(spark, path, RETAIL_ORDER_SCHEMA)
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantined rows with reasons through the CSV sink and source."""
+    path = scratch_path(spark, "quarantine_csv")
+    write_csv(V.quarantine_rows(_annotated(spark, sf_dir)), path)
+    schema = T.StructType(list(RETAIL_ORDER_SCHEMA.fields) + [T.StructField(V.REASONS, T.StringType(), True)])
+    return read_csv(spark, path, schema)
+
+
+# ------------------------------------------------------------- shipments
+def scan_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lab.read_shipments(spark, sf_dir)
+
+
+def incoming_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.merge_source(spark, sf_dir)
+
+
+def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.kpi_summary(fixtures.shipments(spark, sf_dir))
+
+
+def kpi_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.kpi_display(kpis.kpi_summary(fixtures.shipments(spark, sf_dir)))
+
+
+def kpi_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.kpi_summary(fixtures.shipments(spark, sf_dir).drop("revenue", "weight"))
+
+
+def revenue_by_destination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.revenue_by_destination(fixtures.shipments(spark, sf_dir))
+
+
+def priority_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.priority_distribution(fixtures.shipments(spark, sf_dir))
+
+
+def status_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.status_breakdown(fixtures.shipments(spark, sf_dir))
+
+
+def recent_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.recent_shipments(fixtures.shipments(spark, sf_dir), 20)
+
+
+def derive_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = fixtures.shipments(spark, sf_dir)
+    return s.select("shipment_id", "weight", "priority", revenue_rule(F.col("weight"), F.col("priority")).alias("revenue"))
+
+
+# ----------------------------------------------------------------- events
+def event_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = fixtures.shipments(spark, sf_dir)
+    return encode_events(s, key="shipment_id").withColumnRenamed("key", "shipment_id")
+
+
+def event_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode_events(encode_events(fixtures.shipments(spark, sf_dir)), SHIPMENT_SCHEMA)
+
+
+def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select("event_id", json_field(F.col("props"), "k", "int").alias("k"))
+
+
+# Malformed messages added to the event stream.
+MALFORMED_LINES = ["not json", "", '{"shipment_id": "SH-STR", "weight": "12"}']
+
+
+def _stream_input(spark: SparkSession, sf_dir: str) -> str:
+    src = scratch_path(spark, "stream_in")
+    encode_events(fixtures.shipments(spark, sf_dir)).write.mode("append").text(src)
+    spark.createDataFrame([(x,) for x in MALFORMED_LINES], "value string").coalesce(1).write.mode("append").text(src)
+    return src
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON text stream -> decode -> checkpointed parquet append (availableNow)."""
+    src = _stream_input(spark, sf_dir)
+    sink, ckpt = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ckpt")
+    ingest_available(spark, src, sink, ckpt, SHIPMENT_SCHEMA)
+    return spark.read.schema(SHIPMENT_SCHEMA).parquet(sink)
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two restarts on one checkpoint: the second adds nothing, the third
+    adds only the file that arrived in between."""
+    src = _stream_input(spark, sf_dir)
+    sink, ckpt = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ckpt")
+    ingest_available(spark, src, sink, ckpt, SHIPMENT_SCHEMA)
+    ingest_available(spark, src, sink, ckpt, SHIPMENT_SCHEMA)
+    encode_events(fixtures.merge_source(spark, sf_dir)).write.mode("append").text(src)
+    ingest_available(spark, src, sink, ckpt, SHIPMENT_SCHEMA)
+    return spark.read.schema(SHIPMENT_SCHEMA).parquet(sink)
+
+
+# -------------------------------------------------------------------- DML
+def insert_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dml.insert_append(fixtures.shipments(spark, sf_dir), fixtures.new_shipments(spark, sf_dir))
+
+
+def update_where(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dml.update_where(fixtures.shipments(spark, sf_dir), lab.UPDATE_PREDICATE, lab.UPDATE_SET)
+
+
+def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dml.delete_where(fixtures.shipments(spark, sf_dir), lab.DELETE_PREDICATE)
+
+
+def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dml.merge_into(fixtures.shipments(spark, sf_dir), fixtures.merge_source(spark, sf_dir), "shipment_id", MERGE_SET)
+
+
+def merge_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dml.merge_into(fixtures.shipments(spark, sf_dir), fixtures.merge_source(spark, sf_dir), "shipment_id", None)
+
+
+def merge_matched_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dml.merge_into(
+        fixtures.shipments(spark, sf_dir), fixtures.merge_source(spark, sf_dir), "shipment_id", MERGE_SET, insert=False
+    )
+
+
+def merge_dup_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated and NULL source keys that match nothing all insert."""
+    return dml.merge_into(
+        fixtures.shipments(spark, sf_dir), fixtures.duplicate_key_source(spark, sf_dir), "shipment_id", MERGE_SET
+    )
+
+
+# ------------------------------------------------------------- versioning
+def as_of_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lab.versioned_shipments(spark, sf_dir).as_of(2)
+
+
+def as_of_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lab.versioned_shipments(spark, sf_dir).current()
+
+
+def first_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = lab.versioned_shipments(spark, sf_dir)
+    first = table.first_commit_id().first()  # one metadata value
+    if first is None or len(table._commit_ids()) < 2:
+        raise RuntimeError("time travel needs at least two commits")
+    return table.as_of(first["commit_id"])
+
+
+def commit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lab.versioned_shipments(spark, sf_dir).history()
+
+
+def commit_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lab.versioned_shipments(spark, sf_dir).snapshots(flat=True)
+
+
+# -------------------------------------------------------------- evolution
+def add_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Old files read under the evolved schema, then the new column set."""
+    schema = evolve.evolved_schema(SHIPMENT_SCHEMA, DELIVERY_RATING)
+    table = evolve.read_declared(spark, lab.shipments_table(spark, sf_dir), schema)
+    rated = dml.update_where(table, F.col("status") == "Delivered", {"delivery_rating": 5})
+    return rated.select("shipment_id", "status", "delivery_rating")
+
+
+def partition_evolved_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evolve.read_layouts(spark, lab.evolved_layouts(spark, sf_dir), SHIPMENT_SCHEMA)
+
+
+# ---------------------------------------------------------------- registry
 _PER_RULE_KEYS = [
     "dq_order_id_not_null",
     "dq_order_id_unique",
@@ -61,13 +291,65 @@ _PER_RULE_KEYS = [
 ]
 
 
+def _rule_query(index: int) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return V.rule_failures(_annotated(spark, sf_dir), retail_suite(), index)
+
+    return run
+
+
 def all_queries() -> dict[str, Query]:
     q: dict[str, Query] = {
+        # data quality
         "dq_rule_stats": dq_rule_stats,
         "dq_batch_stats": dq_batch_stats,
         "dq_clean": dq_clean,
         "dq_quarantine": dq_quarantine,
         "dq_reasons_long": dq_reasons_long,
+        "dq_split_semi_anti": dq_split_semi_anti,
+        "dq_between_two_sided": dq_between_two_sided,
+        "dq_gate": dq_gate,
+        "dq_gated_load": _gated(DEFAULT_THRESHOLD),
+        "dq_gated_load_low_threshold": _gated(LOW_THRESHOLD),
+        "dq_report_checks": dq_report_checks,
+        "dq_report_summary": dq_report_summary,
+        "dq_results_json": dq_results_json,
+        "csv_scan": csv_scan,
+        "csv_roundtrip": csv_roundtrip,
+        # shipments: scans, KPIs, top-k
+        "scan_shipments": scan_shipments,
+        "incoming_batch": incoming_batch,
+        "kpi_summary": kpi_summary,
+        "kpi_display": kpi_display,
+        "kpi_missing_column": kpi_missing_column,
+        "revenue_by_destination": revenue_by_destination,
+        "priority_distribution": priority_distribution,
+        "status_breakdown": status_breakdown,
+        "recent_shipments": recent_shipments,
+        "derive_revenue": derive_revenue,
+        # events and streams
+        "event_encode": event_encode,
+        "event_decode": event_decode,
+        "json_props": json_props,
+        "stream_ingest": stream_ingest,
+        "stream_restart": stream_restart,
+        # DML
+        "insert_append": insert_append,
+        "update_where": update_where,
+        "delete_where": delete_where,
+        "merge_upsert": merge_upsert,
+        "merge_new_only": merge_new_only,
+        "merge_matched_only": merge_matched_only,
+        "merge_dup_source": merge_dup_source,
+        # versions
+        "as_of_commit": as_of_commit,
+        "as_of_latest": as_of_latest,
+        "first_commit": first_commit,
+        "commit_history": commit_history,
+        "commit_snapshots": commit_snapshots,
+        # evolution
+        "add_column": add_column,
+        "partition_evolved_read": partition_evolved_read,
     }
     for i, key in enumerate(_PER_RULE_KEYS):
         q[key] = _rule_query(i)

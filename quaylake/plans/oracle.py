@@ -108,6 +108,81 @@ def _batch_stats() -> str:
   FROM flags"""
 
 
+NEXT_STATUS = """CASE status WHEN 'Shipment Created' THEN 'Vehicle Assigned'
+       WHEN 'Vehicle Assigned' THEN 'In Transit' WHEN 'In Transit' THEN 'Out for Delivery'
+       ELSE 'Delivered' END"""
+
+NEW_SHIPMENTS = """
+SELECT concat('SH-N', CAST(c_custkey AS STRING)) AS shipment_id, n1.n_name AS origin, n2.n_name AS destination,
+       concat('V-', CAST(100 + c_custkey % 201 AS STRING)) AS vehicle_id,
+       CAST(10 + c_custkey % 1491 AS DOUBLE) AS weight, 'Low' AS priority,
+       CAST(10 + c_custkey % 1491 AS DOUBLE) * 10.0 AS revenue, 'Shipment Created' AS status,
+       '2001-08-02 10:05:00' AS timestamp
+FROM customer JOIN nation n1 ON c_nationkey = n1.n_nationkey
+JOIN nation n2 ON n2.n_nationkey = c_custkey % 25
+WHERE c_custkey < 100
+"""
+
+MERGE_SOURCE = f"""
+SELECT shipment_id, origin, destination, vehicle_id, weight, priority, revenue,
+       {NEXT_STATUS} AS status, concat(substr(timestamp, 1, 10), ' 10:00:00') AS timestamp
+FROM shipments WHERE TRY_CAST(substr(shipment_id, 4) AS BIGINT) % 10 = 0
+UNION ALL
+SELECT * FROM new_shipments
+"""
+
+UPDATED_STATUS = "CASE WHEN priority = 'High' AND status = 'In Transit' THEN 'Out for Delivery' ELSE status END"
+
+MALFORMED_ROWS = """
+SELECT CAST(NULL AS STRING) AS shipment_id, CAST(NULL AS STRING) AS origin, CAST(NULL AS STRING) AS destination,
+       CAST(NULL AS STRING) AS vehicle_id, CAST(NULL AS DOUBLE) AS weight, CAST(NULL AS STRING) AS priority,
+       CAST(NULL AS DOUBLE) AS revenue, CAST(NULL AS STRING) AS status, CAST(NULL AS STRING) AS timestamp
+FROM (SELECT 1 AS k UNION ALL SELECT 2) two
+UNION ALL
+SELECT 'SH-STR', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+"""
+
+
+def _ships(*extra: str) -> str:
+    ctes = [f"shipments AS ({SHIPMENTS})", f"new_shipments AS ({NEW_SHIPMENTS})", f"src AS ({MERGE_SOURCE})"]
+    return "WITH " + ",\n".join(ctes + list(extra)) + "\n"
+
+
+def _merge(src: str = "src", update: bool = True, insert: bool = True) -> str:
+    if update:
+        matched = f"""SELECT t.shipment_id, t.origin, t.destination, t.vehicle_id, t.weight, t.priority, t.revenue,
+       CASE WHEN s.shipment_id IS NOT NULL THEN s.status ELSE t.status END AS status,
+       CASE WHEN s.shipment_id IS NOT NULL THEN s.timestamp ELSE t.timestamp END AS timestamp
+FROM shipments t LEFT JOIN (SELECT DISTINCT shipment_id, status, timestamp FROM {src}
+                            WHERE shipment_id IS NOT NULL) s ON t.shipment_id = s.shipment_id"""
+    else:
+        matched = f"SELECT {SHIP_COLS} FROM shipments"
+    if not insert:
+        return matched
+    return f"""{matched}
+UNION ALL
+SELECT {SHIP_COLS} FROM {src} s
+WHERE s.shipment_id IS NULL OR NOT EXISTS (SELECT 1 FROM shipments t WHERE t.shipment_id = s.shipment_id)"""
+
+
+def _criteria(col: str, exp: str, lo: str | None, hi: str | None) -> str:
+    if "not_be_null" in exp:
+        tail = "to contain no null values."
+    elif "be_unique" in exp:
+        tail = "to contain only unique values."
+    elif "be_between" in exp:
+        tail = (f"to be between {lo} and {hi}." if lo is not None and hi is not None
+                else f"to be at least {lo}." if lo is not None else f"to be at most {hi}.")
+    elif "match_regex" in exp:
+        tail = "to match standard format."
+    else:
+        tail = f"to satisfy expectation {exp}."
+    return f"Expect {col} {tail}"
+
+
+RULE_BOUNDS = {4: ("0.01", None), 5: ("1", None), 7: (None, "2001-06-30")}
+
+
 def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     flags = _flags_ctes()
@@ -137,4 +212,108 @@ def oracle_queries() -> dict[str, str]:
     ]
     for key, (i, c, e, _, _) in zip(per_rule_keys, RULES):
         q[key] = f"WITH {flags}\nSELECT {RETAIL_COLS}, {_reason(i, c, e)} AS reason FROM flags WHERE f{i}"
+
+    # ------------------------------------------------------ quality extras
+    q["dq_between_two_sided"] = f"""WITH retail_orders AS ({RETAIL_ORDERS})
+SELECT {RETAIL_COLS}, {_reason(0, 'quantity', 'expect_column_values_to_be_between')} AS reason
+FROM retail_orders WHERE COALESCE(quantity < 1 OR quantity > 5, FALSE)"""
+    q["dq_gate"] = f"""WITH {flags},\nb AS ({_batch_stats()})
+SELECT *, CAST(85 AS DOUBLE) AS threshold,
+       CASE WHEN success_rate >= 85 THEN 'INGEST' ELSE 'STOP' END AS decision FROM b"""
+    for key, thr in (("dq_gated_load", 85), ("dq_gated_load_low_threshold", 80)):
+        q[key] = f"""WITH {flags},\nb AS ({_batch_stats()})
+SELECT {RETAIL_COLS} FROM flags WHERE NOT {_any_failed()} AND (SELECT success_rate >= {thr} FROM b)"""
+    crit = ",\n".join(
+        f"({i}, '{_criteria(c, e, *RULE_BOUNDS.get(i, (None, None)))}')" for i, c, e, _, _ in RULES
+    )
+    q["dq_report_checks"] = f"""WITH {flags},\nstats AS ({_rule_stats()}),
+crit(rule_index, criteria) AS (VALUES {crit})
+SELECT stats.rule_index + 1 AS check_number, rule_column, expectation, criteria,
+       CASE WHEN success THEN 'Passed' ELSE 'Failed' END AS status,
+       unexpected_count, COALESCE(unexpected_percent, CAST(0 AS DOUBLE)) AS unexpected_percent
+FROM stats JOIN crit ON stats.rule_index = crit.rule_index"""
+    q["dq_report_summary"] = f"""WITH {flags},\nstats AS ({_rule_stats()}),\nb AS ({_batch_stats()})
+SELECT total AS total_rows, clean AS clean_rows, quarantine AS quarantine_rows, success_rate,
+       CAST(100 AS DOUBLE) - success_rate AS quarantine_rate, CAST(85 AS DOUBLE) AS threshold,
+       CASE WHEN success_rate >= 85 THEN 'Ingestion Allowed' ELSE 'Pipeline Stopped' END AS gate_status,
+       (SELECT count(*) FROM stats) AS total_checks,
+       (SELECT count_if(success) FROM stats) AS passed_checks,
+       (SELECT count(*) - count_if(success) FROM stats) AS failed_checks,
+       (SELECT element_count FROM stats WHERE rule_index = 0) AS row_count
+FROM b"""
+    q["dq_results_json"] = f"""WITH {flags},\nstats AS ({_rule_stats()})
+SELECT rule_index, success, expectation, rule_column, element_count, missing_count, unexpected_count,
+       unexpected_percent FROM stats"""
+    q["csv_scan"] = f"SELECT * FROM ({RETAIL_ORDERS}) r"
+    q["csv_roundtrip"] = q["dq_quarantine"]
+
+    # ------------------------------------------------------------ shipments
+    q["scan_shipments"] = f"{_ships()}SELECT * FROM shipments"
+    q["incoming_batch"] = f"{_ships()}SELECT * FROM src"
+    q["kpi_summary"] = f"""{_ships()}SELECT count(*) AS total_shipments,
+       COALESCE(sum(revenue), CAST(0 AS DOUBLE)) AS total_revenue, avg(weight) AS avg_weight,
+       count(DISTINCT vehicle_id) AS unique_vehicles FROM shipments"""
+    q["kpi_display"] = f"""{_ships()}, k AS (SELECT count(*) AS n, COALESCE(sum(revenue), 0.0) AS rev,
+       avg(weight) AS w, count(DISTINCT vehicle_id) AS v FROM shipments)
+SELECT format('{{:,}}', n) AS total_shipments_text, concat('$', format('{{:,.2f}}', rev)) AS total_revenue_text,
+       concat(format('{{:.2f}}', w), ' kg') AS avg_weight_text, CAST(v AS STRING) AS unique_vehicles_text FROM k"""
+    q["kpi_missing_column"] = f"""{_ships()}SELECT count(*) AS total_shipments, CAST(0 AS DOUBLE) AS total_revenue,
+       CAST(0 AS DOUBLE) AS avg_weight, count(DISTINCT vehicle_id) AS unique_vehicles FROM shipments"""
+    q["revenue_by_destination"] = f"""{_ships()}SELECT destination, COALESCE(sum(revenue), CAST(0 AS DOUBLE)) AS revenue
+FROM shipments WHERE destination IS NOT NULL GROUP BY destination"""
+    for key, col in (("priority_distribution", "priority"), ("status_breakdown", "status")):
+        q[key] = f"{_ships()}SELECT {col}, count(*) AS count FROM shipments WHERE {col} IS NOT NULL GROUP BY {col}"
+    q["recent_shipments"] = f"""{_ships()}SELECT *, try_strptime(timestamp, '%Y-%m-%d %H:%M:%S') AS event_time
+FROM shipments ORDER BY event_time DESC NULLS LAST, shipment_id ASC NULLS LAST LIMIT 20"""
+    q["derive_revenue"] = f"""{_ships()}SELECT shipment_id, weight, priority,
+       round(weight * CASE WHEN priority = 'High' THEN 15.0 ELSE 10.0 END, 2) AS revenue FROM shipments"""
+
+    # --------------------------------------------------------------- events
+    q["event_encode"] = f"""{_ships()}SELECT shipment_id, to_json(struct_pack(shipment_id := shipment_id,
+       origin := origin, destination := destination, vehicle_id := vehicle_id, weight := weight,
+       priority := priority, revenue := revenue, status := status, timestamp := timestamp)) AS value FROM shipments"""
+    q["event_decode"] = f"{_ships()}SELECT * FROM shipments"
+    q["json_props"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events"
+    q["stream_ingest"] = f"{_ships()}SELECT * FROM shipments UNION ALL {MALFORMED_ROWS}"
+    q["stream_restart"] = f"{_ships()}SELECT * FROM shipments UNION ALL {MALFORMED_ROWS} UNION ALL SELECT * FROM src"
+
+    # ------------------------------------------------------------------ DML
+    q["insert_append"] = f"{_ships()}SELECT * FROM shipments UNION ALL SELECT * FROM new_shipments"
+    q["update_where"] = f"""{_ships()}SELECT shipment_id, origin, destination, vehicle_id, weight, priority, revenue,
+       {UPDATED_STATUS} AS status, timestamp FROM shipments"""
+    q["delete_where"] = f"{_ships()}SELECT * FROM shipments WHERE NOT COALESCE(status = 'Delivered', FALSE)"
+    q["merge_upsert"] = f"{_ships()}{_merge()}"
+    q["merge_new_only"] = f"{_ships()}{_merge(update=False)}"
+    q["merge_matched_only"] = f"{_ships()}{_merge(insert=False)}"
+    dup_src = ("dup_src AS (SELECT * FROM src UNION ALL SELECT * FROM new_shipments UNION ALL "
+               "SELECT CAST(NULL AS STRING) AS shipment_id, origin, destination, vehicle_id, weight, priority, "
+               "revenue, status, timestamp FROM new_shipments)")
+    q["merge_dup_source"] = f"{_ships(dup_src)}{_merge('dup_src')}"
+
+    # ------------------------------------------------------------- versions
+    updated = f"""SELECT shipment_id, origin, destination, vehicle_id, weight, priority, revenue,
+       {UPDATED_STATUS} AS status, timestamp FROM shipments"""
+    q["as_of_commit"] = f"{_ships()}{updated}"
+    q["as_of_latest"] = f"{_ships()}SELECT * FROM ({updated}) u WHERE NOT COALESCE(status = 'Delivered', FALSE)"
+    q["first_commit"] = f"{_ships()}SELECT * FROM shipments"
+    q["commit_history"] = """SELECT * FROM (VALUES
+  (TIMESTAMP '2001-08-01 12:00:01', CAST(1 AS BIGINT), CAST(NULL AS BIGINT), TRUE),
+  (TIMESTAMP '2001-08-01 12:00:02', CAST(2 AS BIGINT), CAST(1 AS BIGINT), TRUE),
+  (TIMESTAMP '2001-08-01 12:00:03', CAST(3 AS BIGINT), CAST(2 AS BIGINT), TRUE))
+  AS h(made_current_at, snapshot_id, parent_id, is_current_ancestor)"""
+    q["commit_snapshots"] = f"""{_ships()}, c AS (SELECT count(*) AS n,
+       count_if(priority = 'High' AND status = 'In Transit') AS u,
+       count_if(status = 'Delivered') AS d FROM shipments)
+SELECT TIMESTAMP '2001-08-01 12:00:01' AS committed_at, CAST(1 AS BIGINT) AS snapshot_id, 'append' AS operation,
+       n AS added_records, CAST(0 AS BIGINT) AS updated_records, CAST(0 AS BIGINT) AS deleted_records,
+       n AS total_records FROM c
+UNION ALL
+SELECT TIMESTAMP '2001-08-01 12:00:02', CAST(2 AS BIGINT), 'overwrite', CAST(0 AS BIGINT), u, CAST(0 AS BIGINT), n FROM c
+UNION ALL
+SELECT TIMESTAMP '2001-08-01 12:00:03', CAST(3 AS BIGINT), 'delete', CAST(0 AS BIGINT), CAST(0 AS BIGINT), d, n - d FROM c"""
+
+    # ------------------------------------------------------------ evolution
+    q["add_column"] = f"""{_ships()}SELECT shipment_id, status,
+       CASE WHEN status = 'Delivered' THEN 5 END AS delivery_rating FROM shipments"""
+    q["partition_evolved_read"] = f"{_ships()}SELECT * FROM shipments"
     return q

@@ -82,7 +82,7 @@ LOG_COLUMNS = [LOG_ROW_ID, LOG_COMMIT_ID, LOG_OP]
 COMMITS_SCHEMA = T.StructType(
     [
         T.StructField("commit_id", T.LongType(), False),
-        T.StructField("committed_at", T.TimestampType(), True),
+        T.StructField("committed_at", T.TimestampNTZType(), True),
         T.StructField("operation", T.StringType(), True),
     ]
 )

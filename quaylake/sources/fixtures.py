@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaylake.schemas import RETAIL_ORDER_COLUMNS, SHIPMENT_COLUMNS
+from quaylake.schemas import SHIPMENT_COLUMNS
 from quaylake.sources.tables import read_table
 
 # Fixed values of the fixture definitions.
@@ -100,29 +100,15 @@ def next_status(status: Column) -> Column:
     return expr
 
 
-def merge_source(spark: SparkSession, sf_dir: str, target: DataFrame | None = None) -> DataFrame:
-    """Incoming batch for MERGE: every tenth shipment advanced one lifecycle
-    step at 10:00 the same day, plus new shipments ``SH-N<c_custkey>`` for
-    customers with key below 100."""
-    ships = target if target is not None else shipments(spark, sf_dir)
-    numeric_id = F.substring("shipment_id", 4, 20).try_cast("bigint")
-    updates = ships.where(numeric_id % 10 == 0).select(
-        *[
-            next_status(F.col("status")).alias("status")
-            if c == "status"
-            else F.concat(F.substring("timestamp", 1, 10), F.lit(" 10:00:00")).alias("timestamp")
-            if c == "timestamp"
-            else F.col(c)
-            for c in SHIPMENT_COLUMNS
-        ]
-    )
+def new_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New shipments ``SH-N<c_custkey>`` for customers with key below 100."""
     cust = read_table(spark, sf_dir, "customer").where(F.col("c_custkey") < 100)
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     orig = nation.select(F.col("n_nationkey").alias("orig_key"), F.col("n_name").alias("origin"))
     dest = nation.select(F.col("n_nationkey").alias("dest_key"), F.col("n_name").alias("destination"))
     ck = F.col("c_custkey")
     weight = (F.lit(10) + ck % 1491).cast("double")
-    inserts = (
+    return (
         cust.join(orig, F.col("c_nationkey") == F.col("orig_key"))
         .join(dest, F.col("dest_key") == ck % 25)
         .select(
@@ -137,8 +123,29 @@ def merge_source(spark: SparkSession, sf_dir: str, target: DataFrame | None = No
             F.lit("2001-08-02 10:05:00").alias("timestamp"),
         )
     )
-    return updates.unionByName(inserts)
 
 
-def retail_order_columns() -> list[str]:
-    return list(RETAIL_ORDER_COLUMNS)
+def merge_source(spark: SparkSession, sf_dir: str, target: DataFrame | None = None) -> DataFrame:
+    """Incoming batch for MERGE: every tenth shipment advanced one lifecycle
+    step at 10:00 the same day, plus the new shipments."""
+    ships = target if target is not None else shipments(spark, sf_dir)
+    numeric_id = F.substring("shipment_id", 4, 20).try_cast("bigint")
+    updates = ships.where(numeric_id % 10 == 0).select(
+        *[
+            next_status(F.col("status")).alias("status")
+            if c == "status"
+            else F.concat(F.substring("timestamp", 1, 10), F.lit(" 10:00:00")).alias("timestamp")
+            if c == "timestamp"
+            else F.col(c)
+            for c in SHIPMENT_COLUMNS
+        ]
+    )
+    return updates.unionByName(new_shipments(spark, sf_dir))
+
+
+def duplicate_key_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge source whose unmatched keys repeat and whose keys may be NULL:
+    the new shipments twice more, once with a NULL id."""
+    base = merge_source(spark, sf_dir)
+    fresh = new_shipments(spark, sf_dir)
+    return base.unionByName(fresh).unionByName(fresh.withColumn("shipment_id", F.lit(None).cast("string")))
