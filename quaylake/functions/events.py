@@ -34,10 +34,11 @@ def payload_text(value: Column) -> Column:
 def decode_events(df: DataFrame, schema: T.StructType, on_malformed: str = "keep", value_col: str = "value") -> DataFrame:
     """Typed rows from JSON payloads.
 
-    ``keep``: a malformed payload becomes an all-NULL row (plain ``from_json``).
-    ``drop``: malformed and empty payloads are removed.
-    ``quarantine``: rows keep a ``_corrupt_record`` column holding the bad text.
-    A value of the wrong type (``"12"`` for a double) is NULL in every mode.
+    ``keep``: a malformed payload becomes an all-NULL row and a value of the
+    wrong type (``"12"`` for a double) a NULL field (plain ``from_json``).
+    ``drop``: malformed, empty and wrongly typed records are removed.
+    ``quarantine``: every row is kept; bad ones carry their text in
+    ``_corrupt_record``.
     """
     if on_malformed not in MALFORMED_MODES:
         raise ValueError(f"on_malformed must be one of {MALFORMED_MODES}")
