@@ -2,7 +2,7 @@
 
 Layout under ``path``:
 
-* ``log/_commit_id=N/``  payload columns + ``_row_id`` + ``_op`` (I, U, D)
+* ``log/_commit_id=N/_op=X/``  payload columns + ``_row_id``; X is I, U or D
 * ``commits/``           one row per commit: commit_id, committed_at, operation
 
 A write appends only what changed: inserts as ``I`` rows with fresh row ids,
@@ -13,8 +13,9 @@ failed write leaves nothing visible. One writer at a time.
 Reading ``as_of(n)`` prunes log partitions to the visible commits <= n, takes
 every ``I`` row whose row id was never changed (anti join against the changed
 ids, broadcast when measured small) and the latest ``U`` of each changed row
-(partial aggregation on the changed rows only). The bulk of a mostly-append
-table is never shuffled.
+(partial aggregation on the changed rows only). ``_op`` is a partition
+column, so the changed rows are read without touching insert files, and the
+bulk of a mostly-append table is never shuffled.
 """
 
 from __future__ import annotations
@@ -91,13 +92,13 @@ class VersionedTable:
     def _write(self, rows: DataFrame, operation: str, committed_at: dt.datetime | None) -> int:
         last = self.latest_commit()
         cid = 1 if last is None else last + 1
-        # dynamic overwrite of partition N only: leftovers of a failed earlier
-        # attempt at commit N are replaced, other commits are not touched
+        # dynamic overwrite of the partitions of commit N only: leftovers of a
+        # failed earlier attempt at commit N are replaced, other commits stay
         (
             rows.withColumn(LOG_COMMIT_ID, F.lit(cid).cast("long"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(LOG_COMMIT_ID)
+            .partitionBy(LOG_COMMIT_ID, LOG_OP)
             .parquet(self.log_path)
         )
         when = committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
