@@ -84,8 +84,10 @@ def merge_into(
     for k in key_cols:
         has_keys = has_keys & k.isNotNull()
 
-    src = measure(source)  # materialised once, reused by both branches
-    small = 0 <= src.bytes <= limit and limit >= 0
+    # one aggregate pass; a small source is then checkpointed and reused by
+    # both branches, a large one is never written out
+    src = measure(source, limit, materialize="if_small")
+    small = src.small
 
     def maybe_broadcast(df: DataFrame) -> DataFrame:
         # a per-key or key-only projection of the measured source is no bigger

@@ -1,9 +1,9 @@
 """Joins against a side whose size is measured before it is broadcast.
 
-``join_small`` materialises the small side once (reliable ``checkpoint`` into
-the shared checkpoint folder, so a lost executor does not lose it), measures
-its row count and byte size with one aggregate, and only then adds the
-broadcast hint. Beyond the bound the join stays a shuffle join, where AQE's
+``join_small`` materialises the (already reduced) small side once (reliable
+``checkpoint`` into the shared checkpoint folder, so a lost executor does not
+lose it), measures its row count and byte size with one aggregate, and only
+then adds the broadcast hint. Beyond the bound the join stays a shuffle join, where AQE's
 skew-join splitting applies.
 """
 
@@ -37,6 +37,7 @@ class Measured:
     df: DataFrame
     rows: int
     bytes: int
+    small: bool
 
 
 def _width(field: T.StructField) -> "F.Column":
@@ -50,17 +51,34 @@ def _width(field: T.StructField) -> "F.Column":
     return F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0)).cast("long")
 
 
-def measure(df: DataFrame, materialize: bool = True) -> Measured:
-    """Row count and an upper estimate of the in-memory bytes of ``df``."""
-    if materialize:
-        shared_dir(df.sparkSession)  # make sure a checkpoint folder exists
-        df = df.checkpoint(eager=True)
+def _size(df: DataFrame) -> tuple[int, int]:
     widths = [_width(f) for f in df.schema.fields] or [F.lit(0)]
     row_bytes = widths[0]
     for w in widths[1:]:
         row_bytes = row_bytes + w
     stats = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes + F.lit(16)).alias("b")).first()
-    return Measured(df, int(stats["n"]), int(stats["b"] or 0))
+    return int(stats["n"]), int(stats["b"] or 0)
+
+
+def measure(df: DataFrame, max_bytes: int | None = None, materialize: str = "first") -> Measured:
+    """Row count and an upper estimate of the in-memory bytes of ``df``.
+
+    ``materialize='first'``: checkpoint, then measure the stored rows (for a
+    side that is already reduced, e.g. an aggregate; it is computed once).
+    ``'if_small'``: measure with one aggregate pass and checkpoint only when
+    under ``max_bytes`` (for a side that may be large, e.g. a merge source,
+    so a big one is never written out). ``'never'``: measure only.
+    """
+    limit = broadcast_limit(df) if max_bytes is None else max_bytes
+    if materialize == "first":
+        shared_dir(df.sparkSession)  # make sure a checkpoint folder exists
+        df = df.checkpoint(eager=True)
+    rows, size = _size(df)
+    small = limit >= 0 and size <= limit
+    if materialize == "if_small" and small:
+        shared_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    return Measured(df, rows, size, small)
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -84,6 +102,6 @@ def join_small(
     """Join ``big`` with ``small``; broadcast ``small`` only if measured under
     ``max_bytes`` (default: the session broadcast threshold)."""
     limit = broadcast_limit(big) if max_bytes is None else max_bytes
-    m = measure(small)
-    right = F.broadcast(m.df) if 0 <= m.bytes <= limit and limit >= 0 else m.df
+    m = measure(small, limit)
+    right = F.broadcast(m.df) if m.small else m.df
     return big.join(right, on, how)
