@@ -91,9 +91,9 @@ def _rule_stats() -> str:
         base = "count(*)" if counts_nulls else f"count({col})"
         selects.append(
             f"""SELECT {i} AS rule_index, '{col}' AS rule_column, '{exp}' AS expectation,
-       count_if(f{i}) = 0 AS success, count(*) AS element_count,
-       count(*) - count({col}) AS missing_count, count_if(f{i}) AS unexpected_count,
-       CASE WHEN {base} > 0 THEN CAST(count_if(f{i}) AS DOUBLE) / CAST({base} AS DOUBLE) * CAST(100 AS DOUBLE) END
+       CAST(count_if(f{i}) AS BIGINT) = 0 AS success, count(*) AS element_count,
+       count(*) - count({col}) AS missing_count, CAST(count_if(f{i}) AS BIGINT) AS unexpected_count,
+       CASE WHEN {base} > 0 THEN CAST(CAST(count_if(f{i}) AS BIGINT) AS DOUBLE) / CAST({base} AS DOUBLE) * CAST(100 AS DOUBLE) END
          AS unexpected_percent
   FROM flags"""
         )
@@ -101,9 +101,9 @@ def _rule_stats() -> str:
 
 
 def _batch_stats() -> str:
-    return f"""SELECT count(*) AS total, count_if(NOT {_any_failed()}) AS clean,
-       count(*) - count_if(NOT {_any_failed()}) AS quarantine,
-       CASE WHEN count(*) > 0 THEN CAST(count_if(NOT {_any_failed()}) AS DOUBLE) / CAST(count(*) AS DOUBLE)
+    return f"""SELECT count(*) AS total, CAST(count_if(NOT {_any_failed()}) AS BIGINT) AS clean,
+       count(*) - CAST(count_if(NOT {_any_failed()}) AS BIGINT) AS quarantine,
+       CASE WHEN count(*) > 0 THEN CAST(CAST(count_if(NOT {_any_failed()}) AS BIGINT) AS DOUBLE) / CAST(count(*) AS DOUBLE)
             * CAST(100 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS success_rate
   FROM flags"""
 
@@ -237,8 +237,8 @@ SELECT total AS total_rows, clean AS clean_rows, quarantine AS quarantine_rows,
        CAST(100 AS DOUBLE) - success_rate AS quarantine_rate, CAST(85 AS DOUBLE) AS threshold,
        CASE WHEN success_rate >= 85 THEN 'Ingestion Allowed' ELSE 'Pipeline Stopped' END AS gate_status,
        (SELECT count(*) FROM stats) AS total_checks,
-       (SELECT count_if(success) FROM stats) AS passed_checks,
-       (SELECT count(*) - count_if(success) FROM stats) AS failed_checks,
+       (SELECT CAST(count_if(success) AS BIGINT) FROM stats) AS passed_checks,
+       (SELECT count(*) - CAST(count_if(success) AS BIGINT) FROM stats) AS failed_checks,
        (SELECT element_count FROM stats WHERE rule_index = 0) AS row_count
 FROM b"""
     q["dq_results_json"] = f"""WITH {flags},\nstats AS ({_rule_stats()})
@@ -269,9 +269,10 @@ FROM shipments ORDER BY event_time DESC NULLS LAST, shipment_id ASC NULLS LAST L
        round(weight * CASE WHEN priority = 'High' THEN 15.0 ELSE 10.0 END, 2) AS revenue FROM shipments"""
 
     # --------------------------------------------------------------- events
-    q["event_encode"] = f"""{_ships()}SELECT shipment_id, to_json(struct_pack(shipment_id := shipment_id,
+    q["event_encode"] = f"""{_ships()}SELECT shipment_id, CAST(to_json(struct_pack(shipment_id := shipment_id,
        origin := origin, destination := destination, vehicle_id := vehicle_id, weight := weight,
-       priority := priority, revenue := revenue, status := status, timestamp := timestamp)) AS value FROM shipments"""
+       priority := priority, revenue := revenue, status := status, timestamp := timestamp)) AS STRING) AS value
+FROM shipments"""
     q["event_decode"] = f"{_ships()}SELECT * FROM shipments"
     q["json_props"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events"
     q["stream_ingest"] = f"{_ships()}SELECT * FROM shipments UNION ALL {MALFORMED_ROWS}"
@@ -302,8 +303,8 @@ FROM shipments ORDER BY event_time DESC NULLS LAST, shipment_id ASC NULLS LAST L
   (TIMESTAMP '2001-08-01 12:00:03', CAST(3 AS BIGINT), CAST(2 AS BIGINT), TRUE))
   AS h(made_current_at, snapshot_id, parent_id, is_current_ancestor)"""
     q["commit_snapshots"] = f"""{_ships()}, c AS (SELECT count(*) AS n,
-       count_if(priority = 'High' AND status = 'In Transit') AS u,
-       count_if(status = 'Delivered') AS d FROM shipments)
+       CAST(count_if(priority = 'High' AND status = 'In Transit') AS BIGINT) AS u,
+       CAST(count_if(status = 'Delivered') AS BIGINT) AS d FROM shipments)
 SELECT TIMESTAMP '2001-08-01 12:00:01' AS committed_at, CAST(1 AS BIGINT) AS snapshot_id, 'append' AS operation,
        n AS added_records, CAST(0 AS BIGINT) AS updated_records, CAST(0 AS BIGINT) AS deleted_records,
        n AS total_records FROM c

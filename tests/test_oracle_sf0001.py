@@ -23,6 +23,16 @@ def _norm(v):
     return v
 
 
+SPARK_TO_DUCK = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _canon(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
@@ -44,6 +54,10 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, duck, key):
     df = queries()[key](spark, SF0001)
     rows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(oracle_sql()[key])
+    dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert stypes == dtypes
     res = duck.execute(oracle_sql()[key])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
