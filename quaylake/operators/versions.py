@@ -89,9 +89,12 @@ class VersionedTable:
         return self.spark.read.schema(self._log_schema()).parquet(self.log_path).where(F.col(LOG_COMMIT_ID).isin(ids))
 
     # ---------------------------------------------------------------- write
-    def _write(self, rows: DataFrame, operation: str, committed_at: dt.datetime | None) -> int:
+    def _next_id(self) -> int:
         last = self.latest_commit()
-        cid = 1 if last is None else last + 1
+        return 1 if last is None else last + 1
+
+    def _write(self, rows: DataFrame, operation: str, committed_at: dt.datetime | None, cid: int | None = None) -> int:
+        cid = self._next_id() if cid is None else cid
         # dynamic overwrite of the partitions of commit N only: leftovers of a
         # failed earlier attempt at commit N are replaced, other commits stay
         (
@@ -122,9 +125,8 @@ class VersionedTable:
         return self._payload(df).withColumn(LOG_ROW_ID, rid).withColumn(LOG_OP, F.lit("I"))
 
     def insert(self, df: DataFrame, committed_at: dt.datetime | None = None) -> int:
-        last = self.latest_commit()
-        cid = 1 if last is None else last + 1
-        return self._write(self._with_new_ids(df, cid), OP_APPEND, committed_at)
+        cid = self._next_id()
+        return self._write(self._with_new_ids(df, cid), OP_APPEND, committed_at, cid)
 
     def _current_with_ids(self) -> DataFrame:
         return self._state(self.latest_commit(), keep_ids=True)
@@ -151,14 +153,13 @@ class VersionedTable:
         """MERGE as one commit: matched rows become ``U`` rows, unmatched
         source rows ``I`` rows."""
         cur = self._current_with_ids()
-        last = self.latest_commit()
-        cid = 1 if last is None else last + 1
+        cid = self._next_id()
         flag = "_merge_matched"
         merged = dml.merge_into(cur, source, on, update=update, insert=insert, matched_flag=flag)
         updated = merged.where(F.col(flag)).withColumn(LOG_OP, F.lit("U")).select(*self.columns, LOG_ROW_ID, LOG_OP)
         inserted = self._with_new_ids(merged.where(F.col(flag).isNull()), cid)
         rows = (updated if update else updated.where(F.lit(False))).unionByName(inserted)
-        return self._write(rows, OP_OVERWRITE, committed_at)
+        return self._write(rows, OP_OVERWRITE, committed_at, cid)
 
     # ----------------------------------------------------------------- read
     def _state(self, commit_id: int | None, keep_ids: bool = False) -> DataFrame:

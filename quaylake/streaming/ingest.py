@@ -62,10 +62,15 @@ def start_append(
     trigger: str | None = DEFAULT_TRIGGER,
     available_now: bool = False,
     name: str | None = None,
+    options: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Append-mode sink with a checkpoint; processing-time trigger, or
-    ``available_now`` to drain what is there and stop."""
+    ``available_now`` to drain what is there and stop. ``options`` go to the
+    sink (e.g. ``kafka.bootstrap.servers`` and ``topic`` for ``fmt='kafka'``
+    with a frame from ``encode_events``)."""
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    for key, value in (options or {}).items():
+        writer = writer.option(key, value)
     if name:
         writer = writer.queryName(name)
     if available_now:
