@@ -100,8 +100,11 @@ def join_small(
     max_bytes: int | None = None,
 ) -> DataFrame:
     """Join ``big`` with ``small``; broadcast ``small`` only if measured under
-    ``max_bytes`` (default: the session broadcast threshold)."""
+    ``max_bytes`` (default: the session broadcast threshold). ``on`` is a
+    column name, a list of names, or a callable ``(big, small) -> Column``
+    evaluated against the materialised small side."""
     limit = broadcast_limit(big) if max_bytes is None else max_bytes
     m = measure(small, limit)
     right = F.broadcast(m.df) if m.small else m.df
-    return big.join(right, on, how)
+    cond = on(big, m.df) if callable(on) else on
+    return big.join(right, cond, how)

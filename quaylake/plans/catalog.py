@@ -60,10 +60,23 @@ def dq_reasons_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_split_semi_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean rows as ``batch LEFT ANTI JOIN failed row ids``."""
-    base = fixtures.retail_orders(spark, sf_dir).withColumn("_rid", F.monotonically_increasing_id())
-    failed_ids = V.annotate(base, retail_suite()).where(F.size(V.FAILURES) > 0).select("_rid")
-    return join_small(base, failed_ids, "_rid", "left_anti").drop("_rid")
+    """Clean rows as ``batch LEFT ANTI JOIN failed rows``.
+
+    The row identity is the whole row under null-safe equality: identical rows
+    fail the same rules (uniqueness included), so the anti join is exact as a
+    bag. Failed rows are de-duplicated first (partial aggregation collapses a
+    hot repeated row) and the set is broadcast only when measured small."""
+    base = fixtures.retail_orders(spark, sf_dir)
+    cols = base.columns
+    failed = V.quarantine_rows(V.annotate(base, retail_suite())).select(*cols).distinct()
+
+    def same_row(big: DataFrame, small: DataFrame):
+        cond = big[cols[0]].eqNullSafe(small[cols[0]])
+        for c in cols[1:]:
+            cond = cond & big[c].eqNullSafe(small[c])
+        return cond
+
+    return join_small(base, failed, same_row, "left_anti")
 
 
 def dq_between_two_sided(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,8 +31,15 @@ DELETE_PREDICATE = "status = 'Delivered'"
 LAYOUT_CUTOVER = "1998-01-01"  # rows before it were written unpartitioned
 
 
+def _app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - remote session
+        return str(spark.conf.get("spark.app.id", id(spark)))
+
+
 def _memo(spark: SparkSession, sf_dir: str, name: str, build):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (_app_id(spark), sf_dir, name)
     with _LOCK:
         if key not in _BUILT:
             _BUILT[key] = build()

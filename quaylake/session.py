@@ -50,8 +50,13 @@ def shared_dir(spark: SparkSession) -> str:
     session. Only where it is unset (tests on a laptop) a private temporary
     folder is created and registered as the checkpoint directory.
     """
-    sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the server owns the folder
+        if not base:
+            raise RuntimeError("spark.checkpoint.dir is not set on the remote session") from None
+        return base.rstrip("/")
     if not base:
         current = sc.getCheckpointDir()
         if current:
