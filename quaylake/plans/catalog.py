@@ -19,6 +19,7 @@ from quaylake.operators.quality import report
 from quaylake.operators.quality import validate as V
 from quaylake.operators.quality.gate import DEFAULT_THRESHOLD, gate, gated_rows
 from quaylake.operators.quality.rules import between, retail_suite
+from quaylake.operators.quality.run import validate_batch
 from quaylake.plans import lab
 from quaylake.plans.broadcast import join_small
 from quaylake.schemas import DELIVERY_RATING, RETAIL_ORDER_SCHEMA, SHIPMENT_SCHEMA
@@ -116,6 +117,13 @@ def dq_results_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results_io.read_results(spark, path).drop("kwargs")
 
 
+def dq_validate_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written run: one job splits the batch into clean / quarantine
+    partitions; the quarantined rows are read back from the written table."""
+    out = scratch_path(spark, "validation")
+    return validate_batch(spark, fixtures.retail_orders(spark, sf_dir), retail_suite(), out).quarantine
+
+
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retail batch written as CSV, read back with the declared schema."""
     path = scratch_path(spark, "retail_csv")
@@ -327,6 +335,7 @@ def all_queries() -> dict[str, Query]:
         "dq_report_checks": dq_report_checks,
         "dq_report_summary": dq_report_summary,
         "dq_results_json": dq_results_json,
+        "dq_validate_batch": dq_validate_batch,
         "csv_scan": csv_scan,
         "csv_roundtrip": csv_roundtrip,
         # shipments: scans, KPIs, top-k

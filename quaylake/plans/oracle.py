@@ -246,6 +246,7 @@ SELECT rule_index, success, expectation, rule_column, element_count, missing_cou
        unexpected_percent FROM stats"""
     q["csv_scan"] = f"SELECT * FROM ({RETAIL_ORDERS}) r"
     q["csv_roundtrip"] = q["dq_quarantine"]
+    q["dq_validate_batch"] = q["dq_quarantine"]
 
     # ------------------------------------------------------------ shipments
     q["scan_shipments"] = f"{_ships()}SELECT * FROM shipments"
