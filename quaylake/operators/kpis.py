@@ -85,3 +85,30 @@ def recent_shipments(df: DataFrame, n: int = 20) -> DataFrame:
         .orderBy(F.col("event_time").desc_nulls_last(), F.col("shipment_id").asc_nulls_last())
         .limit(n)
     )
+
+
+BREAKDOWN_DIMENSIONS = ("destination", "priority", "status")
+
+
+def breakdowns(df: DataFrame, dimensions=BREAKDOWN_DIMENSIONS) -> DataFrame:
+    """All dashboard breakdowns and the totals from one scan and one shuffle.
+
+    One grouping-sets aggregate (one set per dimension plus the empty set) with
+    map-side partial aggregation; output rows: dimension, key, rows, revenue.
+    NULL keys are dropped per dimension; the ``all`` row holds the totals.
+    """
+    dims = [d for d in dimensions if d in df.columns]
+    n = len(dims)
+    revenue = F.coalesce(F.sum(_numeric(df, "revenue")), F.lit(0.0)) if "revenue" in df.columns else F.lit(0.0)
+    grouped = df.groupingSets([[d] for d in dims] + [[]], *dims).agg(
+        F.count(F.lit(1)).alias("rows"), revenue.alias("revenue"), F.grouping_id().alias("_gid")
+    )
+    dimension = F.lit("all")
+    for i, d in reversed(list(enumerate(dims))):
+        only_d = (1 << n) - 1 - (1 << (n - 1 - i))  # every other dimension aggregated away
+        dimension = F.when(F.col("_gid") == only_d, F.lit(d)).otherwise(dimension)
+    key = F.coalesce(*[F.col(d).cast("string") for d in dims]) if dims else F.lit(None).cast("string")
+    return (
+        grouped.select(dimension.alias("dimension"), key.alias("key"), "rows", "revenue")
+        .where((F.col("dimension") == "all") | F.col("key").isNotNull())
+    )

@@ -172,6 +172,10 @@ def status_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.status_breakdown(fixtures.shipments(spark, sf_dir))
 
 
+def dashboard_breakdowns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.breakdowns(fixtures.shipments(spark, sf_dir))
+
+
 def recent_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.recent_shipments(fixtures.shipments(spark, sf_dir), 20)
 
@@ -348,6 +352,7 @@ def all_queries() -> dict[str, Query]:
         "priority_distribution": priority_distribution,
         "status_breakdown": status_breakdown,
         "recent_shipments": recent_shipments,
+        "dashboard_breakdowns": dashboard_breakdowns,
         "derive_revenue": derive_revenue,
         # events and streams
         "event_encode": event_encode,

@@ -264,6 +264,13 @@ SELECT format('{{:,}}', n) AS total_shipments_text, concat('$', format('{{:,.2f}
 FROM shipments WHERE destination IS NOT NULL GROUP BY destination"""
     for key, col in (("priority_distribution", "priority"), ("status_breakdown", "status")):
         q[key] = f"{_ships()}SELECT {col}, count(*) AS count FROM shipments WHERE {col} IS NOT NULL GROUP BY {col}"
+    q["dashboard_breakdowns"] = f"""{_ships()}SELECT * FROM (
+  SELECT CASE WHEN GROUPING(destination) = 0 THEN 'destination' WHEN GROUPING(priority) = 0 THEN 'priority'
+              WHEN GROUPING(status) = 0 THEN 'status' ELSE 'all' END AS dimension,
+         COALESCE(destination, priority, status) AS key, count(*) AS rows,
+         COALESCE(sum(revenue), CAST(0 AS DOUBLE)) AS revenue
+  FROM shipments GROUP BY GROUPING SETS ((destination), (priority), (status), ())) g
+WHERE dimension = 'all' OR key IS NOT NULL"""
     q["recent_shipments"] = f"""{_ships()}SELECT *, try_strptime(timestamp, '%Y-%m-%d %H:%M:%S') AS event_time
 FROM shipments ORDER BY event_time DESC NULLS LAST, shipment_id ASC NULLS LAST LIMIT 20"""
     q["derive_revenue"] = f"""{_ships()}SELECT shipment_id, weight, priority,

@@ -174,3 +174,17 @@ def test_top_k_plan_is_take_ordered(spark):
 
 def test_not_a_pyspark_exception_type_leak():
     assert issubclass(PySparkException, Exception)
+
+
+def test_breakdowns_equal_separate_frames(spark):
+    ships = fixtures.shipments(spark, SF0001)
+    b = kpis.breakdowns(ships)
+    rev = {r["key"]: r["revenue"] for r in b.where("dimension = 'destination'").collect()}
+    assert rev == {r["destination"]: r["revenue"] for r in kpis.revenue_by_destination(ships).collect()}
+    pri = {r["key"]: r["rows"] for r in b.where("dimension = 'priority'").collect()}
+    assert pri == {r["priority"]: r["count"] for r in kpis.priority_distribution(ships).collect()}
+    st = {r["key"]: r["rows"] for r in b.where("dimension = 'status'").collect()}
+    assert st == {r["status"]: r["count"] for r in kpis.status_breakdown(ships).collect()}
+    total = b.where("dimension = 'all'").first()
+    summary = kpis.kpi_summary(ships).first()
+    assert total["rows"] == summary["total_shipments"] and total["revenue"] == summary["total_revenue"]
