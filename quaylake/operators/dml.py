@@ -17,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.plans.broadcast import broadcast_limit, measure
+from quaylake.plans.broadcast import broadcast_limit, measure, spread_null_keys
 
 _SRC = "_merge_src_"
 _N = "_merge_src_n"
@@ -89,10 +89,6 @@ def merge_into(
     src = measure(source, limit, materialize="if_small")
     small = src.small
 
-    def maybe_broadcast(df: DataFrame) -> DataFrame:
-        # a per-key or key-only projection of the measured source is no bigger
-        return F.broadcast(df) if small else df
-
     out = target.withColumn(matched_flag, F.lit(False)) if matched_flag else target
     if update:
         per_key = (
@@ -103,7 +99,11 @@ def merge_into(
                 *[F.first(_as_column(v)).alias(f"{_SRC}{name}") for name, v in update.items()],
             )
         )
-        joined = target.join(maybe_broadcast(per_key), keys, "left")
+        if small:
+            joined = target.join(F.broadcast(per_key), keys, "left")
+        else:
+            left, right, join_keys = spread_null_keys(target, per_key, keys, "left")
+            joined = left.join(right, join_keys, "left").drop(*[k for k in join_keys if k not in keys])
         # the cardinality check sits in a filter so column pruning cannot drop it
         checked = joined.where(
             F.when(
@@ -134,7 +134,8 @@ def merge_into(
     else:
         # distinct first: partial aggregation collapses a hot target key map-side
         target_keys = target.select(*key_cols).where(has_keys).distinct()
-        inserts = src_rows.join(target_keys, keys, "left_anti")
+        left, right, join_keys = spread_null_keys(src_rows, target_keys, keys, "left_anti")
+        inserts = left.join(right, join_keys, "left_anti")
     inserts = inserts.select(*target.columns)
     if matched_flag:
         inserts = inserts.withColumn(matched_flag, F.lit(None).cast("boolean"))

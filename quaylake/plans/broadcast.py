@@ -3,8 +3,9 @@
 ``join_small`` materialises the (already reduced) small side once (reliable
 ``checkpoint`` into the shared checkpoint folder, so a lost executor does not
 lose it), measures its row count and byte size with one aggregate, and only
-then adds the broadcast hint. Beyond the bound the join stays a shuffle join, where AQE's
-skew-join splitting applies.
+then adds the broadcast hint. Beyond the bound the join stays a shuffle join,
+where AQE's skew-join splitting applies to hot keys and NULL keys (which
+cannot match) are spread over the reducers by ``spread_null_keys``.
 """
 
 from __future__ import annotations
@@ -92,6 +93,30 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(raw)
 
 
+_SALT = "_null_spread"
+_SPREADABLE = {"left", "left_outer", "leftouter", "left_anti", "leftanti", "anti"}
+
+
+def spread_null_keys(big: DataFrame, small: DataFrame, keys: list[str], how: str):
+    """For a shuffle join that keeps unmatched left rows, spread left rows with
+    a NULL key over the reducers instead of hashing them all to one task.
+
+    NULL never equals anything, so such rows cannot match; an extra join key
+    (a deterministic hash of the row for NULL-key rows, 0 otherwise, and 0 on
+    the right) only changes where they land. Deterministic, so a retried map
+    task places every row where the first attempt did.
+    Returns ``(left, right, join_keys)``.
+    """
+    if how.lower() not in _SPREADABLE:
+        return big, small, keys
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(f"`{k}`").isNull()
+    width = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions", "200") or 200)
+    salt = F.when(any_null, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(width))).otherwise(F.lit(0))
+    return big.withColumn(_SALT, salt.cast("long")), small.withColumn(_SALT, F.lit(0).cast("long")), keys + [_SALT]
+
+
 def join_small(
     big: DataFrame,
     small: DataFrame,
@@ -105,6 +130,11 @@ def join_small(
     evaluated against the materialised small side."""
     limit = broadcast_limit(big) if max_bytes is None else max_bytes
     m = measure(small, limit)
-    right = F.broadcast(m.df) if m.small else m.df
-    cond = on(big, m.df) if callable(on) else on
-    return big.join(right, cond, how)
+    if m.small:
+        cond = on(big, m.df) if callable(on) else on
+        return big.join(F.broadcast(m.df), cond, how)
+    if callable(on):
+        return big.join(m.df, on(big, m.df), how)
+    keys = [on] if isinstance(on, str) else list(on)
+    left, right, join_keys = spread_null_keys(big, m.df, keys, how)
+    return left.join(right, join_keys, how).drop(_SALT)
