@@ -60,12 +60,16 @@ class VersionedTable:
         except Exception:  # noqa: BLE001 - no commit written yet
             return self.spark.createDataFrame([], COMMITS_SCHEMA)
 
-    def _commit_ids(self, upto: int | None = None) -> list[int]:
-        """Visible commit ids: table metadata, one value per commit."""
+    def _visible(self, upto: int | None = None) -> list[tuple[int, str]]:
+        """(commit id, operation) of visible commits: table metadata, one row
+        per commit."""
         c = self.commits()
         if upto is not None:
             c = c.where(F.col("commit_id") <= upto)
-        return sorted(r["commit_id"] for r in c.select("commit_id").collect())
+        return sorted((r["commit_id"], r["operation"]) for r in c.select("commit_id", "operation").collect())
+
+    def _commit_ids(self, upto: int | None = None) -> list[int]:
+        return [cid for cid, _ in self._visible(upto)]
 
     def latest_commit(self) -> int | None:
         ids = self._commit_ids()
@@ -81,9 +85,9 @@ class VersionedTable:
             ]
         )
 
-    def log(self, upto: int | None = None) -> DataFrame:
+    def log(self, upto: int | None = None, ids: list[int] | None = None) -> DataFrame:
         """Log rows of visible commits (partition-pruned to those ids)."""
-        ids = self._commit_ids(upto)
+        ids = self._commit_ids(upto) if ids is None else ids
         if not ids:
             return self.spark.createDataFrame([], self._log_schema())
         return self.spark.read.schema(self._log_schema()).parquet(self.log_path).where(F.col(LOG_COMMIT_ID).isin(ids))
@@ -163,10 +167,14 @@ class VersionedTable:
 
     # ----------------------------------------------------------------- read
     def _state(self, commit_id: int | None, keep_ids: bool = False) -> DataFrame:
-        log = self.log(commit_id)
+        visible = self._visible(commit_id)
+        log = self.log(ids=[cid for cid, _ in visible])
         inserted = log.where(F.col(LOG_OP) == "I")
-        changed = log.where(F.col(LOG_OP) != "I")
         payload = self.columns + [LOG_ROW_ID, LOG_OP]
+        if all(op == OP_APPEND for _, op in visible):
+            # append-only so far: the state is the inserted rows, a pruned scan
+            return inserted.select(*(payload if keep_ids else self.columns))
+        changed = log.where(F.col(LOG_OP) != "I")
         latest = (
             changed.groupBy(LOG_ROW_ID)
             .agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in self.columns], F.col(LOG_OP)), F.col(LOG_COMMIT_ID)).alias("v"))

@@ -138,3 +138,14 @@ def test_merge_is_idempotent(spark, seed, incoming):
     once = dml.merge_into(seed, incoming, "shipment_id", upd)
     twice = dml.merge_into(once, incoming, "shipment_id", upd)
     assert sorted(once.collect()) == sorted(twice.collect())
+
+
+def test_append_only_state_is_a_plain_scan(spark, seed, incoming, tmp_dir):
+    table = VersionedTable(spark, f"{tmp_dir}/appends", SHIPMENT_SCHEMA)
+    table.insert(seed)
+    table.insert(incoming)
+    cur = table.current()
+    assert cur.count() == 5
+    plan = cur._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert table.as_of(1).count() == 3
