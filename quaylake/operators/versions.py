@@ -97,7 +97,14 @@ class VersionedTable:
         last = self.latest_commit()
         return 1 if last is None else last + 1
 
-    def _write(self, rows: DataFrame, operation: str, committed_at: dt.datetime | None, cid: int | None = None) -> int:
+    def _write(
+        self,
+        rows: DataFrame,
+        operation: str,
+        committed_at: dt.datetime | None,
+        cid: int | None = None,
+        epoch: tuple[str, int] | None = None,
+    ) -> int:
         cid = self._next_id() if cid is None else cid
         # dynamic overwrite of the partitions of commit N only: leftovers of a
         # failed earlier attempt at commit N are replaced, other commits stay
@@ -109,7 +116,8 @@ class VersionedTable:
             .parquet(self.log_path)
         )
         when = committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        meta = self.spark.createDataFrame([(cid, when, operation)], COMMITS_SCHEMA)
+        stream, epoch_id = epoch if epoch else (None, None)
+        meta = self.spark.createDataFrame([(cid, when, operation, stream, epoch_id)], COMMITS_SCHEMA)
         meta.coalesce(1).write.mode("append").parquet(self.commits_path)
         return cid
 
@@ -128,9 +136,17 @@ class VersionedTable:
         rid = F.concat(F.lit(f"{cid}-"), F.monotonically_increasing_id().cast("string"))
         return self._payload(df).withColumn(LOG_ROW_ID, rid).withColumn(LOG_OP, F.lit("I"))
 
-    def insert(self, df: DataFrame, committed_at: dt.datetime | None = None) -> int:
+    def insert(
+        self, df: DataFrame, committed_at: dt.datetime | None = None, epoch: tuple[str, int] | None = None
+    ) -> int:
+        """Append rows as one commit; ``epoch`` = (stream, micro-batch id)."""
         cid = self._next_id()
-        return self._write(self._with_new_ids(df, cid), OP_APPEND, committed_at, cid)
+        return self._write(self._with_new_ids(df, cid), OP_APPEND, committed_at, cid, epoch)
+
+    def has_epoch(self, stream: str, epoch_id: int) -> bool:
+        """Whether a micro-batch of a stream was already committed (metadata)."""
+        c = self.commits()
+        return c.where((F.col("stream") == stream) & (F.col("epoch_id") == epoch_id)).limit(1).count() > 0
 
     def _current_with_ids(self) -> DataFrame:
         return self._state(self.latest_commit(), keep_ids=True)

@@ -27,7 +27,8 @@ from quaylake.session import scratch_path
 from quaylake.sources import fixtures, results_io
 from quaylake.sources.csv_io import read_csv, write_csv
 from quaylake.sources.tables import read_table
-from quaylake.streaming.ingest import ingest_available
+from quaylake.operators.versions import VersionedTable
+from quaylake.streaming.ingest import event_source, ingest_available, stream_into_versioned
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -231,6 +232,23 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(SHIPMENT_SCHEMA).parquet(sink)
 
 
+def stream_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON stream committed batch by batch into a versioned table; a second
+    run after more files arrive adds one commit. Returns the current state."""
+    src = _stream_input(spark, sf_dir)
+    table = VersionedTable(spark, scratch_path(spark, "stream_table"), SHIPMENT_SCHEMA)
+    ckpt = scratch_path(spark, "stream_table_ckpt")
+
+    def run() -> None:
+        stream = decode_events(event_source(spark, fmt="text", path=src), SHIPMENT_SCHEMA)
+        stream_into_versioned(table, stream, ckpt, available_now=True).awaitTermination()
+
+    run()
+    encode_events(fixtures.merge_source(spark, sf_dir)).write.mode("append").text(src)
+    run()
+    return table.current()
+
+
 # -------------------------------------------------------------------- DML
 def insert_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dml.insert_append(fixtures.shipments(spark, sf_dir), fixtures.new_shipments(spark, sf_dir))
@@ -360,6 +378,7 @@ def all_queries() -> dict[str, Query]:
         "json_props": json_props,
         "stream_ingest": stream_ingest,
         "stream_restart": stream_restart,
+        "stream_versioned": stream_versioned,
         # DML
         "insert_append": insert_append,
         "update_where": update_where,

@@ -285,6 +285,7 @@ FROM shipments"""
     q["json_props"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events"
     q["stream_ingest"] = f"{_ships()}SELECT * FROM shipments UNION ALL {MALFORMED_ROWS}"
     q["stream_restart"] = f"{_ships()}SELECT * FROM shipments UNION ALL {MALFORMED_ROWS} UNION ALL SELECT * FROM src"
+    q["stream_versioned"] = q["stream_restart"]
 
     # ------------------------------------------------------------------ DML
     q["insert_append"] = f"{_ships()}SELECT * FROM shipments UNION ALL SELECT * FROM new_shipments"

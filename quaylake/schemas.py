@@ -84,5 +84,7 @@ COMMITS_SCHEMA = T.StructType(
         T.StructField("commit_id", T.LongType(), False),
         T.StructField("committed_at", T.TimestampNTZType(), True),
         T.StructField("operation", T.StringType(), True),
+        T.StructField("stream", T.StringType(), True),  # streaming writer (its checkpoint), if any
+        T.StructField("epoch_id", T.LongType(), True),  # its micro-batch
     ]
 )

@@ -109,3 +109,31 @@ def ingest_available(
     query = start_append(stream, checkpoint, path=sink_path, available_now=True)
     query.awaitTermination()
     return query
+
+
+def stream_into_versioned(
+    table,
+    stream: DataFrame,
+    checkpoint: str,
+    trigger: str | None = DEFAULT_TRIGGER,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Append each micro-batch to a ``VersionedTable`` as one commit.
+
+    The stream (its checkpoint location) and the micro-batch's epoch id are
+    stored on the commit row, and an epoch that is already committed is
+    skipped. A batch re-run after a failure between
+    the commit and the checkpoint update therefore adds no rows (exactly once
+    across restarts), and every batch shows up in ``history``/``snapshots``.
+    """
+
+    def commit_batch(batch: DataFrame, epoch_id: int) -> None:
+        if not table.has_epoch(checkpoint, epoch_id):
+            table.insert(batch, epoch=(checkpoint, epoch_id))
+
+    writer = stream.writeStream.foreachBatch(commit_batch).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif trigger:
+        writer = writer.trigger(processingTime=trigger)
+    return writer.start()
