@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,12 +52,16 @@ def _width(field: T.StructField) -> "F.Column":
     return F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0)).cast("long")
 
 
-def _size(df: DataFrame) -> tuple[int, int]:
+def _size_columns(df: DataFrame) -> list:
     widths = [_width(f) for f in df.schema.fields] or [F.lit(0)]
     row_bytes = widths[0]
     for w in widths[1:]:
         row_bytes = row_bytes + w
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes + F.lit(16)).alias("b")).first()
+    return [F.count(F.lit(1)).alias("n"), F.sum(row_bytes + F.lit(16)).alias("b")]
+
+
+def _size(df: DataFrame) -> tuple[int, int]:
+    stats = df.agg(*_size_columns(df)).first()
     return int(stats["n"]), int(stats["b"] or 0)
 
 
@@ -73,8 +77,14 @@ def measure(df: DataFrame, max_bytes: int | None = None, materialize: str = "fir
     limit = broadcast_limit(df) if max_bytes is None else max_bytes
     if materialize == "first":
         shared_dir(df.sparkSession)  # make sure a checkpoint folder exists
-        df = df.checkpoint(eager=True)
-    rows, size = _size(df)
+        # the size is observed while the checkpoint is written: no extra job
+        # (a retried task can only over-count, which keeps the check safe)
+        obs = Observation()
+        df = df.observe(obs, *_size_columns(df)).checkpoint(eager=True)
+        stats = obs.get
+        rows, size = int(stats["n"]), int(stats["b"] or 0)
+    else:
+        rows, size = _size(df)
     small = limit >= 0 and size <= limit
     if materialize == "if_small" and small:
         shared_dir(df.sparkSession)
