@@ -43,6 +43,7 @@ class VersionedTable:
         self.path = path.rstrip("/")
         self.schema = schema
         self.columns = [f.name for f in schema.fields]
+        self._create_if_absent()
 
     # ---------------------------------------------------------------- paths
     @property
@@ -54,11 +55,13 @@ class VersionedTable:
         return f"{self.path}/commits"
 
     # ------------------------------------------------------------- metadata
+    def _create_if_absent(self) -> None:
+        """CREATE TABLE IF NOT EXISTS: an empty commits table, so readers never
+        scan a missing path (``ignore`` keeps an existing table untouched)."""
+        self.spark.createDataFrame([], COMMITS_SCHEMA).coalesce(1).write.mode("ignore").parquet(self.commits_path)
+
     def commits(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(COMMITS_SCHEMA).parquet(self.commits_path)
-        except Exception:  # noqa: BLE001 - no commit written yet
-            return self.spark.createDataFrame([], COMMITS_SCHEMA)
+        return self.spark.read.schema(COMMITS_SCHEMA).parquet(self.commits_path)
 
     def _visible(self, upto: int | None = None) -> list[tuple[int, str]]:
         """(commit id, operation) of visible commits: table metadata, one row
