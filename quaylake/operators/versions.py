@@ -2,13 +2,17 @@
 
 Layout under ``path``:
 
-* ``log/_commit_id=N/_op=X/``  payload columns + ``_row_id``; X is I, U or D
-* ``commits/``           one row per commit: commit_id, committed_at, operation
+* ``log/_commit_id=N/_write_id=W/_op=X/``  payload columns + ``_row_id``;
+  X is I, U or D; W is unique per write attempt
+* ``commits/``  one row per commit: commit_id, committed_at, operation,
+  write_id (and the stream epoch for streaming writers)
 
 A write appends only what changed: inserts as ``I`` rows with fresh row ids,
 updates as ``U`` rows (full new image), deletes as ``D`` rows. The commit row
-is written last, and readers only use commit ids present in ``commits``, so a
-failed write leaves nothing visible. One writer at a time.
+is written last and names the write id of its log folder; readers only scan
+write ids named by a commit row. Files of a failed attempt therefore stay
+invisible, whatever operations they held, and a retry of commit N writes to a
+fresh folder. One writer at a time.
 
 Reading ``as_of(n)`` prunes log partitions to the visible commits <= n, takes
 every ``I`` row whose row id was never changed (anti join against the changed
@@ -21,6 +25,7 @@ bulk of a mostly-append table is never shuffled.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -29,7 +34,7 @@ from pyspark.sql import types as T
 
 from quaylake.operators import dml
 from quaylake.plans.broadcast import join_small
-from quaylake.schemas import COMMITS_SCHEMA, LOG_COMMIT_ID, LOG_OP, LOG_ROW_ID
+from quaylake.schemas import COMMITS_SCHEMA, LOG_COMMIT_ID, LOG_OP, LOG_ROW_ID, LOG_WRITE_ID
 
 # Operation names of commits.
 OP_APPEND = "append"
@@ -63,16 +68,17 @@ class VersionedTable:
     def commits(self) -> DataFrame:
         return self.spark.read.schema(COMMITS_SCHEMA).parquet(self.commits_path)
 
-    def _visible(self, upto: int | None = None) -> list[tuple[int, str]]:
-        """(commit id, operation) of visible commits: table metadata, one row
-        per commit."""
+    def _visible(self, upto: int | None = None) -> list[tuple[int, str, str]]:
+        """(commit id, operation, write id) of visible commits: table
+        metadata, one row per commit."""
         c = self.commits()
         if upto is not None:
             c = c.where(F.col("commit_id") <= upto)
-        return sorted((r["commit_id"], r["operation"]) for r in c.select("commit_id", "operation").collect())
+        rows = c.select("commit_id", "operation", "write_id").collect()
+        return sorted((r["commit_id"], r["operation"], r["write_id"]) for r in rows)
 
     def _commit_ids(self, upto: int | None = None) -> list[int]:
-        return [cid for cid, _ in self._visible(upto)]
+        return [cid for cid, _, _ in self._visible(upto)]
 
     def latest_commit(self) -> int | None:
         ids = self._commit_ids()
@@ -85,15 +91,22 @@ class VersionedTable:
                 T.StructField(LOG_ROW_ID, T.StringType(), False),
                 T.StructField(LOG_OP, T.StringType(), False),
                 T.StructField(LOG_COMMIT_ID, T.LongType(), False),
+                T.StructField(LOG_WRITE_ID, T.StringType(), False),
             ]
         )
 
-    def log(self, upto: int | None = None, ids: list[int] | None = None) -> DataFrame:
-        """Log rows of visible commits (partition-pruned to those ids)."""
-        ids = self._commit_ids(upto) if ids is None else ids
-        if not ids:
+    def log(self, upto: int | None = None, visible: list[tuple[int, str, str]] | None = None) -> DataFrame:
+        """Log rows of visible commits, partition-pruned to their write ids."""
+        visible = self._visible(upto) if visible is None else visible
+        writes = [w for _, _, w in visible if w]
+        if not writes:
             return self.spark.createDataFrame([], self._log_schema())
-        return self.spark.read.schema(self._log_schema()).parquet(self.log_path).where(F.col(LOG_COMMIT_ID).isin(ids))
+        return (
+            self.spark.read.schema(self._log_schema())
+            .parquet(self.log_path)
+            .where(F.col(LOG_WRITE_ID).isin(writes))
+            .drop(LOG_WRITE_ID)
+        )
 
     # ---------------------------------------------------------------- write
     def _next_id(self) -> int:
@@ -109,18 +122,19 @@ class VersionedTable:
         epoch: tuple[str, int] | None = None,
     ) -> int:
         cid = self._next_id() if cid is None else cid
-        # dynamic overwrite of the partitions of commit N only: leftovers of a
-        # failed earlier attempt at commit N are replaced, other commits stay
+        # a fresh folder per attempt: nothing of an earlier failed attempt at
+        # commit N is overwritten or read, since no commit row names it
+        write_id = uuid.uuid4().hex
         (
             rows.withColumn(LOG_COMMIT_ID, F.lit(cid).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(LOG_COMMIT_ID, LOG_OP)
+            .withColumn(LOG_WRITE_ID, F.lit(write_id))
+            .write.mode("append")
+            .partitionBy(LOG_COMMIT_ID, LOG_WRITE_ID, LOG_OP)
             .parquet(self.log_path)
         )
         when = committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         stream, epoch_id = epoch if epoch else (None, None)
-        meta = self.spark.createDataFrame([(cid, when, operation, stream, epoch_id)], COMMITS_SCHEMA)
+        meta = self.spark.createDataFrame([(cid, when, operation, stream, epoch_id, write_id)], COMMITS_SCHEMA)
         meta.coalesce(1).write.mode("append").parquet(self.commits_path)
         return cid
 
@@ -187,10 +201,10 @@ class VersionedTable:
     # ----------------------------------------------------------------- read
     def _state(self, commit_id: int | None, keep_ids: bool = False) -> DataFrame:
         visible = self._visible(commit_id)
-        log = self.log(ids=[cid for cid, _ in visible])
+        log = self.log(visible=visible)
         inserted = log.where(F.col(LOG_OP) == "I")
         payload = self.columns + [LOG_ROW_ID, LOG_OP]
-        if all(op == OP_APPEND for _, op in visible):
+        if all(op == OP_APPEND for _, op, _ in visible):
             # append-only so far: the state is the inserted rows, a pruned scan
             return inserted.select(*(payload if keep_ids else self.columns))
         changed = log.where(F.col(LOG_OP) != "I")

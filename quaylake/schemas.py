@@ -77,7 +77,8 @@ RESULTS_DOCUMENT_SCHEMA = T.StructType(
 LOG_ROW_ID = "_row_id"
 LOG_COMMIT_ID = "_commit_id"
 LOG_OP = "_op"
-LOG_COLUMNS = [LOG_ROW_ID, LOG_COMMIT_ID, LOG_OP]
+LOG_WRITE_ID = "_write_id"
+LOG_COLUMNS = [LOG_ROW_ID, LOG_COMMIT_ID, LOG_WRITE_ID, LOG_OP]
 
 COMMITS_SCHEMA = T.StructType(
     [
@@ -86,5 +87,6 @@ COMMITS_SCHEMA = T.StructType(
         T.StructField("operation", T.StringType(), True),
         T.StructField("stream", T.StringType(), True),  # streaming writer (its checkpoint), if any
         T.StructField("epoch_id", T.LongType(), True),  # its micro-batch
+        T.StructField("write_id", T.StringType(), True),  # log folder of this commit
     ]
 )

@@ -149,3 +149,24 @@ def test_append_only_state_is_a_plain_scan(spark, seed, incoming, tmp_dir):
     plan = cur._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
     assert table.as_of(1).count() == 3
+
+
+def test_failed_commit_attempt_stays_invisible(spark, seed, incoming, tmp_dir):
+    path = f"{tmp_dir}/crashed"
+    table = VersionedTable(spark, path, SHIPMENT_SCHEMA)
+    table.insert(seed)
+    # an attempt at commit 2 wrote update and delete rows, then died before
+    # its commit row: the retry of commit 2 only inserts
+    ids = table._current_with_ids().select("_row_id").collect()
+    stale = seed.withColumn("status", F.lit("Lost")).withColumn("_row_id", F.lit(ids[0]["_row_id"]))
+    for op in ("U", "D"):
+        stale.withColumn("_op", F.lit(op)).write.parquet(f"{path}/log/_commit_id=2/_write_id=failed/_op={op}")
+    assert table.insert(incoming) == 2
+
+    reopened = VersionedTable(spark, path, SHIPMENT_SCHEMA)  # CREATE IF NOT EXISTS keeps the commits
+    assert reopened._commit_ids() == [1, 2]
+    current = reopened.current().collect()
+    assert len(current) == 5  # a plain insert: SH-1002 is there twice
+    assert "Lost" not in {r["status"] for r in current}
+    snaps = reopened.snapshots(flat=True).orderBy("snapshot_id").collect()
+    assert [(r["added_records"], r["updated_records"], r["deleted_records"]) for r in snaps] == [(3, 0, 0), (2, 0, 0)]
