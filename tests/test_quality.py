@@ -162,3 +162,16 @@ def test_not_null_only_suite_passes_clean_batch(spark):
     assert all(r["success"] for r in V.rule_stats(ann, rules).collect())
     assert V.quarantine_rows(ann).count() == 0
     assert ann.where(F.size(V.FAILURES) > 0).count() == 0
+
+
+def test_report_summary_scans_each_input_once(spark, tmp_dir):
+    path = f"{tmp_dir}/batch"
+    fixtures.retail_orders(spark, SF001).write.parquet(path)
+    rules = retail_suite()
+    ann = V.annotate(spark.read.parquet(path), rules)
+    summary = report.report_summary(V.rule_stats(ann, rules), V.batch_stats(ann))
+    row = summary.first()
+    assert (row["total_rows"], row["clean_rows"], row["total_checks"], row["passed_checks"]) == (15000, 12216, 8, 0)
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery" not in plan
+    assert plan.count("FileScan") == 2  # the rule statistics and the batch statistics
