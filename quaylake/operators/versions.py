@@ -77,11 +77,12 @@ class VersionedTable:
         rows = c.select("commit_id", "operation", "write_id").collect()
         return sorted((r["commit_id"], r["operation"], r["write_id"]) for r in rows)
 
-    def _commit_ids(self, upto: int | None = None) -> list[int]:
+    def commit_ids(self, upto: int | None = None) -> list[int]:
+        """Ids of the visible commits (up to ``upto``), ascending."""
         return [cid for cid, _, _ in self._visible(upto)]
 
     def latest_commit(self) -> int | None:
-        ids = self._commit_ids()
+        ids = self.commit_ids()
         return ids[-1] if ids else None
 
     def _log_schema(self) -> T.StructType:

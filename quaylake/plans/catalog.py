@@ -295,7 +295,7 @@ def as_of_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = lab.versioned_shipments(spark, sf_dir)
     first = table.first_commit_id().first()  # one metadata value
-    if first is None or len(table._commit_ids()) < 2:
+    if first is None or len(table.commit_ids()) < 2:
         raise RuntimeError("time travel needs at least two commits")
     return table.as_of(first["commit_id"])
 

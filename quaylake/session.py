@@ -47,8 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is the reliable, shared location; it is read from the
-    session. Only where it is unset (tests on a laptop) a private temporary
-    folder is created and registered as the checkpoint directory.
+    session, and a cluster session without it is an error (a machine-local
+    folder is not visible to the executors). Only a ``local`` master with the
+    setting unset (tests, local runs) gets a private temporary folder,
+    registered as the checkpoint directory.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -62,6 +64,8 @@ def shared_dir(spark: SparkSession) -> str:
         if current:
             # setCheckpointDir appends a per-application folder; use its parent
             return current.rsplit("/", 1)[0]
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="quaylake-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)

@@ -164,7 +164,7 @@ def test_failed_commit_attempt_stays_invisible(spark, seed, incoming, tmp_dir):
     assert table.insert(incoming) == 2
 
     reopened = VersionedTable(spark, path, SHIPMENT_SCHEMA)  # CREATE IF NOT EXISTS keeps the commits
-    assert reopened._commit_ids() == [1, 2]
+    assert reopened.commit_ids() == [1, 2]
     current = reopened.current().collect()
     assert len(current) == 5  # a plain insert: SH-1002 is there twice
     assert "Lost" not in {r["status"] for r in current}
