@@ -120,13 +120,12 @@ SELECT concat('SH-N', CAST(c_custkey AS STRING)) AS shipment_id, n1.n_name AS or
        '2001-08-02 10:05:00' AS timestamp
 FROM customer JOIN nation n1 ON c_nationkey = n1.n_nationkey
 JOIN nation n2 ON n2.n_nationkey = c_custkey % 25
-WHERE c_custkey < 100
 """
 
 MERGE_SOURCE = f"""
 SELECT shipment_id, origin, destination, vehicle_id, weight, priority, revenue,
        {NEXT_STATUS} AS status, concat(substr(timestamp, 1, 10), ' 10:00:00') AS timestamp
-FROM shipments WHERE TRY_CAST(substr(shipment_id, 4) AS BIGINT) % 10 = 0
+FROM shipments WHERE status <> 'Delivered'
 UNION ALL
 SELECT * FROM new_shipments
 """
