@@ -104,3 +104,18 @@ def test_merge_with_null_hot_keys_on_the_shuffle_path(spark):
     b = dml.merge_into(target, source, "order_id", {"status": "status"})
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert a.count() == target.count() + 1  # the one NULL-key source row inserts
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    from quaylake.session import shared_dir
+
+    def session(master, configured=None):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: configured), sparkContext=sc)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session("yarn"))
+    assert shared_dir(session("yarn", "hdfs://nn/shared/ckpt/")) == "hdfs://nn/shared/ckpt"
+    assert shared_dir(session("local[2]")).startswith("/")  # tests only: a private folder
