@@ -167,7 +167,7 @@ class VersionedTable:
         return c.where((F.col("stream") == stream) & (F.col("epoch_id") == epoch_id)).limit(1).count() > 0
 
     def _current_with_ids(self) -> DataFrame:
-        return self._state(self.latest_commit(), keep_ids=True)
+        return self._state(None, keep_ids=True)
 
     def update(self, predicate, assignments: Mapping[str, object], committed_at: dt.datetime | None = None) -> int:
         cur = self._current_with_ids()
@@ -225,7 +225,8 @@ class VersionedTable:
         return self._state(commit_id)
 
     def current(self) -> DataFrame:
-        return self._state(self.latest_commit())
+        """State after the latest visible commit."""
+        return self._state(None)
 
     def first_commit_id(self) -> DataFrame:
         """One-row frame with the earliest commit by commit time."""
