@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quaylake.operators import dml
+from quaylake.operators.versions import VersionedTable
 from quaylake.operators.quality import validate as V
 from quaylake.operators.quality.rules import between, not_null, unique
 
@@ -77,3 +81,46 @@ def test_rules_match_model(spark, data):
     b = V.batch_stats(ann).first()
     assert (b["total"], b["quarantine"]) == (len(data), bad)
     assert _bag(V.clean_rows(ann)) + _bag(V.quarantine_rows(ann).drop(V.REASONS)) == Counter(data)
+
+
+KEY_NAMES = ["a", "b", "c", "d"]
+table_ops = st.lists(
+    st.one_of(
+        st.tuples(st.just("insert"), rows),
+        st.tuples(st.just("update"), st.tuples(st.sampled_from(KEY_NAMES), st.integers(-3, 3))),
+        st.tuples(st.just("delete"), st.sampled_from(KEY_NAMES)),
+        st.tuples(st.just("merge"), st.dictionaries(st.sampled_from(KEY_NAMES + ["e"]), st.integers(-3, 3), max_size=3)),
+    ),
+    min_size=1,
+    max_size=4,
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ops=table_ops)
+def test_versioned_table_matches_model(spark, ops):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.IntegerType())])
+    table = VersionedTable(spark, f"{tempfile.mkdtemp(prefix='quaylake-prop-')}/t", schema)
+    state: list[tuple] = []
+    after: list[Counter] = []
+    for op, arg in ops:
+        if op == "insert":
+            table.insert(spark.createDataFrame(arg, schema))
+            state = state + list(arg)
+        elif op == "update":
+            key, val = arg
+            table.update(F.col("k") == key, {"v": val})
+            state = [(k, val) if k == key else (k, v) for k, v in state]
+        elif op == "delete":
+            table.delete(F.col("k") == arg)
+            state = [(k, v) for k, v in state if k != arg]
+        else:  # merge: source keys are unique and never NULL
+            table.merge(spark.createDataFrame(list(arg.items()), schema), "k", {"v": "v"})
+            present = {k for k, _ in state if k is not None}
+            state = [(k, arg[k]) if k in arg else (k, v) for k, v in state]
+            state += [(k, v) for k, v in arg.items() if k not in present]
+        after.append(Counter(state))
+    assert table.commit_ids() == list(range(1, len(ops) + 1))
+    for commit, expected in enumerate(after, start=1):
+        assert _bag(table.as_of(commit)) == expected
+    assert _bag(table.current()) == after[-1]
