@@ -166,6 +166,25 @@ class VersionedTable:
         c = self.commits()
         return c.where((F.col("stream") == stream) & (F.col("epoch_id") == epoch_id)).limit(1).count() > 0
 
+    def insert_epoch(
+        self, df: DataFrame, stream: str, epoch_id: int, committed_at: dt.datetime | None = None
+    ) -> int | None:
+        """Commit a micro-batch unless ``(stream, epoch_id)`` is already
+        committed; returns the new commit id, or None for a replayed batch.
+        One metadata read answers both the replay check and the next id."""
+        done, last = (
+            self.commits()
+            .agg(
+                F.count_if((F.col("stream") == stream) & (F.col("epoch_id") == epoch_id)).alias("done"),
+                F.max("commit_id").alias("last"),
+            )
+            .first()
+        )
+        if done:
+            return None
+        cid = (last or 0) + 1
+        return self._write(self._with_new_ids(df, cid), OP_APPEND, committed_at, cid, (stream, epoch_id))
+
     def _current_with_ids(self) -> DataFrame:
         return self._state(None, keep_ids=True)
 

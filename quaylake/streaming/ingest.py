@@ -128,8 +128,7 @@ def stream_into_versioned(
     """
 
     def commit_batch(batch: DataFrame, epoch_id: int) -> None:
-        if not table.has_epoch(checkpoint, epoch_id):
-            table.insert(batch, epoch=(checkpoint, epoch_id))
+        table.insert_epoch(batch, checkpoint, epoch_id)
 
     writer = stream.writeStream.foreachBatch(commit_batch).option("checkpointLocation", checkpoint)
     if available_now:

@@ -213,6 +213,8 @@ def test_stream_into_versioned_table_commits_each_batch_once(spark, tmp_dir):
     commits = table.commits().orderBy("commit_id").collect()
     assert [c["epoch_id"] for c in commits] == [0, 1]
     assert table.has_epoch(ckpt, 1) and not table.has_epoch(ckpt, 2)
+    assert table.insert_epoch(ships, ckpt, 1) is None  # a replayed epoch commits nothing
+    assert table.commit_ids() == [1, 2]
     # a re-run of a committed epoch adds nothing
     assert table.as_of(1).count() == ships.count()
     # a second stream (own checkpoint) into the same table is not confused with the first
