@@ -82,8 +82,8 @@ class VersionedTable:
         return [cid for cid, _, _ in self._visible(upto)]
 
     def latest_commit(self) -> int | None:
-        ids = self.commit_ids()
-        return ids[-1] if ids else None
+        """Id of the latest visible commit (one aggregated value)."""
+        return self.commits().agg(F.max("commit_id")).first()[0]
 
     def _log_schema(self) -> T.StructType:
         return T.StructType(
