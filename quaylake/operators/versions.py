@@ -265,7 +265,9 @@ class VersionedTable:
 
     def snapshots(self, flat: bool = False) -> DataFrame:
         """committed_at, snapshot_id, operation and a summary of record counts
-        (added, updated, deleted, running total)."""
+        (added, updated, deleted, running total). The log is reduced to one
+        row per commit by a partial aggregation first, so the running-total
+        window only sees the commit metadata."""
         counts = self.log().groupBy(LOG_COMMIT_ID).agg(
             F.count_if(F.col(LOG_OP) == "I").alias("added_records"),
             F.count_if(F.col(LOG_OP) == "U").alias("updated_records"),
