@@ -170,3 +170,11 @@ def test_failed_commit_attempt_stays_invisible(spark, seed, incoming, tmp_dir):
     assert "Lost" not in {r["status"] for r in current}
     snaps = reopened.snapshots(flat=True).orderBy("snapshot_id").collect()
     assert [(r["added_records"], r["updated_records"], r["deleted_records"]) for r in snaps] == [(3, 0, 0), (2, 0, 0)]
+
+
+def test_empty_versioned_table(spark, tmp_dir):
+    table = VersionedTable(spark, f"{tmp_dir}/empty", SHIPMENT_SCHEMA)
+    assert table.latest_commit() is None and table.commit_ids() == []
+    assert table.current().count() == 0
+    assert table.current().schema == SHIPMENT_SCHEMA
+    assert table.history().count() == 0

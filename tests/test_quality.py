@@ -175,3 +175,15 @@ def test_report_summary_scans_each_input_once(spark, tmp_dir):
     plan = summary._jdf.queryExecution().executedPlan().toString()
     assert "Subquery" not in plan
     assert plan.count("FileScan") == 2  # the rule statistics and the batch statistics
+
+
+def test_row_level_rule_query_is_one_narrow_scan(spark):
+    from quaylake.plans.catalog import all_queries
+
+    q = all_queries()
+    price = q["dq_price_min"](spark, SF001)
+    assert price.count() == 525
+    plan = price._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("FileScan") == 1
+    unique_plan = q["dq_order_id_unique"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in unique_plan  # only the uniqueness rule needs the duplicate-key set
