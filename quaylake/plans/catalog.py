@@ -293,11 +293,16 @@ def as_of_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as of its earliest commit by commit time (ties by id); at
+    least two commits are required. One aggregated metadata row answers both."""
     table = lab.versioned_shipments(spark, sf_dir)
-    first = table.first_commit_id().first()  # one metadata value
-    if first is None or len(table.commit_ids()) < 2:
+    meta = table.commits().agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min_by("commit_id", F.struct("committed_at", "commit_id")).alias("first"),
+    ).first()
+    if meta["n"] < 2:
         raise RuntimeError("time travel needs at least two commits")
-    return table.as_of(first["commit_id"])
+    return table.as_of(meta["first"])
 
 
 def commit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
