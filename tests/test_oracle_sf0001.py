@@ -64,6 +64,9 @@ def test_query_matches_oracle(spark, duck, key):
     assert sorted(df.columns) == sorted(dcols)
     assert len(rows) == len(drows)
     assert _canon(df.columns, rows) == _canon(dcols, drows)
+    # no query pairs rows without an equi key
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_entry_contract(spark):
