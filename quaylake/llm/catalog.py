@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaylake.llm import sharding
+from quaylake.llm import lz_fingerprint, sentencepiece_bpe, sharding
 from quaylake.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,24 @@ SHARDS = 24
 SHARD_SEED = 20240229
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lz_fingerprint.fingerprint_edits(docs)
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = sentencepiece_bpe.encode_texts(
+        docs,
+        public_tokenizers.path("piece_bpe_32k.model"),
+        outputs=("n_tokens", "ids_sha256", "decoded_sha256"),
+        keep=("doc_id",),
+    )
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     docs = read_table(spark, sf_dir, "documents").select(
@@ -41,6 +59,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op5_document_fingerprints": op5_document_fingerprints,
+    "op8_sentencepiece": op8_sentencepiece,
     "op10_sharding": op10_sharding,
 }
 
