@@ -26,6 +26,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quaylake.llm.common import ship, shuffle_width
+
 SIGNATURE = 64
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -186,8 +188,9 @@ def fingerprint_edits(
 
     import pyarrow as pa
 
+    ship(docs.sparkSession)
     if buckets is None:
-        buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = 4 * shuffle_width(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
@@ -207,8 +210,7 @@ def fingerprint_edits(
         .withColumn("_place", F.explode(places))
         .select("_place.bucket", "_place.kind", "doc_id", "_tie", "text")
     )
-    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(width, "bucket").sortWithinPartitions(
+    dealt = dealt.repartition(shuffle_width(docs.sparkSession), "bucket").sortWithinPartitions(
         "bucket", "kind", F.col("doc_id").asc_nulls_first(), "_tie"
     )
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]

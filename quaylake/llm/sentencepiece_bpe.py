@@ -30,6 +30,8 @@ from hashlib import sha256
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from quaylake.llm.common import ship
+
 MARK = "▁"
 #: segments kept between batches of a worker, and the longest one kept
 CACHE_SEGMENTS = 500_000
@@ -243,6 +245,7 @@ def encode_texts(
     import numpy as np
     import pyarrow as pa
 
+    ship(df.sparkSession)
     kinds = {
         "ids": T.ArrayType(T.IntegerType()),
         "n_tokens": T.LongType(),
