@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaylake.llm import lz_fingerprint, sentencepiece_bpe, sharding
+from quaylake.llm import lz_fingerprint, sentencepiece_bpe, sharding, toxicity
 from quaylake.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,20 @@ SHARDS = 24
 SHARD_SEED = 20240229
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(fold != 0)
+    scored = toxicity.score(docs, toxicity.train(docs, labels), keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold == 0, F.lit(False)).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+        "toxic_windows",
+    )
+
+
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return lz_fingerprint.fingerprint_edits(docs)
@@ -59,6 +73,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_toxicity": op4_toxicity,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_sharding": op10_sharding,
