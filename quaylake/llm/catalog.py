@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaylake.llm import lz_fingerprint, sentencepiece_bpe, sharding, toxicity
+from quaylake.llm import lz_fingerprint, pii, sentencepiece_bpe, sharding, toxicity
 from quaylake.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,22 @@ SHARDS = 24
 SHARD_SEED = 20240229
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    tagged = pii.tag_documents(docs, pii.train(docs))
+
+    def joined(spans: str):
+        one = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.concat_ws(",", one)
+
+    return tagged.select(
+        "doc_id",
+        *[f"n_{k}" for k in pii.KINDS],
+        F.sha2(joined("base_spans"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
@@ -73,6 +89,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op8_sentencepiece": op8_sentencepiece,
