@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaylake.llm import lz_fingerprint, pii, sentencepiece_bpe, sharding, toxicity
+from quaylake.llm import chat, lz_fingerprint, pii, sentencepiece_bpe, sharding, toxicity
 from quaylake.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,11 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.format_calls(chat.conversation_calls(turns), chat.conversation_results(turns), chat.REPLY_TOOLS)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     docs = read_table(spark, sf_dir, "documents").select(
@@ -93,10 +98,51 @@ QUERIES: dict[str, Query] = {
     "op4_toxicity": op4_toxicity,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_chat_formatting": op9_chat_formatting,
     "op10_sharding": op10_sharding,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_chat_formatting": """
+WITH RECURSIVE one_call AS (
+  SELECT conv_id, turn, text, n_calls FROM (
+    SELECT conv_id, turn, text, count(*) OVER (PARTITION BY conv_id, turn) AS n_calls,
+           row_number() OVER (PARTITION BY conv_id, turn ORDER BY text) AS k
+    FROM conversations WHERE role = 'user' AND conv_id IS NOT NULL AND turn IS NOT NULL) WHERE k = 1),
+one_result AS (
+  SELECT conv_id, turn - 1 AS turn, text, n_results FROM (
+    SELECT conv_id, turn, text, count(*) OVER (PARTITION BY conv_id, turn) AS n_results,
+           row_number() OVER (PARTITION BY conv_id, turn ORDER BY text NULLS FIRST) AS k
+    FROM conversations WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL) WHERE k = 1),
+chain AS (
+  SELECT conv_id, turn, CAST(0 AS BIGINT) AS level FROM one_call c
+  WHERE NOT EXISTS (SELECT 1 FROM one_call p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
+  UNION ALL
+  SELECT c.conv_id, c.turn, p.level + 1 FROM chain p JOIN one_call c ON c.conv_id = p.conv_id AND c.turn = p.turn + 2),
+linked AS (
+  SELECT coalesce(c.conv_id, r.conv_id) AS id_conv, coalesce(c.turn, r.turn) AS id_turn, c.conv_id, c.turn, c.text,
+         r.text AS content, h.level, c.n_calls, r.n_results,
+         CASE WHEN c.conv_id IS NULL THEN 'orphan' WHEN r.conv_id IS NULL THEN 'pending' ELSE 'linked' END AS status,
+         CASE WHEN c.conv_id IS NULL THEN ['call: missing'] ELSE list_filter([
+           CASE WHEN length(c.text) < 40 THEN 'chars: below 40' END,
+           CASE WHEN c.text IS NULL THEN 'chars: missing' END,
+           CASE WHEN c.text IS NULL THEN 'prompt: missing' END,
+           CASE WHEN length(c.text) > 400 THEN 'prompt: longer than 400' END,
+           CASE WHEN c.turn < 0 THEN 'turn: below 0' END], lambda x: x IS NOT NULL) END AS wrong
+  FROM one_call c FULL JOIN one_result r ON r.conv_id = c.conv_id AND r.turn = c.turn
+  LEFT JOIN chain h ON h.conv_id = c.conv_id AND h.turn = c.turn)
+SELECT conv_id, id_conv || ':' || id_turn AS call_id, CASE WHEN conv_id IS NOT NULL THEN 'reply' END AS name, level,
+       status, len(wrong) = 0 AS valid, array_to_string(wrong, '; ') AS errors, coalesce(n_calls, 0) AS n_calls,
+       coalesce(n_results, 0) AS n_results,
+       '{"arguments":' || CASE WHEN conv_id IS NULL THEN 'null' ELSE '{"chars":' || coalesce(length(text)::VARCHAR, 'null')
+         || ',"prompt":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"turn":' || turn || '}' END
+       || ',"errors":[' || array_to_string(list_transform(wrong, lambda x: '"' || x || '"'), ',')
+       || '],"id":"' || id_conv || ':' || id_turn || '","level":' || coalesce(level::VARCHAR, 'null')
+       || ',"name":' || CASE WHEN conv_id IS NULL THEN 'null' ELSE '"reply"' END
+       || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || ',"status":"' || status || '"}' AS json
+FROM linked
+""",
+}
 
 
 def llm_queries() -> dict[str, Query]:
