@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaylake.llm import chat, lz_fingerprint, pii, sentencepiece_bpe, sharding, toxicity
+from quaylake.llm import chat, lz_fingerprint, minhash, pii, sentencepiece_bpe, sharding, toxicity
 from quaylake.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,12 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_fingerprint.fingerprint_edits(docs)
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = minhash.near_duplicates(docs, words=2)
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -97,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
     "op5_document_fingerprints": op5_document_fingerprints,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_sharding": op10_sharding,
