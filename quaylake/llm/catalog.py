@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaylake.llm import chat, lz_fingerprint, minhash, pii, sentencepiece_bpe, sharding, toxicity
+from quaylake.llm import chat, lz_fingerprint, minhash, pii, sentencepiece_bpe, sharding, suffix_dedup, toxicity
 from quaylake.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,17 @@ SHARDS = 24
 SHARD_SEED = 20240229
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     tagged = pii.tag_documents(docs, pii.train(docs))
@@ -100,6 +111,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
     "op5_document_fingerprints": op5_document_fingerprints,
