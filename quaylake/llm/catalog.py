@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaylake.llm import chat, lz_fingerprint, minhash, pii, sentencepiece_bpe, sharding, suffix_dedup, toxicity
+from quaylake.llm import chat, line_dedup, lz_fingerprint, minhash, pii, sentencepiece_bpe, sharding, suffix_dedup, toxicity
 from quaylake.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,19 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_fingerprint.fingerprint_edits(docs)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    cleaned = line_dedup.remove_repeated_lines(docs)
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return cleaned.select(
+        "doc_id",
+        "n_lines",
+        n_removed.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_runs"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = minhash.near_duplicates(docs, words=2)
@@ -115,6 +128,7 @@ QUERIES: dict[str, Query] = {
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
     "op5_document_fingerprints": op5_document_fingerprints,
+    "op6_line_dedup": op6_line_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_chat_formatting": op9_chat_formatting,
@@ -122,6 +136,27 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op6_line_dedup": """
+WITH doc AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (SELECT doc_id, lines, unnest(range(len(lines))) AS i FROM doc),
+word AS (SELECT doc_id, i, lines[i + 1] AS line,
+           CASE WHEN lines[i + 1] = '' THEN 0 ELSE length(lines[i + 1]) - length(replace(lines[i + 1], ' ', '')) + 1 END AS words
+         FROM line),
+total AS (SELECT doc_id, i, line, words, sum(words) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM word),
+run AS (SELECT a.doc_id, a.i, min(b.i) AS j FROM total a
+        JOIN total b ON b.doc_id = a.doc_id AND b.i >= a.i AND b.upto >= a.upto - a.words + 30 GROUP BY 1, 2),
+told AS (SELECT r.doc_id, r.i, r.j, array_to_string(list_slice(d.lines, r.i + 1, r.j + 1), chr(10)) AS run_text
+         FROM run r JOIN doc d ON d.doc_id = r.doc_id),
+later AS (SELECT doc_id, i, j, row_number() OVER (PARTITION BY run_text ORDER BY doc_id, i) AS k FROM told),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS i FROM later WHERE k > 1),
+state AS (SELECT t.doc_id, t.i, t.line, g.i IS NOT NULL AS is_gone,
+            lag(g.i IS NOT NULL, 1, false) OVER (PARTITION BY t.doc_id ORDER BY t.i) AS was_gone
+          FROM total t LEFT JOIN gone g ON g.doc_id = t.doc_id AND g.i = t.i)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (is_gone) AS n_removed,
+       count(*) FILTER (is_gone AND NOT was_gone) AS n_runs,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT is_gone), '')) AS kept_sha256
+FROM state GROUP BY doc_id
+""",
     "op9_chat_formatting": """
 WITH RECURSIVE one_call AS (
   SELECT conv_id, turn, text, n_calls FROM (

@@ -32,12 +32,25 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+ROWS_PER_FILE = 500_000
+
+
+def fewer(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` in no more partitions than a few per core, or, where an upper bound of
+    its rows is known, than those rows fill: a small table written by every
+    shuffle partition would be as many tiny files."""
+    most = 4 * df.sparkSession.sparkContext.defaultParallelism
+    if rows is not None:
+        most = min(most, max(1, -(-rows // ROWS_PER_FILE)))
+    return df.coalesce(most)
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts the lineage and
-    outlives executors."""
+    outlives executors. ``rows``: an upper bound of its rows, if known."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    fewer(df, rows).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -45,4 +58,4 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-__all__ = ["scratch_path", "shared_dir", "ship", "shuffle_width", "stored"]
+__all__ = ["fewer", "scratch_path", "shared_dir", "ship", "shuffle_width", "stored"]
