@@ -71,15 +71,16 @@ def levels(calls: DataFrame) -> DataFrame:
         .join(ids, F.col("parent_id") == F.col("_known"), "left")
         .select("call_id", F.col("_known").alias("ahead"), F.when(F.col("_known").isNull(), 0).otherwise(1).cast("long").alias("steps"))
     )
-    state = stored(state, "chat-levels")
-    left, total = state.agg(F.count("ahead"), F.count(F.lit(1))).first()
+    total = calls.count()
+    state = stored(state, "chat-levels", total)
+    left = state.filter("ahead IS NOT NULL").count()
     for _ in range(max(total, 1).bit_length() + 1):
         if not left:
             break
         jump = state.select(F.col("call_id").alias("_at"), F.col("ahead").alias("_ahead"), F.col("steps").alias("_steps"))
         moved = state.filter("ahead IS NOT NULL").join(jump, F.col("ahead") == F.col("_at"))
         moved = moved.select("call_id", F.col("_ahead").alias("ahead"), (F.col("steps") + F.col("_steps")).alias("steps"))
-        state = stored(state.filter("ahead IS NULL").unionByName(moved), "chat-levels")
+        state = stored(state.filter("ahead IS NULL").unionByName(moved), "chat-levels", total)
         left = state.filter("ahead IS NOT NULL").count()
     return state.select("call_id", F.when(F.col("ahead").isNull(), F.col("steps")).alias("level"))
 
