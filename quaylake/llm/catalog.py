@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaylake.llm import chat, line_dedup, lz_fingerprint, minhash, pii, sentencepiece_bpe, sharding, suffix_dedup, toxicity
+from quaylake.llm import chat, decontaminate, line_dedup, lz_fingerprint, minhash, pii, sentencepiece_bpe, sharding, suffix_dedup, toxicity
 from quaylake.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,13 @@ SHARDS = 24
 SHARD_SEED = 20240229
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = read_table(spark, sf_dir, "benchmark").select("item_id", "text")
+    found = decontaminate.leaks(docs, items)
+    return found.select("doc_id", "item_id", "start_word", "n_words", F.round("similarity", 6).alias("similarity"))
+
+
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.remove_repeats(docs).select(
@@ -124,6 +131,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
@@ -136,6 +144,31 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_benchmark_decontamination": r"""
+WITH item AS (SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'),
+                lambda x: x <> '') AS w FROM benchmark),
+doc AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'),
+                lambda x: x <> '') AS w FROM documents),
+item_s AS (SELECT item_id, len(w) AS n, i, array_to_string(list_slice(w, i + 1, i + 5), ' ') AS s
+           FROM (SELECT item_id, w, unnest(range(len(w) - 4)) AS i FROM item WHERE len(w) >= 5)),
+doc_s AS (SELECT doc_id, size, i, array_to_string(list_slice(w, i + 1, i + 5), ' ') AS s
+          FROM (SELECT doc_id, w, len(w) AS size, unnest(range(len(w) - 4)) AS i FROM doc WHERE len(w) >= 5)),
+place AS (SELECT DISTINCT d.doc_id, t.n, greatest(0, least(d.i - t.i, d.size - t.n)) AS start
+          FROM doc_s d JOIN item_s t ON t.s = d.s),
+window_s AS (SELECT DISTINCT p.doc_id, p.n, p.start, d.s FROM place p
+             JOIN doc_s d ON d.doc_id = p.doc_id AND d.i >= p.start AND d.i <= p.start + p.n - 5),
+item_set AS (SELECT DISTINCT item_id, n, s FROM item_s),
+window_w AS (SELECT doc_id, n, start, sum(length(replace(s, ' ', ''))) AS weight FROM window_s GROUP BY ALL),
+item_w AS (SELECT item_id, n, sum(length(replace(s, ' ', ''))) AS weight FROM item_set GROUP BY ALL),
+shared AS (SELECT a.doc_id, a.n, a.start, b.item_id, sum(length(replace(a.s, ' ', ''))) AS weight
+           FROM window_s a JOIN item_set b ON b.n = a.n AND b.s = a.s GROUP BY ALL),
+scored AS (SELECT s.doc_id, s.item_id, s.start, s.n, s.weight / greatest(w.weight, i.weight) AS similarity
+           FROM shared s JOIN window_w w ON w.doc_id = s.doc_id AND w.n = s.n AND w.start = s.start
+           JOIN item_w i ON i.item_id = s.item_id AND i.n = s.n)
+SELECT doc_id, item_id, CAST(start AS INTEGER) AS start_word, CAST(n AS INTEGER) AS n_words, round(similarity, 6) AS similarity
+FROM scored WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+""",
     "op6_line_dedup": """
 WITH doc AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 line AS (SELECT doc_id, lines, unnest(range(len(lines))) AS i FROM doc),
