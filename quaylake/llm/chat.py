@@ -31,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import stored
+from quaylake.llm.common import only, stored
 
 
 @dataclass(frozen=True)
@@ -135,6 +135,8 @@ def format_calls(calls: DataFrame, results: DataFrame, tools: list[Tool]) -> Dat
     content, turn. Further columns are ignored. Returns conv_id, call_id, name,
     level, status, valid, errors, n_calls, n_results and json.
     """
+    calls = only(calls, "conv_id", "call_id", "name", "arguments", "turn", "parent_id")
+    results = only(results, "call_id", "content", "turn")
     one_call = _first_by_id(calls, "call_id", ["turn", "conv_id", "name", "arguments", "parent_id"], "n_calls")
     one_call = stored(one_call, "chat-calls")
     one_result = _first_by_id(results, "call_id", ["turn", "content"], "n_results")

@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import quaylake
 from quaylake.session import scratch_path, shared_dir
@@ -32,6 +33,34 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def position(df: DataFrame, name: str) -> int:
+    """Place of a column: the first of exactly that name, else the only one that
+    has it in other letters."""
+    if name in df.columns:
+        return df.columns.index(name)
+    near = [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
+    if len(near) != 1:
+        raise ValueError(f"no column {name!r} among {df.columns}")
+    return near[0]
+
+
+def only(df: DataFrame, *names: str, **renamed: str) -> DataFrame:
+    """The named columns alone (``new="old"`` renames). Columns are taken by place,
+    so that others whose names clash with them or with each other do no harm."""
+    wanted = {n: n for n in names} | renamed
+    places = {new: position(df, old) for new, old in wanted.items()}
+    plain = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+    return plain.select(*[F.col(f"_c{i}").alias(new) for new, i in places.items()])
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or it with underscores, so that no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 ROWS_PER_FILE = 500_000
 
 
@@ -58,4 +87,4 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-__all__ = ["fewer", "scratch_path", "shared_dir", "ship", "shuffle_width", "stored"]
+__all__ = ["fewer", "free_name", "only", "position", "scratch_path", "shared_dir", "ship", "shuffle_width", "stored"]

@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import fewer, stored
+from quaylake.llm.common import fewer, only, stored
 from quaylake.plans.broadcast import join_small
 
 SHINGLE = 5
@@ -72,7 +72,8 @@ def _weighted_shingles(words: Column, k: Column) -> Column:
 
 def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Distinct items: id, words, their number ``n`` and shingle size ``k``."""
-    items = benchmark.select(F.col(id_col).alias("item_id"), words_of(F.col(text_col)).alias("item_words")).distinct()
+    items = only(benchmark, item_id=id_col, text=text_col)
+    items = items.select("item_id", words_of(F.col("text")).alias("item_words")).distinct()
     n = F.size("item_words")
     return items.select("item_id", "item_words", n.alias("n"), F.least(n, F.lit(SHINGLE)).alias("k")).filter("n > 0")
 
@@ -130,11 +131,11 @@ def leaks(
     """One row per document and item that it holds: ``doc_id``, ``item_id``,
     ``start_word``, ``n_words``, ``distance`` (Hamming) and ``similarity``."""
     items = stored(_items(benchmark, item_col, item_text_col), "benchmark-items")
-    doc = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash")).alias("doc")
-    keyed = docs.select(doc, F.col(text_col).alias("text"))
+    rows = only(docs, id=id_col, text=text_col)
+    keyed = rows.select(F.struct("id", F.xxhash64("text").alias("hash")).alias("doc"), "text")
     if items.isEmpty():
         return docs.sparkSession.createDataFrame(
-            [], f"doc_id {docs.schema[id_col].dataType.simpleString()}, item_id {benchmark.schema[item_col].dataType.simpleString()}, "
+            [], f"doc_id {rows.schema['id'].dataType.simpleString()}, item_id {items.schema['item_id'].dataType.simpleString()}, "
             "start_word int, n_words int, distance int, similarity double"
         )
     windows = _windows(keyed.select("doc", words_of(F.col("text")).alias("words")), items)

@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import fewer, stored
+from quaylake.llm.common import fewer, only, position, stored
 from quaylake.plans.broadcast import join_small
 
 #: words in a run, at least
@@ -53,17 +53,18 @@ def _line_words(line: Column) -> Column:
     return F.when(line == "", 0).otherwise(blanks + 1).cast("long")
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.withColumn("_id", F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST_ID))).withColumn("_hash", F.xxhash64(text))
+def _key(doc_id: Column, text: Column) -> list[Column]:
+    return [
+        F.coalesce(doc_id.cast("long"), F.lit(FIRST_ID)).alias("doc_id"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"),
+    ]
 
 
-def _lines(keyed: DataFrame, text_col: str) -> DataFrame:
+def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per line: document, number, id and words."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = keyed.select(
-        F.col("_id").alias("doc_id"), F.col("_hash").alias("text_hash"), F.posexplode(F.split(text, "\n")).alias("i", "line")
-    )
+    rows = only(docs, id=id_col, text=text_col)
+    text = F.coalesce("text", F.lit(""))
+    rows = rows.select(*_key(F.col("id"), F.col("text")), F.posexplode(F.split(text, "\n")).alias("i", "line"))
     return rows.select(*_DOC, "i", F.xxhash64("line").alias("id"), _line_words(F.col("line")).alias("words"))
 
 
@@ -167,21 +168,22 @@ def remove_repeated_lines(
     """All columns of ``docs`` with ``text_col`` replaced by the lines that stay, and
     ``n_lines`` and ``removed`` (array of start and end line numbers); columns of
     these two names are replaced."""
-    docs = docs.drop("n_lines", "removed")
-    keyed = _keyed(docs, id_col, text_col)
-    spans = fewer(_islands(deleted_runs(_lines(keyed, text_col), min_words)))
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "removed")
-    both = join_small(keyed, spans, ["_id", "_hash"], "left", max_bytes=BROADCAST_BYTES)
-    text = F.col(f"`{text_col}`")
-    lines = F.split(text, "\n")
+    names = [c for c in docs.columns if c not in ("n_lines", "removed")]
+    places = [docs.columns.index(c) for c in names]
+    spans = fewer(_islands(deleted_runs(lines_of(docs, id_col, text_col), min_words)))
+    id_at, text_at = (F.col(f"_c{position(docs, c)}") for c in (id_col, text_col))
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    both = join_small(plain.select("*", *_key(id_at, text_at)), spans, list(_DOC), "left", max_bytes=BROADCAST_BYTES)
+    lines = F.split(F.coalesce(text_at, F.lit("")), "\n")
     zero, n = F.array(F.lit(0)), F.array(F.size(lines))
     begins = F.concat(zero, F.transform("removed", lambda s: s["end"]))
     ends = F.concat(F.transform("removed", lambda s: s["start"]), n)
     kept = F.flatten(F.zip_with(begins, ends, lambda a, b: F.slice(lines, a + 1, b - a)))
-    new_text = F.when(F.col("removed").isNull(), text).otherwise(F.concat_ws("\n", kept))
-    columns = [new_text.alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    new_text = F.when(F.col("removed").isNull(), text_at).otherwise(F.concat_ws("\n", kept))
+    at = position(docs, text_col)
+    columns = [(new_text if i == at else F.col(f"_c{i}")).alias(c) for i, c in zip(places, names, strict=True)]
     return both.select(
         *columns,
-        F.size(F.split(F.coalesce(text, F.lit("")), "\n")).cast("long").alias("n_lines"),
+        F.size(lines).cast("long").alias("n_lines"),
         F.coalesce("removed", F.expr("CAST(array() AS array<struct<start: int, end: int>>)")).alias("removed"),
     )

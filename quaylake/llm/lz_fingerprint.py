@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import ship, shuffle_width
+from quaylake.llm.common import only, ship, shuffle_width
 
 SIGNATURE = 64
 _BASE = 0x9E3779B97F4A7C15
@@ -191,9 +191,8 @@ def fingerprint_edits(
     ship(docs.sparkSession)
     if buckets is None:
         buckets = 4 * shuffle_width(docs.sparkSession)
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    )
+    rows = only(docs, doc_id=id_col, text=text_col)
+    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     starts, first = _bounds(rows, "doc_id", buckets)
     doc_id = F.col("doc_id")
     bucket = _bucket(doc_id, starts)

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import ship
+from quaylake.llm.common import only, ship
 
 # Fixed values of the contract: kinds in their order, and the patterns below.
 KINDS = ("email", "ip", "card", "phone")
@@ -397,9 +397,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> di
     import pyarrow as pa
 
     ship(docs.sparkSession)
-    ids = docs.select(F.col(id_col).alias("id")).filter("id IS NOT NULL").distinct()
+    rows = only(docs, id=id_col, text=text_col)
+    ids = rows.select("id").filter("id IS NOT NULL").distinct()
     chosen = ids.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)  # bounded by the parameter
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    rows = rows.join(F.broadcast(chosen), "id").select("id", "text")
 
     def cut(batches: Iterator) -> Iterator:
         for batch in batches:
@@ -428,7 +429,7 @@ def tag_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id", t
     import pyarrow as pa
 
     ship(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = only(docs, id=id_col, text=text_col)
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator) -> Iterator:

@@ -30,7 +30,7 @@ from hashlib import sha256
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quaylake.llm.common import ship
+from quaylake.llm.common import position, ship
 
 MARK = "▁"
 #: segments kept between batches of a worker, and the longest one kept
@@ -253,7 +253,10 @@ def encode_texts(
         "decoded": T.StringType(),
         "decoded_sha256": T.StringType(),
     }
-    kept = [f for f in df.schema.fields if f.name not in outputs and (keep is None or f.name in keep)]
+    fields = df.schema.fields
+    places = [i for i, f in enumerate(fields) if f.name not in outputs and (keep is None or f.name in keep)]
+    kept = [fields[i] for i in places]
+    text_at = position(df, text_col)
     schema = T.StructType(kept + [T.StructField(o, kinds[o]) for o in outputs])
     names = [f.name for f in kept]
     want_text = bool({"decoded", "decoded_sha256"} & set(outputs))
@@ -262,7 +265,7 @@ def encode_texts(
         v = vocabulary(model_path, check)
         begin, end = v.bos.to_bytes(4, "little"), v.eos.to_bytes(4, "little")
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+            texts = batch.column(text_at).to_pylist()
             cols: dict[str, list] = {o: [] for o in outputs}
             for ids in v.encode_batch(texts):
                 ids = begin + ids + end
@@ -281,7 +284,7 @@ def encode_texts(
                         else sha256(decoded.encode()).hexdigest()
                     )
             types = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64()}
-            arrays = [batch.column(batch.schema.get_field_index(n)) for n in names]
+            arrays = [batch.column(i) for i in places]
             arrays += [pa.array(cols[o], types.get(o, pa.string())) for o in outputs]
             yield pa.RecordBatch.from_arrays(arrays, [*names, *outputs])
 

@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quaylake.llm.common import only
+
 #: buckets of the numbering; also the bound of the broadcast offset table
 NUMBER_BUCKETS = 8192
 ROUNDS = 4
@@ -58,9 +60,11 @@ def permute(x: Column, n: Column, a: Column, b: Column, seed: int) -> Column:
 def number_rows(df: DataFrame, keys: list[str], seed: int = 0, buckets: int = NUMBER_BUCKETS) -> DataFrame:
     """One row per distinct key combination with ``_n`` copies, ``_first`` (row
     number of the first copy) and ``_total`` (rows of the table)."""
-    cols = [F.col(f"`{k}`") for k in keys]
+    inner = [f"key{i}" for i in range(len(keys))]
+    cols = [F.col(k) for k in inner]
     groups = (
-        df.groupBy(*cols)
+        only(df, **dict(zip(inner, keys, strict=True)))
+        .groupBy(*cols)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_bucket", F.pmod(F.xxhash64(*cols, F.lit(seed).cast("long")), F.lit(buckets)))
     )
@@ -78,7 +82,7 @@ def number_rows(df: DataFrame, keys: list[str], seed: int = 0, buckets: int = NU
     return (
         groups.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
         .join(F.broadcast(offsets), "_bucket")
-        .select(*cols, "_n", (F.col("_offset") + F.col("_inside")).alias("_first"), "_total")
+        .select(*[c.alias(k) for c, k in zip(cols, keys, strict=True)], "_n", (F.col("_offset") + F.col("_inside")).alias("_first"), "_total")
     )
 
 
@@ -105,17 +109,11 @@ def shard_rows(
 
 
 def write_shards(df: DataFrame, keys: list[str], n_shards: int, path: str, seed: int = 0) -> None:
-    """Write whole rows as one folder per shard, rows carrying their slot.
-
-    ``keys`` must identify a row (repeated rows of equal keys must be equal
-    rows: the first shards and slots found for them are used in any order).
-    """
-    placed = shard_rows(df, keys, n_shards, seed)
-    cond = None
-    left = df.alias("l")
-    right = placed.alias("r")
+    """Write whole rows as one folder per shard, rows carrying their ``slot``.
+    ``keys`` must identify a row up to repeats, which are written each."""
+    placed = shard_rows(df, keys, n_shards, seed).alias("r")
+    cond = F.lit(True)
     for k in keys:
-        eq = F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`"))
-        cond = eq if cond is None else cond & eq
-    whole = left.dropDuplicates(keys).alias("l").join(right, cond).select("l.*", "r.shard", "r.slot")
+        cond = cond & F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`"))
+    whole = df.dropDuplicates(keys).alias("l").join(placed, cond).select("l.*", "r.shard", "r.slot")
     whole.hint("rebalance", "shard").write.mode("overwrite").partitionBy("shard").parquet(path)

@@ -40,7 +40,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import ship, shuffle_width, stored
+from quaylake.llm.common import only, ship, shuffle_width, stored
 from quaylake.llm.rolling import hashes, mix, prefix_sums
 from quaylake.llm.suffix_array import _words, common_prefix, suffix_array
 from quaylake.plans.broadcast import join_small
@@ -348,9 +348,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     import pyarrow as pa
 
     ship(docs.sparkSession)
-    rows = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST_ID)).alias("doc_id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+    rows = only(docs, doc_id=id_col, text=text_col).select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("doc_id"),
+        F.coalesce("text", F.lit("")).alias("text"),
     )
     lists = removed_spans(rows)
     keyed = rows.withColumn("crc", F.crc32(F.col("text").cast("binary")))

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quaylake.llm.common import ship, stored
+from quaylake.llm.common import only, position, ship, stored
 
 #: labelled documents per class used for training, at most
 MAX_TOXIC = 4000
@@ -147,13 +147,13 @@ def _counter(toxic: bytes, ordinary: bytes, floor: int) -> WindowCounter:
 # ----------------------------------------------------------------------- training
 def _sample(docs: DataFrame, labels: DataFrame, max_toxic: int, max_ordinary: int) -> tuple[DataFrame, dict]:
     """Texts of the sampled labelled documents, and the documents per class."""
-    one = labels.filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+    one = only(labels, "doc_id", "toxic").filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     one = one.filter("doc_id IS NOT NULL")
     sizes = {r["toxic"]: r["count"] for r in one.groupBy("toxic").count().collect()}
     pick = lambda y, n: one.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     chosen = pick(1, max_toxic).unionByName(pick(0, max_ordinary))  # bounded by the two parameters
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
-    return docs.select("doc_id", text).join(F.broadcast(chosen), "doc_id").select("toxic", "text"), sizes
+    return only(docs, "doc_id", "text").select("doc_id", text).join(F.broadcast(chosen), "doc_id").select("toxic", "text"), sizes
 
 
 def _frequencies(batches: Iterator):
@@ -252,10 +252,14 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", keep: li
     import pyarrow as pa
 
     out = ("toxicity", "toxic_windows")
-    kept = [f for f in docs.schema.fields if f.name not in out and (keep is None or f.name in keep)]
+    fields = docs.schema.fields
+    places = [i for i, f in enumerate(fields) if f.name not in out and (keep is None or f.name in keep)]
+    kept = [fields[i] for i in places]
+    text_at = position(docs, text_col)
     if model is None:
-        return docs.select(
-            *[F.col(f"`{f.name}`") for f in kept], F.lit(0.0).alias(out[0]), F.lit(0).cast("long").alias(out[1])
+        plain = docs.toDF(*[f"_c{i}" for i in range(len(fields))])
+        return plain.select(
+            *[F.col(f"_c{i}").alias(fields[i].name) for i in places], F.lit(0.0).alias(out[0]), F.lit(0).cast("long").alias(out[1])
         )
     ship(docs.sparkSession)
     names = [f.name for f in kept]
@@ -264,8 +268,8 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", keep: li
     def run(batches: Iterator) -> Iterator:
         counter = _counter(model.toxic, model.ordinary, model.floor)
         for batch in batches:
-            hits, n = counter.count(batch.column(batch.schema.get_field_index(text_col)).to_pylist())
-            cols = [batch.column(batch.schema.get_field_index(c)) for c in names]
+            hits, n = counter.count(batch.column(text_at).to_pylist())
+            cols = [batch.column(i) for i in places]
             cols += [pa.array(model.score(hits, n)), pa.array(hits.astype(np.int64))]
             yield pa.RecordBatch.from_arrays(cols, [*names, *out])
 
