@@ -24,8 +24,8 @@ shuffle beyond it.
 Defined cases: a NULL text counts as empty; an item of fewer than five words is
 one shingle; an item without words matches nothing; repeated items of one id
 count once each text; rows of one id are one document in the result; a NULL
-document id is an id like any other. If several windows of a document match an
-item, the most similar one is told, the first among equals.
+document id is an id like any other. If several of the windows looked at match
+an item, the most similar one is told, the first among equals.
 """
 
 from __future__ import annotations

@@ -35,8 +35,8 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 20_000
 SAMPLE_WINDOWS = 3_000
 WINDOW, STRIDE = 64, 32
-HIDDEN = 16
-STEPS = 400
+HIDDEN = 24
+STEPS = 600
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")

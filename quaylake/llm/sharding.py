@@ -58,8 +58,9 @@ def permute(x: Column, n: Column, a: Column, b: Column, seed: int) -> Column:
 
 
 def number_rows(df: DataFrame, keys: list[str], seed: int = 0, buckets: int = NUMBER_BUCKETS) -> DataFrame:
-    """One row per distinct key combination with ``_n`` copies, ``_first`` (row
-    number of the first copy) and ``_total`` (rows of the table)."""
+    """One row per distinct key combination (columns ``key0``, ``key1`` ...) with ``_n``
+    copies, ``_first`` (row number of the first copy) and ``_total`` (rows of the
+    table)."""
     inner = [f"key{i}" for i in range(len(keys))]
     cols = [F.col(k) for k in inner]
     groups = (
@@ -82,7 +83,7 @@ def number_rows(df: DataFrame, keys: list[str], seed: int = 0, buckets: int = NU
     return (
         groups.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
         .join(F.broadcast(offsets), "_bucket")
-        .select(*[c.alias(k) for c, k in zip(cols, keys, strict=True)], "_n", (F.col("_offset") + F.col("_inside")).alias("_first"), "_total")
+        .select(*cols, "_n", (F.col("_offset") + F.col("_inside")).alias("_first"), "_total")
     )
 
 
@@ -100,7 +101,7 @@ def shard_rows(
     one_each = one_each.withColumn("row_number", F.col("_first") + F.col("_copy"))
     position = permute(F.col("row_number"), F.col("_total"), F.col("_a"), F.col("_b"), seed)
     return one_each.withColumn("position", position).select(
-        *[F.col(f"`{k}`") for k in keys],
+        *[F.col(f"key{i}").alias(k) for i, k in enumerate(keys)],
         "row_number",
         "position",
         (F.col("position") % n_shards).cast("int").alias("shard"),
