@@ -74,6 +74,18 @@ def fewer(df: DataFrame, rows: int | None = None) -> DataFrame:
     return df.coalesce(most)
 
 
+_STATE: dict = {}
+
+
+def worker_state(name, make):
+    """What a Python worker keeps between tasks under ``name``; what another operator
+    kept there before is let go, so that a worker holds one such table at a time."""
+    if name not in _STATE:
+        _STATE.clear()
+        _STATE[name] = make()
+    return _STATE[name]
+
+
 def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts the lineage and
     outlives executors. ``rows``: an upper bound of its rows, if known."""
@@ -87,4 +99,4 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-__all__ = ["fewer", "free_name", "only", "position", "scratch_path", "shared_dir", "ship", "shuffle_width", "stored"]
+__all__ = ["fewer", "free_name", "only", "position", "scratch_path", "shared_dir", "ship", "shuffle_width", "stored", "worker_state"]

@@ -36,16 +36,17 @@ def _digest(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str, rows: int | None = None) -> DataFrame:
     """``vertex`` and ``component`` (its least vertex) of all vertices with an edge
-    to another one. Vertices are longs; loops and repeated edges are allowed."""
+    to another one. Vertices are longs; loops and repeated edges are allowed.
+    ``rows``: an upper bound of the edges, if known."""
     pair = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    pair = stored(pair, "edges")
+    pair = stored(pair, "edges", rows)
     before = None
     now = _digest(pair)
     while now != before and now[0]:
         before = now
-        pair = stored(_star(_star(pair, large=True), large=False), "edges")
+        pair = stored(_star(_star(pair, large=True), large=False), "edges", 2 * now[0])
         now = _digest(pair)
     found = pair.select(F.col("u").alias("vertex"), F.col("v").alias("component"))
     return found.unionByName(pair.select(F.col("v").alias("vertex"), F.col("v").alias("component")).distinct())

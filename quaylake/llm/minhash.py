@@ -7,9 +7,10 @@
    none with probability 5e-7.
 3. Within a band no pairs are enumerated: rounds of leaders pair one member
    with those outside its component, and bands whose members are in one
-   component drop out. What is left are few members that are unlike all
-   leaders; these are compared with everything in their bands that is not in
-   their component, so no link is lost.
+   component drop out. What is left are members that are unlike all leaders;
+   these are compared with everything in their bands that is not in their
+   component, so no link is lost: by pairs in bands of bounded size, in blocks
+   that give nothing but links in larger ones.
 4. A pair is kept for the exact check if the sizes allow the similarity and the
    population count of the XOR of the odd sketches does: the bound lies 5.5
    standard deviations above what similarity 0.8 gives.
@@ -30,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import ship, stored
+from quaylake.llm.common import only, ship, stored, worker_state
 from quaylake.llm.components import components
 from quaylake.plans.broadcast import join_small
 
@@ -42,9 +43,12 @@ PERCENT = 80
 #: population count of the XOR of two odd sketches, at most
 MAX_DIFFERENT_BITS = 168
 LEADER_ROUNDS = 4
+#: buckets of more members are compared in blocks of about so many sets a side
+CROWD = 256
+BLOCK = 256
 #: ids of candidate documents are broadcast up to this size, else joined by a shuffle
 CANDIDATE_IDS_BYTES = 32 << 20
-WORD_CACHE = 1_000_000
+WORD_CACHE = 400_000
 
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 _M2 = np.uint64(0xD6E8FEB86659FD93)
@@ -66,16 +70,13 @@ class _WordHashes(dict):
         return h
 
 
-_HASHES = _WordHashes()
-
-
 def shingle_set(text: str | None, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles; A-Z are lower-cased, words
     are what the ASCII blanks separate."""
     found = (text or "").encode().lower().split()
     if not found:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
+    h = np.fromiter(map(worker_state("words", _WordHashes).__getitem__, found), np.uint64, len(found))
     k = min(words, len(h))
     n = len(h) - k + 1
     out = _mix(h[:n] + np.uint64(k))
@@ -181,92 +182,191 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def _relabel(labels: DataFrame, edges: DataFrame) -> DataFrame:
-    """labels (rep, comp) after the components of ``edges`` (a, b) were joined."""
-    merged = components(edges, "a", "b").select(F.col("vertex").alias("comp"), F.col("component").alias("_to"))
-    moved = labels.join(merged, "comp", "left").select("rep", F.coalesce("_to", "comp").alias("comp"))
-    return stored(moved, "minhash-labels")
-
-
-def _live(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members with their component, in buckets that hold several components."""
-    now = members.join(labels, "rep")
-    several = now.groupBy("bucket").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).filter("_lo != _hi")
-    return stored(now.join(several.select("bucket"), "bucket"), "minhash-live")
-
-
-def _class_components(reps: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """(rep, comp) of the class representatives that share a band with another."""
-    sketch = [f"s{i}" for i in range(SKETCH_WORDS)]
-    dealt = reps.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket"))
-    shared = dealt.groupBy("bucket").agg(F.min("rep").alias("_lo"), F.max("rep").alias("_hi")).filter("_lo != _hi")
-    placed = stored(dealt.join(shared.select("bucket"), "bucket").distinct(), "minhash-buckets")
-    ids = placed.select("rep").distinct()
-    facts = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), *sketch).dropDuplicates(["rep"])
-    members = stored(placed.join(facts, "rep"), "minhash-members")
-
-    # full sets of the candidates only
+def _linked_in_block(xs, ys):
+    """Edges between components from two lists of sets of bounded length."""
     import pyarrow as pa
 
-    def full(batches: Iterator) -> Iterator:
-        for batch in batches:
-            found = [shingle_set(t, words).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["rep", "shingles"])
-
-    texts = docs.select(F.col("doc_id").alias("rep"), "text")
-    chosen = join_small(texts, ids, "rep", "left_semi", max_bytes=CANDIDATE_IDS_BYTES)
-    sets = stored(chosen.mapInArrow(full, "rep long, shingles binary").dropDuplicates(["rep"]), "minhash-sets")
-
-    labels = ids.select("rep", F.col("rep").alias("comp"))
-    live = _live(members, labels)
-    for turn in range(LEADER_ROUNDS):
-        if live.isEmpty():
-            break
-        # the first leader of a bucket is its least member, later ones are drawn by hash
+    column = lambda t, c: t.column(c).to_numpy()
+    none = pa.table({"ca": pa.array([], pa.int64()), "cb": pa.array([], pa.int64())})
+    if not xs.num_rows or not ys.num_rows:
+        return none
+    a, b = ([np.frombuffer(s.as_buffer(), np.uint64) for s in t.column("shingles")] for t in (xs, ys))
+    common = _intersections(a, b)
+    n, m = np.array([len(s) for s in a]), np.array([len(s) for s in b])
+    near = 100 * common >= PERCENT * (n[:, None] + m[None, :] - common)
+    ca, cb, main = column(xs, "comp"), column(ys, "comp"), column(xs, "_main")
+    near &= ca[:, None] != cb[None, :]
+    near &= (cb[None, :] == main[:, None]) | (column(xs, "rep")[:, None] < column(ys, "rep")[None, :])
+    i, j = np.nonzero(near)
+    if not len(i):
+        return none
+    edges = np.unique(np.stack([ca[i], cb[j]], axis=1), axis=0)
+    return pa.table({"ca": pa.array(edges[:, 0]), "cb": pa.array(edges[:, 1])})
+
+
+def _intersections(a: list[np.ndarray], b: list[np.ndarray], width: int = 8192) -> np.ndarray:
+    """Sizes of all intersections of two lists of sorted sets, by products of
+    indicator matrices over slices of the shingles that both sides have."""
+    both = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    total = np.zeros((len(a), len(b)))
+    for at in range(0, len(both), width):
+        part = both[at : at + width]
+        marks = []
+        for sets in (a, b):
+            mark = np.zeros((len(sets), len(part)), np.float32)
+            for row, s in enumerate(sets):
+                s = s[np.searchsorted(s, part[0]) : np.searchsorted(s, part[-1], side="right")]
+                spot = np.searchsorted(part, s)
+                mark[row, spot[part[spot] == s]] = 1
+            marks.append(mark)
+        total += marks[0] @ marks[1].T
+    return total.astype(np.int64)
+
+
+class _Classes:
+    """Components of class representatives that share bands, found in rounds.
+
+    ``members`` has (rep, bucket, n, s0..s7) of the buckets with several members,
+    ``labels`` (rep, comp) what is known so far, ``live`` the members with their
+    component in the buckets that still hold several components.
+    """
+
+    sketch = tuple(f"s{i}" for i in range(SKETCH_WORDS))
+
+    def __init__(self, reps: DataFrame, docs: DataFrame, words: int):
+        self.reps = reps
+        dealt = reps.select(F.col("doc_id").alias("rep"), F.posexplode("bands").alias("band", "bucket"))
+        shared = dealt.groupBy("bucket").agg(F.min("rep").alias("_lo"), F.max("rep").alias("_hi")).filter("_lo != _hi")
+        placed = stored(dealt.join(shared.select("bucket"), "bucket").distinct(), "minhash-buckets")
+        self.n_members = placed.count()
+        ids = stored(placed.select("rep").distinct(), "minhash-candidates", self.n_members)
+        self.n_ids = ids.count()
+        facts = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), *self.sketch)
+        facts = join_small(facts, ids, "rep", "left_semi", max_bytes=CANDIDATE_IDS_BYTES).dropDuplicates(["rep"])
+        self.members = stored(placed.join(facts, "rep"), "minhash-members", self.n_members)
+        self.sets = self._full_sets(docs, ids, words)
+        self.labels = ids.select("rep", F.col("rep").alias("comp"))
+        self._find_live()
+
+    @staticmethod
+    def _full_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+        """Shingle sets of the candidates only."""
+        import pyarrow as pa
+
+        def full(batches: Iterator) -> Iterator:
+            for batch in batches:
+                found = [shingle_set(t, words).tobytes() for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["rep", "shingles"])
+
+        texts = docs.select(F.col("doc_id").alias("rep"), "text")
+        chosen = join_small(texts, ids, "rep", "left_semi", max_bytes=CANDIDATE_IDS_BYTES)
+        return stored(chosen.mapInArrow(full, "rep long, shingles binary").dropDuplicates(["rep"]), "minhash-sets")
+
+    def _find_live(self) -> None:
+        now = self.members.join(self.labels, "rep")
+        several = now.groupBy("bucket").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).filter("_lo != _hi")
+        self.live = stored(now.join(several.select("bucket"), "bucket"), "minhash-live", self.n_members)
+        self.n_members = self.live.count()  # buckets only ever drop out
+
+    def _checked(self, pairs: DataFrame) -> DataFrame:
+        """Edges between components (ca, cb) of the candidate pairs (a, b, ca, cb) that
+        are linked on their full sets."""
+        once = pairs.distinct()
+        linked = _linked(once.select("a", "b"), self.sets)
+        return linked.join(once, ["a", "b"]).select("ca", "cb")
+
+    def _join_up(self, edges: DataFrame) -> None:
+        merged = components(edges, "ca", "cb").select(F.col("vertex").alias("comp"), F.col("component").alias("_to"))
+        moved = self.labels.join(merged, "comp", "left").select("rep", F.coalesce("_to", "comp").alias("comp"))
+        self.labels = stored(moved, "minhash-labels", self.n_ids)
+
+    def by_leaders(self, turn: int) -> None:
+        """Pair a leader of each bucket with the members outside its component. The
+        first leader is the least member, later ones are drawn by hash."""
         order = F.col("rep") if turn == 0 else F.xxhash64("rep", "bucket", F.lit(turn))
-        leader = live.groupBy("bucket").agg(F.min_by(F.struct("rep", "comp", "n", *sketch), order).alias("leader"))
-        pairs = live.join(leader, "bucket").filter(
-            (F.col("comp") != F.col("leader.comp")) & _may_link(_fields(F.col, sketch), F.col("leader"))
+        leader = self.live.groupBy("bucket").agg(F.min_by(F.struct("rep", "comp", "n", *self.sketch), order).alias("leader"))
+        pairs = self.live.join(leader, "bucket").filter(
+            (F.col("comp") != F.col("leader.comp")) & _may_link({c: F.col(c) for c in ("n", *self.sketch)}, F.col("leader"))
         )
         pairs = pairs.select(F.col("leader.rep").alias("a"), F.col("rep").alias("b"), F.col("leader.comp").alias("ca"), F.col("comp").alias("cb"))
-        edges = _links_between(pairs, sets)
-        labels = _relabel(labels, edges)
-        live = _live(members, labels)
-    # what is left: members outside the component of their bucket's least member,
-    # against all members of the bucket in another component
-    head = live.groupBy("bucket").agg(F.min_by("comp", "rep").alias("_main"))
-    named = live.join(head, "bucket")
-    left = named.filter("comp != _main").alias("x")
-    right = named.alias("y")
-    other = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y._main")) | (F.col("x.rep") < F.col("y.rep")))
-    cond = (F.col("x.bucket") == F.col("y.bucket")) & other & _may_link(_fields(F.col, sketch, "x."), _fields(F.col, sketch, "y."))
-    rest = left.join(right, cond).select(
-        F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.comp").alias("ca"), F.col("y.comp").alias("cb")
-    )
-    return _relabel(labels, _links_between(rest, sets))
-
-
-def _fields(col, sketch: list[str], prefix: str = "") -> dict[str, Column]:
-    return {c: col(prefix + c) for c in ("n", *sketch)}
-
-
-def _links_between(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Edges between components (a, b) from candidate pairs with their components."""
-    once = pairs.distinct()
-    linked = _linked(once.select("a", "b"), sets)
-    return linked.join(once, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        self._join_up(self._checked(pairs))
+        self._find_live()
+
+    def rest(self) -> None:
+        """What is left: members outside the main component of their bucket, against
+        all members of the bucket in another component."""
+        sizes = stored(self.live.groupBy("bucket").count(), "minhash-sizes", self.n_members)
+        edges = self._small_buckets(sizes.filter(F.col("count") <= CROWD).select("bucket"))
+        crowded = sizes.filter(F.col("count") > CROWD).select("bucket")
+        if not crowded.isEmpty():
+            edges = edges.unionByName(self._crowded_buckets(crowded))
+        self._join_up(edges)
+
+    def _small_buckets(self, buckets: DataFrame) -> DataFrame:
+        """Edges from pairs inside buckets of bounded size. A pair is taken in the first
+        band that it shares."""
+        live = self.live.join(buckets, "bucket")
+        ids = stored(live.select("rep").distinct(), "minhash-rest", self.n_members)
+        bands = self.reps.select(F.col("doc_id").alias("rep"), "bands")
+        bands = join_small(bands, ids, "rep", "left_semi", max_bytes=CANDIDATE_IDS_BYTES).dropDuplicates(["rep"])
+        head = live.groupBy("bucket").agg(F.min_by("comp", "rep").alias("_main"))
+        named = stored(live.join(head, "bucket").join(bands, "rep"), "minhash-named", self.n_members)
+        x, y = named.filter("comp != _main").alias("x"), named.alias("y")
+        other = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y._main")) | (F.col("x.rep") < F.col("y.rep")))
+        fields = lambda side: {c: F.col(f"{side}.{c}") for c in ("n", *self.sketch)}
+        same = F.zip_with("x.bands", "y.bands", lambda p, q: p == q)
+        first = F.array_position(same, True) == F.col("x.band") + 1
+        cond = (F.col("x.bucket") == F.col("y.bucket")) & other & _may_link(fields("x"), fields("y")) & first
+        pairs = x.join(y, cond).select(
+            F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.comp").alias("ca"), F.col("y.comp").alias("cb")
+        )
+        return self._checked(pairs)
+
+    def _crowded_buckets(self, buckets: DataFrame) -> DataFrame:
+        """Edges inside large buckets. Large buckets with a member in common are one
+        cluster; the members outside its largest component meet all members in
+        blocks of bounded size, which give only the links they find."""
+        live = self.live.join(buckets, "bucket").select("rep", "bucket", "comp")
+        heads = live.groupBy("bucket").agg(F.min("rep").alias("_head"))
+        tied = components(live.join(heads, "bucket"), "rep", "_head", self.n_members)
+        tied = tied.select(F.col("vertex").alias("rep"), F.col("component").alias("cluster"))
+        placed = stored(live.select("rep", "comp").distinct().join(tied, "rep"), "minhash-clusters", self.n_members)
+        counts = placed.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("_n"))
+        facts = counts.groupBy("cluster").agg(
+            F.max(F.struct("_n", "comp"))["comp"].alias("_main"), F.sum("_n").alias("_all"), F.max("_n").alias("_largest")
+        )
+        tiles = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int")
+        facts = facts.withColumn("_ys", tiles(F.col("_all"))).withColumn("_xs", tiles(F.col("_all") - F.col("_largest")))
+        full = placed.join(facts, "cluster").join(self.sets, "rep")
+        of = lambda n, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        columns = ["cluster", "x", "y", "rep", "comp", "_main", "shingles"]
+        xs = full.filter("comp != _main").withColumn("x", of("_xs", 1)).withColumn("y", every("_ys")).select(*columns)
+        ys = full.withColumn("y", of("_ys", 2)).withColumn("x", every("_xs")).select(*[F.col(c).alias(c) for c in columns])
+        block = ["cluster", "x", "y"]
+        found = xs.groupBy(*block).cogroup(ys.groupBy(*block)).applyInArrow(_linked_in_block, "ca long, cb long")
+        return found.distinct()
+
+    def solve(self) -> DataFrame:
+        for turn in range(LEADER_ROUNDS):
+            if not self.n_members:
+                break
+            self.by_leaders(turn)
+        if self.n_members:
+            self.rest()
+        return self.labels
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id``, ``n_shingles`` and ``component_id`` (the least
     id that is reachable over links of similarity 0.8 or more)."""
     ship(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = only(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = stored(_signatures(rows, words), "minhash-signatures")
     usable = signed.filter("set_hash IS NOT NULL AND doc_id IS NOT NULL")
     classes = stored(usable.groupBy("set_hash").agg(F.min("doc_id").alias("rep")), "minhash-classes")
     reps = usable.join(classes, "set_hash").filter("doc_id = rep").drop("rep", "set_hash")
-    labels = _class_components(reps, rows.filter("doc_id IS NOT NULL"), words)
+    labels = _Classes(reps, rows.filter("doc_id IS NOT NULL"), words).solve()
     of_class = classes.join(labels, "rep", "left").select("set_hash", F.coalesce("comp", "rep").alias("component_id"))
     joined = signed.select("doc_id", "n_shingles", "set_hash").join(of_class, "set_hash", "left")
     return joined.select(

@@ -30,12 +30,14 @@ from hashlib import sha256
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quaylake.llm.common import position, ship
+from quaylake.llm.common import position, ship, worker_state
 
 MARK = "▁"
 #: segments kept between batches of a worker, and the longest one kept
-CACHE_SEGMENTS = 500_000
+CACHE_SEGMENTS = 400_000
 CACHE_CHARS = 64
+#: code points of texts encoded together
+CHUNK_CHARS = 2_000_000
 
 
 class MergeVocabulary:
@@ -217,15 +219,24 @@ class MergeVocabulary:
         return "".join(out)
 
 
-_LOADED: dict[tuple[str, bool], MergeVocabulary] = {}
-
-
 def vocabulary(model_path: str, check: bool = True) -> MergeVocabulary:
     """The vocabulary of a model file, loaded once per worker."""
-    key = (model_path, check)
-    if key not in _LOADED:
-        _LOADED[key] = MergeVocabulary(model_path, check)
-    return _LOADED[key]
+    return worker_state(("pieces", model_path, check), lambda: MergeVocabulary(model_path, check))
+
+
+def _chunks(batch, text_at: int) -> Iterator:
+    """Slices of an Arrow batch with a bounded amount of text (one row at least)."""
+    import pyarrow.compute as pc
+
+    size = pc.fill_null(pc.utf8_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
+    begin, total = 0, 0
+    for i, n in enumerate(size.tolist()):
+        if i > begin and total + n > CHUNK_CHARS:
+            yield batch.slice(begin, i - begin)
+            begin, total = i, 0
+        total += n
+    if batch.num_rows > begin:
+        yield batch.slice(begin)
 
 
 def encode_texts(
@@ -257,35 +268,42 @@ def encode_texts(
     places = [i for i, f in enumerate(fields) if f.name not in outputs and (keep is None or f.name in keep)]
     kept = [fields[i] for i in places]
     text_at = position(df, text_col)
-    schema = T.StructType(kept + [T.StructField(o, kinds[o]) for o in outputs])
-    names = [f.name for f in kept]
+    # columns go through the tasks by place, whatever their names are
+    inner = [f"_c{i}" for i in range(len(kept))]
+    schema = T.StructType([T.StructField(c, f.dataType) for c, f in zip(inner, kept, strict=True)])
+    schema = T.StructType(schema.fields + [T.StructField(o, kinds[o]) for o in outputs])
     want_text = bool({"decoded", "decoded_sha256"} & set(outputs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model_path, check)
         begin, end = v.bos.to_bytes(4, "little"), v.eos.to_bytes(4, "little")
-        for batch in batches:
-            texts = batch.column(text_at).to_pylist()
-            cols: dict[str, list] = {o: [] for o in outputs}
-            for ids in v.encode_batch(texts):
-                ids = begin + ids + end
-                numbers = np.frombuffer(ids, "<u4").tolist() if want_text or "ids" in cols else []
-                decoded = v.decode(numbers) if want_text else ""
+        for whole in batches:
+            for batch in _chunks(whole, text_at):
+                cols: dict[str, list] = {o: [] for o in outputs}
+                for ids in v.encode_batch(batch.column(text_at).to_pylist()):
+                    ids = begin + ids + end
+                    decoded = v.decode(np.frombuffer(ids, "<u4").tolist()) if want_text else ""
+                    for o in outputs:
+                        cols[o].append(
+                            ids
+                            if o == "ids"
+                            else len(ids) // 4
+                            if o == "n_tokens"
+                            else sha256(ids).hexdigest()
+                            if o == "ids_sha256"
+                            else decoded
+                            if o == "decoded"
+                            else sha256(decoded.encode()).hexdigest()
+                        )
+                arrays = [batch.column(i) for i in places]
                 for o in outputs:
-                    cols[o].append(
-                        numbers
-                        if o == "ids"
-                        else len(ids) // 4
-                        if o == "n_tokens"
-                        else sha256(ids).hexdigest()
-                        if o == "ids_sha256"
-                        else decoded
-                        if o == "decoded"
-                        else sha256(decoded.encode()).hexdigest()
-                    )
-            types = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64()}
-            arrays = [batch.column(i) for i in places]
-            arrays += [pa.array(cols[o], types.get(o, pa.string())) for o in outputs]
-            yield pa.RecordBatch.from_arrays(arrays, [*names, *outputs])
-
-    return df.mapInArrow(run, schema)
+                    if o == "ids":
+                        offsets = np.cumsum([0, *(len(x) // 4 for x in cols[o])]).astype(np.int32)
+                        numbers = np.frombuffer(b"".join(cols[o]), "<i4")
+                        arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(numbers)))
+                    else:
+                        arrays.append(pa.array(cols[o], pa.int64() if o == "n_tokens" else pa.string()))
+                yield pa.RecordBatch.from_arrays(arrays, [*inner, *outputs])
+
+    plain = df.toDF(*[f"_c{i}" for i in range(len(fields))])
+    return plain.mapInArrow(run, schema).toDF(*[f.name for f in kept], *outputs)

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quaylake.llm.common import only, position, ship, stored
+from quaylake.llm.common import only, position, ship, stored, worker_state
 
 #: labelled documents per class used for training, at most
 MAX_TOXIC = 4000
@@ -133,15 +133,9 @@ class WindowCounter:
         return np.array(hits, dtype=float), np.array(n, dtype=float)
 
 
-_COUNTERS: dict[tuple[bytes, bytes, int], WindowCounter] = {}
-
-
 def _counter(toxic: bytes, ordinary: bytes, floor: int) -> WindowCounter:
     key = (toxic, ordinary, floor)
-    if key not in _COUNTERS:
-        _COUNTERS.clear()
-        _COUNTERS[key] = WindowCounter(*key)
-    return _COUNTERS[key]
+    return worker_state(key, lambda: WindowCounter(*key))
 
 
 # ----------------------------------------------------------------------- training
@@ -262,8 +256,10 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", keep: li
             *[F.col(f"_c{i}").alias(fields[i].name) for i in places], F.lit(0.0).alias(out[0]), F.lit(0).cast("long").alias(out[1])
         )
     ship(docs.sparkSession)
-    names = [f.name for f in kept]
-    schema = T.StructType(kept + [T.StructField(out[0], T.DoubleType()), T.StructField(out[1], T.LongType())])
+    # columns go through the tasks by place, whatever their names are
+    inner = [f"_c{i}" for i in range(len(kept))]
+    schema = T.StructType([T.StructField(c, f.dataType) for c, f in zip(inner, kept, strict=True)])
+    schema = T.StructType(schema.fields + [T.StructField(out[0], T.DoubleType()), T.StructField(out[1], T.LongType())])
 
     def run(batches: Iterator) -> Iterator:
         counter = _counter(model.toxic, model.ordinary, model.floor)
@@ -271,6 +267,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", keep: li
             hits, n = counter.count(batch.column(text_at).to_pylist())
             cols = [batch.column(i) for i in places]
             cols += [pa.array(model.score(hits, n)), pa.array(hits.astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(cols, [*names, *out])
+            yield pa.RecordBatch.from_arrays(cols, [*inner, *out])
 
-    return docs.mapInArrow(run, schema)
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(fields))])
+    return plain.mapInArrow(run, schema).toDF(*[f.name for f in kept], *out)
