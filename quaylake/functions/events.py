@@ -15,8 +15,8 @@ MALFORMED_MODES = ("keep", "drop", "quarantine")
 
 
 def encode_event(*cols: str | Column) -> Column:
-    """One JSON object per row (NULL fields omitted)."""
-    return F.to_json(F.struct(*cols))
+    """One JSON object per row; NULL fields are written as ``null``."""
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
 
 
 def encode_events(df: DataFrame, key: str | None = None) -> DataFrame:

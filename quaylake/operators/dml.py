@@ -36,9 +36,36 @@ def _pred(predicate) -> Column:
     return F.coalesce(_as_column(predicate), F.lit(False))
 
 
+def _by_table_name(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """``rows`` with columns that the table has under other letters renamed to the
+    table's spelling. Two columns for one name are refused."""
+    spelled = {c.lower(): c for c in table.columns}
+    names = [spelled.get(c.lower(), c) for c in rows.columns]
+    twice = sorted({n for n in names if names.count(n) > 1 and n in spelled.values()})
+    if twice:
+        raise ValueError(f"columns given more than once: {twice}")
+    return rows.toDF(*names)
+
+
 def insert_append(table: DataFrame, rows: DataFrame) -> DataFrame:
-    """INSERT INTO: bag union by column name; columns the rows lack are NULL."""
-    return table.unionByName(rows.select(*[c for c in rows.columns if c in table.columns]), allowMissingColumns=True)
+    """INSERT INTO: bag union by column name, whatever its letter case. Values are
+    cast to the table's types (a value that does not fit fails the job), columns
+    the rows lack are NULL, and a column the table lacks is an error."""
+    rows = _by_table_name(rows, table)
+    unknown = [c for c in rows.columns if c not in table.columns]
+    if unknown:
+        raise ValueError(f"columns that the table lacks: {unknown}")
+    return table.unionByName(_as_table(rows, table))
+
+
+def _as_table(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """The table's columns of ``rows`` in its order and types."""
+    return rows.select(
+        *[
+            (F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in table.schema.fields
+        ]
+    )
 
 
 def update_where(df: DataFrame, predicate, assignments: Mapping[str, object]) -> DataFrame:
@@ -69,24 +96,35 @@ def merge_into(
     """MERGE INTO target USING source ON key equality.
 
     ``update``: target column -> source column name or Column over source
-    columns, applied WHEN MATCHED (None: no matched clause).
-    ``insert``: WHEN NOT MATCHED insert the source row (columns by name).
+    columns, applied WHEN MATCHED (None: no matched clause); a column that the
+    target lacks is an error.
+    ``insert``: WHEN NOT MATCHED insert the source row. Columns are found by
+    name, whatever its letter case, and cast to the target's types; further
+    source columns serve the update only.
     NULL keys never match, so such source rows insert. More than one source
     row matching a target row raises at execution time; duplicate source
     rows that match nothing all insert.
     ``matched_flag``: name of an extra boolean column, true for target rows
     that met a source row, false for other target rows, NULL for inserts.
     """
+    source = _by_table_name(source, target)
     keys = [on] if isinstance(on, str) else list(on)
+    spelled = {c.lower(): c for c in target.columns}
+    missing = [k for k in keys if k.lower() not in spelled]
+    missing += [c for c in update or () if c.lower() not in spelled]
+    if missing:
+        raise ValueError(f"columns that the target lacks: {missing}")
+    keys = [spelled[k.lower()] for k in keys]
+    update = {spelled[c.lower()]: v for c, v in (update or {}).items()}
     limit = broadcast_limit(target) if max_broadcast_bytes is None else max_broadcast_bytes
     key_cols = [F.col(f"`{k}`") for k in keys]
     has_keys = F.lit(True)
     for k in key_cols:
         has_keys = has_keys & k.isNotNull()
 
-    # one aggregate pass; a small source is then checkpointed and reused by
-    # both branches, a large one is never written out
-    src = measure(source, limit, materialize="if_small")
+    # the source is evaluated once: stored while its size is observed, and read
+    # by both branches from there, so they see the same rows whatever it computes
+    src = measure(source, limit, materialize="first")
     small = src.small
 
     out = target.withColumn(matched_flag, F.lit(False)) if matched_flag else target
@@ -124,11 +162,9 @@ def merge_into(
     if not insert:
         return out
 
-    src_rows = src.df.select(
-        *[F.col(f"`{c}`") if c in source.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns]
-    )
+    src_rows = _as_table(src.df, target)
     if small:
-        src_keys = src.df.where(has_keys).select(*key_cols).distinct()
+        src_keys = src_rows.where(has_keys).select(*key_cols).distinct()
         matched_keys = target.select(*key_cols).join(F.broadcast(src_keys), keys, "left_semi").distinct()
         inserts = src_rows.join(F.broadcast(matched_keys), keys, "left_anti")
     else:

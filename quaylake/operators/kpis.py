@@ -46,16 +46,22 @@ def kpi_display(summary: DataFrame) -> DataFrame:
 
 
 def revenue_by_destination(df: DataFrame) -> DataFrame:
-    """Revenue summed per destination, NULL destinations dropped."""
+    """Revenue summed per destination in its order, NULL destinations dropped."""
     if "destination" not in df.columns or "revenue" not in df.columns:
         return df.sparkSession.createDataFrame([], "destination string, revenue double")
     return (
         df.where(F.col("destination").isNotNull())
         .groupBy("destination")
         .agg(F.coalesce(F.sum(_numeric(df, "revenue")), F.lit(0.0)).alias("revenue"))
+        .orderBy("destination")
     )
 
 
+def is_empty(df: DataFrame) -> DataFrame:
+    """One row: ``is_empty``. At most one row per task is looked at."""
+    return df.select(F.lit(1).alias("_one")).limit(1).agg((F.count("_one") == 0).alias("is_empty"))
+
+
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per non-NULL value of ``column``, most frequent first."""
     if column not in df.columns:

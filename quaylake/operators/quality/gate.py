@@ -33,13 +33,15 @@ def gated_load(
     target_path: str,
     threshold: float = DEFAULT_THRESHOLD,
     fmt: str = "parquet",
+    batch_id: str = "1",
 ) -> bool:
-    """Append the clean rows to ``target_path`` only if the gate passes.
+    """Write the clean rows to the batch's own folder of ``target_path`` only if
+    the gate passes. A load that is run again replaces what it wrote before.
 
     Returns whether the load ran. Only the one-row decision is read back.
     """
     row = gate(batch_stats, threshold).select("decision").first()
     if row is None or row["decision"] != "INGEST":
         return False
-    clean.write.mode("append").format(fmt).save(target_path)
+    clean.write.mode("overwrite").format(fmt).save(f"{target_path}/batch_id={batch_id}")
     return True

@@ -11,6 +11,7 @@ from quaylake.operators.quality.gate import DEFAULT_THRESHOLD
 
 def criteria_text(expectation: Column, kwargs: Column) -> Column:
     """``Expect <column> ...`` by expectation type and the min/max present."""
+    # The texts below are shown to users as they stand.
     column = F.coalesce(kwargs["column"], F.lit("Dataset-Level"))
     lo, hi = kwargs["min_value"], kwargs["max_value"]
     tail = (

@@ -13,8 +13,6 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quaylake.sources.fixtures import AS_OF_DATE
-
 # Expectation type names as they appear in results and in
 # quarantine reasons, and the e-mail pattern of the retail suite.
 NOT_NULL = "expect_column_values_to_not_be_null"
@@ -83,7 +81,7 @@ def match_regex(column: str, regex: str) -> Rule:
     return Rule(MATCH_REGEX, column, regex=regex)
 
 
-def retail_suite(as_of_date: str = AS_OF_DATE) -> list[Rule]:
+def retail_suite(as_of_date: str) -> list[Rule]:
     """The eight-rule retail order suite, in suite order. ``as_of_date`` is
     the ``yyyy-MM-dd`` cut-off (a parameter, never the wall clock)."""
     return [

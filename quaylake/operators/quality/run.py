@@ -44,10 +44,11 @@ def validate_batch(
 ) -> ValidationRun:
     annotated = V.annotate(batch, rules)
     tagged = annotated.withColumn(
-        STATUS, F.when(F.size(V.FAILURES) == 0, F.lit("clean")).otherwise(F.lit("quarantine"))
+        STATUS, F.when(V.any_failed(annotated), F.lit("quarantine")).otherwise(F.lit("clean"))
     )
     tagged.write.mode("overwrite").partitionBy(STATUS).parquet(f"{out_dir}/annotated")
-    stored = spark.read.parquet(f"{out_dir}/annotated")
+    # the declared schema: an empty batch leaves no file to infer one from
+    stored = spark.read.schema(tagged.schema).parquet(f"{out_dir}/annotated")
     clean = V.clean_rows(stored.where(F.col(STATUS) == "clean").drop(STATUS))
     quarantine = V.quarantine_rows(stored.where(F.col(STATUS) == "quarantine").drop(STATUS))
     if csv_outputs:
@@ -56,5 +57,5 @@ def validate_batch(
     stats = V.rule_stats(stored.drop(STATUS), rules, with_kwargs=True)
     results_io.write_results(results_io.results_document(stats), f"{out_dir}/results_json")
     results = results_io.read_results(spark, f"{out_dir}/results_json")
-    batch_stats = V.batch_stats(stored)
+    batch_stats = V.batch_stats(stored, clean=F.col(STATUS) == "clean")
     return ValidationRun(stored, clean, quarantine, stats, batch_stats, results, gate(batch_stats, threshold))

@@ -1,5 +1,9 @@
 """Run a rule suite over a batch: annotate rows, summarise rules, split.
 
+NaN counts as missing everywhere, for uniqueness as well. A uniqueness rule
+runs jobs when ``annotate`` is called: its duplicate keys are stored and
+measured to choose the join.
+
 Plan shape: one scan, one ``Project`` of per-rule fail flags and one key
 aggregation per uniqueness rule (partial aggregation, then a join against the
 duplicate-key set, broadcast only when measured small). Rule statistics and
@@ -10,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,10 +39,19 @@ def _nan_to_null(df: DataFrame, name: str) -> Column:
 
 
 def value_text(col: Column) -> Column:
-    """Failing value as text; NULL renders as ``None``."""
+    """Failing value as text; a missing one (NULL, NaN) renders as ``None``."""
     return F.coalesce(col.cast("string"), F.lit("None"))
 
 
+def any_failed(annotated: DataFrame) -> Column:
+    """Whether a row fails some rule, from the boolean flags."""
+    out = F.lit(False)
+    for c in annotated.columns:
+        if c.startswith(f"{_INTERNAL}fail_"):
+            out = out | F.col(f"`{c}`")
+    return out
+
+
 def payload_columns(annotated: DataFrame) -> list[str]:
     return [c for c in annotated.columns if not c.startswith(_INTERNAL) and c != FAILURES]
 
@@ -45,23 +59,31 @@ def payload_columns(annotated: DataFrame) -> list[str]:
 def annotate(df: DataFrame, rules: Sequence[Rule], max_broadcast_bytes: int | None = None) -> DataFrame:
     """Add one boolean fail flag per rule and ``dq_failures``, the array of
     failed rules of the row in suite order (rule, column, expectation, value)."""
+    for i, rule in enumerate(rules):
+        if rule.column not in df.columns:
+            raise AnalysisException(f"rule {i} ({rule.expectation}) needs column {rule.column!r}, which the batch lacks")
     out = df
     dup_flags: dict[int, Column] = {}
     for i, rule in enumerate(rules):
         if rule.expectation != UNIQUE:
             continue
-        flag = f"{_INTERNAL}dup_{i}"
+        flag, key = f"{_INTERNAL}dup_{i}", f"{_INTERNAL}key_{i}"
         # duplicate keys only: partial aggregation keeps the shuffle to one row
         # per key and map task, so a hot key does not reach one task whole
+        keyed = df.select(_nan_to_null(df, rule.column).alias(key))
         dups = (
-            df.where(F.col(rule.column).isNotNull())
-            .groupBy(rule.column)
+            keyed.where(F.col(key).isNotNull())
+            .groupBy(key)
             .agg(F.count(F.lit(1)).alias("_n"))
             .where(F.col("_n") > 1)
-            .select(rule.column, F.lit(True).alias(flag))
+            .select(key, F.lit(True).alias(flag))
         )
-        out = join_small(out, dups, on=rule.column, how="left", max_bytes=max_broadcast_bytes)
+        out = out.withColumn(key, _nan_to_null(df, rule.column))
+        out = join_small(out, dups, on=key, how="left", max_bytes=max_broadcast_bytes)
         dup_flags[i] = F.col(flag)
+    # a join by name moves its key to the front: the batch's own order again
+    internal = [c for c in out.columns if c.startswith(f"{_INTERNAL}dup_")]
+    out = out.select(*[F.col(f"`{c}`") for c in df.columns], *internal)
 
     flags = {}
     for i, rule in enumerate(rules):
@@ -76,7 +98,7 @@ def annotate(df: DataFrame, rules: Sequence[Rule], max_broadcast_bytes: int | No
                 F.lit(i).alias("rule"),
                 F.lit(rule.column).alias("column"),
                 F.lit(rule.expectation).alias("expectation"),
-                value_text(F.col(f"`{rule.column}`")).alias("value"),
+                value_text(_nan_to_null(out, rule.column)).alias("value"),
             ),
         )
         for i, rule in enumerate(rules)
@@ -98,12 +120,12 @@ def reasons_text(failures: Column) -> Column:
 
 def clean_rows(annotated: DataFrame) -> DataFrame:
     """Rows that fail no rule, with the input columns only."""
-    return annotated.where(F.size(FAILURES) == 0).select(*[F.col(f"`{c}`") for c in payload_columns(annotated)])
+    return annotated.where(~any_failed(annotated)).select(*[F.col(f"`{c}`") for c in payload_columns(annotated)])
 
 
 def quarantine_rows(annotated: DataFrame) -> DataFrame:
     """Rows that fail at least one rule, plus their reasons."""
-    return annotated.where(F.size(FAILURES) > 0).select(
+    return annotated.where(any_failed(annotated)).select(
         *[F.col(f"`{c}`") for c in payload_columns(annotated)], reasons_text(F.col(FAILURES)).alias(REASONS)
     )
 
@@ -111,7 +133,7 @@ def quarantine_rows(annotated: DataFrame) -> DataFrame:
 def reasons_long(annotated: DataFrame) -> DataFrame:
     """One row per (row, failed rule)."""
     cols = [F.col(f"`{c}`") for c in payload_columns(annotated)]
-    return annotated.select(*cols, F.explode(FAILURES).alias("_f")).select(
+    return annotated.where(any_failed(annotated)).select(*cols, F.explode(FAILURES).alias("_f")).select(
         *cols,
         F.col("_f.rule").alias("rule_index"),
         F.col("_f.column").alias("rule_column"),
@@ -130,7 +152,7 @@ def rule_failures(annotated: DataFrame, rules: Sequence[Rule], index: int) -> Da
         *[F.col(f"`{c}`") for c in payload_columns(annotated)],
         F.concat(
             F.lit(f"{rule.column} failed {rule.expectation} (value: "),
-            value_text(F.col(f"`{rule.column}`")),
+            value_text(_nan_to_null(annotated, rule.column)),
             F.lit(")"),
         ).alias("reason"),
     )
@@ -173,12 +195,12 @@ def rule_stats(annotated: DataFrame, rules: Sequence[Rule], with_kwargs: bool =
     return out
 
 
-def batch_stats(annotated: DataFrame) -> DataFrame:
+def batch_stats(annotated: DataFrame, clean: Column | None = None) -> DataFrame:
     """One row: total, clean, quarantine and success rate in percent (0 when
-    the batch is empty)."""
+    the batch is empty). ``clean``: what tells a clean row, if not the flags."""
     agg = annotated.agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(F.size(FAILURES) == 0).alias("clean"),
+        F.count_if(~any_failed(annotated) if clean is None else clean).alias("clean"),
     )
     total = F.col("total")
     return agg.select(

@@ -103,6 +103,20 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(raw)
 
 
+def _hashable(field: T.StructField):
+    """The column, or its JSON text where it holds a MAP (which has no hash)."""
+    col = F.col(f"`{field.name}`")
+
+    def has_map(t: T.DataType) -> bool:
+        if isinstance(t, T.MapType):
+            return True
+        if isinstance(t, T.ArrayType):
+            return has_map(t.elementType)
+        return isinstance(t, T.StructType) and any(has_map(f.dataType) for f in t.fields)
+
+    return F.to_json(F.struct(col)) if has_map(field.dataType) else col
+
+
 _SALT = "_null_spread"
 _SPREADABLE = {"left", "left_outer", "leftouter", "left_anti", "leftanti", "anti"}
 
@@ -123,7 +137,7 @@ def spread_null_keys(big: DataFrame, small: DataFrame, keys: list[str], how: str
     for k in keys:
         any_null = any_null | F.col(f"`{k}`").isNull()
     width = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions", "200") or 200)
-    salt = F.when(any_null, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(width))).otherwise(F.lit(0))
+    salt = F.when(any_null, F.pmod(F.xxhash64(*[_hashable(f) for f in big.schema.fields]), F.lit(width))).otherwise(F.lit(0))
     return big.withColumn(_SALT, salt.cast("long")), small.withColumn(_SALT, F.lit(0).cast("long")), keys + [_SALT]
 
 

@@ -64,7 +64,7 @@ def shared_dir(spark: SparkSession) -> str:
         if current:
             # setCheckpointDir appends a per-application folder; use its parent
             return current.rsplit("/", 1)[0]
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="quaylake-ckpt-")
     if not sc.getCheckpointDir():
@@ -72,6 +72,28 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_SCRATCH: dict[str, str] = {}
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    """The application's folder for written tables, deleted when it ends."""
+    base = shared_dir(spark)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the server owns the folder
+        return f"{base}/quaylake"
+    key = f"{sc.applicationId} {base}"
+    if key not in _SCRATCH:
+        root = f"{base}/quaylake/{sc.applicationId}"
+        path = sc._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _SCRATCH[key] = root
+    return _SCRATCH[key]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared folder for written tables."""
-    return f"{shared_dir(spark)}/quaylake/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder for a written table, under the shared folder; it lives
+    as long as the application, as frames that read it may."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
