@@ -18,13 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def add_column(df: DataFrame, new_field: T.StructField) -> DataFrame:
-    """ALTER TABLE ADD COLUMNS on a frame: the new column is NULL."""
-    if new_field.name in df.columns:
-        raise ValueError(f"column {new_field.name!r} exists")
-    return df.withColumn(new_field.name, F.lit(None).cast(new_field.dataType))
-
-
 def evolved_schema(schema: T.StructType, *new_fields: T.StructField) -> T.StructType:
     return T.StructType(list(schema.fields) + list(new_fields))
 
@@ -42,11 +35,22 @@ class Layout:
     partition_by: Sequence[str] = field(default_factory=tuple)
 
 
+#: stands in a partition path for the empty text, which has no path of its own
+_EMPTY = "\u0001"
+
+
 def write_layout(df: DataFrame, layout: Layout, mode: str = "append") -> None:
-    writer = df.write.mode(mode)
-    if layout.partition_by:
-        writer = writer.partitionBy(*layout.partition_by)
-    writer.parquet(layout.path)
+    """Write under one root. A partitioned root gets its rows dealt by partition
+    value first (Spark splits large values and joins small ones), so there are
+    about as many files as values, not as tasks times values."""
+    if not layout.partition_by:
+        df.write.mode(mode).parquet(layout.path)
+        return
+    for c in layout.partition_by:
+        if isinstance(df.schema[c].dataType, T.StringType):
+            df = df.withColumn(c, F.when(F.col(f"`{c}`") == "", _EMPTY).otherwise(F.col(f"`{c}`")))
+    dealt = df.hint("rebalance", *layout.partition_by)
+    dealt.write.mode(mode).partitionBy(*layout.partition_by).parquet(layout.path)
 
 
 def read_layouts(spark: SparkSession, layouts: Sequence[Layout], schema: T.StructType) -> DataFrame:
@@ -54,7 +58,13 @@ def read_layouts(spark: SparkSession, layouts: Sequence[Layout], schema: T.Struc
     frames = []
     for layout in layouts:
         part = spark.read.schema(schema).parquet(layout.path)
-        frames.append(part.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]))
+        columns = []
+        for f in schema.fields:
+            c = F.col(f"`{f.name}`").cast(f.dataType)
+            if f.name in layout.partition_by and isinstance(f.dataType, T.StringType):
+                c = F.when(c == _EMPTY, "").otherwise(c)
+            columns.append(c.alias(f.name))
+        frames.append(part.select(*columns))
     out = frames[0]
     for other in frames[1:]:
         out = out.unionByName(other, allowMissingColumns=True)

@@ -1,302 +1,152 @@
-"""Versioned table as an append-only row-version log on parquet.
-
-Layout under ``path``:
-
-* ``log/_commit_id=N/_write_id=W/_op=X/``  payload columns + ``_row_id``;
-  X is I, U or D; W is unique per write attempt
-* ``commits/``  one row per commit: commit_id, committed_at, operation,
-  write_id (and the stream epoch for streaming writers)
-
-A write appends only what changed: inserts as ``I`` rows with fresh row ids,
-updates as ``U`` rows (full new image), deletes as ``D`` rows. The commit row
-is written last and names the write id of its log folder; readers only scan
-write ids named by a commit row. Files of a failed attempt therefore stay
-invisible, whatever operations they held, and a retry of commit N writes to a
-fresh folder. One writer at a time.
-
-Reading ``as_of(n)`` prunes log partitions to the visible commits <= n, takes
-every ``I`` row whose row id was never changed (anti join against the changed
-ids, broadcast when measured small) and the latest ``U`` of each changed row
-(partial aggregation on the changed rows only). ``_op`` is a partition
-column, so the changed rows are read without touching insert files, and the
-bulk of a mostly-append table is never shuffled.
+"""Time travel, history and snapshots over a log of row versions.
+
+A log is an ordinary frame: payload columns plus ``_row_id``, ``_commit_id`` and
+``_op`` (``I`` first version, ``U`` new image, ``D`` deleted). The commits are a
+second frame with one row per commit and what was recorded when it was made:
+time, operation, parent, record counts. How the two are stored is the caller's
+business; these functions only read them, except for the ``*_rows`` functions,
+which build the log rows of a change from the state before it.
+
+Reading a state aggregates the changed rows alone: untouched first versions
+come from an anti join, and nothing is collected.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quaylake.operators import dml
-from quaylake.plans.broadcast import join_small
-from quaylake.schemas import COMMITS_SCHEMA, LOG_COMMIT_ID, LOG_OP, LOG_ROW_ID, LOG_WRITE_ID
+from quaylake.schemas import LOG_COMMIT_ID, LOG_OP, LOG_ROW_ID
 
 # Operation names of commits.
 OP_APPEND = "append"
 OP_OVERWRITE = "overwrite"
 OP_DELETE = "delete"
 
+_LOG = (LOG_ROW_ID, LOG_COMMIT_ID, LOG_OP)
+
+
+def payload(log: DataFrame) -> list[str]:
+    return [c for c in log.columns if c not in _LOG]
+
 
-class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.schema = schema
-        self.columns = [f.name for f in schema.fields]
-        self._create_if_absent()
-
-    # ---------------------------------------------------------------- paths
-    @property
-    def log_path(self) -> str:
-        return f"{self.path}/log"
-
-    @property
-    def commits_path(self) -> str:
-        return f"{self.path}/commits"
-
-    # ------------------------------------------------------------- metadata
-    def _create_if_absent(self) -> None:
-        """CREATE TABLE IF NOT EXISTS: an empty commits table, so readers never
-        scan a missing path (``ignore`` keeps an existing table untouched)."""
-        self.spark.createDataFrame([], COMMITS_SCHEMA).coalesce(1).write.mode("ignore").parquet(self.commits_path)
-
-    def commits(self) -> DataFrame:
-        return self.spark.read.schema(COMMITS_SCHEMA).parquet(self.commits_path)
-
-    def _visible(self, upto: int | None = None) -> list[tuple[int, str, str]]:
-        """(commit id, operation, write id) of visible commits: table
-        metadata, one row per commit."""
-        c = self.commits()
-        if upto is not None:
-            c = c.where(F.col("commit_id") <= upto)
-        rows = c.select("commit_id", "operation", "write_id").collect()
-        return sorted((r["commit_id"], r["operation"], r["write_id"]) for r in rows)
-
-    def commit_ids(self, upto: int | None = None) -> list[int]:
-        """Ids of the visible commits (up to ``upto``), ascending."""
-        return [cid for cid, _, _ in self._visible(upto)]
-
-    def latest_commit(self) -> int | None:
-        """Id of the latest visible commit (one aggregated value)."""
-        return self.commits().agg(F.max("commit_id")).first()[0]
-
-    def _log_schema(self) -> T.StructType:
-        return T.StructType(
-            list(self.schema.fields)
-            + [
-                T.StructField(LOG_ROW_ID, T.StringType(), False),
-                T.StructField(LOG_OP, T.StringType(), False),
-                T.StructField(LOG_COMMIT_ID, T.LongType(), False),
-                T.StructField(LOG_WRITE_ID, T.StringType(), False),
-            ]
-        )
-
-    def log(self, upto: int | None = None, visible: list[tuple[int, str, str]] | None = None) -> DataFrame:
-        """Log rows of visible commits, partition-pruned to their write ids."""
-        visible = self._visible(upto) if visible is None else visible
-        writes = [w for _, _, w in visible if w]
-        if not writes:
-            return self.spark.createDataFrame([], self._log_schema())
-        return (
-            self.spark.read.schema(self._log_schema())
-            .parquet(self.log_path)
-            .where(F.col(LOG_WRITE_ID).isin(writes))
-            .drop(LOG_WRITE_ID)
-        )
-
-    # ---------------------------------------------------------------- write
-    def _next_id(self) -> int:
-        last = self.latest_commit()
-        return 1 if last is None else last + 1
-
-    def _write(
-        self,
-        rows: DataFrame,
-        operation: str,
-        committed_at: dt.datetime | None,
-        cid: int | None = None,
-        epoch: tuple[str, int] | None = None,
-    ) -> int:
-        cid = self._next_id() if cid is None else cid
-        # a fresh folder per attempt: nothing of an earlier failed attempt at
-        # commit N is overwritten or read, since no commit row names it
-        write_id = uuid.uuid4().hex
-        (
-            rows.withColumn(LOG_COMMIT_ID, F.lit(cid).cast("long"))
-            .withColumn(LOG_WRITE_ID, F.lit(write_id))
-            .write.mode("append")
-            .partitionBy(LOG_COMMIT_ID, LOG_WRITE_ID, LOG_OP)
-            .parquet(self.log_path)
-        )
-        when = committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        stream, epoch_id = epoch if epoch else (None, None)
-        meta = self.spark.createDataFrame([(cid, when, operation, stream, epoch_id, write_id)], COMMITS_SCHEMA)
-        meta.coalesce(1).write.mode("append").parquet(self.commits_path)
-        return cid
-
-    def _payload(self, df: DataFrame) -> DataFrame:
-        return df.select(
-            *[
-                F.col(f"`{c}`").cast(self.schema[c].dataType).alias(c)
-                if c in df.columns
-                else F.lit(None).cast(self.schema[c].dataType).alias(c)
-                for c in self.columns
-            ]
-        )
-
-    def _with_new_ids(self, df: DataFrame, cid: int) -> DataFrame:
-        # unique per commit: commit id + partition-qualified monotonically increasing id
-        rid = F.concat(F.lit(f"{cid}-"), F.monotonically_increasing_id().cast("string"))
-        return self._payload(df).withColumn(LOG_ROW_ID, rid).withColumn(LOG_OP, F.lit("I"))
-
-    def insert(
-        self, df: DataFrame, committed_at: dt.datetime | None = None, epoch: tuple[str, int] | None = None
-    ) -> int:
-        """Append rows as one commit; ``epoch`` = (stream, micro-batch id)."""
-        cid = self._next_id()
-        return self._write(self._with_new_ids(df, cid), OP_APPEND, committed_at, cid, epoch)
-
-    def has_epoch(self, stream: str, epoch_id: int) -> bool:
-        """Whether a micro-batch of a stream was already committed (metadata)."""
-        c = self.commits()
-        return c.where((F.col("stream") == stream) & (F.col("epoch_id") == epoch_id)).limit(1).count() > 0
-
-    def insert_epoch(
-        self, df: DataFrame, stream: str, epoch_id: int, committed_at: dt.datetime | None = None
-    ) -> int | None:
-        """Commit a micro-batch unless ``(stream, epoch_id)`` is already
-        committed; returns the new commit id, or None for a replayed batch.
-        One metadata read answers both the replay check and the next id."""
-        done, last = (
-            self.commits()
-            .agg(
-                F.count_if((F.col("stream") == stream) & (F.col("epoch_id") == epoch_id)).alias("done"),
-                F.max("commit_id").alias("last"),
-            )
-            .first()
-        )
-        if done:
-            return None
-        cid = (last or 0) + 1
-        return self._write(self._with_new_ids(df, cid), OP_APPEND, committed_at, cid, (stream, epoch_id))
-
-    def _current_with_ids(self) -> DataFrame:
-        return self._state(None, keep_ids=True)
-
-    def update(self, predicate, assignments: Mapping[str, object], committed_at: dt.datetime | None = None) -> int:
-        cur = self._current_with_ids()
-        hit = cur.where(dml._pred(predicate))
-        changed = dml.update_where(hit, F.lit(True), assignments).withColumn(LOG_OP, F.lit("U"))
-        return self._write(changed, OP_OVERWRITE, committed_at)
-
-    def delete(self, predicate, committed_at: dt.datetime | None = None) -> int:
-        cur = self._current_with_ids()
-        gone = cur.where(dml._pred(predicate)).withColumn(LOG_OP, F.lit("D"))
-        return self._write(gone, OP_DELETE, committed_at)
-
-    def merge(
-        self,
-        source: DataFrame,
-        on: str | Sequence[str],
-        update: Mapping[str, object] | None = None,
-        insert: bool = True,
-        committed_at: dt.datetime | None = None,
-    ) -> int:
-        """MERGE as one commit: matched rows become ``U`` rows, unmatched
-        source rows ``I`` rows."""
-        cur = self._current_with_ids()
-        cid = self._next_id()
-        flag = "_merge_matched"
-        merged = dml.merge_into(cur, source, on, update=update, insert=insert, matched_flag=flag)
-        updated = merged.where(F.col(flag)).withColumn(LOG_OP, F.lit("U")).select(*self.columns, LOG_ROW_ID, LOG_OP)
-        inserted = self._with_new_ids(merged.where(F.col(flag).isNull()), cid)
-        rows = (updated if update else updated.where(F.lit(False))).unionByName(inserted)
-        return self._write(rows, OP_OVERWRITE, committed_at, cid)
-
-    # ----------------------------------------------------------------- read
-    def _state(self, commit_id: int | None, keep_ids: bool = False) -> DataFrame:
-        visible = self._visible(commit_id)
-        log = self.log(visible=visible)
-        inserted = log.where(F.col(LOG_OP) == "I")
-        payload = self.columns + [LOG_ROW_ID, LOG_OP]
-        if all(op == OP_APPEND for _, op, _ in visible):
-            # append-only so far: the state is the inserted rows, a pruned scan
-            return inserted.select(*(payload if keep_ids else self.columns))
-        changed = log.where(F.col(LOG_OP) != "I")
-        latest = (
-            changed.groupBy(LOG_ROW_ID)
-            .agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in self.columns], F.col(LOG_OP)), F.col(LOG_COMMIT_ID)).alias("v"))
-            .select(LOG_ROW_ID, "v.*")
-            .where(F.col(LOG_OP) == "U")
-        )
-        changed_ids = changed.select(LOG_ROW_ID).distinct()
-        untouched = join_small(inserted, changed_ids, LOG_ROW_ID, "left_anti")
-        state = untouched.select(*payload).unionByName(latest.select(*payload))
-        return state if keep_ids else state.select(*self.columns)
-
-    def as_of(self, commit_id: int) -> DataFrame:
-        """Table state after commit ``commit_id`` (time travel)."""
-        return self._state(commit_id)
-
-    def current(self) -> DataFrame:
-        """State after the latest visible commit."""
-        return self._state(None)
-
-    def first_commit_id(self) -> DataFrame:
-        """One-row frame with the earliest commit by commit time."""
-        return self.commits().orderBy("committed_at", "commit_id").limit(1).select("commit_id")
-
-    def history(self) -> DataFrame:
-        """made_current_at, snapshot_id, parent_id, is_current_ancestor. The
-        commits table has one row per commit, so an unpartitioned window over
-        it is bounded by the commit count."""
-        w = Window.orderBy("committed_at", "commit_id")
-        return self.commits().select(
-            F.col("committed_at").alias("made_current_at"),
-            F.col("commit_id").alias("snapshot_id"),
-            F.lag("commit_id").over(w).alias("parent_id"),
-            F.lit(True).alias("is_current_ancestor"),
-        )
-
-    def snapshots(self, flat: bool = False) -> DataFrame:
-        """committed_at, snapshot_id, operation and a summary of record counts
-        (added, updated, deleted, running total). The log is reduced to one
-        row per commit by a partial aggregation first, so the running-total
-        window only sees the commit metadata."""
-        counts = self.log().groupBy(LOG_COMMIT_ID).agg(
-            F.count_if(F.col(LOG_OP) == "I").alias("added_records"),
-            F.count_if(F.col(LOG_OP) == "U").alias("updated_records"),
-            F.count_if(F.col(LOG_OP) == "D").alias("deleted_records"),
-        )
-        w = Window.orderBy("committed_at", "snapshot_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        snap = (
-            self.commits()
-            .join(counts, F.col("commit_id") == F.col(LOG_COMMIT_ID), "left")
-            .select(
-                "committed_at",
-                F.col("commit_id").alias("snapshot_id"),
-                "operation",
-                *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("added_records", "updated_records", "deleted_records")],
-            )
-            .withColumn("total_records", F.sum(F.col("added_records") - F.col("deleted_records")).over(w))
-        )
-        if flat:
-            return snap
-        summary = F.create_map(
-            *[
-                x
-                for name, col in (
-                    ("added-records", "added_records"),
-                    ("updated-records", "updated_records"),
-                    ("deleted-records", "deleted_records"),
-                    ("total-records", "total_records"),
-                )
-                for x in (F.lit(name), F.col(col).cast("string"))
-            ]
-        )
-        return snap.select("committed_at", "snapshot_id", "operation", summary.alias("summary"))
+# ------------------------------------------------------------------------ reading
+def current(log: DataFrame, with_ids: bool = False) -> DataFrame:
+    """The state after all commits of ``log``."""
+    columns = payload(log)
+    inserted = log.where(F.col(LOG_OP) == "I")
+    image = F.struct(*[F.col(f"`{c}`") for c in columns], LOG_OP)
+    changed = log.where(F.col(LOG_OP) != "I").groupBy(LOG_ROW_ID)
+    latest = changed.agg(F.max_by(image, LOG_COMMIT_ID).alias("_v"))
+    untouched = inserted.join(latest.select(LOG_ROW_ID), LOG_ROW_ID, "left_anti")
+    images = latest.where(F.col("_v")[LOG_OP] == "U").select(LOG_ROW_ID, "_v.*")
+    names = ([LOG_ROW_ID] if with_ids else []) + columns
+    quoted = [F.col(f"`{c}`") for c in names]
+    return untouched.select(*quoted).unionByName(images.select(*quoted))
+
+
+def as_of(log: DataFrame, commits: DataFrame, commit_id: int, with_ids: bool = False) -> DataFrame:
+    """The state after commit ``commit_id``; an id that no commit has is refused."""
+    if commits.where(F.col("commit_id") == commit_id).isEmpty():
+        raise ValueError(f"no commit {commit_id}")
+    return current(log.where(F.col(LOG_COMMIT_ID) <= commit_id), with_ids)
+
+
+def first_commit(commits: DataFrame, at_least: int = 2) -> int:
+    """Id of the earliest commit by time (ties by id); fewer than ``at_least``
+    commits are refused. One aggregated row answers both."""
+    n, first = commits.agg(F.count(F.lit(1)), F.min_by("commit_id", F.struct("committed_at", "commit_id"))).first()
+    if n < at_least:
+        raise RuntimeError(f"time travel needs at least {at_least} commits")
+    return first
+
+
+def history(commits: DataFrame) -> DataFrame:
+    """made_current_at, snapshot_id, parent_id, is_current_ancestor."""
+    return commits.select(
+        F.col("committed_at").alias("made_current_at"),
+        F.col("commit_id").alias("snapshot_id"),
+        "parent_id",
+        F.lit(True).alias("is_current_ancestor"),
+    )
+
+
+_COUNTS = ("added_records", "updated_records", "deleted_records", "total_records")
+
+
+def snapshots(commits: DataFrame, flat: bool = False) -> DataFrame:
+    """committed_at, snapshot_id, operation and the recorded counts, as columns
+    (``flat``) or as a ``summary`` map."""
+    head = ["committed_at", F.col("commit_id").alias("snapshot_id"), "operation"]
+    if flat:
+        return commits.select(*head, *_COUNTS)
+    pairs = [x for c in _COUNTS for x in (F.lit(c.replace("_", "-")), F.col(c).cast("string"))]
+    return commits.select(*head, F.create_map(*pairs).alias("summary"))
+
+
+def recorded(log: DataFrame, committed_at: Column) -> DataFrame:
+    """The commits frame of a log: one row per commit, counted with map-side
+    aggregation; ``committed_at`` is a column over ``commit_id``. Parent and
+    running total come from windows over these rows, one per commit."""
+    count = lambda op: F.count_if(F.col(LOG_OP) == op)
+    per_commit = log.groupBy(F.col(LOG_COMMIT_ID).alias("commit_id")).agg(
+        count("I").alias("added_records"), count("U").alias("updated_records"), count("D").alias("deleted_records")
+    )
+    kept = (F.col("updated_records") == 0) & (F.col("deleted_records") == 0)
+    gone = (F.col("updated_records") == 0) & (F.col("added_records") == 0)
+    operation = F.when(kept, OP_APPEND).when(gone, OP_DELETE).otherwise(OP_OVERWRITE)
+    in_order = Window.orderBy("commit_id")
+    total = F.sum(F.col("added_records") - F.col("deleted_records")).over(in_order)
+    return per_commit.select(
+        "commit_id",
+        committed_at.alias("committed_at"),
+        operation.alias("operation"),
+        F.lag("commit_id").over(in_order).alias("parent_id"),
+        *_COUNTS[:3],
+        total.alias("total_records"),
+    )
+
+
+# ------------------------------------------------------------------------ changing
+def _log_rows(rows: DataFrame, commit_id: int, op: str) -> DataFrame:
+    return rows.withColumn(LOG_COMMIT_ID, F.lit(commit_id).cast("long")).withColumn(LOG_OP, F.lit(op))
+
+
+def insert_rows(rows: DataFrame, commit_id: int, row_id: Column) -> DataFrame:
+    """Log rows of an insert; ``row_id`` identifies each row for good."""
+    return _log_rows(rows.withColumn(LOG_ROW_ID, row_id.cast("string")), commit_id, "I")
+
+
+def update_rows(state: DataFrame, predicate, assignments: Mapping[str, object], commit_id: int) -> DataFrame:
+    """Log rows of an update; ``state`` carries row ids."""
+    hit = state.where(dml._pred(predicate))
+    return _log_rows(dml.update_where(hit, F.lit(True), assignments), commit_id, "U")
+
+
+def delete_rows(state: DataFrame, predicate, commit_id: int) -> DataFrame:
+    """Log rows of a delete; ``state`` carries row ids."""
+    return _log_rows(state.where(dml._pred(predicate)), commit_id, "D")
+
+
+def merge_rows(
+    state: DataFrame,
+    source: DataFrame,
+    on: str | Sequence[str],
+    update: Mapping[str, object] | None,
+    commit_id: int,
+    row_id: Column,
+) -> DataFrame:
+    """Log rows of a merge: new images of matched rows, first versions of the
+    source rows that match nothing (``row_id`` over their columns)."""
+    flag = "_merge_matched"
+    merged = dml.merge_into(state, source, on, update=update, matched_flag=flag)
+    columns = [c for c in state.columns if c != LOG_ROW_ID]
+    fresh = merged.where(F.col(flag).isNull()).select(*[F.col(f"`{c}`") for c in columns])
+    out = insert_rows(fresh, commit_id, row_id)
+    if update:
+        images = merged.where(F.col(flag)).drop(flag)
+        out = out.unionByName(_log_rows(images, commit_id, "U"))
+    return out

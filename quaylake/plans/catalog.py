@@ -14,21 +14,21 @@ from pyspark.sql import types as T
 
 from quaylake.functions.events import decode_events, encode_events, json_field
 from quaylake.functions.shipments import derive_revenue as revenue_rule
-from quaylake.operators import dml, evolve, kpis
+from quaylake.operators import dml, evolve, kpis, versions
 from quaylake.operators.quality import report
 from quaylake.operators.quality import validate as V
-from quaylake.operators.quality.gate import DEFAULT_THRESHOLD, gate, gated_rows
-from quaylake.operators.quality.rules import between, retail_suite
+from quaylake.operators.quality.gate import DEFAULT_THRESHOLD, gate, gated_load, gated_rows
+from quaylake.operators.quality.rules import between, retail_suite, unique
 from quaylake.operators.quality.run import validate_batch
 from quaylake.plans import lab
 from quaylake.plans.broadcast import join_small
 from quaylake.schemas import DELIVERY_RATING, RETAIL_ORDER_SCHEMA, SHIPMENT_SCHEMA
 from quaylake.session import scratch_path
+from quaylake.sources import catalog as ddl
 from quaylake.sources import fixtures, results_io
-from quaylake.sources.csv_io import read_csv, write_csv
+from quaylake.sources.csv_io import CORRUPT, read_csv, write_csv
 from quaylake.sources.tables import read_table
-from quaylake.operators.versions import VersionedTable
-from quaylake.streaming.ingest import event_source, ingest_available, stream_into_versioned
+from quaylake.streaming.ingest import decoded_stream, event_source, ingest_available, start_append
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,11 +38,11 @@ LOW_THRESHOLD = 80.0
 
 # ---------------------------------------------------------------- quality
 def _annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.annotate(fixtures.retail_orders(spark, sf_dir), retail_suite())
+    return V.annotate(fixtures.retail_orders(spark, sf_dir), retail_suite(fixtures.AS_OF_DATE))
 
 
 def dq_rule_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.rule_stats(_annotated(spark, sf_dir), retail_suite())
+    return V.rule_stats(_annotated(spark, sf_dir), retail_suite(fixtures.AS_OF_DATE))
 
 
 def dq_batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +70,7 @@ def dq_split_semi_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     hot repeated row) and the set is broadcast only when measured small."""
     base = fixtures.retail_orders(spark, sf_dir)
     cols = base.columns
-    failed = V.quarantine_rows(V.annotate(base, retail_suite())).select(*cols).distinct()
+    failed = V.quarantine_rows(V.annotate(base, retail_suite(fixtures.AS_OF_DATE))).select(*cols).distinct()
 
     def same_row(big: DataFrame, small: DataFrame):
         cond = big[cols[0]].eqNullSafe(small[cols[0]])
@@ -99,7 +99,7 @@ def _gated(threshold: float) -> Query:
 
 
 def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.rule_stats(_annotated(spark, sf_dir), retail_suite(), with_kwargs=True)
+    return V.rule_stats(_annotated(spark, sf_dir), retail_suite(fixtures.AS_OF_DATE), with_kwargs=True)
 
 
 def dq_report_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +108,7 @@ def dq_report_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_report_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     ann = _annotated(spark, sf_dir)
-    return report.report_summary(V.rule_stats(ann, retail_suite()), V.batch_stats(ann))
+    return report.report_summary(V.rule_stats(ann, retail_suite(fixtures.AS_OF_DATE)), V.batch_stats(ann))
 
 
 def dq_results_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,22 +122,65 @@ def dq_validate_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written run: one job splits the batch into clean / quarantine
     partitions; the quarantined rows are read back from the written table."""
     out = scratch_path(spark, "validation")
-    return validate_batch(spark, fixtures.retail_orders(spark, sf_dir), retail_suite(), out).quarantine
+    return validate_batch(spark, fixtures.retail_orders(spark, sf_dir), retail_suite(fixtures.AS_OF_DATE), out).quarantine
+
+
+def _with_odd_texts(batch: DataFrame) -> DataFrame:
+    """The batch with product ids that a CSV file can lose: blanks around, quotes,
+    commas, line breaks, a backslash, the empty text."""
+    product, kind = F.col("product_id"), F.length("customer_id") + F.length("product_id")
+    return batch.withColumn(
+        "product_id",
+        F.when(kind % 7 == 1, F.concat(F.lit("  "), product, F.lit(" ")))
+        .when(kind % 7 == 2, F.concat(F.lit('say "'), product, F.lit('", ok')))
+        .when(kind % 7 == 3, F.concat(product, F.lit("\nsecond line")))
+        .when(kind % 7 == 4, "")
+        .when(kind % 7 == 5, F.concat(F.lit("back\\"), product))
+        .otherwise(product),
+    )
 
 
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Retail batch written as CSV, read back with the declared schema."""
+    """Retail batch written as CSV in another column order, with odd texts and
+    some quantities that are no numbers, and read by header name. Records that
+    do not fit are told apart and keep what could be read."""
+    batch = _with_odd_texts(fixtures.retail_orders(spark, sf_dir))
+    quantity = F.when(F.col("quantity") == 7, "seven").otherwise(F.col("quantity").cast("string"))
     path = scratch_path(spark, "retail_csv")
-    write_csv(fixtures.retail_orders(spark, sf_dir), path)
-    return read_csv(spark, path, RETAIL_ORDER_SCHEMA)
+    write_csv(batch.withColumn("quantity", quantity).select(*reversed(batch.columns)), path)
+    rows = read_csv(spark, path, RETAIL_ORDER_SCHEMA, multi_line=True, with_corrupt=True)
+    return rows.withColumn("is_bad", F.col(CORRUPT).isNotNull()).drop(CORRUPT)
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quarantined rows with reasons through the CSV sink and source."""
+    """Quarantined rows with odd texts and their reasons through the CSV sink and
+    source."""
     path = scratch_path(spark, "quarantine_csv")
-    write_csv(V.quarantine_rows(_annotated(spark, sf_dir)), path)
+    write_csv(_with_odd_texts(V.quarantine_rows(_annotated(spark, sf_dir))), path)
     schema = T.StructType(list(RETAIL_ORDER_SCHEMA.fields) + [T.StructField(V.REASONS, T.StringType(), True)])
-    return read_csv(spark, path, schema)
+    return read_csv(spark, path, schema, multi_line=True)
+
+
+def dq_unique_later_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows failing a uniqueness rule on a numeric column that is not the first one
+    and holds NaN: columns keep their order, NaN is missing."""
+    batch = fixtures.retail_orders(spark, sf_dir)
+    price = F.when(F.col("quantity") == 3, F.lit(float("nan"))).otherwise(F.round("price", -2))
+    rules = [unique("price")]
+    return V.rule_failures(V.annotate(batch.withColumn("price", price), rules), rules, 0)
+
+
+def dq_load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One suite run, its clean rows loaded through the gate twice, as after a
+    retry, and read back."""
+    batch = fixtures.retail_orders(spark, sf_dir)
+    run = validate_batch(spark, batch, retail_suite(fixtures.AS_OF_DATE), scratch_path(spark, "validation"), LOW_THRESHOLD)
+    target = scratch_path(spark, "loaded")
+    stats = run.batch_stats
+    for _ in range(2):
+        if not gated_load(run.clean, stats, target, LOW_THRESHOLD, batch_id="2001-06-30"):
+            return run.clean.limit(0)
+    return spark.read.schema(batch.schema).parquet(f"{target}/batch_id=2001-06-30")
 
 
 # ------------------------------------------------------------- shipments
@@ -161,6 +204,13 @@ def kpi_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.kpi_summary(fixtures.shipments(spark, sf_dir).drop("revenue", "weight"))
 
 
+def kpi_empty_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The empty-table test on the shipments and on those of a status none has."""
+    ships = fixtures.shipments(spark, sf_dir)
+    some = kpis.is_empty(ships).withColumn("rows", F.lit("all"))
+    return some.unionByName(kpis.is_empty(ships.where("status = 'Lost'")).withColumn("rows", F.lit("lost")))
+
+
 def revenue_by_destination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.revenue_by_destination(fixtures.shipments(spark, sf_dir))
 
@@ -189,6 +239,7 @@ def derive_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------- events
 def event_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = fixtures.shipments(spark, sf_dir)
+    s = s.withColumn("vehicle_id", F.when(F.col("status") != "Delivered", F.col("vehicle_id")))
     return encode_events(s, key="shipment_id").withColumnRenamed("key", "shipment_id")
 
 
@@ -232,26 +283,67 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(SHIPMENT_SCHEMA).parquet(sink)
 
 
+def _own_table(spark: SparkSession, name: str, schema: T.StructType) -> str:
+    """A new catalog table of our own, its files under the shared folder."""
+    path = scratch_path(spark, name)
+    table = f"quaylake_lab.{path.rsplit('/', 1)[1].replace('-', '_')}"
+    ddl.ensure_database(spark, "quaylake_lab", scratch_path(spark, "lab"))
+    ddl.ensure_table(spark, table, schema, location=path)
+    return table
+
+
+def _kept(spark: SparkSession, table: str, name: str) -> DataFrame:
+    """The rows of a catalog table in a written copy; the table is dropped."""
+    path = scratch_path(spark, name)
+    rows = spark.table(table)
+    rows.write.parquet(path)
+    ddl.drop_table(spark, table)
+    if ddl.table_exists(spark, table):
+        raise RuntimeError(f"{table} is still there")
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def stream_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON stream committed batch by batch into a versioned table; a second
-    run after more files arrive adds one commit. Returns the current state."""
-    src = _stream_input(spark, sf_dir)
-    table = VersionedTable(spark, scratch_path(spark, "stream_table"), SHIPMENT_SCHEMA)
-    ckpt = scratch_path(spark, "stream_table_ckpt")
+    """JSON stream into a catalog table by a short processing-time trigger; a second
+    run after more files arrive adds what is new."""
+    src, ckpt = _stream_input(spark, sf_dir), scratch_path(spark, "stream_table_ckpt")
+    table = _own_table(spark, "stream_table", SHIPMENT_SCHEMA)
 
     def run() -> None:
-        stream = decode_events(event_source(spark, fmt="text", path=src), SHIPMENT_SCHEMA)
-        stream_into_versioned(table, stream, ckpt, available_now=True).awaitTermination()
+        stream = decoded_stream(event_source(spark, fmt="text", path=src), SHIPMENT_SCHEMA)
+        query = start_append(stream, ckpt, table=table, trigger="200 milliseconds")
+        query.processAllAvailable()
+        query.stop()
 
     run()
     encode_events(fixtures.merge_source(spark, sf_dir)).write.mode("append").text(src)
     run()
-    return table.current()
+    return _kept(spark, table, "stream_rows")
+
+
+def catalog_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Create a table, insert through a temp view, add a column, insert again, read
+    and drop it."""
+    table = _own_table(spark, "catalog_table", SHIPMENT_SCHEMA)
+    view = table.replace(".", "_") + "_incoming"
+    fixtures.shipments(spark, sf_dir).createOrReplaceTempView(view)
+    spark.sql(f"INSERT INTO {table} SELECT * FROM {view}")
+    evolve.add_columns_sql(spark, table, DELIVERY_RATING)
+    fixtures.new_shipments(spark, sf_dir).withColumn(DELIVERY_RATING.name, F.lit(5)).createOrReplaceTempView(view)
+    spark.sql(f"INSERT INTO {table} SELECT * FROM {view}")
+    spark.catalog.dropTempView(view)
+    return _kept(spark, table, "catalog_rows")
 
 
 # -------------------------------------------------------------------- DML
+def _other_spelling(df: DataFrame) -> DataFrame:
+    """Column names in capitals and weights as whole numbers."""
+    return df.withColumn("weight", F.col("weight").cast("long")).toDF(*[c.upper() for c in df.columns])
+
+
 def insert_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dml.insert_append(fixtures.shipments(spark, sf_dir), fixtures.new_shipments(spark, sf_dir))
+    rows = _other_spelling(fixtures.new_shipments(spark, sf_dir))
+    return dml.insert_append(fixtures.shipments(spark, sf_dir), rows)
 
 
 def update_where(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,7 +355,8 @@ def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dml.merge_into(fixtures.shipments(spark, sf_dir), fixtures.merge_source(spark, sf_dir), "shipment_id", MERGE_SET)
+    source = _other_spelling(fixtures.merge_source(spark, sf_dir))
+    return dml.merge_into(fixtures.shipments(spark, sf_dir), source, "shipment_id", MERGE_SET)
 
 
 def merge_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,32 +378,25 @@ def merge_dup_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------- versioning
 def as_of_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lab.versioned_shipments(spark, sf_dir).as_of(2)
+    return versions.as_of(*lab.shipment_log(spark, sf_dir), lab.AS_OF_MONTH)
 
 
 def as_of_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lab.versioned_shipments(spark, sf_dir).current()
+    return versions.current(lab.shipment_log(spark, sf_dir)[0])
 
 
 def first_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table as of its earliest commit by commit time (ties by id); at
-    least two commits are required. One aggregated metadata row answers both."""
-    table = lab.versioned_shipments(spark, sf_dir)
-    meta = table.commits().agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min_by("commit_id", F.struct("committed_at", "commit_id")).alias("first"),
-    ).first()
-    if meta["n"] < 2:
-        raise RuntimeError("time travel needs at least two commits")
-    return table.as_of(meta["first"])
+    """The table as of its earliest commit by time; two at least are required."""
+    log, commits = lab.shipment_log(spark, sf_dir)
+    return versions.as_of(log, commits, versions.first_commit(commits))
 
 
 def commit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lab.versioned_shipments(spark, sf_dir).history()
+    return versions.history(lab.shipment_log(spark, sf_dir)[1])
 
 
 def commit_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lab.versioned_shipments(spark, sf_dir).snapshots(flat=True)
+    return versions.snapshots(lab.shipment_log(spark, sf_dir)[1], flat=True)
 
 
 # -------------------------------------------------------------- evolution
@@ -345,7 +431,7 @@ def _rule_query(index: int) -> Query:
     for the uniqueness rule alone."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rule = [retail_suite()[index]]
+        rule = [retail_suite(fixtures.AS_OF_DATE)[index]]
         return V.rule_failures(V.annotate(fixtures.retail_orders(spark, sf_dir), rule), rule, 0)
 
     return run
@@ -364,6 +450,8 @@ def all_queries() -> dict[str, Query]:
         "dq_gate": dq_gate,
         "dq_gated_load": _gated(DEFAULT_THRESHOLD),
         "dq_gated_load_low_threshold": _gated(LOW_THRESHOLD),
+        "dq_load_twice": dq_load_twice,
+        "dq_unique_later_column": dq_unique_later_column,
         "dq_report_checks": dq_report_checks,
         "dq_report_summary": dq_report_summary,
         "dq_results_json": dq_results_json,
@@ -376,6 +464,7 @@ def all_queries() -> dict[str, Query]:
         "kpi_summary": kpi_summary,
         "kpi_display": kpi_display,
         "kpi_missing_column": kpi_missing_column,
+        "kpi_empty_table": kpi_empty_table,
         "revenue_by_destination": revenue_by_destination,
         "priority_distribution": priority_distribution,
         "status_breakdown": status_breakdown,
@@ -389,6 +478,7 @@ def all_queries() -> dict[str, Query]:
         "stream_ingest": stream_ingest,
         "stream_restart": stream_restart,
         "stream_versioned": stream_versioned,
+        "catalog_lifecycle": catalog_lifecycle,
         # DML
         "insert_append": insert_append,
         "update_where": update_where,

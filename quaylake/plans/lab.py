@@ -2,21 +2,20 @@
 
 Each is built once per Spark application and scale-factor folder under the
 shared checkpoint folder (``spark.checkpoint.dir``), then read back by the
-queries: a plain shipments table, a versioned shipments table with three
-commits, and a table whose partition layout changed half way.
+queries: a plain shipments table, a log of shipment versions with its commits,
+and a table whose partition layout changed half way. ``prepare`` builds all.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quaylake.operators import versions
 from quaylake.operators.evolve import Layout, write_layout
-from quaylake.operators.versions import VersionedTable
-from quaylake.schemas import SHIPMENT_SCHEMA
+from quaylake.schemas import LOG_COMMIT_ID, LOG_OP, LOG_ROW_ID, SHIPMENT_SCHEMA
 from quaylake.session import scratch_path
 from quaylake.sources import fixtures
 
@@ -24,7 +23,7 @@ _LOCK = threading.RLock()
 _BUILT: dict[tuple[str, str, str], object] = {}
 
 # Fixed values of the versioned-table scenario.
-COMMIT_TIMES = [dt.datetime(2001, 8, 1, 12, 0, s) for s in (1, 2, 3)]
+AS_OF_MONTH = 1995 * 12 + 6  # commit of June 1995
 UPDATE_PREDICATE = "priority = 'High' AND status = 'In Transit'"
 UPDATE_SET = {"status": "'Out for Delivery'"}
 DELETE_PREDICATE = "status = 'Delivered'"
@@ -59,18 +58,28 @@ def read_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(SHIPMENT_SCHEMA).parquet(shipments_table(spark, sf_dir))
 
 
-def versioned_shipments(spark: SparkSession, sf_dir: str) -> VersionedTable:
-    """commit 1 inserts all shipments; commit 2 moves High in-transit rows to
-    Out for Delivery; commit 3 deletes Delivered rows."""
+def shipment_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A log of shipment versions and its commits, one commit per month (numbered
+    year * 12 + month): a shipment enters in the month of its order, a High one
+    in transit is sent out for delivery a month later, a delivered one leaves
+    two months later."""
 
-    def build() -> VersionedTable:
-        table = VersionedTable(spark, scratch_path(spark, "versioned"), SHIPMENT_SCHEMA)
-        table.insert(read_shipments(spark, sf_dir), committed_at=COMMIT_TIMES[0])
-        table.update(UPDATE_PREDICATE, UPDATE_SET, committed_at=COMMIT_TIMES[1])
-        table.delete(DELETE_PREDICATE, committed_at=COMMIT_TIMES[2])
-        return table
+    def build() -> tuple[str, str]:
+        ships = read_shipments(spark, sf_dir).where(F.col("timestamp").isNotNull())
+        year, month = (F.substring("timestamp", *at).cast("long") for at in ((1, 4), (6, 2)))
+        entered = ships.withColumn(LOG_ROW_ID, F.col("shipment_id")).withColumn(LOG_COMMIT_ID, year * 12 + month)
+        later = lambda df, months, op: df.withColumn(LOG_COMMIT_ID, F.col(LOG_COMMIT_ID) + months).withColumn(LOG_OP, F.lit(op))
+        sent = entered.where(UPDATE_PREDICATE).withColumn("status", F.expr(UPDATE_SET["status"]))
+        log = later(entered, 0, "I").unionByName(later(sent, 1, "U")).unionByName(later(entered.where(DELETE_PREDICATE), 2, "D"))
+        log_path, commits_path = scratch_path(spark, "version-log"), scratch_path(spark, "version-commits")
+        log.write.parquet(log_path)
+        number = F.col("commit_id") - 1
+        at = F.make_date(F.floor(number / 12).cast("int"), (number % 12 + 1).cast("int"), F.lit(1)).cast("timestamp_ntz")
+        versions.recorded(spark.read.parquet(log_path), at).coalesce(1).write.parquet(commits_path)
+        return log_path, commits_path
 
-    return _memo(spark, sf_dir, "versioned", build)
+    log, commits = _memo(spark, sf_dir, "version-log", build)
+    return spark.read.parquet(log), spark.read.parquet(commits)
 
 
 def evolved_layouts(spark: SparkSession, sf_dir: str) -> list[Layout]:
@@ -87,3 +96,10 @@ def evolved_layouts(spark: SparkSession, sf_dir: str) -> list[Layout]:
         return [old, new]
 
     return _memo(spark, sf_dir, "layouts", build)
+
+
+def prepare(spark: SparkSession, sf_dir: str) -> None:
+    """Build every table above."""
+    shipments_table(spark, sf_dir)
+    shipment_log(spark, sf_dir)
+    evolved_layouts(spark, sf_dir)

@@ -164,22 +164,42 @@ SELECT {SHIP_COLS} FROM {src} s
 WHERE s.shipment_id IS NULL OR NOT EXISTS (SELECT 1 FROM shipments t WHERE t.shipment_id = s.shipment_id)"""
 
 
-def _criteria(col: str, exp: str, lo: str | None, hi: str | None) -> str:
-    if "not_be_null" in exp:
-        tail = "to contain no null values."
-    elif "be_unique" in exp:
-        tail = "to contain only unique values."
-    elif "be_between" in exp:
-        tail = (f"to be between {lo} and {hi}." if lo is not None and hi is not None
-                else f"to be at least {lo}." if lo is not None else f"to be at most {hi}.")
-    elif "match_regex" in exp:
-        tail = "to match standard format."
-    else:
-        tail = f"to satisfy expectation {exp}."
-    return f"Expect {col} {tail}"
-
-
-RULE_BOUNDS = {4: ("0.01", None), 5: ("1", None), 7: (None, "2001-06-30")}
+# The criteria text expected for each rule of the suite.
+CRITERIA = (
+    (0, "Expect order_id to contain no null values."),
+    (1, "Expect order_id to contain only unique values."),
+    (2, "Expect product_id to contain no null values."),
+    (3, "Expect customer_id to contain no null values."),
+    (4, "Expect price to be at least 0.01."),
+    (5, "Expect quantity to be at least 1."),
+    (6, "Expect customer_email to match standard format."),
+    (7, "Expect transaction_date to be at most 2001-06-30."),
+)
+
+ODD_PRODUCT = """CASE (length(customer_id) + length(product_id)) % 7
+  WHEN 1 THEN '  ' || product_id || ' ' WHEN 2 THEN 'say "' || product_id || '", ok'
+  WHEN 3 THEN product_id || chr(10) || 'second line' WHEN 4 THEN '' WHEN 5 THEN 'back' || chr(92) || product_id
+  ELSE product_id END"""
+
+VERSION_LOG = """entered AS (
+  SELECT *, CAST(substr(timestamp, 1, 4) AS BIGINT) * 12 + CAST(substr(timestamp, 6, 2) AS BIGINT) AS commit_id
+  FROM shipments),
+log AS (
+  SELECT *, 'I' AS op FROM entered
+  UNION ALL SELECT * REPLACE ('Out for Delivery' AS status, commit_id + 1 AS commit_id), 'U' FROM entered
+    WHERE priority = 'High' AND status = 'In Transit'
+  UNION ALL SELECT * REPLACE (commit_id + 2 AS commit_id), 'D' FROM entered WHERE status = 'Delivered'),
+commits AS (
+  SELECT commit_id, CAST(make_date(CAST((commit_id - 1) // 12 AS INTEGER), CAST((commit_id - 1) % 12 + 1 AS INTEGER), 1) AS TIMESTAMP)
+           AS committed_at, CAST(count_if(op = 'I') AS BIGINT) AS added_records,
+         CAST(count_if(op = 'U') AS BIGINT) AS updated_records, CAST(count_if(op = 'D') AS BIGINT) AS deleted_records
+  FROM log GROUP BY commit_id)"""
+
+
+def _state(upto: str) -> str:
+    return f"""SELECT {SHIP_COLS} FROM (
+  SELECT * FROM log WHERE commit_id <= {upto}
+  QUALIFY row_number() OVER (PARTITION BY shipment_id ORDER BY commit_id DESC) = 1) v WHERE op <> 'D'"""
 
 
 def oracle_queries() -> dict[str, str]:
@@ -222,9 +242,7 @@ SELECT *, CAST(85 AS DOUBLE) AS threshold,
     for key, thr in (("dq_gated_load", 85), ("dq_gated_load_low_threshold", 80)):
         q[key] = f"""WITH {flags},\nb AS ({_batch_stats()})
 SELECT {RETAIL_COLS} FROM flags WHERE NOT {_any_failed()} AND (SELECT success_rate >= {thr} FROM b)"""
-    crit = ",\n".join(
-        f"({i}, '{_criteria(c, e, *RULE_BOUNDS.get(i, (None, None)))}')" for i, c, e, _, _ in RULES
-    )
+    crit = ",\n".join(f"({i}, '{text}')" for i, text in CRITERIA)
     q["dq_report_checks"] = f"""WITH {flags},\nstats AS ({_rule_stats()}),
 crit(rule_index, criteria) AS (VALUES {crit})
 SELECT stats.rule_index + 1 AS check_number, rule_column, expectation, criteria,
@@ -243,8 +261,14 @@ FROM b"""
     q["dq_results_json"] = f"""WITH {flags},\nstats AS ({_rule_stats()})
 SELECT rule_index, success, expectation, rule_column, element_count, missing_count, unexpected_count,
        unexpected_percent FROM stats"""
-    q["csv_scan"] = f"SELECT * FROM ({RETAIL_ORDERS}) r"
-    q["csv_roundtrip"] = q["dq_quarantine"]
+    q["csv_scan"] = f"""SELECT * REPLACE ({ODD_PRODUCT} AS product_id, CASE WHEN quantity <> 7 THEN quantity END AS quantity),
+       COALESCE(quantity = 7, FALSE) AS is_bad FROM ({RETAIL_ORDERS}) r"""
+    q["csv_roundtrip"] = f"SELECT * REPLACE ({ODD_PRODUCT} AS product_id) FROM ({q['dq_quarantine']}) r"
+    q["dq_load_twice"] = q["dq_gated_load_low_threshold"]
+    price = "CASE WHEN quantity = 3 THEN CAST('nan' AS DOUBLE) ELSE round(price, -2) END"
+    q["dq_unique_later_column"] = f"""WITH r AS (SELECT * REPLACE ({price} AS price) FROM ({RETAIL_ORDERS}) o)
+SELECT {RETAIL_COLS}, concat('price failed expect_column_values_to_be_unique (value: ', CAST(price AS STRING), ')') AS reason
+FROM r WHERE NOT isnan(price) QUALIFY count(*) OVER (PARTITION BY price) > 1"""
     q["dq_validate_batch"] = q["dq_quarantine"]
 
     # ------------------------------------------------------------ shipments
@@ -259,6 +283,8 @@ SELECT format('{{:,}}', n) AS total_shipments_text, concat('$', format('{{:,.2f}
        concat(format('{{:.2f}}', w), ' kg') AS avg_weight_text, CAST(v AS STRING) AS unique_vehicles_text FROM k"""
     q["kpi_missing_column"] = f"""{_ships()}SELECT count(*) AS total_shipments, CAST(0 AS DOUBLE) AS total_revenue,
        CAST(0 AS DOUBLE) AS avg_weight, count(DISTINCT vehicle_id) AS unique_vehicles FROM shipments"""
+    q["kpi_empty_table"] = f"""{_ships()}SELECT count(*) = 0 AS is_empty, 'all' AS rows FROM shipments
+UNION ALL SELECT count(*) = 0, 'lost' FROM shipments WHERE status = 'Lost'"""
     q["revenue_by_destination"] = f"""{_ships()}SELECT destination, COALESCE(sum(revenue), CAST(0 AS DOUBLE)) AS revenue
 FROM shipments WHERE destination IS NOT NULL GROUP BY destination"""
     for key, col in (("priority_distribution", "priority"), ("status_breakdown", "status")):
@@ -277,7 +303,8 @@ FROM shipments ORDER BY event_time DESC NULLS LAST, shipment_id ASC NULLS LAST L
 
     # --------------------------------------------------------------- events
     q["event_encode"] = f"""{_ships()}SELECT shipment_id, CAST(to_json(struct_pack(shipment_id := shipment_id,
-       origin := origin, destination := destination, vehicle_id := vehicle_id, weight := weight,
+       origin := origin, destination := destination,
+       vehicle_id := CASE WHEN status <> 'Delivered' THEN vehicle_id END, weight := weight,
        priority := priority, revenue := revenue, status := status, timestamp := timestamp)) AS STRING) AS value
 FROM shipments"""
     q["event_decode"] = f"{_ships()}SELECT * FROM shipments"
@@ -286,6 +313,9 @@ FROM shipments"""
     q["stream_restart"] = f"{_ships()}SELECT * FROM shipments UNION ALL {MALFORMED_ROWS} UNION ALL SELECT * FROM src"
     q["stream_versioned"] = q["stream_restart"]
 
+    q["catalog_lifecycle"] = f"""{_ships()}SELECT *, CAST(NULL AS INTEGER) AS delivery_rating FROM shipments
+UNION ALL SELECT *, 5 FROM new_shipments"""
+
     # ------------------------------------------------------------------ DML
     q["insert_append"] = f"{_ships()}SELECT * FROM shipments UNION ALL SELECT * FROM new_shipments"
     q["update_where"] = f"""{_ships()}SELECT shipment_id, origin, destination, vehicle_id, weight, priority, revenue,
@@ -300,26 +330,17 @@ FROM shipments"""
     q["merge_dup_source"] = f"{_ships(dup_src)}{_merge('dup_src')}"
 
     # ------------------------------------------------------------- versions
-    updated = f"""SELECT shipment_id, origin, destination, vehicle_id, weight, priority, revenue,
-       {UPDATED_STATUS} AS status, timestamp FROM shipments"""
-    q["as_of_commit"] = f"{_ships()}{updated}"
-    q["as_of_latest"] = f"{_ships()}SELECT * FROM ({updated}) u WHERE NOT COALESCE(status = 'Delivered', FALSE)"
-    q["first_commit"] = f"{_ships()}SELECT * FROM shipments"
-    q["commit_history"] = """SELECT * FROM (VALUES
-  (TIMESTAMP '2001-08-01 12:00:01', CAST(1 AS BIGINT), CAST(NULL AS BIGINT), TRUE),
-  (TIMESTAMP '2001-08-01 12:00:02', CAST(2 AS BIGINT), CAST(1 AS BIGINT), TRUE),
-  (TIMESTAMP '2001-08-01 12:00:03', CAST(3 AS BIGINT), CAST(2 AS BIGINT), TRUE))
-  AS h(made_current_at, snapshot_id, parent_id, is_current_ancestor)"""
-    q["commit_snapshots"] = f"""{_ships()}, c AS (SELECT count(*) AS n,
-       CAST(count_if(priority = 'High' AND status = 'In Transit') AS BIGINT) AS u,
-       CAST(count_if(status = 'Delivered') AS BIGINT) AS d FROM shipments)
-SELECT TIMESTAMP '2001-08-01 12:00:01' AS committed_at, CAST(1 AS BIGINT) AS snapshot_id, 'append' AS operation,
-       n AS added_records, CAST(0 AS BIGINT) AS updated_records, CAST(0 AS BIGINT) AS deleted_records,
-       n AS total_records FROM c
-UNION ALL
-SELECT TIMESTAMP '2001-08-01 12:00:02', CAST(2 AS BIGINT), 'overwrite', CAST(0 AS BIGINT), u, CAST(0 AS BIGINT), n FROM c
-UNION ALL
-SELECT TIMESTAMP '2001-08-01 12:00:03', CAST(3 AS BIGINT), 'delete', CAST(0 AS BIGINT), CAST(0 AS BIGINT), d, n - d FROM c"""
+    versioned = _ships(VERSION_LOG)
+    q["as_of_commit"] = f"{versioned}{_state(str(1995 * 12 + 6))}"
+    q["as_of_latest"] = f"{versioned}{_state('(SELECT max(commit_id) FROM commits)')}"
+    q["first_commit"] = f"{versioned}{_state('(SELECT min(commit_id) FROM commits)')}"
+    q["commit_history"] = f"""{versioned}SELECT committed_at AS made_current_at, commit_id AS snapshot_id,
+       lag(commit_id) OVER (ORDER BY commit_id) AS parent_id, TRUE AS is_current_ancestor FROM commits"""
+    q["commit_snapshots"] = f"""{versioned}SELECT committed_at, commit_id AS snapshot_id,
+       CASE WHEN updated_records = 0 AND deleted_records = 0 THEN 'append'
+            WHEN updated_records = 0 AND added_records = 0 THEN 'delete' ELSE 'overwrite' END AS operation,
+       added_records, updated_records, deleted_records,
+       CAST(sum(added_records - deleted_records) OVER (ORDER BY commit_id) AS BIGINT) AS total_records FROM commits"""
 
     # ------------------------------------------------------------ evolution
     q["add_column"] = f"""{_ships()}SELECT shipment_id, status,

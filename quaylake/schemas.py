@@ -36,7 +36,6 @@ RETAIL_ORDER_SCHEMA = T.StructType(
         T.StructField("customer_email", T.StringType(), True),
     ]
 )
-RETAIL_ORDER_COLUMNS = [f.name for f in RETAIL_ORDER_SCHEMA.fields]
 
 # Validation results document: one element per rule, in suite order.
 RESULT_ELEMENT = T.StructType(
@@ -73,20 +72,7 @@ RESULTS_DOCUMENT_SCHEMA = T.StructType(
     ]
 )
 
-# Row-version log: internal columns put in front of the payload.
+# Row-version log: columns beside the payload.
 LOG_ROW_ID = "_row_id"
 LOG_COMMIT_ID = "_commit_id"
 LOG_OP = "_op"
-LOG_WRITE_ID = "_write_id"
-LOG_COLUMNS = [LOG_ROW_ID, LOG_COMMIT_ID, LOG_WRITE_ID, LOG_OP]
-
-COMMITS_SCHEMA = T.StructType(
-    [
-        T.StructField("commit_id", T.LongType(), False),
-        T.StructField("committed_at", T.TimestampNTZType(), True),
-        T.StructField("operation", T.StringType(), True),
-        T.StructField("stream", T.StringType(), True),  # streaming writer (its checkpoint), if any
-        T.StructField("epoch_id", T.LongType(), True),  # its micro-batch
-        T.StructField("write_id", T.StringType(), True),  # log folder of this commit
-    ]
-)

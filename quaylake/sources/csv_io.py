@@ -1,21 +1,59 @@
 """CSV source with a declared schema and missing-value tokens, and CSV sink.
 
-Spark's CSV reader maps only one token to NULL; batches produced by other
-tools also use ``NA``, ``NULL``, ``None`` and the like. Columns are read as
-text, the tokens are turned into NULL, and each column is cast with
-``try_cast`` (ANSI-safe: a bad value becomes NULL instead of failing the job).
+Reading loses nothing. Columns are found by the names in each file's header,
+so their order does not matter; a header that lacks a declared column or has an
+unknown one is an error. A value that does not fit its type, and a record with
+the wrong number of fields, keep their text in ``_corrupt_record`` next to what
+could be read: ``split_csv`` gives the good rows and the bad ones.
+
+Fields are quoted by RFC 4180 (quotes are doubled). The sink quotes every
+non-NULL text and writes NULL as nothing at all, so blanks, quotes, empty texts
+and line breaks come back as they were. Values with line breaks need
+``multi_line=True``, which costs the splitting of files: a file is then one
+task.
 """
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Text tokens read as a missing value.
-DEFAULT_NULL_TOKENS = ("", "NA", "N/A", "NULL", "null", "NaN", "nan", "None")
+CORRUPT = "_corrupt_record"
+_RAW = "_raw_record"
+
+# Texts of an unquoted or quoted field that are read as missing,
+# compared as they stand (no trimming).
+DEFAULT_NULL_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+#: stands for an empty text that was quoted, so that it differs from no text
+_EMPTY = "\u0000"
+
+
+def _layouts(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) for each different header line under ``path``. The
+    first line of each file is found in one pass over the text; the header lines
+    and, where there are several, the file names reach the driver."""
+    lines = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("head"))
+    heads = first.groupBy("head").agg(F.min("file").alias("file")).collect()
+    if len(heads) == 1:
+        return [(_names(heads[0]["head"]), [path])]
+    return [(_names(r["head"]), r["files"]) for r in first.groupBy("head").agg(F.collect_set("file").alias("files")).collect()]
+
+
+def _names(head: str) -> list[str]:
+    return next(csv.reader([head.removeprefix("\ufeff")]), [])
+
+
+def _typed(text: Column, field: T.StructField) -> Column:
+    return text if isinstance(field.dataType, T.StringType) else F.trim(text).try_cast(field.dataType)
 
 
 def read_csv(
@@ -24,19 +62,73 @@ def read_csv(
     schema: T.StructType,
     null_tokens: Sequence[str] = DEFAULT_NULL_TOKENS,
     header: bool = True,
+    multi_line: bool = False,
+    with_corrupt: bool = False,
 ) -> DataFrame:
-    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    raw = spark.read.schema(text_schema).option("header", header).option("mode", "PERMISSIVE").csv(path)
-    cols = []
-    for f in schema.fields:
-        c = F.col(f"`{f.name}`")
-        c = F.when(F.trim(c).isin(*null_tokens), F.lit(None)).otherwise(c)
-        if not isinstance(f.dataType, T.StringType):
-            c = c.try_cast(f.dataType)
-        cols.append(c.alias(f.name))
-    return raw.select(*cols)
+    """Typed rows by header name (by position without a header).
+
+    A bad record fails the job unless ``with_corrupt`` is set: then rows get
+    ``_corrupt_record``, the text of a record that has a value of the wrong type
+    or a wrong number of fields, NULL for a good one.
+    """
+    names = [f.name for f in schema.fields]
+    layouts = _layouts(spark, path) if header else [(names, [path])]
+    for found, _ in layouts:
+        if sorted(found) != sorted(names):
+            raise ValueError(f"CSV header {found} does not match the columns {names}")
+    frames = [_read_layout(spark, files, found, schema, null_tokens, header, multi_line) for found, files in layouts]
+    if not frames:
+        empty = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        frames = [spark.createDataFrame([], empty)]
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.unionByName(more)
+    if with_corrupt:
+        return out
+    bad = F.raise_error(F.concat(F.lit("bad CSV record: "), F.col(CORRUPT))).cast("boolean")
+    return out.where(F.when(F.col(CORRUPT).isNotNull(), bad).otherwise(True)).select(*[F.col(f"`{n}`") for n in names])
+
+
+def _read_layout(spark, files, found, schema, null_tokens, header, multi_line) -> DataFrame:
+    fields = [schema[n] for n in found]
+    text_schema = T.StructType([T.StructField(n, T.StringType()) for n in found] + [T.StructField(_RAW, T.StringType())])
+    reader = spark.read.schema(text_schema).option("header", header).option("mode", "PERMISSIVE")
+    reader = reader.option("columnNameOfCorruptRecord", _RAW).option("escape", '"').option("multiLine", multi_line)
+    # a quoted empty field is an empty text, a field of nothing is NULL
+    raw = reader.option("emptyValue", _EMPTY).option("nullValue", "").csv(files)
+    values, wrong = {}, F.col(f"`{_RAW}`").isNotNull()
+    for f in fields:
+        text = F.col(f"`{f.name}`")
+        is_text = isinstance(f.dataType, T.StringType)
+        quoted_empty = F.lit("") if is_text else F.lit(None).cast("string")
+        text = F.when(text == _EMPTY, quoted_empty).when(text.isin(*[t for t in null_tokens if t]), None).otherwise(text)
+        values[f.name] = _typed(text, f).alias(f.name)
+        wrong = wrong | (text.isNotNull() & _typed(text, f).isNull())
+    shown = F.concat_ws(",", *[F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in found])
+    record = F.when(wrong, F.coalesce(F.col(f"`{_RAW}`"), F.replace(shown, F.lit(_EMPTY), F.lit(""))))
+    return raw.select(*[values[f.name] for f in schema.fields], record.alias(CORRUPT))
+
+
+def split_csv(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Good rows without ``_corrupt_record``, and bad rows with it."""
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.where(F.col(CORRUPT).isNotNull())
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Header line per part file; NULL written as an empty field."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """Header line per part file; texts quoted, NULL written as nothing.
+
+    Spark's CSV writer quotes NULL along with all other fields or leaves blanks
+    and line breaks to the reader's mercy, so the records are composed here and
+    written as text. The first row of each part brings the header.
+    """
+    fields = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`").cast("string")
+        if isinstance(f.dataType, T.StringType):
+            c = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+        fields.append(F.coalesce(c, F.lit("")))
+    head = ",".join('"' + n.replace('"', '""') + '"' for n in df.columns)
+    record = F.concat_ws(",", *fields)
+    row_of_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    value = F.when(row_of_part == 0, F.concat(F.lit(head + "\n"), record)).otherwise(record)
+    df.select(value.alias("value")).write.mode(mode).text(path)

@@ -10,8 +10,6 @@ re-ingests nothing.
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
@@ -82,15 +80,11 @@ def start_append(
     return writer.start(path)
 
 
-def run_bounded(query: StreamingQuery, timeout_s: float | None = None, poll_s: float = 1.0) -> None:
-    """Run until the query ends or ``timeout_s`` passes, then stop it."""
+def run_bounded(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for the query to end, for ``timeout_s`` at most, then stop it."""
     if timeout_s is None:
         query.awaitTermination()
-        return
-    deadline = time.monotonic() + timeout_s
-    while time.monotonic() < deadline and query.isActive:
-        query.awaitTermination(poll_s)
-    if query.isActive:
+    elif not query.awaitTermination(timeout_s):
         query.stop()
 
 
@@ -109,30 +103,3 @@ def ingest_available(
     query = start_append(stream, checkpoint, path=sink_path, available_now=True)
     query.awaitTermination()
     return query
-
-
-def stream_into_versioned(
-    table,
-    stream: DataFrame,
-    checkpoint: str,
-    trigger: str | None = DEFAULT_TRIGGER,
-    available_now: bool = False,
-) -> StreamingQuery:
-    """Append each micro-batch to a ``VersionedTable`` as one commit.
-
-    The stream (its checkpoint location) and the micro-batch's epoch id are
-    stored on the commit row, and an epoch that is already committed is
-    skipped. A batch re-run after a failure between
-    the commit and the checkpoint update therefore adds no rows (exactly once
-    across restarts), and every batch shows up in ``history``/``snapshots``.
-    """
-
-    def commit_batch(batch: DataFrame, epoch_id: int) -> None:
-        table.insert_epoch(batch, checkpoint, epoch_id)
-
-    writer = stream.writeStream.foreachBatch(commit_batch).option("checkpointLocation", checkpoint)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif trigger:
-        writer = writer.trigger(processingTime=trigger)
-    return writer.start()

@@ -3,11 +3,14 @@ travel, add column, partition evolution."""
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from quaylake.operators import dml, evolve
-from quaylake.operators.versions import VersionedTable
+from quaylake.operators import dml, evolve, versions
 from quaylake.schemas import DELIVERY_RATING, SHIPMENT_SCHEMA
+from quaylake.session import shared_dir
+
+from .version_log import Log
 
 
 def _by_id(df):
@@ -34,8 +37,9 @@ def test_insert_update_merge(spark, seed, incoming):
     assert rows["SH-1003"]["status"] == "Delivered"
 
 
-def test_versioned_lab(spark, seed, incoming, tmp_dir):
-    table = VersionedTable(spark, f"{tmp_dir}/shipments", SHIPMENT_SCHEMA)
+def test_versioned_lab(spark, seed, incoming):
+    shared_dir(spark)
+    table = Log(spark, SHIPMENT_SCHEMA)
     c1 = table.insert(seed)
     c2 = table.update("shipment_id = 'SH-1001'", {"status": "'Out for Delivery'"})
     c3 = table.merge(incoming, "shipment_id", {"status": "status", "timestamp": "timestamp"})
@@ -47,16 +51,16 @@ def test_versioned_lab(spark, seed, incoming, tmp_dir):
     assert current["SH-1001"]["status"] == "Out for Delivery"
 
     # as of the first commit: the three seed rows unmodified
-    first = table.first_commit_id().first()["commit_id"]
+    first = versions.first_commit(table.commits())
     assert first == 1
-    assert sorted(tuple(r) for r in table.as_of(first).collect()) == sorted(seed.collect())
+    assert sorted(tuple(r) for r in table.as_of(first).collect()) == sorted(tuple(r) for r in seed.collect())
 
-    hist = table.history().orderBy("snapshot_id").collect()
+    hist = versions.history(table.commits()).orderBy("snapshot_id").collect()
     assert [r["snapshot_id"] for r in hist] == [1, 2, 3]
     assert [r["parent_id"] for r in hist] == [None, 1, 2]
     assert all(r["is_current_ancestor"] for r in hist)
 
-    snaps = table.snapshots().orderBy("snapshot_id").collect()
+    snaps = versions.snapshots(table.commits()).orderBy("snapshot_id").collect()
     assert [r["operation"] for r in snaps] == ["append", "overwrite", "overwrite"]
     assert snaps[0]["summary"]["added-records"] == "3"
     assert snaps[2]["summary"]["added-records"] == "1"
@@ -68,12 +72,24 @@ def test_versioned_lab(spark, seed, incoming, tmp_dir):
     assert "SH-1003" in _by_id(table.as_of(3))
 
 
-def test_as_of_latest_equals_current_state(spark, seed, incoming, tmp_dir):
-    table = VersionedTable(spark, f"{tmp_dir}/t", SHIPMENT_SCHEMA)
+def test_unknown_commit_is_refused(spark, seed):
+    shared_dir(spark)
+    table = Log(spark, SHIPMENT_SCHEMA)
+    table.insert(seed)
+    with pytest.raises(ValueError, match="999"):
+        table.as_of(999)
+    with pytest.raises(RuntimeError, match="at least 2"):
+        versions.first_commit(table.commits())
+
+
+def test_as_of_latest_equals_current_state(spark, seed, incoming):
+    shared_dir(spark)
+    table = Log(spark, SHIPMENT_SCHEMA)
     table.insert(seed)
     table.merge(incoming, "shipment_id", {"status": "status"})
     direct = dml.merge_into(seed, incoming, "shipment_id", {"status": "status"})
     assert sorted(table.current().collect()) == sorted(direct.collect())
+    assert sorted(table.as_of(2).collect()) == sorted(direct.collect())
 
 
 def test_add_column_reads_null_then_update(spark, seed, tmp_dir):
@@ -114,7 +130,7 @@ def test_partition_evolution_keeps_old_rows_and_prunes(spark, seed, incoming, tm
     hyd = t.where(F.col("origin") == "Hyderabad")
     assert [r["shipment_id"] for r in hyd.collect()] == ["SH-1004"]
     plan = hyd._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(origin" in plan
+    assert "PartitionFilters: [CASE WHEN (origin" in plan
 
 
 def test_catalog_ddl_helpers(spark, tmp_dir):
@@ -140,41 +156,32 @@ def test_merge_is_idempotent(spark, seed, incoming):
     assert sorted(once.collect()) == sorted(twice.collect())
 
 
-def test_append_only_state_is_a_plain_scan(spark, seed, incoming, tmp_dir):
-    table = VersionedTable(spark, f"{tmp_dir}/appends", SHIPMENT_SCHEMA)
-    table.insert(seed)
-    table.insert(incoming)
-    cur = table.current()
-    assert cur.count() == 5
-    plan = cur._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan and "Exchange" not in plan
-    assert table.as_of(1).count() == 3
-
-
-def test_failed_commit_attempt_stays_invisible(spark, seed, incoming, tmp_dir):
-    path = f"{tmp_dir}/crashed"
-    table = VersionedTable(spark, path, SHIPMENT_SCHEMA)
+def test_repeated_rows_keep_their_own_versions(spark, seed, incoming):
+    shared_dir(spark)
+    table = Log(spark, SHIPMENT_SCHEMA)
     table.insert(seed)
-    # an attempt at commit 2 wrote update and delete rows, then died before
-    # its commit row: the retry of commit 2 only inserts
-    ids = table._current_with_ids().select("_row_id").collect()
-    stale = seed.withColumn("status", F.lit("Lost")).withColumn("_row_id", F.lit(ids[0]["_row_id"]))
-    for op in ("U", "D"):
-        stale.withColumn("_op", F.lit(op)).write.parquet(f"{path}/log/_commit_id=2/_write_id=failed/_op={op}")
-    assert table.insert(incoming) == 2
-
-    reopened = VersionedTable(spark, path, SHIPMENT_SCHEMA)  # CREATE IF NOT EXISTS keeps the commits
-    assert reopened.commit_ids() == [1, 2]
-    current = reopened.current().collect()
-    assert len(current) == 5  # a plain insert: SH-1002 is there twice
-    assert "Lost" not in {r["status"] for r in current}
-    snaps = reopened.snapshots(flat=True).orderBy("snapshot_id").collect()
-    assert [(r["added_records"], r["updated_records"], r["deleted_records"]) for r in snaps] == [(3, 0, 0), (2, 0, 0)]
-
-
-def test_empty_versioned_table(spark, tmp_dir):
-    table = VersionedTable(spark, f"{tmp_dir}/empty", SHIPMENT_SCHEMA)
-    assert table.latest_commit() is None and table.commit_ids() == []
-    assert table.current().count() == 0
-    assert table.current().schema == SHIPMENT_SCHEMA
-    assert table.history().count() == 0
+    table.insert(incoming)  # a plain insert: SH-1002 is there twice
+    assert table.current().count() == 5
+    table.delete("shipment_id = 'SH-1002' AND status = 'In Transit'")
+    assert table.current().count() == 4 and table.as_of(2).count() == 5 and table.as_of(1).count() == 3
+    snaps = versions.snapshots(table.commits(), flat=True).orderBy("snapshot_id").collect()
+    assert [(r["added_records"], r["deleted_records"], r["total_records"]) for r in snaps] == [(3, 0, 3), (2, 0, 5), (0, 1, 4)]
+
+
+def test_empty_log(spark):
+    schema = "k string, _row_id string, _commit_id long, _op string"
+    log = spark.createDataFrame([], schema)
+    assert versions.current(log).count() == 0 and versions.current(log).columns == ["k"]
+    assert versions.recorded(log, F.lit(None).cast("timestamp_ntz")).count() == 0
+
+
+def test_empty_text_partition_and_number_of_files(spark, tmp_dir):
+    rows = [(i, ["", "a", None, "b"][i % 4]) for i in range(400)]
+    df = spark.createDataFrame(rows, "i long, origin string").repartition(20)
+    layout = evolve.Layout(f"{tmp_dir}/layout", ("origin",))
+    evolve.write_layout(df, layout)
+    back = evolve.read_layouts(spark, [layout], df.schema)
+    assert sorted((r["i"], str(r["origin"])) for r in back.collect()) == sorted((i, str(o)) for i, o in rows)
+    assert back.where("origin = ''").count() == 100 and back.where("origin IS NULL").count() == 100
+    files = spark.read.parquet(layout.path).select(F.input_file_name()).distinct().count()
+    assert files <= 8

@@ -6,6 +6,7 @@ from __future__ import annotations
 import math
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from quaylake.operators.quality import report
@@ -65,7 +66,7 @@ def test_reasons_in_suite_order(spark, batch):
 
 def test_split_is_a_partition_of_the_batch(spark):
     batch = fixtures.retail_orders(spark, SF001)
-    ann = V.annotate(batch, retail_suite())
+    ann = V.annotate(batch, retail_suite(fixtures.AS_OF_DATE))
     clean, quarantine = V.clean_rows(ann), V.quarantine_rows(ann).drop(V.REASONS)
     assert clean.count() + quarantine.count() == batch.count()
     assert clean.unionByName(quarantine).exceptAll(batch).count() == 0
@@ -76,7 +77,7 @@ def test_split_is_a_partition_of_the_batch(spark):
 
 
 def test_expected_fixture_counts(spark):
-    rules = retail_suite()
+    rules = retail_suite(fixtures.AS_OF_DATE)
     stats = V.rule_stats(V.annotate(fixtures.retail_orders(spark, SF001), rules), rules)
     got = [r["unexpected_count"] for r in stats.orderBy("rule_index").collect()]
     assert got == [155, 586, 366, 246, 525, 406, 534, 209]
@@ -103,7 +104,7 @@ def test_two_sided_between_and_regex_dollar(spark):
 
 
 def test_gate_and_gated_load(spark, tmp_dir):
-    ann = V.annotate(fixtures.retail_orders(spark, SF001), retail_suite())
+    ann = V.annotate(fixtures.retail_orders(spark, SF001), retail_suite(fixtures.AS_OF_DATE))
     stats = V.batch_stats(ann)
     assert gate(stats, 85.0).first()["decision"] == "STOP"
     assert gate(stats, 80.0).first()["decision"] == "INGEST"
@@ -112,14 +113,48 @@ def test_gate_and_gated_load(spark, tmp_dir):
     assert gated_rows(clean, stats, 80.0).count() == 12216
     assert not gated_load(clean, stats, f"{tmp_dir}/orders", 85.0)
     assert gated_load(clean, stats, f"{tmp_dir}/orders", 80.0)
-    assert spark.read.parquet(f"{tmp_dir}/orders").count() == 12216
+    assert gated_load(clean, stats, f"{tmp_dir}/orders", 80.0)  # a retry replaces
+    assert gated_load(clean.limit(10), stats, f"{tmp_dir}/orders", 80.0, batch_id="2")
+    assert spark.read.parquet(f"{tmp_dir}/orders").where("batch_id = 1").count() == 12216
+    assert spark.read.parquet(f"{tmp_dir}/orders").count() == 12226
 
 
 def test_empty_batch(spark):
     empty = spark.createDataFrame([], RETAIL_ORDER_SCHEMA)
-    s = V.batch_stats(V.annotate(empty, retail_suite())).first()
+    s = V.batch_stats(V.annotate(empty, retail_suite(fixtures.AS_OF_DATE))).first()
     assert (s["total"], s["clean"], s["success_rate"]) == (0, 0, 0.0)
-    assert gate(V.batch_stats(V.annotate(empty, retail_suite()))).first()["decision"] == "STOP"
+    assert gate(V.batch_stats(V.annotate(empty, retail_suite(fixtures.AS_OF_DATE)))).first()["decision"] == "STOP"
+
+
+def test_empty_batch_is_written_and_stopped(spark, tmp_dir):
+    empty = spark.createDataFrame([], RETAIL_ORDER_SCHEMA)
+    run = validate_batch(spark, empty, retail_suite(fixtures.AS_OF_DATE), tmp_dir)
+    assert run.decision.first()["decision"] == "STOP" and run.clean.count() == 0
+    assert run.clean.columns == RETAIL_ORDER_SCHEMA.names
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 20, 0])
+def test_unique_on_a_later_column_with_nan(spark, max_bytes):
+    nan = float("nan")
+    df = spark.createDataFrame([("a", 1.0), ("b", nan), ("c", nan), ("d", 1.0), ("e", None)], "`odd name` string, `x.y` double")
+    ann = V.annotate(df, [unique("x.y"), not_null("x.y")], max_bytes)
+    assert V.clean_rows(ann).columns == df.columns and V.clean_rows(ann).count() == 0
+    stats = V.rule_stats(ann, [unique("x.y"), not_null("x.y")]).collect()
+    assert [(r["unexpected_count"], r["unexpected_percent"]) for r in stats] == [(2, 100.0), (3, 60.0)]
+    reasons = {r["odd name"]: r[V.REASONS] for r in V.quarantine_rows(ann).collect()}
+    assert reasons["b"] == reasons["e"] == "x.y failed expect_column_values_to_not_be_null (value: None)"
+
+
+def test_missing_column_names_the_rule(spark):
+    with pytest.raises(AnalysisException, match="rule 1 .*'gone'"):
+        V.annotate(spark.createDataFrame([(1,)], "x int"), [not_null("x"), unique("gone")])
+
+
+def test_counting_builds_no_arrays(spark):
+    ann = V.annotate(fixtures.retail_orders(spark, SF001), retail_suite(fixtures.AS_OF_DATE))
+    for df in (V.batch_stats(ann), V.clean_rows(ann)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "filter(array(" not in plan and "array_compact" not in plan
 
 
 def test_report_frames(spark, batch):
@@ -143,7 +178,7 @@ def test_report_frames(spark, batch):
 
 def test_validate_batch_writes_outputs(spark, tmp_dir):
     batch = fixtures.retail_orders(spark, SF001)
-    run = validate_batch(spark, batch, retail_suite(), tmp_dir, csv_outputs=True)
+    run = validate_batch(spark, batch, retail_suite(fixtures.AS_OF_DATE), tmp_dir, csv_outputs=True)
     assert run.clean.count() == 12216
     assert run.quarantine.count() == 2784
     assert run.decision.first()["decision"] == "STOP"
@@ -167,7 +202,7 @@ def test_not_null_only_suite_passes_clean_batch(spark):
 def test_report_summary_scans_each_input_once(spark, tmp_dir):
     path = f"{tmp_dir}/batch"
     fixtures.retail_orders(spark, SF001).write.parquet(path)
-    rules = retail_suite()
+    rules = retail_suite(fixtures.AS_OF_DATE)
     ann = V.annotate(spark.read.parquet(path), rules)
     summary = report.report_summary(V.rule_stats(ann, rules), V.batch_stats(ann))
     row = summary.first()
