@@ -168,6 +168,28 @@ scored AS (SELECT s.doc_id, s.item_id, s.start, s.n, s.weight / greatest(w.weigh
 SELECT doc_id, item_id, CAST(start AS INTEGER) AS start_word, CAST(n AS INTEGER) AS n_words, round(similarity, 6) AS similarity
 FROM scored WHERE similarity >= 0.8
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+""",
+    "op2_suffix_array_dedup": """
+WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+block AS (SELECT doc_id, n, b, substr(h, 2 * b + 1, 798) AS part
+          FROM (SELECT doc_id, h, n, unnest(range(0, n - 99, 300)) AS b FROM doc WHERE n >= 100)),
+place AS (SELECT doc_id, part, b, unnest(range(least(300, n - 99 - b))) AS j FROM block),
+told AS (SELECT doc_id, b + j AS i, row_number() OVER (PARTITION BY substr(part, 2 * j + 1, 200) ORDER BY doc_id, b + j) AS k
+         FROM place),
+gone AS (SELECT doc_id, i FROM told WHERE k > 1),
+step AS (SELECT doc_id, i, CASE WHEN i - 100 <= lag(i) OVER w THEN 0 ELSE 1 END AS new FROM gone
+         WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM step),
+span AS (SELECT doc_id, span, min(i) AS lo, max(i) + 100 AS hi FROM numbered GROUP BY ALL),
+piece AS (SELECT doc_id, span, lo, hi, coalesce(lag(hi) OVER w, 0) AS begin, lead(lo) OVER w AS next FROM span
+          WINDOW w AS (PARTITION BY doc_id ORDER BY span)),
+kept AS (SELECT p.doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans,
+           string_agg(substr(d.h, 2 * begin + 1, 2 * (lo - begin)) || CASE WHEN next IS NULL THEN substr(d.h, 2 * hi + 1) ELSE '' END,
+                      '' ORDER BY span) AS h
+         FROM piece p JOIN doc d ON d.doc_id = p.doc_id GROUP BY p.doc_id)
+SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed, coalesce(k.n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256
+FROM doc d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """,
     "op6_line_dedup": """
 WITH doc AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
@@ -189,6 +211,23 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (is_gone) AS n_removed,
        count(*) FILTER (is_gone AND NOT was_gone) AS n_runs,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT is_gone), '')) AS kept_sha256
 FROM state GROUP BY doc_id
+""",
+    "op7_minhash_near_dedup": r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i + 1, i + 2), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 1, 1))) AS i FROM doc WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id
+           GROUP BY ALL),
+link AS (SELECT s.a, s.b FROM shared s JOIN size x ON x.doc_id = s.a JOIN size y ON y.doc_id = s.b
+         WHERE 100 * s.n >= 80 * (x.n + y.n - s.n)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT doc_id, doc_id AS other FROM doc UNION SELECT r.doc_id, e.b FROM reach r JOIN edge e ON e.a = r.other)
+SELECT r.doc_id, coalesce(any_value(z.n), 0) AS n_shingles, min(r.other) AS component_id, r.doc_id = min(r.other) AS kept
+FROM reach r LEFT JOIN size z ON z.doc_id = r.doc_id GROUP BY r.doc_id
 """,
     "op9_chat_formatting": """
 WITH RECURSIVE one_call AS (

@@ -15,9 +15,21 @@ from quaylake.session import scratch_path, shared_dir
 _SHIPPED: set[str] = set()
 
 
+#: rows of an Arrow batch, unless the session says otherwise
+ARROW_ROWS = 1000
+_ARROW_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so that their
-    Python workers can import it wherever it is installed on the driver."""
+    Python workers can import it wherever it is installed on the driver.
+
+    Spark's 10,000 rows a batch are tens of megabytes of whole documents, held
+    several times over beside the heap; where the session does not set a size,
+    it is set to ``ARROW_ROWS``.
+    """
+    if spark.conf.get(_ARROW_ROWS_KEY, None) is None:
+        spark.conf.set(_ARROW_ROWS_KEY, str(ARROW_ROWS))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
@@ -61,7 +73,7 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-ROWS_PER_FILE = 500_000
+ROWS_PER_FILE = 200_000
 
 
 def fewer(df: DataFrame, rows: int | None = None) -> DataFrame:
@@ -74,6 +86,30 @@ def fewer(df: DataFrame, rows: int | None = None) -> DataFrame:
     return df.coalesce(most)
 
 
+def tidy(task):
+    """An Arrow task that gives freed memory back to the system when it ends: a
+    Python worker lives on between stages, beside the executor's heap."""
+
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            _give_back()
+
+    return run
+
+
+def _give_back() -> None:
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 _STATE: dict = {}
 
 
@@ -99,4 +135,4 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-__all__ = ["fewer", "free_name", "only", "position", "scratch_path", "shared_dir", "ship", "shuffle_width", "stored", "worker_state"]
+__all__ = ["fewer", "free_name", "only", "position", "scratch_path", "shared_dir", "ship", "shuffle_width", "stored", "tidy", "worker_state"]

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import only, ship, shuffle_width
+from quaylake.llm.common import only, ship, shuffle_width, tidy
 
 SIGNATURE = 64
 _BASE = 0x9E3779B97F4A7C15
@@ -253,4 +253,4 @@ def fingerprint_edits(
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double"
     )
-    return dealt.mapInArrow(run, schema)
+    return dealt.mapInArrow(tidy(run), schema)

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import only, ship, stored, worker_state
+from quaylake.llm.common import only, ship, stored, tidy, worker_state
 from quaylake.llm.components import components
 from quaylake.plans.broadcast import join_small
 
@@ -48,7 +48,7 @@ CROWD = 256
 BLOCK = 256
 #: ids of candidate documents are broadcast up to this size, else joined by a shuffle
 CANDIDATE_IDS_BYTES = 32 << 20
-WORD_CACHE = 400_000
+WORD_CACHE = 250_000
 
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 _M2 = np.uint64(0xD6E8FEB86659FD93)
@@ -149,7 +149,7 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
             )
 
     kinds = ", ".join(f"{s} long" for s in sketch)
-    return docs.mapInArrow(run, f"doc_id long, n_shingles long, set_hash binary, bands array<long>, {kinds}")
+    return docs.mapInArrow(tidy(run), f"doc_id long, n_shingles long, set_hash binary, bands array<long>, {kinds}")
 
 
 def _may_link(left: Column, right: Column) -> Column:
@@ -179,7 +179,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             rows = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"])
             yield rows.filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "set_a", "set_b").mapInArrow(tidy(run), "a long, b long")
 
 
 def _linked_in_block(xs, ys):
@@ -260,7 +260,7 @@ class _Classes:
 
         texts = docs.select(F.col("doc_id").alias("rep"), "text")
         chosen = join_small(texts, ids, "rep", "left_semi", max_bytes=CANDIDATE_IDS_BYTES)
-        return stored(chosen.mapInArrow(full, "rep long, shingles binary").dropDuplicates(["rep"]), "minhash-sets")
+        return stored(chosen.mapInArrow(tidy(full), "rep long, shingles binary").dropDuplicates(["rep"]), "minhash-sets")
 
     def _find_live(self) -> None:
         now = self.members.join(self.labels, "rep")

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import only, ship
+from quaylake.llm.common import only, ship, tidy
 
 # Fixed values of the contract: kinds in their order, and the patterns below.
 KINDS = ("email", "ip", "card", "phone")
@@ -414,7 +414,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> di
                     ys += [w.tobytes() for w in windows_of(tags, starts)]
             yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary())], ["x", "y"])
 
-    cuts = rows.mapInArrow(cut, "x binary, y binary").distinct()
+    cuts = rows.mapInArrow(tidy(cut), "x binary, y binary").distinct()
     kept = cuts.orderBy(F.xxhash64("x", "y"), "x", "y").limit(SAMPLE_WINDOWS).collect()  # bounded likewise
     if not kept:
         return None
@@ -447,5 +447,5 @@ def tag_documents(docs: DataFrame, model: dict | None, id_col: str = "doc_id", t
     kind = rows.schema["id"].dataType.simpleString()
     spans = "array<struct<kind: string, start: long, end: long>>"
     counted = ", ".join(f"n_{k} long" for k in KINDS)
-    tagged = rows.mapInArrow(run, f"id {kind}, {counted}, base_spans {spans}, spans {spans}")
+    tagged = rows.mapInArrow(tidy(run), f"id {kind}, {counted}, base_spans {spans}, spans {spans}")
     return tagged.withColumnRenamed("id", id_col)

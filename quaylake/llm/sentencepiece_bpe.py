@@ -30,11 +30,11 @@ from hashlib import sha256
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quaylake.llm.common import position, ship, worker_state
+from quaylake.llm.common import position, ship, tidy, worker_state
 
 MARK = "▁"
 #: segments kept between batches of a worker, and the longest one kept
-CACHE_SEGMENTS = 400_000
+CACHE_SEGMENTS = 300_000
 CACHE_CHARS = 64
 #: code points of texts encoded together
 CHUNK_CHARS = 2_000_000
@@ -306,4 +306,4 @@ def encode_texts(
                 yield pa.RecordBatch.from_arrays(arrays, [*inner, *outputs])
 
     plain = df.toDF(*[f"_c{i}" for i in range(len(fields))])
-    return plain.mapInArrow(run, schema).toDF(*[f.name for f in kept], *outputs)
+    return plain.mapInArrow(tidy(run), schema).toDF(*[f.name for f in kept], *outputs)

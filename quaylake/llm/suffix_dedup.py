@@ -40,7 +40,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import only, ship, shuffle_width, stored
+from quaylake.llm.common import only, ship, shuffle_width, stored, tidy
 from quaylake.llm.rolling import hashes, mix, prefix_sums
 from quaylake.llm.suffix_array import _words, common_prefix, suffix_array
 from quaylake.plans.broadcast import join_small
@@ -53,7 +53,7 @@ SHARD_BYTES = 1 << 20
 #: distinct segments of one gram that go to a shard together
 SEGMENTS_PER_GRAM = 4096
 #: lists are broadcast up to this size (measured), else joined by a shuffle
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 32 << 20
 FIRST_ID = -(1 << 63)  # stands for a NULL id
 
 
@@ -309,9 +309,9 @@ def _merge_places(batches: Iterator) -> Iterator:
 def removed_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, crc, places) of documents that lose bytes: merged spans, each packed
     as start and end of 32 bits. ``docs``: doc_id (long, no NULL) and text."""
-    grams = docs.select("text").mapInArrow(_grams, "gram long, n long")
+    grams = docs.select("text").mapInArrow(tidy(_grams), "gram long, n long")
     repeated = stored(grams.groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram"), "repeated-grams")
-    found = docs.select("doc_id", "text").mapInArrow(_occurrences, _OCCURRENCE)
+    found = docs.select("doc_id", "text").mapInArrow(tidy(_occurrences), _OCCURRENCE)
     found = stored(join_small(found, repeated, "gram", "left_semi", max_bytes=BROADCAST_BYTES), "gram-occurrences")
     firsts = stored(_firsts(found), "segments")
     spans = _copies(found, firsts)
@@ -326,20 +326,20 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     shard = F.pmod(F.xxhash64("gram"), F.lit(shards))
     packed = F.shiftleft(shard, 41).bitwiseOR(F.shiftleft(windows, 32)).bitwiseOR(F.col("start").cast("long"))
     cut = _with_lists(docs, few, packed).select("doc_id", "crc", "text", "places")
-    cut = cut.mapInArrow(_cut_segments, "shard long, doc_id long, crc long, start int, text binary")
+    cut = cut.mapInArrow(tidy(_cut_segments), "shard long, doc_id long, crc long, start int, text binary")
     sorted_rows = cut.repartition(shuffle_width(docs.sparkSession), "shard").sortWithinPartitions("shard")
-    spans = spans.unionByName(sorted_rows.mapInArrow(_sort_shards, "doc_id long, crc long, start int, end int"))
+    spans = spans.unionByName(sorted_rows.mapInArrow(tidy(_sort_shards), "doc_id long, crc long, start int, end int"))
 
     if not crowded.isEmpty():
         many = join_small(placed, crowded, "gram", "left_semi", max_bytes=BROADCAST_BYTES)
         packed = F.shiftleft(windows, 32).bitwiseOR(F.col("start").cast("long"))
         single = _with_lists(docs, many, packed).select("doc_id", "crc", "text", "places")
-        single = stored(single.mapInArrow(_single_windows, _OCCURRENCE), "crowded-windows")
+        single = stored(single.mapInArrow(tidy(_single_windows), _OCCURRENCE), "crowded-windows")
         spans = spans.unionByName(_copies(single, _firsts(single)))
 
     span = F.shiftleft(F.col("start").cast("long"), 32).bitwiseOR(F.col("end").cast("long"))
     lists = spans.groupBy("doc_id", "crc").agg(F.collect_list(span).alias("places"))
-    return lists.mapInArrow(_merge_places, "doc_id long, crc long, places array<long>")
+    return lists.mapInArrow(tidy(_merge_places), "doc_id long, crc long, places array<long>")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -370,7 +370,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 spans.append(mine)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, span), pa.array(kept, pa.binary())], ["doc_id", "spans", "kept"])
 
-    out = both.select("doc_id", "text", "places").mapInArrow(run, "doc_id long, spans array<struct<start: long, end: long>>, kept binary")
+    out = both.select("doc_id", "text", "places").mapInArrow(tidy(run), "doc_id long, spans array<struct<start: long, end: long>>, kept binary")
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     return out.select(
         F.when(F.col("doc_id") != FIRST_ID, F.col("doc_id")).alias("doc_id"),

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quaylake.llm.common import only, position, ship, stored, worker_state
+from quaylake.llm.common import only, position, ship, stored, tidy, worker_state
 
 #: labelled documents per class used for training, at most
 MAX_TOXIC = 4000
@@ -50,7 +50,7 @@ ORDINARY_WINDOWS = 600
 WINDOW_BYTES = 64
 #: bytes that the ordinary dictionary must need beyond the toxic one
 GAIN = 2
-MEMO = 400_000
+MEMO = 250_000
 
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
 
@@ -120,11 +120,11 @@ class WindowCounter:
 
     def count(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Toxic windows and all windows of each text."""
-        if len(self.memo) > MEMO:
-            self.memo = {}
         memo = self.memo
         hits, n = [], []
         for t in texts:
+            if len(memo) > MEMO:
+                memo.clear()
             found = words(t)
             for w in set(found).difference(memo):
                 memo[w] = self.is_toxic(w)
@@ -184,7 +184,7 @@ def train(
     if not n.get(0) or not n.get(1):
         return None
     counts = (
-        sample.mapInArrow(_frequencies, "word binary, toxic int, docs long")
+        sample.mapInArrow(tidy(_frequencies), "word binary, toxic int, docs long")
         .groupBy("word")
         .agg(
             F.sum(F.when(F.col("toxic") == 1, F.col("docs")).otherwise(0)).alias("k1"),
@@ -218,7 +218,7 @@ def train(
             hits, total = _counter(toxic, ordinary, floor).count(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hits), pa.array(total)], ["toxic", "hits", "n"])
 
-    rows = sample.mapInArrow(measure, "toxic int, hits double, n double").toPandas()  # the bounded sample
+    rows = sample.mapInArrow(tidy(measure), "toxic int, hits double, n double").toPandas()  # the bounded sample
     y = rows["toxic"].to_numpy(float)
     weight = np.where(y == 1, sizes[1] / n[1], sizes[0] / n[0])
     x = _features(rows["hits"].to_numpy(), rows["n"].to_numpy())
@@ -270,4 +270,4 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", keep: li
             yield pa.RecordBatch.from_arrays(cols, [*inner, *out])
 
     plain = docs.toDF(*[f"_c{i}" for i in range(len(fields))])
-    return plain.mapInArrow(run, schema).toDF(*[f.name for f in kept], *out)
+    return plain.mapInArrow(tidy(run), schema).toDF(*[f.name for f in kept], *out)
