@@ -5,9 +5,9 @@
    512 parity bits. Equal sets are one class, represented by its least id.
 2. Classes that share a band are candidates. Two sets of similarity 0.8 share
    none with probability 5e-7.
-3. Within a band no pairs are enumerated: rounds of leaders pair one member
-   with those outside its component, and bands whose members are in one
-   component drop out. What is left are members that are unlike all leaders;
+3. Within a band no pairs are enumerated: in rounds, a band offers one member as
+   leader, each member is checked with the most alike leader of its bands, and
+   bands whose members are in one component drop out. What is left are members that are unlike all leaders;
    these are compared with everything in their bands that is not in their
    component, so no link is lost: by pairs in bands of bounded size, in blocks
    that give nothing but links in larger ones.
@@ -152,13 +152,18 @@ def _signatures(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(tidy(run), f"doc_id long, n_shingles long, set_hash binary, bands array<long>, {kinds}")
 
 
-def _may_link(left: Column, right: Column) -> Column:
+def _different(left, right) -> Column:
+    """Population count of the XOR of the odd sketches of two members."""
+    out = F.lit(0)
+    for i in range(SKETCH_WORDS):
+        out = out + F.bit_count(left[f"s{i}"].bitwiseXOR(right[f"s{i}"]))
+    return out
+
+
+def _may_link(left, right) -> Column:
     """Sizes and odd sketches of two members leave similarity 0.8 possible."""
     n, m = left["n"], right["n"]
-    different = F.lit(0)
-    for i in range(SKETCH_WORDS):
-        different = different + F.bit_count(left[f"s{i}"].bitwiseXOR(right[f"s{i}"]))
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT) & (different <= MAX_DIFFERENT_BITS)
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT) & (_different(left, right) <= MAX_DIFFERENT_BITS)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -281,15 +286,17 @@ class _Classes:
         self.labels = stored(moved, "minhash-labels", self.n_ids)
 
     def by_leaders(self, turn: int) -> None:
-        """Pair a leader of each bucket with the members outside its component. The
-        first leader is the least member, later ones are drawn by hash."""
+        """Check each member with the most alike leader, by odd sketches, among those
+        of its buckets that are in another component. The first leader of a bucket
+        is its least member, later ones are drawn by hash."""
         order = F.col("rep") if turn == 0 else F.xxhash64("rep", "bucket", F.lit(turn))
         leader = self.live.groupBy("bucket").agg(F.min_by(F.struct("rep", "comp", "n", *self.sketch), order).alias("leader"))
-        pairs = self.live.join(leader, "bucket").filter(
-            (F.col("comp") != F.col("leader.comp")) & _may_link({c: F.col(c) for c in ("n", *self.sketch)}, F.col("leader"))
-        )
-        pairs = pairs.select(F.col("leader.rep").alias("a"), F.col("rep").alias("b"), F.col("leader.comp").alias("ca"), F.col("comp").alias("cb"))
-        self._join_up(self._checked(pairs))
+        member = {c: F.col(c) for c in ("n", *self.sketch)}
+        met = self.live.join(leader, "bucket")
+        met = met.filter((F.col("comp") != F.col("leader.comp")) & _may_link(member, F.col("leader")))
+        best = F.min(F.struct(_different(member, F.col("leader")).alias("d"), F.col("leader.rep").alias("a"), F.col("leader.comp").alias("ca")))
+        pairs = met.groupBy(F.col("rep").alias("b"), F.col("comp").alias("cb")).agg(best.alias("best"))
+        self._join_up(self._checked(pairs.select("best.a", "b", "best.ca", "cb")))
         self._find_live()
 
     def rest(self) -> None:
