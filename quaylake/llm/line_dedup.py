@@ -2,9 +2,12 @@
 
 Each document is the sequence of its lines' ids (64-bit hashes). A run that
 begins earlier as well (in a document of smaller id, or earlier in the same
-one) and has ``min_words`` words is deleted where it comes again. For each line
-the shortest run from there on with that many words decides; overlapping
-deleted runs join to maximal ones.
+one) and has ``min_words`` words is deleted where it comes again, to its first
+and last line: a line goes if any such run holds it. Two questions a line decide
+that exactly, the shortest run with that many words from the line on and the
+shortest that ends with it. Each line of a longer run lies in one of these inside
+the run: in its own forward one, in its own backward one, or, where neither side
+has the words, in the forward one of the run's first line.
 
 Prefix doubling, distributed: rank 0 of a suffix is the place of its first line
 among all repeated lines in order of id; rank ``k + 1`` orders suffixes by the
@@ -69,24 +72,39 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _runs(lines: DataFrame, min_words: int) -> DataFrame:
-    """The repeated lines (doc, i, id) with ``e``: lines of the shortest run from
-    there with ``min_words`` words, all of them repeated lines (else NULL)."""
+    """(doc, i, e): the shortest runs of ``e`` lines with ``min_words`` words that
+    begin or end with some line, all their lines among ``lines``."""
     doc = Window.partitionBy(*_DOC)
     stretch = F.col("i") - F.row_number().over(doc.orderBy("i"))
     rows = lines.withColumn("_stretch", stretch)
     block = Window.partitionBy(*_DOC, "_stretch")
     before = F.sum("words").over(block.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("words")
     rows = rows.withColumn("_before", before)
-    # the first line start that has so many words before it: line starts (and the
-    # end of the stretch) and the questions pass in falling order of words
-    start = F.struct(F.col("_before").alias("at"), F.lit(1).alias("kind"), F.col("i").alias("j"))
-    end = F.struct((F.col("_before") + F.col("words")).alias("at"), F.lit(1).alias("kind"), (F.col("i") + 1).alias("j"))
-    ask = F.struct((F.col("_before") + min_words).alias("at"), F.lit(0).alias("kind"), F.col("i").alias("j"))
-    events = rows.select(*_DOC, "_stretch", "i", "id", F.explode(F.array(start, end, ask)).alias("e"))
-    down = block.orderBy(F.desc("e.at"), F.desc("e.kind"), F.desc("e.j")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reach = F.last(F.when(F.col("e.kind") == 1, F.col("e.j")), ignorenulls=True).over(down)
-    found = events.withColumn("_reach", reach).filter("e.kind = 0")
-    return found.select(*_DOC, "i", "id", (F.col("_reach") - F.col("i")).cast("long").alias("e"))
+
+    def event(at: Column, kind: int, j: Column) -> Column:
+        return F.struct(at.alias("at"), F.lit(kind).alias("kind"), j.alias("j"))
+
+    # the first line start that has so many words before it, for runs that begin
+    # with a line: line starts (and the end of the stretch) and the questions pass
+    # in falling order of words; for runs that end with it, the last line start
+    # with so many words up to the end of the line, in rising order
+    after = F.col("_before") + F.col("words")
+    start = event(F.col("_before"), 2, F.col("i"))
+    end = event(after, 2, F.col("i") + 1)
+    onward = event(F.col("_before") + min_words, 1, F.col("i"))
+    back = event(after - min_words, 0, F.col("i"))
+    events = rows.select(*_DOC, "_stretch", "i", F.explode(F.array(start, end, onward, back)).alias("e"))
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    down = block.orderBy(F.desc("e.at"), F.desc("e.kind"), F.desc("e.j")).rowsBetween(*so_far)
+    up = block.orderBy("e.at", F.desc("e.kind"), "e.j").rowsBetween(*so_far)
+    passed = F.when(F.col("e.kind") == 2, F.col("e.j"))
+    found = events.withColumn("_end", F.last(passed, ignorenulls=True).over(down))
+    found = found.withColumn("_start", F.last(passed, ignorenulls=True).over(up)).filter("e.kind < 2")
+    onward_asked = F.col("e.kind") == 1
+    first = F.when(onward_asked, F.col("i")).otherwise(F.col("_start"))
+    stop = F.when(onward_asked, F.col("_end")).otherwise(F.col("i") + 1)
+    runs = found.select(*_DOC, first.alias("i"), (stop - first).cast("long").alias("e"))
+    return runs.filter("e IS NOT NULL").distinct()
 
 
 def _first_ranks(rows: DataFrame) -> DataFrame:
@@ -125,8 +143,9 @@ def deleted_runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     some = join_small(lines, fewer(often), "id", "left_semi", max_bytes=BROADCAST_BYTES)
     some = stored(some.dropDuplicates([*_DOC, "i"]), "repeated-lines")
     runs = stored(_runs(some, min_words), "line-runs")
-    longest, rows = runs.agg(F.max("e"), F.count(F.lit(1))).first()
-    suffixes = stored(runs.join(_first_ranks(runs), "id").select(*_DOC, "i", "rank"), "suffixes-0", rows)
+    longest, asked_rows = runs.agg(F.max("e"), F.count(F.lit(1))).first()
+    rows = some.count()
+    suffixes = stored(some.join(_first_ranks(some), "id").select(*_DOC, "i", "rank"), "suffixes-0", rows)
     found: DataFrame | None = None
     k = 0
     while longest is not None and (1 << k) <= longest:
@@ -140,7 +159,7 @@ def deleted_runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         group = ["e", "rank", "last"]
         first = tail.groupBy(*group).agg(F.min(F.struct(*_DOC, "i")).alias("first"))
         later = tail.join(first, group).filter(F.struct(*_DOC, "i") > F.col("first")).select(*_DOC, "i", "e")
-        later = stored(later, "deleted-runs", rows)
+        later = stored(later, "deleted-runs", asked_rows)
         found = later if found is None else found.unionByName(later)
         if 2 * span <= longest:
             pairs = suffixes.join(_at(suffixes, F.lit(span), "then"), [*_DOC, "i"])
