@@ -7,7 +7,11 @@ changes get the number of characters they have then; a document that it
 leaves without any text goes, while documents without text in the input stay.
 
 Defined cases are those of the operators; a document with a NULL id is never a
-duplicate. Columns beyond those of documents pass through the filtering stages.
+duplicate. Of rows that share an id, near-dedup keeps one: rows with a text come
+first, in the order of the text, then of the whole row as JSON. Decontamination
+decides for each id and text, so a NULL id is an id like any other and a row goes
+for its own text only. Columns beyond those of documents pass through the
+filtering stages.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaylake.llm import decontaminate, line_dedup, minhash, sentencepiece_bpe, toxicity
-from quaylake.llm.common import scratch_path
+from quaylake.llm.common import free_name, scratch_path
 from quaylake.plans.broadcast import join_small
 from quaylake.sources.tables import read_table
 
@@ -50,14 +54,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     again = docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
     once = join_small(left, again, "doc_id", "left_anti", max_bytes=BROADCAST_BYTES).select(*docs.columns)
     several = join_small(left, again, "doc_id", "left_semi", max_bytes=BROADCAST_BYTES).select(*docs.columns)
-    return once.unionByName(several.dropDuplicates(["doc_id"]))
+    row = F.struct(*docs.columns)
+    order = F.struct(F.col("text").isNull(), F.col("text"), F.to_json(row))
+    chosen = several.groupBy("doc_id").agg(F.min_by(row, order).alias("row")).select("row.*")
+    return once.unionByName(chosen)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     benchmark = read_table(spark, sf_dir, "benchmark").select("item_id", "text")
-    leaked = decontaminate.leaks(docs, benchmark).select("doc_id").distinct()
-    return join_small(docs, leaked, "doc_id", "left_anti", max_bytes=BROADCAST_BYTES).select(*docs.columns)
+    # a struct is never NULL, so that rows without an id find themselves again
+    key = free_name(docs, "doc_key")
+    keyed = docs.withColumn(key, F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
+    leaked = decontaminate.leaks(keyed, benchmark, id_col=key).select(F.col("doc_id").alias(key)).distinct()
+    return join_small(keyed, leaked, key, "left_anti", max_bytes=BROADCAST_BYTES).select(*docs.columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
