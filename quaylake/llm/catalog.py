@@ -12,7 +12,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaylake.llm import chat, decontaminate, line_dedup, lz_fingerprint, minhash, pii, sentencepiece_bpe, sharding, suffix_dedup, toxicity
+from quaylake.llm import (
+    chat,
+    decontaminate,
+    divergence,
+    license_scan,
+    line_dedup,
+    lz_fingerprint,
+    minhash,
+    oracle_sql,
+    pii,
+    resample,
+    sentencepiece_bpe,
+    sharding,
+    suffix_dedup,
+    toxicity,
+)
 from quaylake.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,6 +145,34 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    target = read_table(spark, sf_dir, "benchmark").select("text")
+    return resample.importance(docs, target)
+
+
+def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = license_scan.scan(docs).select("doc_id", "n_words", "licenses")
+    base = F.filter("licenses", lambda x: x["base"])
+    start = F.transform(base, lambda x: x["start"].cast("long"))
+    labels = lambda places: F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda x: x["label"]))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(start).alias("first_word"),
+        F.array_max(start).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("licenses")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("licenses", lambda x: x["share"])), F.lit(0.0)).alias("score"),
+    )
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -141,6 +184,9 @@ QUERIES: dict[str, Query] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_sharding": op10_sharding,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_license_scans": op12_license_scans,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE: dict[str, str] = {
@@ -268,7 +314,7 @@ SELECT conv_id, id_conv || ':' || id_turn AS call_id, CASE WHEN conv_id IS NOT N
        || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || ',"status":"' || status || '"}' AS json
 FROM linked
 """,
-}
+} | oracle_sql.ORACLE
 
 
 def llm_queries() -> dict[str, Query]:
