@@ -239,20 +239,18 @@ FROM doc d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """,
     "op6_line_dedup": """
 WITH doc AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-line AS (SELECT doc_id, lines, unnest(range(len(lines))) AS i FROM doc),
-word AS (SELECT doc_id, i, lines[i + 1] AS line,
+place AS (SELECT doc_id, lines, unnest(range(len(lines))) AS i FROM doc),
+line AS (SELECT doc_id, i, lines[i + 1] AS line,
            CASE WHEN lines[i + 1] = '' THEN 0 ELSE length(lines[i + 1]) - length(replace(lines[i + 1], ' ', '')) + 1 END AS words
-         FROM line),
-total AS (SELECT doc_id, i, line, words, sum(words) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM word),
-run AS (SELECT a.doc_id, a.i, min(b.i) AS j FROM total a
-        JOIN total b ON b.doc_id = a.doc_id AND b.i >= a.i AND b.upto >= a.upto - a.words + 30 GROUP BY 1, 2),
-told AS (SELECT r.doc_id, r.i, r.j, array_to_string(list_slice(d.lines, r.i + 1, r.j + 1), chr(10)) AS run_text
-         FROM run r JOIN doc d ON d.doc_id = r.doc_id),
-later AS (SELECT doc_id, i, j, row_number() OVER (PARTITION BY run_text ORDER BY doc_id, i) AS k FROM told),
-gone AS (SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS i FROM later WHERE k > 1),
+         FROM place),
+same AS (SELECT a.doc_id AS first_id, b.doc_id, b.i - a.i AS shift, b.i, b.words FROM line a JOIN line b ON a.line = b.line
+         WHERE a.doc_id < b.doc_id OR (a.doc_id = b.doc_id AND a.i < b.i)),
+step AS (SELECT *, i - row_number() OVER (PARTITION BY first_id, doc_id, shift ORDER BY i) AS run FROM same),
+long AS (SELECT doc_id, min(i) AS lo, max(i) AS hi FROM step GROUP BY first_id, doc_id, shift, run HAVING sum(words) >= 30),
+gone AS (SELECT DISTINCT doc_id, unnest(range(lo, hi + 1)) AS i FROM long),
 state AS (SELECT t.doc_id, t.i, t.line, g.i IS NOT NULL AS is_gone,
             lag(g.i IS NOT NULL, 1, false) OVER (PARTITION BY t.doc_id ORDER BY t.i) AS was_gone
-          FROM total t LEFT JOIN gone g ON g.doc_id = t.doc_id AND g.i = t.i)
+          FROM line t LEFT JOIN gone g ON g.doc_id = t.doc_id AND g.i = t.i)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (is_gone) AS n_removed,
        count(*) FILTER (is_gone AND NOT was_gone) AS n_runs,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT is_gone), '')) AS kept_sha256

@@ -2,38 +2,13 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 from quaylake.llm import line_dedup
 
 from ..conftest import SF0001
+from . import brute
 from .test_line_dedup import line_rows
 
 
-def in_maximal_runs(rows, min_words=30):
-    """Deleted line numbers per id: from each pair of places with equal lines, the
-    maximal run that the two have in common, if it has the words; rows (id, text)
-    with distinct ids."""
-    docs = {i: (t or "").split("\n") for i, t in rows}
-    words = lambda line: 0 if line == "" else line.count(" ") + 1
-    order = sorted(docs, key=lambda x: (x is not None, x))
-    places = defaultdict(list)
-    gone = defaultdict(set)
-    for at, i in enumerate(order):
-        for x, line in enumerate(docs[i]):
-            for before, y in places[line]:
-                a, b = docs[i], docs[order[before]]
-                if x and y and a[x - 1] == b[y - 1]:
-                    continue  # inside the run of an earlier pair
-                n = 0
-                while x + n < len(a) and y + n < len(b) and a[x + n] == b[y + n]:
-                    n += 1
-                if sum(map(words, a[x : x + n])) >= min_words:
-                    gone[i].update(range(x, x + n))
-            places[line].append((at, x))
-    return docs, gone
-
-
 def removed_lines(df):
     return {r["doc_id"]: {x for s in r["removed"] for x in range(s["start"], s["end"])} for r in df.collect()}
 
@@ -51,12 +26,12 @@ def test_light_lines_after_a_heavy_one_go_with_the_run(spark, docs_of):
 def test_against_maximal_runs(spark, docs_of):
     for seed, min_words in ((1, 30), (2, 6), (3, 1), (5, 20)):
         rows = line_rows(seed)
-        docs, gone = in_maximal_runs(rows, min_words)
+        docs, gone = brute.repeated_lines(rows, min_words)
         got = removed_lines(line_dedup.remove_repeated_lines(docs_of(rows), min_words=min_words))
         assert got == {i: gone[i] for i in docs}, seed
 
 
 def test_given_documents_against_maximal_runs(spark):
     docs = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text")
-    lines, gone = in_maximal_runs([tuple(r) for r in docs.collect()])
+    lines, gone = brute.repeated_lines([tuple(r) for r in docs.collect()])
     assert removed_lines(line_dedup.remove_repeated_lines(docs)) == {i: gone[i] for i in lines}

@@ -24,6 +24,6 @@ def test_query_matches_sql(spark, key):
 
 
 def test_native_queries_plan_no_python(spark):
-    for key in ("op1_benchmark_decontamination", "op6_line_dedup", "op9_chat_formatting", "op10_sharding"):
+    for key in ("op1_benchmark_decontamination", "op6_line_dedup", "op9_chat_formatting", "op10_sharding", "op12_license_scans"):
         plan = llm_queries()[key](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin")), key

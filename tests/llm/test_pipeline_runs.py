@@ -5,8 +5,6 @@ from __future__ import annotations
 import corpus_pipeline
 
 from ..conftest import SF0001
-from . import brute, test_pipeline
-from .test_line_runs import in_maximal_runs
 
 
 def test_light_lines_of_a_copied_passage_go(spark, docs_of):
@@ -14,8 +12,3 @@ def test_light_lines_of_a_copied_passage_go(spark, docs_of):
     rows = [(1, passage), (2, passage), (3, f"before it\n{passage}\nafter it")]
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.drop_repeated_lines(spark, docs_of(rows), SF0001).collect()}
     assert got == {1: (passage, len(passage)), 3: ("before it\nafter it", 18)}
-
-
-def test_stages_with_maximal_runs(spark, monkeypatch):
-    monkeypatch.setattr(brute, "repeated_lines", in_maximal_runs)
-    test_pipeline.test_stages_against_plain_versions(spark)
