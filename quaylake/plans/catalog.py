@@ -26,7 +26,7 @@ from quaylake.schemas import DELIVERY_RATING, RETAIL_ORDER_SCHEMA, SHIPMENT_SCHE
 from quaylake.session import scratch_path
 from quaylake.sources import catalog as ddl
 from quaylake.sources import fixtures, results_io
-from quaylake.sources.csv_io import CORRUPT, read_csv, write_csv
+from quaylake.sources.csv_io import CORRUPT, infer_csv_types, read_csv, read_csv_inferred, write_csv
 from quaylake.sources.tables import read_table
 from quaylake.streaming.ingest import decoded_stream, event_source, ingest_available, start_append
 
@@ -148,7 +148,7 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantity = F.when(F.col("quantity") == 7, "seven").otherwise(F.col("quantity").cast("string"))
     path = scratch_path(spark, "retail_csv")
     write_csv(batch.withColumn("quantity", quantity).select(*reversed(batch.columns)), path)
-    rows = read_csv(spark, path, RETAIL_ORDER_SCHEMA, multi_line=True, with_corrupt=True)
+    rows = read_csv(spark, path, RETAIL_ORDER_SCHEMA, multi_line=True, with_corrupt=True, headers="same")
     return rows.withColumn("is_bad", F.col(CORRUPT).isNotNull()).drop(CORRUPT)
 
 
@@ -158,7 +158,31 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "quarantine_csv")
     write_csv(_with_odd_texts(V.quarantine_rows(_annotated(spark, sf_dir))), path)
     schema = T.StructType(list(RETAIL_ORDER_SCHEMA.fields) + [T.StructField(V.REASONS, T.StringType(), True)])
-    return read_csv(spark, path, schema, multi_line=True)
+    return read_csv(spark, path, schema, multi_line=True, headers="same")
+
+
+def _mixed_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The retail batch as CSV files of two column orders, with a flag, a missing token
+    for some quantities and whole numbers among the prices."""
+    batch = fixtures.retail_orders(spark, sf_dir)
+    batch = batch.withColumn("is_bulk", (F.col("quantity") > 5).cast("string"))
+    price = F.when(F.col("price") == 0, "0").otherwise(F.col("price").cast("string"))
+    texts = batch.withColumn("quantity", F.when(F.col("quantity") == 7, "NA").otherwise(F.col("quantity").cast("string"))).withColumn("price", price)
+    path = scratch_path(spark, "mixed_csv")
+    bulk = F.coalesce(F.col("is_bulk") == "true", F.lit(False))
+    write_csv(texts.where(~bulk), path, mode="append")
+    write_csv(texts.where(bulk).select(*reversed(texts.columns)), path, mode="append")
+    return path
+
+
+def csv_inferred_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inferred types of a folder with two column orders, one row per column."""
+    return infer_csv_types(spark, _mixed_csv(spark, sf_dir)).drop("position")
+
+
+def csv_inferred_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of that folder with inferred types."""
+    return read_csv_inferred(spark, _mixed_csv(spark, sf_dir))
 
 
 def dq_unique_later_column(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -458,6 +482,8 @@ def all_queries() -> dict[str, Query]:
         "dq_validate_batch": dq_validate_batch,
         "csv_scan": csv_scan,
         "csv_roundtrip": csv_roundtrip,
+        "csv_inferred_schema": csv_inferred_schema,
+        "csv_inferred_scan": csv_inferred_scan,
         # shipments: scans, KPIs, top-k
         "scan_shipments": scan_shipments,
         "incoming_batch": incoming_batch,

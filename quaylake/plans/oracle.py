@@ -264,6 +264,19 @@ SELECT rule_index, success, expectation, rule_column, element_count, missing_cou
     q["csv_scan"] = f"""SELECT * REPLACE ({ODD_PRODUCT} AS product_id, CASE WHEN quantity <> 7 THEN quantity END AS quantity),
        COALESCE(quantity = 7, FALSE) AS is_bad FROM ({RETAIL_ORDERS}) r"""
     q["csv_roundtrip"] = f"SELECT * REPLACE ({ODD_PRODUCT} AS product_id) FROM ({q['dq_quarantine']}) r"
+    mixed = f"""WITH m AS (SELECT * REPLACE (CAST(CASE WHEN quantity <> 7 THEN quantity END AS BIGINT) AS quantity,
+         CAST(transaction_date AS DATE) AS transaction_date), quantity > 5 AS is_bulk FROM ({RETAIL_ORDERS}) r)"""
+    q["csv_inferred_scan"] = f"{mixed} SELECT * FROM m"
+    types = [("order_id", "string"), ("customer_id", "string"), ("product_id", "string"), ("quantity", "bigint"),
+             ("price", "double"), ("transaction_date", "date"), ("customer_email", "string"), ("is_bulk", "boolean")]
+    # whole numbers among the prices are written without a point only where they are 0
+    fits = {"bigint": "count(quantity)", "double": "count_if(price = 0)"}
+    q["csv_inferred_schema"] = mixed + " UNION ALL ".join(
+        f"""SELECT '{c}' AS name, '{t}' AS type, count(*) AS n_rows, count(*) - count({c}) AS n_missing,
+       {f'count({c})' if t == 'boolean' else 'CAST(0 AS BIGINT)'} AS n_boolean,
+       CAST({fits.get(t, 0)} AS BIGINT) AS n_integer, {f'count({c})' if t in fits else 'CAST(0 AS BIGINT)'} AS n_number,
+       {f'count({c})' if t == 'date' else 'CAST(0 AS BIGINT)'} AS n_date FROM m
+""" for c, t in types)
     q["dq_load_twice"] = q["dq_gated_load_low_threshold"]
     price = "CASE WHEN quantity = 3 THEN CAST('nan' AS DOUBLE) ELSE round(price, -2) END"
     q["dq_unique_later_column"] = f"""WITH r AS (SELECT * REPLACE ({price} AS price) FROM ({RETAIL_ORDERS}) o)

@@ -1,4 +1,4 @@
-"""CSV source with a declared schema and missing-value tokens, and CSV sink.
+"""CSV source with missing-value tokens and declared or inferred types, and CSV sink.
 
 Reading loses nothing. Columns are found by the names in each file's header,
 so their order does not matter; a header that lacks a declared column or has an
@@ -6,6 +6,16 @@ unknown one is an error. A value that does not fit its type, and a record with
 the wrong number of fields, keep their text in ``_corrupt_record`` next to what
 could be read: ``split_csv`` gives the good rows and the bad ones.
 
+The text is scanned once. With ``headers="by_file"`` (the default) that scan
+stores all records as they stand, with their file and place; the first record of
+each file is its header, found by an aggregate over the places, and records meet
+the column order of their file in a join of checked size. Neither files nor
+headers reach the driver. With ``headers="same"`` one header is looked at, nothing
+is stored, and the scan itself fails on a file that has another one.
+
+Types are inferred from all rows in one aggregate, without sampling: a column is
+boolean, bigint, double or date if all its values are, else text.
+
 Fields are quoted by RFC 4180 (quotes are doubled). The sink quotes every
 non-NULL text and writes NULL as nothing at all, so blanks, quotes, empty texts
 and line breaks come back as they were. Values with line breaks need
@@ -16,14 +26,19 @@ task.
 from __future__ import annotations
 
 import csv
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quaylake.plans.broadcast import join_small
+from quaylake.session import scratch_path
+
 CORRUPT = "_corrupt_record"
 _RAW = "_raw_record"
+_HEAD = "_is_header"
 
 # Texts of an unquoted or quoted field that are read as missing,
 # compared as they stand (no trimming).
@@ -31,27 +46,105 @@ DEFAULT_NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
-#: stands for an empty text that was quoted, so that it differs from no text
-_EMPTY = "\u0000"
-
-
-def _layouts(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
-    """(column names, files) for each different header line under ``path``. The
-    first line of each file is found in one pass over the text; the header lines
-    and, where there are several, the file names reach the driver."""
-    lines = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0)
-    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
-    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("head"))
-    heads = first.groupBy("head").agg(F.min("file").alias("file")).collect()
-    if len(heads) == 1:
-        return [(_names(heads[0]["head"]), [path])]
-    return [(_names(r["head"]), r["files"]) for r in first.groupBy("head").agg(F.collect_set("file").alias("files")).collect()]
+_INTEGER = r"^[+-]?[0-9]+$"
+_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+#: a column has the first of these types that all its values have, else string
+_LATTICE = {"boolean": T.BooleanType(), "bigint": T.LongType(), "double": T.DoubleType(), "date": T.DateType()}
 
 
 def _names(head: str) -> list[str]:
     return next(csv.reader([head.removeprefix("\ufeff")]), [])
 
 
+def _empty_marker() -> str:
+    """Stands for an empty text that was quoted, so that it differs from no text; new
+    for each read, so that no value can be taken for it."""
+    return f"\u0000{uuid.uuid4().hex}"
+
+
+def _text_reader(spark: SparkSession, names: Sequence[str], empty: str, multi_line: bool):
+    """Reader of all fields as text; ``_raw_record`` has a record with other than
+    ``names`` fields."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RAW)
+    # a quoted empty field is an empty text, a field of nothing is NULL
+    reader = reader.option("emptyValue", empty).option("nullValue", "")
+    return reader.option("escape", '"').option("multiLine", multi_line)
+
+
+def _some_header(spark: SparkSession, path: str) -> list[str] | None:
+    """The first line of a file under ``path``: a task stops after one row."""
+    first = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0).select("value").head()
+    return None if first is None else _names(first["value"])
+
+
+def _check_names(found: Sequence[str], names: Sequence[str]) -> None:
+    if sorted(found) != sorted(names):
+        raise ValueError(f"CSV header {list(found)} does not match the columns {list(names)}")
+
+
+def _by_file(spark: SparkSession, path: str, names: list[str], empty: str, multi_line: bool) -> DataFrame:
+    """Records with the fields of ``names``, whatever their order in each file."""
+    fields = [f"f{i}" for i in range(len(names))]
+    scan = _text_reader(spark, fields, empty, multi_line).option("header", False).csv(path)
+    meta = F.col("_metadata")
+    records = scan.select(
+        meta["file_path"].alias("file"), (meta["file_block_start"] == 0).alias("in_first_block"), *fields, _RAW
+    ).withColumn("at", F.monotonically_increasing_id())
+    stored = scratch_path(spark, "csv_records")
+    records.write.parquet(stored)
+    records = spark.read.schema(records.schema).parquet(stored)
+
+    first = records.where("in_first_block").groupBy("file").agg(F.min("at").alias("at"))
+    shown = [F.when(F.col(f) == empty, "").otherwise(F.coalesce(F.col(f), F.lit(""))) for f in fields]
+    heads = join_small(records.select("at", *fields, _RAW), first, "at").select("file", "at", F.array(*shown).alias("found"), _RAW)
+    wanted = F.array(*[F.lit(n) for n in names]).cast("array<string>")
+    wrong = F.col(_RAW).isNotNull() | (F.array_sort("found") != F.array_sort(wanted))
+    bad = heads.where(wrong).select("found", _RAW).head()
+    if bad is not None:
+        _check_names(bad["found"] if bad[_RAW] is None else _names(bad[_RAW]), names)
+    order = F.transform(wanted, lambda n: F.array_position("found", n).cast("int"))
+    rows = join_small(records, heads.select("file", F.col("at").alias("head_at"), order.alias("order")), "file")
+    values = F.array(*fields)
+    fields = [F.element_at(values, F.col("order")[i]).alias(n) for i, n in enumerate(names)]
+    return rows.select(*fields, _RAW, (F.col("at") == F.col("head_at")).alias(_HEAD))
+
+
+def _text_records(
+    spark: SparkSession, path: str, names: list[str] | None, header: bool, multi_line: bool, headers: str
+) -> tuple[DataFrame, list[str], str]:
+    """All records as text columns, ``_raw_record`` and ``_is_header``; their names; the
+    mark of an empty text. ``names`` None: those of a header."""
+    if headers not in ("by_file", "same"):
+        raise ValueError(f"headers must be 'by_file' or 'same', not {headers!r}")
+    if not header and names is None:
+        raise ValueError("a file without a header needs column names")
+    empty = _empty_marker()
+    if not header:
+        raw = _text_reader(spark, names, empty, multi_line).option("header", False).csv(path)
+        return raw.withColumn(_HEAD, F.lit(False)), names, empty
+    found = _some_header(spark, path)
+    if found is None:
+        names = names or []
+        nothing = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
+        return spark.createDataFrame([], nothing.add(_HEAD, T.BooleanType())), names, empty
+    if names is not None:
+        _check_names(found, names)
+    if headers == "by_file":
+        return _by_file(spark, path, names or found, empty, multi_line), names or found, empty
+    # the scan compares the header of every file with the schema
+    reader = _text_reader(spark, found, empty, multi_line).option("header", True).option("enforceSchema", False)
+    return reader.csv(path).withColumn(_HEAD, F.lit(False)), names or found, empty
+
+
+def _present(name: str, empty: str, null_tokens: Sequence[str], is_text: bool) -> Column:
+    """The field as text; NULL where it is missing."""
+    text = F.col(f"`{name}`")
+    quoted_empty = F.lit("") if is_text else F.lit(None).cast("string")
+    return F.when(text == empty, quoted_empty).when(text.isin(*[t for t in null_tokens if t]), None).otherwise(text)
+
+
 def _typed(text: Column, field: T.StructField) -> Column:
     return text if isinstance(field.dataType, T.StringType) else F.trim(text).try_cast(field.dataType)
 
@@ -64,6 +157,7 @@ def read_csv(
     header: bool = True,
     multi_line: bool = False,
     with_corrupt: bool = False,
+    headers: str = "by_file",
 ) -> DataFrame:
     """Typed rows by header name (by position without a header).
 
@@ -72,41 +166,88 @@ def read_csv(
     or a wrong number of fields, NULL for a good one.
     """
     names = [f.name for f in schema.fields]
-    layouts = _layouts(spark, path) if header else [(names, [path])]
-    for found, _ in layouts:
-        if sorted(found) != sorted(names):
-            raise ValueError(f"CSV header {found} does not match the columns {names}")
-    frames = [_read_layout(spark, files, found, schema, null_tokens, header, multi_line) for found, files in layouts]
-    if not frames:
-        empty = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-        frames = [spark.createDataFrame([], empty)]
-    out = frames[0]
-    for more in frames[1:]:
-        out = out.unionByName(more)
+    raw, _, empty = _text_records(spark, path, names, header, multi_line, headers)
+    values, wrong = [], F.col(_RAW).isNotNull()
+    for f in schema.fields:
+        text = _present(f.name, empty, null_tokens, isinstance(f.dataType, T.StringType))
+        values.append(_typed(text, f).alias(f.name))
+        wrong = wrong | (text.isNotNull() & _typed(text, f).isNull())
+    shown = F.concat_ws(",", *[F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in names])
+    # Catalyst may test records before it drops the headers, so those are never bad
+    record = F.when(~F.col(_HEAD) & wrong, F.coalesce(F.col(_RAW), F.replace(shown, F.lit(empty), F.lit(""))))
+    out = raw.where(~F.col(_HEAD)).select(*values, record.alias(CORRUPT))
     if with_corrupt:
         return out
     bad = F.raise_error(F.concat(F.lit("bad CSV record: "), F.col(CORRUPT))).cast("boolean")
     return out.where(F.when(F.col(CORRUPT).isNotNull(), bad).otherwise(True)).select(*[F.col(f"`{n}`") for n in names])
 
 
-def _read_layout(spark, files, found, schema, null_tokens, header, multi_line) -> DataFrame:
-    fields = [schema[n] for n in found]
-    text_schema = T.StructType([T.StructField(n, T.StringType()) for n in found] + [T.StructField(_RAW, T.StringType())])
-    reader = spark.read.schema(text_schema).option("header", header).option("mode", "PERMISSIVE")
-    reader = reader.option("columnNameOfCorruptRecord", _RAW).option("escape", '"').option("multiLine", multi_line)
-    # a quoted empty field is an empty text, a field of nothing is NULL
-    raw = reader.option("emptyValue", _EMPTY).option("nullValue", "").csv(files)
-    values, wrong = {}, F.col(f"`{_RAW}`").isNotNull()
-    for f in fields:
-        text = F.col(f"`{f.name}`")
-        is_text = isinstance(f.dataType, T.StringType)
-        quoted_empty = F.lit("") if is_text else F.lit(None).cast("string")
-        text = F.when(text == _EMPTY, quoted_empty).when(text.isin(*[t for t in null_tokens if t]), None).otherwise(text)
-        values[f.name] = _typed(text, f).alias(f.name)
-        wrong = wrong | (text.isNotNull() & _typed(text, f).isNull())
-    shown = F.concat_ws(",", *[F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in found])
-    record = F.when(wrong, F.coalesce(F.col(f"`{_RAW}`"), F.replace(shown, F.lit(_EMPTY), F.lit(""))))
-    return raw.select(*[values[f.name] for f in schema.fields], record.alias(CORRUPT))
+def infer_csv_types(
+    spark: SparkSession,
+    path: str,
+    null_tokens: Sequence[str] = DEFAULT_NULL_TOKENS,
+    names: Sequence[str] | None = None,
+    header: bool = True,
+    multi_line: bool = False,
+    headers: str = "by_file",
+) -> DataFrame:
+    """One row per column, from all rows: ``position``, ``name``, ``type``, ``n_rows``,
+    ``n_missing`` and the values that are a boolean, an integer (of 64 bits), a
+    number or a date. A column without values is text."""
+    raw, names, empty = _text_records(spark, path, None if names is None else list(names), header, multi_line, headers)
+    counts, columns = [], []
+    for i, name in enumerate(names):
+        text = _present(name, empty, null_tokens, is_text=True)
+        t = F.trim(text)
+        fits = {
+            "missing": text.isNull(),
+            "boolean": F.lower(t).isin("true", "false"),
+            "bigint": t.rlike(_INTEGER) & t.try_cast("bigint").isNotNull(),
+            "double": t.rlike(_NUMBER),
+            "date": t.rlike(_DATE) & t.try_cast("date").isNotNull(),
+        }
+        counts += [F.count_if(c).alias(f"{k}_{i}") for k, c in fits.items()]
+        of = {k: F.col(f"{k}_{i}") for k in fits}
+        values = F.col("n_rows") - of["missing"]
+        kind = F.lit("string")
+        for k in reversed(list(_LATTICE)):
+            kind = F.when((values > 0) & (of[k] == values), k).otherwise(kind)
+        columns.append(
+            F.struct(
+                F.lit(i).alias("position"),
+                F.lit(name).alias("name"),
+                kind.alias("type"),
+                F.col("n_rows"),
+                of["missing"].alias("n_missing"),
+                of["boolean"].alias("n_boolean"),
+                of["bigint"].alias("n_integer"),
+                of["double"].alias("n_number"),
+                of["date"].alias("n_date"),
+            )
+        )
+    if not columns:
+        told = "n_rows long, n_missing long, n_boolean long, n_integer long, n_number long, n_date long"
+        return spark.createDataFrame([], f"position int, name string, type string, {told}")
+    one = raw.where(~F.col(_HEAD)).agg(F.count(F.lit(1)).alias("n_rows"), *counts)
+    return one.select(F.inline(F.array(*columns)))
+
+
+def csv_schema(inferred: DataFrame) -> T.StructType:
+    """The schema of an ``infer_csv_types`` frame; a row per column is collected."""
+    rows = inferred.select("position", "name", "type").orderBy("position").collect()
+    return T.StructType([T.StructField(r["name"], _LATTICE.get(r["type"], T.StringType())) for r in rows])
+
+
+def read_csv_inferred(
+    spark: SparkSession,
+    path: str,
+    null_tokens: Sequence[str] = DEFAULT_NULL_TOKENS,
+    multi_line: bool = False,
+    headers: str = "by_file",
+) -> DataFrame:
+    """Rows with inferred types: one pass infers, the other reads."""
+    schema = csv_schema(infer_csv_types(spark, path, null_tokens, multi_line=multi_line, headers=headers))
+    return read_csv(spark, path, schema, null_tokens, multi_line=multi_line, headers=headers)
 
 
 def split_csv(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -131,4 +272,5 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     record = F.concat_ws(",", *fields)
     row_of_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     value = F.when(row_of_part == 0, F.concat(F.lit(head + "\n"), record)).otherwise(record)
-    df.select(value.alias("value")).write.mode(mode).text(path)
+    # one file a task, whatever the session says: a further file would lack the header
+    df.select(value.alias("value")).write.mode(mode).option("maxRecordsPerFile", 0).text(path)
