@@ -28,7 +28,8 @@ from quaylake.sources import catalog as ddl
 from quaylake.sources import fixtures, results_io
 from quaylake.sources.csv_io import CORRUPT, infer_csv_types, read_csv, read_csv_inferred, write_csv
 from quaylake.sources.tables import read_table
-from quaylake.streaming.ingest import decoded_stream, event_source, ingest_available, start_append
+from quaylake.streaming import faults
+from quaylake.streaming.ingest import decoded_stream, event_source, ingest_available, run_bounded, start_append, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -307,6 +308,65 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(SHIPMENT_SCHEMA).parquet(sink)
 
 
+def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Started at the latest file: what is there at the first start stays out; files
+    that arrive while the stream runs or is down do not."""
+    src = _stream_input(spark, sf_dir)
+    sink, ckpt = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ckpt")
+
+    def run() -> None:
+        query = start_ingest(spark, src, ckpt, SHIPMENT_SCHEMA, path=sink, starting_offsets="latest", available_now=True)
+        query.awaitTermination()
+
+    run()
+    encode_events(fixtures.merge_source(spark, sf_dir)).write.mode("append").text(src)
+    run()
+    encode_events(fixtures.new_shipments(spark, sf_dir)).write.mode("append").text(src)
+    run()
+    return spark.read.schema(SHIPMENT_SCHEMA).parquet(sink)
+
+
+def _in_files(spark: SparkSession, rows: DataFrame, src: str, n: int) -> None:
+    encode_events(rows).repartition(n).write.mode("append").text(src)
+
+
+def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches of two files: a first run stops after two of them, a second
+    resumes for one, a third drains the rest."""
+    src = _stream_input(spark, sf_dir)
+    _in_files(spark, fixtures.merge_source(spark, sf_dir), src, 8)
+    sink, ckpt = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ckpt")
+
+    def start(available_now: bool = False):
+        return start_ingest(
+            spark, src, ckpt, SHIPMENT_SCHEMA, path=sink, max_per_trigger=2, trigger="0 seconds", available_now=available_now
+        )
+
+    run_bounded(start(), timeout_s=120, max_batches=2)
+    run_bounded(start(), timeout_s=120, max_batches=1)
+    run_bounded(start(available_now=True))
+    return spark.read.schema(SHIPMENT_SCHEMA).parquet(sink)
+
+
+def stream_crash_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crashes after the write of a batch, once before its commit and once before
+    the sink knows its files; restarts add each row once."""
+    src = _stream_input(spark, sf_dir)
+    sink, ckpt = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ckpt")
+
+    def run() -> None:
+        run_bounded(start_ingest(spark, src, ckpt, SHIPMENT_SCHEMA, path=sink, max_per_trigger=3, available_now=True))
+
+    run()
+    faults.lose_commit(spark, ckpt)
+    run()
+    _in_files(spark, fixtures.merge_source(spark, sf_dir), src, 5)
+    run()
+    faults.lose_manifest(spark, ckpt, sink)
+    run()
+    return spark.read.schema(SHIPMENT_SCHEMA).parquet(sink)
+
+
 def _own_table(spark: SparkSession, name: str, schema: T.StructType) -> str:
     """A new catalog table of our own, its files under the shared folder."""
     path = scratch_path(spark, name)
@@ -504,6 +564,9 @@ def all_queries() -> dict[str, Query]:
         "stream_ingest": stream_ingest,
         "stream_restart": stream_restart,
         "stream_versioned": stream_versioned,
+        "stream_latest": stream_latest,
+        "stream_bounded": stream_bounded,
+        "stream_crash_restart": stream_crash_restart,
         "catalog_lifecycle": catalog_lifecycle,
         # DML
         "insert_append": insert_append,

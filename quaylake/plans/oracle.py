@@ -326,6 +326,9 @@ FROM shipments"""
     q["stream_restart"] = f"{_ships()}SELECT * FROM shipments UNION ALL {MALFORMED_ROWS} UNION ALL SELECT * FROM src"
     q["stream_versioned"] = q["stream_restart"]
 
+    q["stream_latest"] = f"{_ships()}SELECT * FROM src UNION ALL SELECT * FROM new_shipments"
+    q["stream_bounded"] = q["stream_crash_restart"] = q["stream_restart"]
+
     q["catalog_lifecycle"] = f"""{_ships()}SELECT *, CAST(NULL AS INTEGER) AS delivery_rating FROM shipments
 UNION ALL SELECT *, 5 FROM new_shipments"""
 
