@@ -1,19 +1,24 @@
 """SentencePiece encoding and decoding for merge-type (BPE) vocabularies.
 
-Encoding keeps an agenda (heap) of adjacent symbol pairs ordered by the score
-of the piece they would form, the leftmost first among equal scores, and
-merges the best pair until no pair of neighbours forms a piece. Symbols that
-are no piece fall back to their bytes.
+Encoding keeps an agenda of adjacent symbol pairs ordered by the score of the
+piece they would form, the leftmost first among equal scores, and merges the
+best pair until no pair of neighbours forms a piece. Symbols that are no piece
+fall back to their bytes. Short segments of one length have their agendas in a
+matrix of ranks, a row each, and all rows merge their best pair at once; any
+other segment has a heap.
 
 No piece of such a vocabulary has a word-start mark behind another character,
 so no merge crosses a space; a line feed that is in no longer piece separates
 likewise. Texts are therefore encoded segment by segment, and equal segments
-are encoded once per batch and kept in a bounded table. Both conditions are
-read off the vocabulary when it is loaded; without them a text is one segment.
+are encoded once per batch and kept in a bounded table of two generations: a
+full one replaces the one before, and what is used again moves on. Both
+conditions are read off the vocabulary when it is loaded; without them a text
+is one segment.
 
 Check against the library, in each Arrow batch: every segment that the agenda
 encoded for the first time is encoded by the ``sentencepiece`` library as
-well, and so is the first whole text; a difference raises.
+well, and the first whole text of each chunk is encoded and decoded by it; a
+difference raises.
 
 Defined cases: a NULL text counts as empty, and an empty text is the begin and
 end ids alone. Any length is allowed; the work is ``n log n`` in the longest
@@ -26,16 +31,25 @@ import heapq
 import re
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import chain
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from quaylake.llm.common import position, ship, tidy, worker_state
 
 MARK = "▁"
-#: segments kept between batches of a worker, and the longest one kept
-CACHE_SEGMENTS = 300_000
+#: segments of a generation kept by a worker, and the longest one kept
+CACHE_SEGMENTS = 200_000
 CACHE_CHARS = 64
+#: segments of up to so many characters have their agendas in a matrix
+SHORT = 64
+#: rank of a pair that forms no piece
+_NEVER = 1 << 30
+_PAIR_BITS = 20
+#: symbols of a matrix
+_CELLS = 1 << 19
 #: code points of texts encoded together
 CHUNK_CHARS = 2_000_000
 
@@ -73,10 +87,95 @@ class MergeVocabulary:
         self.by_words = not any(MARK in p.lstrip(MARK) for p in self.ids)
         self.by_lines = self.by_words and not any("\n" in p for p in self.ids)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self._rank_pairs()
+
+    def _rank_pairs(self) -> None:
+        """Sorted keys of the pairs of pieces that form one, with the rank of its
+        score. Symbols are single characters or pieces, so no other pair ever
+        merges. Pieces of equal score have no rank of their own; a segment that
+        could hold one (by the characters they are made of) is left to the heap."""
+        ids = self.ids
+        by_score = sorted(ids, key=lambda p: (self.cost[p], ids[p]))
+        self.of_rank = np.array([ids[p] for p in by_score] or [0], np.int32)
+        self.ranked = len(self.text) < 1 << _PAIR_BITS and all(c in ids for p in ids for c in p)
+        pairs = {}
+        for rank, piece in enumerate(by_score if self.ranked else ()):
+            for at in range(1, len(piece)):
+                a, b = ids.get(piece[:at]), ids.get(piece[at:])
+                if a is not None and b is not None:
+                    pairs[a << _PAIR_BITS | b] = rank
+        keys = np.array(sorted(pairs) + [1 << 62])
+        self.pair_keys = keys
+        self.pair_ranks = np.array([pairs.get(k, _NEVER) for k in keys.tolist()], np.int32)
+        self.char_ids = np.full(0x110000, -1, np.int32)
+        for p, i in ids.items():
+            if len(p) == 1:
+                self.char_ids[ord(p)] = i
+        formed = [p for p in by_score if len(p) > 1]
+        even = [x for p, q in zip(formed, formed[1:], strict=False) if self.cost[p] == self.cost[q] for x in (p, q)]
+        self.even_chars = sorted({ord(c) for p in even for c in p})
+        self.even_length = min(map(len, even), default=1)
 
     # ------------------------------------------------------------ encoding
-    def merge(self, segment: str) -> list[int]:
-        """Ids of one segment (its spaces already written as marks)."""
+    def merge_all(self, segments: list[str]) -> list[bytes]:
+        """Ids of each segment (its spaces already written as marks), four bytes each."""
+        out: list[bytes | None] = [None] * len(segments)
+        if self.ranked:
+            by_length: dict[int, list[int]] = {}
+            for at, s in enumerate(segments):
+                if len(s) <= SHORT:
+                    by_length.setdefault(len(s), []).append(at)
+            for length, places in by_length.items():
+                step = max(1, _CELLS // max(1, length))
+                for lo in range(0, len(places), step):
+                    self._merge_matrix(segments, length, places[lo : lo + step], out)
+        return [np.array(self._merge_heap(s), "<u4").tobytes() if x is None else x for s, x in zip(segments, out, strict=True)]
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs (a, b)."""
+        wanted = a.astype(np.int64) << _PAIR_BITS | b
+        at = np.searchsorted(self.pair_keys, wanted)
+        return np.where(self.pair_keys[at] == wanted, self.pair_ranks[at], np.int32(_NEVER))
+
+    def _merge_matrix(self, segments: list[str], length: int, places: list[int], out: list) -> None:
+        """Ids of segments of one length, at their places in ``out``; those with unknown
+        characters or pieces of equal score are passed over."""
+        if not length:
+            return
+        code = np.frombuffer("".join([segments[p] for p in places]).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, length)
+        sym = self.char_ids[code]
+        fit = (sym >= 0).all(axis=1)
+        if self.even_chars:
+            fit &= np.isin(code, self.even_chars).sum(axis=1) < self.even_length
+        sym, row = sym[fit], np.array(places)[fit]
+        agenda = self._rank(sym[:, :-1], sym[:, 1:])
+        while len(row):
+            if not agenda.shape[1]:
+                done = np.ones(len(row), bool)
+            else:
+                i = agenda.argmin(axis=1)  # the leftmost of the best
+                best = np.take_along_axis(agenda, i[:, None], 1)[:, 0]
+                done = best == _NEVER
+            raw, width = sym[done].astype("<u4").tobytes(), 4 * sym.shape[1]
+            for n, p in enumerate(row[done].tolist()):
+                out[p] = raw[n * width : (n + 1) * width]
+            if done.all():
+                return
+            sym, agenda, row, i, best = sym[~done], agenda[~done], row[~done], i[~done], best[~done]
+            # each row loses one symbol and one pair
+            here, n = np.arange(len(row)), sym.shape[1] - 1
+            piece = self.of_rank[best]
+            cols = np.arange(n)
+            sym = np.take_along_axis(sym, cols + (cols > i[:, None]), 1)
+            sym[here, i] = piece
+            cols = np.arange(n - 1)
+            agenda = np.take_along_axis(agenda, cols + (cols >= i[:, None]), 1) if n > 1 else agenda[:, :0]
+            left, right = i > 0, i < n - 1
+            agenda[here[left], i[left] - 1] = self._rank(sym[here[left], i[left] - 1], piece[left])
+            agenda[here[right], i[right]] = self._rank(piece[right], sym[here[right], i[right] + 1])
+
+    def _merge_heap(self, segment: str) -> list[int]:
         cost, sym = self.cost, list(segment)
         n = len(sym)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -135,30 +234,36 @@ class MergeVocabulary:
 
     def learn(self, keys: set[str]) -> dict[str, bytes]:
         """Encode segments not seen before; each is checked with the library."""
-        new = sorted(keys)
-        found = [self.merge(self.key_text(k)) for k in new]
+        new = list(keys)
+        found = self.merge_all([self.key_text(k) for k in new])
         if self.check and new:
             # the library writes a mark before whatever it is given
             asked = [k[1:].replace(MARK, " ") if k[:1] == MARK else k for k in new]
-            for k, ids, theirs in zip(new, found, self.sp.encode(asked, num_threads=1), strict=True):
-                mine = ids
+            theirs = self.sp.encode(asked, num_threads=1)
+            for n, k in enumerate(new):
                 if k[:1] == "\n" and self.by_lines:
-                    theirs = theirs[1:]
+                    theirs[n] = theirs[n][1:]
                 elif k in ("", MARK):
-                    theirs = [self.ids[MARK]]  # the library encodes an empty text as nothing
-                if mine != theirs:
-                    raise ValueError(f"segment {k!r}: ids {mine}, the library has {theirs}")
-        return {k: b"".join(i.to_bytes(4, "little") for i in ids) for k, ids in zip(new, found, strict=True)}
+                    theirs[n] = [self.ids[MARK]]  # the library encodes an empty text as nothing
+            sizes = [4 * len(x) for x in theirs]
+            flat = np.fromiter(chain.from_iterable(theirs), "<u4", sum(sizes) // 4)
+            if sizes != list(map(len, found)) or flat.tobytes() != b"".join(found):
+                told = [np.array(x, "<u4").tobytes() for x in theirs]
+                k = next(k for k, x, y in zip(new, found, told, strict=True) if x != y)
+                raise ValueError(f"segment {k!r} differs from the library's encoding")
+        return dict(zip(new, found, strict=True))
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without begin and end."""
         if len(self.known) > CACHE_SEGMENTS:
-            self.known = {}
-        known = self.known
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         parts = [self.segments(t) if t else [] for t in texts]
-        new: set[str] = set()
-        for p in parts:
-            new.update(s for s in p if s not in known)
+        new = set().union(*parts).difference(known)
+        if older:
+            again = [s for s in new if s in older]
+            known.update((s, older[s]) for s in again)
+            new.difference_update(again)
         learnt = self.learn(new)
         once = {k: v for k, v in learnt.items() if len(k) > CACHE_CHARS}
         known.update((k, v) for k, v in learnt.items() if len(k) <= CACHE_CHARS)
@@ -167,13 +272,19 @@ class MergeVocabulary:
         else:
             out = [b"".join(map(known.__getitem__, p)) for p in parts]
         if self.check:
-            for t, ids in zip(texts, out, strict=True):
-                if t:
-                    if self.sp.encode(t) != [int.from_bytes(ids[i : i + 4], "little") for i in range(0, len(ids), 4)]:
-                        raise ValueError("a whole text differs from the library's encoding")
-                    break
+            self._check_whole(next(((t, ids) for t, ids in zip(texts, out, strict=True) if t), None))
         return out
 
+    def _check_whole(self, encoded: tuple[str, bytes] | None) -> None:
+        """Encoding and decoding of one whole text, by the library."""
+        if encoded is None:
+            return
+        ids = [int.from_bytes(encoded[1][i : i + 4], "little") for i in range(0, len(encoded[1]), 4)]
+        if self.sp.encode(encoded[0]) != ids:
+            raise ValueError("a whole text differs from the library's encoding")
+        if self.sp.decode(ids) != self.decode(ids):
+            raise ValueError("a whole text differs from the library's decoding")
+
     # ------------------------------------------------------------ decoding
     def decode(self, ids: list[int]) -> str:
         """The text of ids, as the library's ``decode``."""
@@ -253,7 +364,6 @@ def encode_texts(
     ``ids_sha256``, ``decoded``, ``decoded_sha256``. A column of that name in the
     input is replaced; the others pass through (or only those in ``keep``).
     """
-    import numpy as np
     import pyarrow as pa
 
     ship(df.sparkSession)

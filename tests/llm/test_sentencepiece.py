@@ -45,6 +45,41 @@ def test_random_texts_and_ids(vocabulary):
         assert vocabulary.decode(ids) == vocabulary.sp.decode(ids), ids
 
 
+def test_matrix_and_heap_agree_with_the_library(vocabulary):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("eeeeaattnhrsé") for _ in range(rng.randint(1, 75))) for _ in range(4000)]
+    words += ["a" * n for n in range(1, 80)] + ["x梦y", "😀"]
+    keys = [vocabulary.key_text(w) for w in words]
+    merged = [ids_of(x) for x in vocabulary.merge_all(keys)]
+    assert vocabulary.ranked and merged == vocabulary.sp.encode(words) == [vocabulary._merge_heap(k) for k in keys]
+    odd = ["▁" * n for n in range(1, 60)] + ["", "\n\n", "▁▁a", "a▁▁", "▁" * 17 + "b", "\ud800"]
+    got = [None] * len(odd)
+    for n, s in enumerate(odd):
+        vocabulary._merge_matrix(odd, len(s), [n], got)
+    assert all(x is None or ids_of(x) == vocabulary._merge_heap(s) for s, x in zip(odd, got))
+    assert got[0] is not None and got[1:59] == [None] * 58  # runs of marks have equal scores
+
+
+def test_two_generations_of_segments(vocabulary, monkeypatch):
+    monkeypatch.setattr("quaylake.llm.sentencepiece_bpe.CACHE_SEGMENTS", 20)
+    v = MergeVocabulary(MODEL)
+    asked = []
+    learn = v.learn
+    v.learn = lambda keys: asked.append(len(keys)) or learn(keys)
+    for n in range(12):
+        texts = ["common words here " + " ".join(f"w{n}x{i}" for i in range(15))]
+        assert [ids_of(r) for r in v.encode_batch(texts)] == v.sp.encode(texts)
+        assert len(v.known) + len(v.older) <= 2 * (20 + 19)
+    assert asked[0] >= 18 and set(asked[1:]) == {15}  # the common words are never learnt again
+
+
+def test_a_wrong_decoding_raises():
+    v = MergeVocabulary(MODEL)
+    v.text[v.ids["▁this"]] = b"that"
+    with pytest.raises(ValueError, match="decoding"):
+        v.encode_batch(["is this so"])
+
+
 def test_very_long_segment(vocabulary):
     text = "ab" * 20000
     assert ids_of(vocabulary.encode_batch([text])[0]) == vocabulary.sp.encode(text)
@@ -52,7 +87,7 @@ def test_very_long_segment(vocabulary):
 
 def test_a_difference_raises():
     v = MergeVocabulary(MODEL)
-    v.cost = {}
+    v.cost, v.pair_ranks = {}, v.pair_ranks[::-1].copy()
     with pytest.raises(ValueError, match="library"):
         v.encode_batch(["this that"])
 
