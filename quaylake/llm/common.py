@@ -74,16 +74,21 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 ROWS_PER_FILE = 200_000
+#: bytes of a plan's estimated output that a partition is left with
+PLANNED_BYTES = 4 << 20
 
 
 def fewer(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """``df`` in no more partitions than a few per core, or, where an upper bound of
-    its rows is known, than those rows fill: a small table written by every
-    shuffle partition would be as many tiny files."""
-    most = 4 * df.sparkSession.sparkContext.defaultParallelism
+    """``df`` in no more partitions than its rows fill, where an upper bound of them is
+    known, or than the planner's (upper) estimate of its bytes does, but a few per
+    core at least: a small table written by every shuffle partition would be as
+    many tiny files. Partitions of large tables stay as they are."""
     if rows is not None:
-        most = min(most, max(1, -(-rows // ROWS_PER_FILE)))
-    return df.coalesce(most)
+        return df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
+    planned = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    some = 4 * df.sparkSession.sparkContext.defaultParallelism
+    needed = -(-planned // PLANNED_BYTES)
+    return df.coalesce(some) if needed <= some else df
 
 
 def tidy(task):

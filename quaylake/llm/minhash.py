@@ -2,7 +2,7 @@
 
 1. A task turns each text into its set of word shingles (64-bit hashes), 288
    MinHash samples in 48 bands of 6, and an odd sketch: the samples folded into
-   512 parity bits. Equal sets are one class, represented by its least id.
+   512 parity bits. Equal sets are one class, with a number of its own.
 2. Classes that share a band are candidates. Two sets of similarity 0.8 share
    none with probability 5e-7.
 3. Within a band no pairs are enumerated: in rounds, a band offers one member as
@@ -15,12 +15,15 @@
    population count of the XOR of the odd sketches does: the bound lies 5.5
    standard deviations above what similarity 0.8 gives.
 5. The exact check compares the full sets. Links are joined to components by
-   star steps; the component of a document is its least id.
+   star steps; so are the classes of one id. The component of a document is the
+   least id in it.
 
 Defined cases: a NULL or empty text, or one without words, has the empty set
 and is linked with nothing; a text of fewer words than a shingle has is one
-shingle. Repeated rows are copies of one document. Rows of one id count as
-one document; a NULL id is linked with nothing and has a NULL component.
+shingle. Repeated rows are copies of one document. Rows of one id are one
+document that has the texts of all of them: it is linked where one of these is,
+and each row tells the size of its own set. A NULL id is linked with nothing
+and has a NULL component.
 """
 
 from __future__ import annotations
@@ -229,8 +232,9 @@ def _intersections(a: list[np.ndarray], b: list[np.ndarray], width: int = 8192)
 
 
 class _Classes:
-    """Components of class representatives that share bands, found in rounds.
+    """Components of classes (numbered ``rep``) that share bands, found in rounds.
 
+    ``classes`` has (rep, set_hash, doc_id), ``reps`` (rep, n, bands, s0..s7) of each,
     ``members`` has (rep, bucket, n, s0..s7) of the buckets with several members,
     ``labels`` (rep, comp) what is known so far, ``live`` the members with their
     component in the buckets that still hold several components.
@@ -238,34 +242,42 @@ class _Classes:
 
     sketch = tuple(f"s{i}" for i in range(SKETCH_WORDS))
 
-    def __init__(self, reps: DataFrame, docs: DataFrame, words: int):
+    def __init__(self, classes: DataFrame, reps: DataFrame, docs: DataFrame, words: int):
         self.reps = reps
-        dealt = reps.select(F.col("doc_id").alias("rep"), F.posexplode("bands").alias("band", "bucket"))
+        dealt = reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
         shared = dealt.groupBy("bucket").agg(F.min("rep").alias("_lo"), F.max("rep").alias("_hi")).filter("_lo != _hi")
         placed = stored(dealt.join(shared.select("bucket"), "bucket").distinct(), "minhash-buckets")
         self.n_members = placed.count()
         ids = stored(placed.select("rep").distinct(), "minhash-candidates", self.n_members)
         self.n_ids = ids.count()
-        facts = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), *self.sketch)
-        facts = join_small(facts, ids, "rep", "left_semi", max_bytes=CANDIDATE_IDS_BYTES).dropDuplicates(["rep"])
+        facts = reps.select("rep", "n", *self.sketch)
+        facts = join_small(facts, ids, "rep", "left_semi", max_bytes=CANDIDATE_IDS_BYTES)
         self.members = stored(placed.join(facts, "rep"), "minhash-members", self.n_members)
-        self.sets = self._full_sets(docs, ids, words)
+        classes = join_small(classes, ids, "rep", "left_semi", max_bytes=CANDIDATE_IDS_BYTES)
+        self.sets = self._full_sets(docs, stored(classes, "minhash-holders", self.n_ids), words)
         self.labels = ids.select("rep", F.col("rep").alias("comp"))
         self._find_live()
 
     @staticmethod
-    def _full_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-        """Shingle sets of the candidates only."""
+    def _full_sets(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+        """Shingle sets of the candidates only, each from a document of its class."""
         import pyarrow as pa
+        import xxhash
 
         def full(batches: Iterator) -> Iterator:
             for batch in batches:
                 found = [shingle_set(t, words).tobytes() for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["rep", "shingles"])
-
-        texts = docs.select(F.col("doc_id").alias("rep"), "text")
-        chosen = join_small(texts, ids, "rep", "left_semi", max_bytes=CANDIDATE_IDS_BYTES)
-        return stored(chosen.mapInArrow(tidy(full), "rep long, shingles binary").dropDuplicates(["rep"]), "minhash-sets")
+                keys = [xxhash.xxh3_128_digest(s) for s in found]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(keys, pa.binary()), pa.array(found, pa.binary())], ["doc_id", "set_hash", "shingles"]
+                )
+
+        holders = classes.select("doc_id").distinct()
+        chosen = join_small(docs.select("doc_id", "text"), holders, "doc_id", "left_semi", max_bytes=CANDIDATE_IDS_BYTES)
+        sets = chosen.mapInArrow(tidy(full), "doc_id long, set_hash binary, shingles binary")
+        # another text of the document, and repeated rows, drop out
+        sets = join_small(sets, classes, ["doc_id", "set_hash"], max_bytes=CANDIDATE_IDS_BYTES).select("rep", "shingles")
+        return stored(sets.groupBy("rep").agg(F.any_value("shingles").alias("shingles")), "minhash-sets")
 
     def _find_live(self) -> None:
         now = self.members.join(self.labels, "rep")
@@ -314,8 +326,7 @@ class _Classes:
         band that it shares."""
         live = self.live.join(buckets, "bucket")
         ids = stored(live.select("rep").distinct(), "minhash-rest", self.n_members)
-        bands = self.reps.select(F.col("doc_id").alias("rep"), "bands")
-        bands = join_small(bands, ids, "rep", "left_semi", max_bytes=CANDIDATE_IDS_BYTES).dropDuplicates(["rep"])
+        bands = join_small(self.reps.select("rep", "bands"), ids, "rep", "left_semi", max_bytes=CANDIDATE_IDS_BYTES)
         head = live.groupBy("bucket").agg(F.min_by("comp", "rep").alias("_main"))
         named = stored(live.join(head, "bucket").join(bands, "rep"), "minhash-named", self.n_members)
         x, y = named.filter("comp != _main").alias("x"), named.alias("y")
@@ -371,13 +382,38 @@ def near_duplicates(docs: DataFrame, words: int = 5, id_col: str = "doc_id", tex
     rows = only(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = stored(_signatures(rows, words), "minhash-signatures")
     usable = signed.filter("set_hash IS NOT NULL AND doc_id IS NOT NULL")
-    classes = stored(usable.groupBy("set_hash").agg(F.min("doc_id").alias("rep")), "minhash-classes")
-    reps = usable.join(classes, "set_hash").filter("doc_id = rep").drop("rep", "set_hash")
-    labels = _Classes(reps, rows.filter("doc_id IS NOT NULL"), words).solve()
-    of_class = classes.join(labels, "rep", "left").select("set_hash", F.coalesce("comp", "rep").alias("component_id"))
+    sketch = _Classes.sketch
+    # equal sets have equal signatures, so the rows of a class agree in all but the id
+    facts = [F.any_value(c).alias(c) for c in ("n_shingles", "bands", *sketch)]
+    classes = usable.groupBy("set_hash").agg(F.min("doc_id").alias("doc_id"), *facts).withColumnRenamed("n_shingles", "n")
+    # the numbers are written down before they are used
+    classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()), "minhash-classes")
+    named = classes.select("rep", "set_hash", "doc_id")
+    reps = classes.select("rep", "n", "bands", *sketch)
+    labels = _Classes(named, reps, rows.filter("doc_id IS NOT NULL"), words).solve()
+    of_class = named.join(labels, "rep", "left").select("rep", "set_hash", "doc_id", F.coalesce("comp", "rep").alias("comp"))
+    of_class = _with_shared_ids(of_class, usable)
+    least = of_class.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    of_class = of_class.select("set_hash", "comp").join(least, "comp").drop("comp")
     joined = signed.select("doc_id", "n_shingles", "set_hash").join(of_class, "set_hash", "left")
     return joined.select(
         "doc_id",
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
+
+
+def _with_shared_ids(of_class: DataFrame, usable: DataFrame) -> DataFrame:
+    """Components joined where an id has texts of several classes."""
+    which = F.xxhash64("set_hash")
+    several = usable.groupBy("doc_id").agg(F.min(which).alias("_lo"), F.max(which).alias("_hi")).filter("_lo != _hi")
+    several = stored(several.select("doc_id"), "minhash-shared-ids")
+    if several.isEmpty():
+        return of_class
+    of_class = stored(of_class, "minhash-of-class")
+    held = usable.select("doc_id", "set_hash").join(several, "doc_id").distinct()
+    held = held.join(of_class.select("set_hash", "comp"), "set_hash")
+    first = held.groupBy("doc_id").agg(F.min("comp").alias("_first"))
+    merged = components(held.join(first, "doc_id"), "_first", "comp")
+    merged = merged.select(F.col("vertex").alias("comp"), F.col("component").alias("_to"))
+    return of_class.join(merged, "comp", "left").withColumn("comp", F.coalesce("_to", "comp")).drop("_to")

@@ -76,6 +76,58 @@ def test_defined_cases(spark, docs_of, clashing):
     assert minhash.near_duplicates(docs_of([(1, None), (2, "")])).count() == 2
 
 
+def by_rows(rows, k):
+    """Component of each id that has one, of rows that may share ids: rows are linked by
+    their sets, and by their ids."""
+    numbered, _ = brute.components([(n, None if i is None else t) for n, (i, t) in enumerate(rows)], k)
+    sizes = [len(brute.shingles(t, k)) for _, t in rows]
+    group = {n: numbered[n] for n in numbered}
+    changed = True
+    while changed:
+        changed = False
+        for key in ({n: rows[n][0] for n in group}, dict(group)):
+            least = {}
+            for n, x in key.items():
+                if rows[n][0] is not None and sizes[n]:
+                    least[x] = min(least.get(x, group[n]), group[n])
+            for n, x in key.items():
+                if rows[n][0] is not None and sizes[n] and least[x] < group[n]:
+                    group[n], changed = least[x], True
+    best = {}
+    for n, (i, _) in enumerate(rows):
+        if i is not None:
+            best[group[n]] = min(best.get(group[n], i), i)
+    return [(i, sizes[n], None if i is None else best[group[n]]) for n, (i, _) in enumerate(rows)]
+
+
+def test_texts_of_one_id_are_linked_in_any_row_order(spark):
+    a = " ".join(f"a{i}" for i in range(60))
+    b = " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (1, b), (7, a + " more"), (8, b + " more"), (9, "unlike the others in all its words")]
+    for order in (rows, rows[::-1], rows[1:] + rows[:1]):
+        df = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
+        got = {(r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(df, words=2).collect()}
+        assert got == {(1, 1), (7, 1), (8, 1), (9, 9)}
+
+
+@pytest.mark.parametrize("rounds", [4, 0])
+def test_repeated_ids_against_brute_force(spark, docs_of, monkeypatch, rounds):
+    monkeypatch.setattr(minhash, "LEADER_ROUNDS", rounds)
+    rng = random.Random(11)
+    rows = [(rng.choice([i, i % 17, None]) if rng.random() < 0.3 else i, t) for i, t in near_rows(6)]
+    rows += rows[:5] + [(3, ""), (3, None), (500, ""), (500, "one"), (501, "one")]
+    want = sorted(by_rows(rows, 2), key=repr)
+    got = minhash.near_duplicates(docs_of(rows), words=2).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=repr) == want
+
+
+def test_long_and_very_long_texts(spark, docs_of):
+    long = " ".join(f"w{i % 5003}x{i % 97}" for i in range(60_000))
+    rows = [(4, long), (2, long + " end"), (3, "x " * 50_000), (6, "X\n" * 40_000)]
+    got = {r["doc_id"]: (r["component_id"], r["n_shingles"]) for r in minhash.near_duplicates(docs_of(rows)).collect()}
+    assert got[4][0] == got[2][0] == 2 and got[3] == got[6] == (3, 1)
+
+
 def test_components_of_long_paths_and_hubs(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(200, 200), (59, 58)]
     got = {r["vertex"]: r["component"] for r in components(spark.createDataFrame(edges, "x long, y long"), "x", "y").collect()}
