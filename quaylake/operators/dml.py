@@ -92,6 +92,7 @@ def merge_into(
     insert: bool = True,
     max_broadcast_bytes: int | None = None,
     matched_flag: str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """MERGE INTO target USING source ON key equality.
 
@@ -106,6 +107,8 @@ def merge_into(
     rows that match nothing all insert.
     ``matched_flag``: name of an extra boolean column, true for target rows
     that met a source row, false for other target rows, NULL for inserts.
+    ``buckets``: number of buckets of a target table that is bucketed by the
+    keys. The source is dealt to them, and the target is never moved.
     """
     source = _by_table_name(source, target)
     keys = [on] if isinstance(on, str) else list(on)
@@ -125,12 +128,15 @@ def merge_into(
     # the source is evaluated once: stored while its size is observed, and read
     # by both branches from there, so they see the same rows whatever it computes
     src = measure(source, limit, materialize="first")
-    small = src.small
+    small = src.small and not buckets
+
+    def to_buckets(df: DataFrame) -> DataFrame:
+        return df.repartition(buckets, *key_cols) if buckets else df
 
     out = target.withColumn(matched_flag, F.lit(False)) if matched_flag else target
     if update:
         per_key = (
-            src.df.where(has_keys)
+            to_buckets(src.df.where(has_keys))
             .groupBy(*key_cols)
             .agg(
                 F.count(F.lit(1)).alias(_N),
@@ -139,6 +145,8 @@ def merge_into(
         )
         if small:
             joined = target.join(F.broadcast(per_key), keys, "left")
+        elif buckets:
+            joined = target.join(per_key.hint("merge"), keys, "left")
         else:
             left, right, join_keys = spread_null_keys(target, per_key, keys, "left")
             joined = left.join(right, join_keys, "left").drop(*[k for k in join_keys if k not in keys])
@@ -167,6 +175,11 @@ def merge_into(
         src_keys = src_rows.where(has_keys).select(*key_cols).distinct()
         matched_keys = target.select(*key_cols).join(F.broadcast(src_keys), keys, "left_semi").distinct()
         inserts = src_rows.join(F.broadcast(matched_keys), keys, "left_anti")
+    elif buckets:
+        # the keys of the target stay in their buckets; NULL keys match nothing
+        keyed = to_buckets(src_rows.where(has_keys))
+        inserts = keyed.join(target.select(*key_cols).hint("merge"), keys, "left_anti")
+        inserts = inserts.select(*target.columns).unionByName(src_rows.where(~has_keys))
     else:
         # distinct first: partial aggregation collapses a hot target key map-side
         target_keys = target.select(*key_cols).where(has_keys).distinct()

@@ -87,6 +87,12 @@ def snapshots(commits: DataFrame, flat: bool = False) -> DataFrame:
     return commits.select(*head, F.create_map(*pairs).alias("summary"))
 
 
+def snapshot_summary(commits: DataFrame) -> DataFrame:
+    """committed_at, snapshot_id, operation, and one row per ``key`` of the summary with
+    its ``value`` (text)."""
+    return snapshots(commits).select("committed_at", "snapshot_id", "operation", F.explode("summary").alias("key", "value"))
+
+
 def recorded(log: DataFrame, committed_at: Column) -> DataFrame:
     """The commits frame of a log: one row per commit, counted with map-side
     aggregation; ``committed_at`` is a column over ``commit_id``. Parent and

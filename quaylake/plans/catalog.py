@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from quaylake.functions.events import decode_events, encode_events, json_field
 from quaylake.functions.shipments import derive_revenue as revenue_rule
-from quaylake.operators import dml, evolve, kpis, versions
+from quaylake.operators import dml, evolve, kpi_parts, kpis, partitions, versions
 from quaylake.operators.quality import report
 from quaylake.operators.quality import validate as V
 from quaylake.operators.quality.gate import DEFAULT_THRESHOLD, gate, gated_load, gated_rows
@@ -119,6 +119,13 @@ def dq_results_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results_io.read_results(spark, path).drop("kwargs")
 
 
+def dq_results_arguments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The results document read as a VARIANT: one row per rule and argument."""
+    path = scratch_path(spark, "results_json")
+    results_io.write_results(results_io.results_document(_results(spark, sf_dir)), path)
+    return results_io.read_arguments(spark, path)
+
+
 def dq_validate_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written run: one job splits the batch into clean / quarantine
     partitions; the quarantined rows are read back from the written table."""
@@ -236,6 +243,17 @@ def kpi_empty_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return some.unionByName(kpis.is_empty(ships.where("status = 'Lost'")).withColumn("rows", F.lit("lost")))
 
 
+def kpi_merged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPIs from the parts of all days, without a look at the shipments."""
+    return kpi_parts.merge_parts(spark.read.parquet(lab.kpi_part_table(spark, sf_dir)))
+
+
+def kpi_months_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPIs of each month from the parts of its days."""
+    month = ("month", F.substring(kpi_parts.PART, 1, 7))
+    return kpi_parts.merge_parts(spark.read.parquet(lab.kpi_part_table(spark, sf_dir)), [month])
+
+
 def revenue_by_destination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.revenue_by_destination(fixtures.shipments(spark, sf_dir))
 
@@ -460,6 +478,31 @@ def merge_dup_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge into a bucketed table, which stays where it is."""
+    target = spark.table(lab.bucketed_shipments(spark, sf_dir))
+    return dml.merge_into(target, fixtures.merge_source(spark, sf_dir), "shipment_id", MERGE_SET, buckets=lab.BUCKETS)
+
+
+def _by_origin(spark: SparkSession, sf_dir: str) -> evolve.Layout:
+    """The shipments in a table of their own, partitioned by origin."""
+    table = evolve.Layout(scratch_path(spark, "by_origin"), ("origin",))
+    evolve.write_layout(fixtures.shipments(spark, sf_dir), table)
+    return table
+
+
+def merge_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge, update and delete that rewrite the partitions with changed rows only."""
+    table = _by_origin(spark, sf_dir)
+    source = fixtures.merge_source(spark, sf_dir)
+    some = source.where(F.col("origin").isin("NATION_1", "NATION_2", "NATION_3"))
+    partitions.merge_partitions(spark, table, SHIPMENT_SCHEMA, some, "shipment_id", MERGE_SET)
+    moved = {"origin": F.lit("NATION_7"), "weight": F.col("weight") + 1}
+    partitions.update_partitions(spark, table, SHIPMENT_SCHEMA, "origin = 'NATION_6' AND priority = 'High'", moved)
+    partitions.delete_partitions(spark, table, SHIPMENT_SCHEMA, "origin = 'NATION_14' OR (origin = 'NATION_17' AND status = 'Delivered')")
+    return evolve.read_layouts(spark, [table], SHIPMENT_SCHEMA)
+
+
 # ------------------------------------------------------------- versioning
 def as_of_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.as_of(*lab.shipment_log(spark, sf_dir), lab.AS_OF_MONTH)
@@ -483,6 +526,11 @@ def commit_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.snapshots(lab.shipment_log(spark, sf_dir)[1], flat=True)
 
 
+def commit_snapshot_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary map of each snapshot, one row per key."""
+    return versions.snapshot_summary(lab.shipment_log(spark, sf_dir)[1])
+
+
 # -------------------------------------------------------------- evolution
 def add_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Old files read under the evolved schema, then the new column set."""
@@ -496,6 +544,15 @@ def partition_evolved_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evolve.read_layouts(spark, lab.evolved_layouts(spark, sf_dir), SHIPMENT_SCHEMA)
 
 
+def partition_evolved_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipments from the nations of a region, over both layouts: the join prunes."""
+    nation = read_table(spark, sf_dir, "nation").select("n_name", "n_regionkey")
+    region = read_table(spark, sf_dir, "region").where("r_name = 'ASIA'").select("r_regionkey", "r_name")
+    origins = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    origins = origins.select(F.col("n_name").alias("origin"), F.col("r_name").alias("region"))
+    return evolve.read_layouts_of(spark, lab.clustered_layouts(spark, sf_dir), SHIPMENT_SCHEMA, "origin", origins)
+
+
 # ---------------------------------------------------------------- registry
 _PER_RULE_KEYS = [
     "dq_order_id_not_null",
@@ -539,6 +596,7 @@ def all_queries() -> dict[str, Query]:
         "dq_report_checks": dq_report_checks,
         "dq_report_summary": dq_report_summary,
         "dq_results_json": dq_results_json,
+        "dq_results_arguments": dq_results_arguments,
         "dq_validate_batch": dq_validate_batch,
         "csv_scan": csv_scan,
         "csv_roundtrip": csv_roundtrip,
@@ -548,6 +606,8 @@ def all_queries() -> dict[str, Query]:
         "scan_shipments": scan_shipments,
         "incoming_batch": incoming_batch,
         "kpi_summary": kpi_summary,
+        "kpi_merged_parts": kpi_merged_parts,
+        "kpi_months_from_parts": kpi_months_from_parts,
         "kpi_display": kpi_display,
         "kpi_missing_column": kpi_missing_column,
         "kpi_empty_table": kpi_empty_table,
@@ -576,15 +636,19 @@ def all_queries() -> dict[str, Query]:
         "merge_new_only": merge_new_only,
         "merge_matched_only": merge_matched_only,
         "merge_dup_source": merge_dup_source,
+        "merge_bucketed": merge_bucketed,
+        "merge_partitions": merge_partitions,
         # versions
         "as_of_commit": as_of_commit,
         "as_of_latest": as_of_latest,
         "first_commit": first_commit,
         "commit_history": commit_history,
         "commit_snapshots": commit_snapshots,
+        "commit_snapshot_summary": commit_snapshot_summary,
         # evolution
         "add_column": add_column,
         "partition_evolved_read": partition_evolved_read,
+        "partition_evolved_pruned": partition_evolved_pruned,
     }
     for i, key in enumerate(_PER_RULE_KEYS):
         q[key] = _rule_query(i)

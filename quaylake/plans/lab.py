@@ -13,10 +13,11 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaylake.operators import versions
+from quaylake.operators import kpi_parts, versions
 from quaylake.operators.evolve import Layout, write_layout
 from quaylake.schemas import LOG_COMMIT_ID, LOG_OP, LOG_ROW_ID, SHIPMENT_SCHEMA
 from quaylake.session import scratch_path
+from quaylake.sources import catalog as ddl
 from quaylake.sources import fixtures
 
 _LOCK = threading.RLock()
@@ -98,8 +99,61 @@ def evolved_layouts(spark: SparkSession, sf_dir: str) -> list[Layout]:
     return _memo(spark, sf_dir, "layouts", build)
 
 
+#: buckets of the bucketed table
+BUCKETS = 16
+
+
+def bucketed_shipments(spark: SparkSession, sf_dir: str) -> str:
+    """A catalog table of the shipments, bucketed and sorted by their id."""
+
+    def build() -> str:
+        path = scratch_path(spark, "bucketed")
+        table = f"quaylake_lab.{path.rsplit('/', 1)[1].replace('-', '_')}"
+        ddl.ensure_database(spark, "quaylake_lab", scratch_path(spark, "lab"))
+        ddl.write_bucketed(fixtures.shipments(spark, sf_dir), table, ["shipment_id"], BUCKETS, path)
+        return table
+
+    return _memo(spark, sf_dir, "bucketed", build)
+
+
+def clustered_layouts(spark: SparkSession, sf_dir: str) -> list[Layout]:
+    """As ``evolved_layouts``, the old root clustered by origin."""
+
+    def build() -> list[Layout]:
+        base = scratch_path(spark, "clustered")
+        old, new = Layout(f"{base}/v1"), Layout(f"{base}/v2", ("origin",))
+        ships = read_shipments(spark, sf_dir)
+        early = F.coalesce(F.col("timestamp") < F.lit(LAYOUT_CUTOVER), F.lit(False))
+        write_layout(ships.where(early), old, cluster_by=["origin"])
+        write_layout(ships.where(~early), new)
+        return [old, new]
+
+    return _memo(spark, sf_dir, "clustered", build)
+
+
+def kpi_part_table(spark: SparkSession, sf_dir: str) -> str:
+    """KPI parts, one per day, of two loads (before and after the cut-over); the second
+    adds the vehicles it brings to the dictionary of the first."""
+
+    def build() -> str:
+        path, words = scratch_path(spark, "kpi-parts"), scratch_path(spark, "kpi-vehicles")
+        ships = read_shipments(spark, sf_dir)
+        early = F.coalesce(F.col("timestamp") < F.lit(LAYOUT_CUTOVER), F.lit(False))
+        known = None
+        for load in (ships.where(early), ships.where(~early)):
+            kpi_parts.number_values(load, "vehicle_id", known).write.mode("append").parquet(words)
+            known = spark.read.parquet(words)
+            kpi_parts.kpi_parts(load, F.substring("timestamp", 1, 10), known).write.mode("append").parquet(path)
+        return path
+
+    return _memo(spark, sf_dir, "kpi-parts", build)
+
+
 def prepare(spark: SparkSession, sf_dir: str) -> None:
     """Build every table above."""
     shipments_table(spark, sf_dir)
     shipment_log(spark, sf_dir)
     evolved_layouts(spark, sf_dir)
+    clustered_layouts(spark, sf_dir)
+    bucketed_shipments(spark, sf_dir)
+    kpi_part_table(spark, sf_dir)

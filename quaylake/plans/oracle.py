@@ -176,6 +176,14 @@ CRITERIA = (
     (7, "Expect transaction_date to be at most 2001-06-30."),
 )
 
+# Further arguments of the rules of the suite, as text.
+RULE_LIMITS = {
+    4: (("min_value", "0.01"),),
+    5: (("min_value", "1"),),
+    6: (("regex", "^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$"),),
+    7: (("max_value", "2001-06-30"),),
+}
+
 ODD_PRODUCT = """CASE (length(customer_id) + length(product_id)) % 7
   WHEN 1 THEN '  ' || product_id || ' ' WHEN 2 THEN 'say "' || product_id || '", ok'
   WHEN 3 THEN product_id || chr(10) || 'second line' WHEN 4 THEN '' WHEN 5 THEN 'back' || chr(92) || product_id
@@ -284,12 +292,22 @@ SELECT {RETAIL_COLS}, concat('price failed expect_column_values_to_be_unique (va
 FROM r WHERE NOT isnan(price) QUALIFY count(*) OVER (PARTITION BY price) > 1"""
     q["dq_validate_batch"] = q["dq_quarantine"]
 
+    arguments = [(i, e, a, v) for i, c, e, _, _ in RULES for a, v in (("column", c), *RULE_LIMITS.get(i, ()))]
+    told = ",\n".join(f"({i}, '{e}', '{a}', '{v}')" for i, e, a, v in arguments)
+    q["dq_results_arguments"] = f"""WITH told(rule_index, expectation, argument, value) AS (VALUES {told})
+SELECT rule_index, expectation, argument, 'string' AS kind, value FROM told
+WHERE EXISTS (SELECT 1 FROM orders)"""
+
     # ------------------------------------------------------------ shipments
     q["scan_shipments"] = f"{_ships()}SELECT * FROM shipments"
     q["incoming_batch"] = f"{_ships()}SELECT * FROM src"
     q["kpi_summary"] = f"""{_ships()}SELECT count(*) AS total_shipments,
        COALESCE(sum(revenue), CAST(0 AS DOUBLE)) AS total_revenue, avg(weight) AS avg_weight,
        count(DISTINCT vehicle_id) AS unique_vehicles FROM shipments"""
+    q["kpi_merged_parts"] = q["kpi_summary"]
+    q["kpi_months_from_parts"] = f"""{_ships()}SELECT substr(timestamp, 1, 7) AS month, count(*) AS total_shipments,
+       COALESCE(sum(revenue), CAST(0 AS DOUBLE)) AS total_revenue, avg(weight) AS avg_weight,
+       count(DISTINCT vehicle_id) AS unique_vehicles FROM shipments GROUP BY 1"""
     q["kpi_display"] = f"""{_ships()}, k AS (SELECT count(*) AS n, COALESCE(sum(revenue), 0.0) AS rev,
        avg(weight) AS w, count(DISTINCT vehicle_id) AS v FROM shipments)
 SELECT format('{{:,}}', n) AS total_shipments_text, concat('$', format('{{:,.2f}}', rev)) AS total_revenue_text,
@@ -345,6 +363,14 @@ UNION ALL SELECT *, 5 FROM new_shipments"""
                "revenue, status, timestamp FROM new_shipments)")
     q["merge_dup_source"] = f"{_ships(dup_src)}{_merge('dup_src')}"
 
+    q["merge_bucketed"] = q["merge_upsert"]
+    some = "chosen AS (SELECT * FROM src WHERE origin IN ('NATION_1', 'NATION_2', 'NATION_3'))"
+    q["merge_partitions"] = f"""{_ships(some, f'merged AS ({_merge("chosen")})')}
+SELECT shipment_id, CASE WHEN origin = 'NATION_6' AND priority = 'High' THEN 'NATION_7' ELSE origin END AS origin, destination,
+       vehicle_id, CASE WHEN origin = 'NATION_6' AND priority = 'High' THEN weight + 1 ELSE weight END AS weight, priority, revenue,
+       status, timestamp FROM merged
+WHERE NOT (origin = 'NATION_14' OR (origin = 'NATION_17' AND status = 'Delivered'))"""
+
     # ------------------------------------------------------------- versions
     versioned = _ships(VERSION_LOG)
     q["as_of_commit"] = f"{versioned}{_state(str(1995 * 12 + 6))}"
@@ -358,8 +384,15 @@ UNION ALL SELECT *, 5 FROM new_shipments"""
        added_records, updated_records, deleted_records,
        CAST(sum(added_records - deleted_records) OVER (ORDER BY commit_id) AS BIGINT) AS total_records FROM commits"""
 
+    keys = ("added_records", "updated_records", "deleted_records", "total_records")
+    rows = " UNION ALL ".join(
+        f"SELECT committed_at, snapshot_id, operation, '{k.replace('_', '-')}' AS key, CAST({k} AS VARCHAR) AS value FROM s" for k in keys)
+    q["commit_snapshot_summary"] = f"WITH s AS ({q['commit_snapshots']}) {rows}"
+
     # ------------------------------------------------------------ evolution
     q["add_column"] = f"""{_ships()}SELECT shipment_id, status,
        CASE WHEN status = 'Delivered' THEN 5 END AS delivery_rating FROM shipments"""
     q["partition_evolved_read"] = f"{_ships()}SELECT * FROM shipments"
+    q["partition_evolved_pruned"] = f"""{_ships()}SELECT s.*, r_name AS region FROM shipments s
+JOIN nation n ON n.n_name = s.origin JOIN region r ON r.r_regionkey = n.n_regionkey WHERE r_name = 'ASIA'"""
     return q

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -42,3 +43,11 @@ def table_exists(spark: SparkSession, name: str) -> bool:
         return bool(spark.catalog.tableExists(name))
     except Exception:  # noqa: BLE001
         return False
+
+
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, location: str) -> None:
+    """A table of ``buckets`` files, each sorted by the keys. Rows are dealt as the
+    buckets are, so a task writes one of them."""
+    dealt = df.repartition(buckets, *[F.col(f"`{k}`") for k in keys])
+    writer = dealt.write.mode("overwrite").option("path", location)
+    writer.bucketBy(buckets, keys[0], *keys[1:]).sortBy(keys[0], *keys[1:]).saveAsTable(table)

@@ -4,6 +4,10 @@ The document is one JSON object ``{success, results: [...]}`` with one
 element per rule in suite order. It is assembled from the rule-statistics
 frame, whose size is the number of rules (not rows), so gathering it into one
 array is bounded by the suite.
+
+``read_results`` reads the fields a report uses under a declared schema.
+``read_arguments`` reads the document as a VARIANT, so that rules may have any
+arguments, nested ones too: one row for each of them.
 """
 
 from __future__ import annotations
@@ -56,3 +60,25 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
         F.col("r.result.unexpected_count").alias("unexpected_count"),
         F.col("r.result.unexpected_percent").alias("unexpected_percent"),
     )
+
+
+def read_arguments(spark: SparkSession, path: str) -> DataFrame:
+    """One row per result and argument: ``rule_index``, ``expectation``, ``argument``,
+    ``kind`` (its type in the document) and ``value`` as text (JSON where it is
+    nested). A result without arguments has one row with NULL ones."""
+    doc = spark.read.option("singleVariantColumn", "doc").json(path)
+    elements = doc.select(F.variant_get("doc", "$.results", "variant").alias("all"))
+    elements = elements.lateralJoin(spark.tvf.variant_explode(F.col("all").outer()))
+    config = F.variant_get("value", "$.expectation_config.kwargs", "variant")
+    results = elements.select(
+        F.col("pos").alias("rule_index"),
+        F.variant_get("value", "$.expectation_config.type", "string").alias("expectation"),
+        # an argument of its own keeps results without any
+        F.coalesce(config, F.parse_json(F.lit("{}"))).alias("arguments"),
+    )
+    each = results.lateralJoin(spark.tvf.variant_explode_outer(F.col("arguments").outer()))
+    nested = F.schema_of_variant("value").rlike("^(OBJECT|ARRAY)")
+    text = F.when(nested, F.to_json("value")).otherwise(F.try_variant_get("value", "$", "string"))
+    return each.select(
+        "rule_index", "expectation", F.col("key").alias("argument"), F.lower(F.schema_of_variant("value")).alias("kind"), text.alias("value")
+    )
