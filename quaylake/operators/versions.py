@@ -4,8 +4,7 @@ A log is an ordinary frame: payload columns plus ``_row_id``, ``_commit_id`` and
 ``_op`` (``I`` first version, ``U`` new image, ``D`` deleted). The commits are a
 second frame with one row per commit and what was recorded when it was made:
 time, operation, parent, record counts. How the two are stored is the caller's
-business; these functions only read them, except for the ``*_rows`` functions,
-which build the log rows of a change from the state before it.
+business; these functions only read them.
 
 Reading a state aggregates the changed rows alone: untouched first versions
 come from an anti join, and nothing is collected.
@@ -13,12 +12,9 @@ come from an anti join, and nothing is collected.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quaylake.operators import dml
 from quaylake.schemas import LOG_COMMIT_ID, LOG_OP, LOG_ROW_ID
 
 # Operation names of commits.
@@ -114,45 +110,3 @@ def recorded(log: DataFrame, committed_at: Column) -> DataFrame:
         *_COUNTS[:3],
         total.alias("total_records"),
     )
-
-
-# ------------------------------------------------------------------------ changing
-def _log_rows(rows: DataFrame, commit_id: int, op: str) -> DataFrame:
-    return rows.withColumn(LOG_COMMIT_ID, F.lit(commit_id).cast("long")).withColumn(LOG_OP, F.lit(op))
-
-
-def insert_rows(rows: DataFrame, commit_id: int, row_id: Column) -> DataFrame:
-    """Log rows of an insert; ``row_id`` identifies each row for good."""
-    return _log_rows(rows.withColumn(LOG_ROW_ID, row_id.cast("string")), commit_id, "I")
-
-
-def update_rows(state: DataFrame, predicate, assignments: Mapping[str, object], commit_id: int) -> DataFrame:
-    """Log rows of an update; ``state`` carries row ids."""
-    hit = state.where(dml._pred(predicate))
-    return _log_rows(dml.update_where(hit, F.lit(True), assignments), commit_id, "U")
-
-
-def delete_rows(state: DataFrame, predicate, commit_id: int) -> DataFrame:
-    """Log rows of a delete; ``state`` carries row ids."""
-    return _log_rows(state.where(dml._pred(predicate)), commit_id, "D")
-
-
-def merge_rows(
-    state: DataFrame,
-    source: DataFrame,
-    on: str | Sequence[str],
-    update: Mapping[str, object] | None,
-    commit_id: int,
-    row_id: Column,
-) -> DataFrame:
-    """Log rows of a merge: new images of matched rows, first versions of the
-    source rows that match nothing (``row_id`` over their columns)."""
-    flag = "_merge_matched"
-    merged = dml.merge_into(state, source, on, update=update, matched_flag=flag)
-    columns = [c for c in state.columns if c != LOG_ROW_ID]
-    fresh = merged.where(F.col(flag).isNull()).select(*[F.col(f"`{c}`") for c in columns])
-    out = insert_rows(fresh, commit_id, row_id)
-    if update:
-        images = merged.where(F.col(flag)).drop(flag)
-        out = out.unionByName(_log_rows(images, commit_id, "U"))
-    return out

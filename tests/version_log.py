@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from quaylake.operators import versions
+from quaylake.operators import dml, versions
 
 
 class Log:
@@ -27,21 +27,30 @@ class Log:
     def state(self):
         return versions.current(self.log, with_ids=True)
 
+    def _entries(self, rows, op):
+        return rows.withColumn("_commit_id", F.lit(self.n).cast("long")).withColumn("_op", F.lit(op))
+
     def insert(self, rows):
         self.n += 1
-        return self._add(versions.insert_rows(rows, self.n, self._row_id()))
+        return self._add(self._entries(rows.withColumn("_row_id", self._row_id()), "I"))
 
     def update(self, predicate, assignments):
         self.n += 1
-        return self._add(versions.update_rows(self.state(), predicate, assignments, self.n))
+        hit = self.state().where(dml._pred(predicate))
+        return self._add(self._entries(dml.update_where(hit, F.lit(True), assignments), "U"))
 
     def delete(self, predicate):
         self.n += 1
-        return self._add(versions.delete_rows(self.state(), predicate, self.n))
+        return self._add(self._entries(self.state().where(dml._pred(predicate)), "D"))
 
     def merge(self, source, on, update):
         self.n += 1
-        return self._add(versions.merge_rows(self.state(), source, on, update, self.n, self._row_id()))
+        merged = dml.merge_into(self.state(), source, on, update=update, matched_flag="_met")
+        fresh = merged.where("_met IS NULL").drop("_met").withColumn("_row_id", self._row_id())
+        rows = self._entries(fresh, "I")
+        if update:
+            rows = rows.unionByName(self._entries(merged.where("_met").drop("_met"), "U"))
+        return self._add(rows)
 
     def commits(self):
         start = F.lit(dt.datetime(2001, 8, 1)).cast("timestamp_ntz")
