@@ -123,7 +123,8 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return chat.format_calls(chat.conversation_calls(turns), chat.conversation_results(turns), chat.REPLY_TOOLS)
+    calls, results = chat.conversation_calls(turns), chat.conversation_results(turns)
+    return chat.format_calls(calls, results, chat.REPLY_TOOLS, context=chat.conversation_context(turns))
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,43 +275,57 @@ SELECT r.doc_id, coalesce(any_value(z.n), 0) AS n_shingles, min(r.other) AS comp
 FROM reach r LEFT JOIN size z ON z.doc_id = r.doc_id GROUP BY r.doc_id
 """,
     "op9_chat_formatting": """
-WITH RECURSIVE one_call AS (
-  SELECT conv_id, turn, text, n_calls FROM (
-    SELECT conv_id, turn, text, count(*) OVER (PARTITION BY conv_id, turn) AS n_calls,
-           row_number() OVER (PARTITION BY conv_id, turn ORDER BY text) AS k
-    FROM conversations WHERE role = 'user' AND conv_id IS NOT NULL AND turn IS NOT NULL) WHERE k = 1),
-one_result AS (
-  SELECT conv_id, turn - 1 AS turn, text, n_results FROM (
-    SELECT conv_id, turn, text, count(*) OVER (PARTITION BY conv_id, turn) AS n_results,
-           row_number() OVER (PARTITION BY conv_id, turn ORDER BY text NULLS FIRST) AS k
-    FROM conversations WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL) WHERE k = 1),
+WITH RECURSIVE call AS (
+  SELECT conv_id, turn, text, count(*) AS copies, conv_id || ':' || turn AS id FROM conversations WHERE role = 'user' GROUP BY ALL),
+result AS (
+  SELECT conv_id, turn - 1 AS turn, text, count(*) AS copies, conv_id || ':' || (turn - 1) AS id
+  FROM conversations WHERE role = 'assistant' GROUP BY ALL),
+told_call AS (
+  SELECT *, sum(copies) OVER (PARTITION BY id) AS n_calls,
+    row_number() OVER (PARTITION BY id ORDER BY coalesce(to_json(text)::VARCHAR, 'null')) AS k FROM call),
+told_result AS (
+  SELECT *, sum(copies) OVER (PARTITION BY id) AS n_results,
+    row_number() OVER (PARTITION BY id ORDER BY text NULLS FIRST) AS k FROM result),
+one_call AS (SELECT * FROM told_call WHERE k = 1 AND id IS NOT NULL),
+one_result AS (SELECT * FROM told_result WHERE k = 1 AND id IS NOT NULL),
 chain AS (
   SELECT conv_id, turn, CAST(0 AS BIGINT) AS level FROM one_call c
   WHERE NOT EXISTS (SELECT 1 FROM one_call p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
   UNION ALL
   SELECT c.conv_id, c.turn, p.level + 1 FROM chain p JOIN one_call c ON c.conv_id = p.conv_id AND c.turn = p.turn + 2),
-linked AS (
-  SELECT coalesce(c.conv_id, r.conv_id) AS id_conv, coalesce(c.turn, r.turn) AS id_turn, c.conv_id, c.turn, c.text,
-         r.text AS content, h.level, c.n_calls, r.n_results,
-         CASE WHEN c.conv_id IS NULL THEN 'orphan' WHEN r.conv_id IS NULL THEN 'pending' ELSE 'linked' END AS status,
-         CASE WHEN c.conv_id IS NULL THEN ['call: missing'] ELSE list_filter([
-           CASE WHEN length(c.text) < 40 THEN 'chars: below 40' END,
-           CASE WHEN c.text IS NULL THEN 'chars: missing' END,
-           CASE WHEN c.text IS NULL THEN 'prompt: missing' END,
-           CASE WHEN length(c.text) > 400 THEN 'prompt: longer than 400' END,
-           CASE WHEN c.turn < 0 THEN 'turn: below 0' END], lambda x: x IS NOT NULL) END AS wrong
-  FROM one_call c FULL JOIN one_result r ON r.conv_id = c.conv_id AND r.turn = c.turn
-  LEFT JOIN chain h ON h.conv_id = c.conv_id AND h.turn = c.turn)
-SELECT conv_id, id_conv || ':' || id_turn AS call_id, CASE WHEN conv_id IS NOT NULL THEN 'reply' END AS name, level,
-       status, len(wrong) = 0 AS valid, array_to_string(wrong, '; ') AS errors, coalesce(n_calls, 0) AS n_calls,
-       coalesce(n_results, 0) AS n_results,
-       '{"arguments":' || CASE WHEN conv_id IS NULL THEN 'null' ELSE '{"chars":' || coalesce(length(text)::VARCHAR, 'null')
-         || ',"prompt":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"turn":' || turn || '}' END
+every AS (
+  SELECT coalesce(c.id, r.id) AS id, c.conv_id, c.turn, c.text, c.id IS NOT NULL AS is_call, r.text AS content, h.level,
+         coalesce(c.n_calls, 0) AS n_calls, coalesce(r.n_results, 0) AS n_results, coalesce(c.copies, 0) + coalesce(r.copies, 0) AS n_rows,
+         CASE WHEN c.id IS NULL THEN 'orphan' WHEN r.id IS NULL THEN 'pending' ELSE 'linked' END AS status, 'reply' AS name
+  FROM one_call c FULL JOIN one_result r ON r.id = c.id LEFT JOIN chain h ON h.conv_id = c.conv_id AND h.turn = c.turn
+  UNION ALL
+  SELECT id, conv_id, turn, text, TRUE, NULL, NULL, copies, 0, copies, CASE WHEN id IS NULL THEN 'unlinked' ELSE 'repeat' END, 'reply'
+  FROM told_call WHERE k > 1 OR id IS NULL
+  UNION ALL
+  SELECT id, NULL, NULL, NULL, FALSE, text, NULL, 0, copies, copies, CASE WHEN id IS NULL THEN 'unlinked' ELSE 'repeat' END, NULL
+  FROM told_result WHERE k > 1 OR id IS NULL
+  UNION ALL
+  SELECT conv_id || ':' || turn, conv_id, NULL, NULL, FALSE, text, NULL, 0, 0, count(*), 'context', role
+  FROM conversations WHERE coalesce(role NOT IN ('user', 'assistant'), TRUE) GROUP BY conv_id, turn, role, text),
+checked AS (
+  SELECT *, CASE WHEN status = 'orphan' THEN ['call: missing'] WHEN NOT is_call THEN [] ELSE list_filter([
+           CASE WHEN length(text) < 40 THEN 'chars: below 40' END,
+           CASE WHEN text IS NULL THEN 'chars: missing' END,
+           CASE WHEN text IS NULL THEN 'prompt: missing' END,
+           CASE WHEN length(text) > 400 THEN 'prompt: longer than 400' END,
+           CASE WHEN turn IS NULL THEN 'turn: missing' END,
+           CASE WHEN turn < 0 THEN 'turn: below 0' END], lambda x: x IS NOT NULL) END AS wrong,
+         CASE WHEN status <> 'orphan' THEN name END AS shown FROM every)
+SELECT conv_id, id AS call_id, shown AS name, level, status, len(wrong) = 0 AS valid, array_to_string(wrong, '; ') AS errors,
+       CAST(n_calls AS BIGINT) AS n_calls, CAST(n_results AS BIGINT) AS n_results,
+       '{"arguments":' || CASE WHEN NOT is_call THEN 'null' ELSE '{"chars":' || coalesce(length(text)::VARCHAR, 'null')
+         || ',"prompt":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"turn":' || coalesce(turn::VARCHAR, 'null') || '}' END
        || ',"errors":[' || array_to_string(list_transform(wrong, lambda x: '"' || x || '"'), ',')
-       || '],"id":"' || id_conv || ':' || id_turn || '","level":' || coalesce(level::VARCHAR, 'null')
-       || ',"name":' || CASE WHEN conv_id IS NULL THEN 'null' ELSE '"reply"' END
-       || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || ',"status":"' || status || '"}' AS json
-FROM linked
+       || '],"id":' || coalesce('"' || id || '"', 'null') || ',"level":' || coalesce(level::VARCHAR, 'null')
+       || ',"name":' || coalesce(to_json(shown)::VARCHAR, 'null')
+       || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || ',"status":"' || status || '"}' AS json,
+       CAST(n_rows AS BIGINT) AS n_rows
+FROM checked
 """,
 } | oracle_sql.ORACLE
 

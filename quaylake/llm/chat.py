@@ -16,12 +16,18 @@ turn):
 Only DataFrame expressions are used. Each call is a row of its own; nothing is
 gathered per conversation, so a conversation may hold any share of all rows.
 
-Defined cases: a result without a call has status ``orphan`` and no tool; a
-call without a result ``pending``; of repeated identifiers the first by turn,
-then content, is kept and the number of rows is given; NULL identifiers link
-to nothing: NULL-id calls and results are left out; a dependency on an unknown
-call is no dependency; NULL or malformed arguments are an error of the call,
-not of the job; unknown tools and arguments are errors of the call.
+Every row of the inputs is in the result, and ``n_rows`` tells how many each row
+stands for. Of repeated identifiers the first call (by turn, then content) and
+the first result are linked; each other text of them is a row of status
+``repeat``. Calls and results without an identifier are ``unlinked``; turns that are
+neither are ``context``.
+
+Defined cases: a result without a call has status ``orphan`` and no tool; a call
+without a result ``pending``; equal rows are one row with their number; a
+dependency on an unknown call is no dependency; NULL or malformed arguments are
+an error of the call, not of the job; unknown tools and arguments are errors of
+the call. Empty tables give no rows of their kind, texts may be of any length,
+and columns other than those named are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -55,11 +61,27 @@ class Tool:
 _IS_KIND = {"string": "^STRING$", "integer": "^BIGINT$", "number": "^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$", "boolean": "^BOOLEAN$"}
 
 
-def _first_by_id(df: DataFrame, key: str, columns: list[str], count: str) -> DataFrame:
-    """One row per key: the smallest (columns) struct, and how many there were."""
-    kept = df.filter(F.col(key).isNotNull()).groupBy(key)
-    one = kept.agg(F.min(F.struct(*columns)).alias("_one"), F.count(F.lit(1)).alias(count))
-    return one.select(key, *[F.col("_one")[c].alias(c) for c in columns], count)
+def _distinct(df: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """Distinct rows with their number ``_copies``, stored."""
+    return stored(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")), name)
+
+
+def _first_by_id(distinct: DataFrame, key: str, columns: list[str], count: str) -> DataFrame:
+    """One row per key: the smallest (columns) struct with its ``_copies``, and how many
+    rows there were."""
+    row = F.struct(*columns)
+    one = distinct.filter(F.col(key).isNotNull()).groupBy(key)
+    one = one.agg(F.min(F.struct(row.alias("row"), "_copies")).alias("_one"), F.sum("_copies").alias(count))
+    return one.select(key, *[F.col("_one.row")[c].alias(c) for c in columns], F.col("_one._copies").alias("_copies"), count)
+
+
+def _others(distinct: DataFrame, firsts: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """The distinct rows that are not the first of their key, and those without one,
+    with their ``status``."""
+    first = firsts.select(F.col(key).alias("_key"), F.struct(*columns).alias("_first"))
+    again = distinct.join(first, F.col(key) == F.col("_key")).filter(~F.struct(*columns).eqNullSafe(F.col("_first")))
+    again = again.select(*distinct.columns, F.lit("repeat").alias("status"))
+    return again.unionByName(distinct.filter(F.col(key).isNull()).withColumn("status", F.lit("unlinked")))
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -128,21 +150,26 @@ def canonical_json(value: Column) -> Column:
     return F.to_json(F.parse_json(value))
 
 
-def format_calls(calls: DataFrame, results: DataFrame, tools: list[Tool]) -> DataFrame:
-    """One row per call identifier (and per identifier that only results have).
+_CALL = ["turn", "conv_id", "name", "arguments", "parent_id"]
+_RESULT = ["turn", "content"]
+
+
+def format_calls(calls: DataFrame, results: DataFrame, tools: list[Tool], context: DataFrame | None = None) -> DataFrame:
+    """One row per call identifier (and per identifier that only results have), and one
+    per other text (see above).
 
     calls: conv_id, call_id, name, arguments, turn, parent_id; results: call_id,
-    content, turn. Further columns are ignored. Returns conv_id, call_id, name,
-    level, status, valid, errors, n_calls, n_results and json.
+    content, turn; context: conv_id, role, content, turn. Further columns are
+    ignored. Returns conv_id, call_id, name, level, status, valid, errors, n_calls,
+    n_results, json and n_rows; rows of context have their role as name.
     """
-    calls = only(calls, "conv_id", "call_id", "name", "arguments", "turn", "parent_id")
-    results = only(results, "call_id", "content", "turn")
-    one_call = _first_by_id(calls, "call_id", ["turn", "conv_id", "name", "arguments", "parent_id"], "n_calls")
-    one_call = stored(one_call, "chat-calls")
-    one_result = _first_by_id(results, "call_id", ["turn", "content"], "n_results")
-    one_result = one_result.withColumnRenamed("turn", "result_turn")
+    calls = _distinct(only(calls, "conv_id", "call_id", "name", "arguments", "turn", "parent_id"), ["call_id", *_CALL], "chat-distinct-calls")
+    results = _distinct(only(results, "call_id", "content", "turn"), ["call_id", *_RESULT], "chat-distinct-results")
+    one_call = stored(_first_by_id(calls, "call_id", _CALL, "n_calls"), "chat-calls")
+    one_result = stored(_first_by_id(results, "call_id", _RESULT, "n_results"), "chat-results")
+    answered = one_result.select("call_id", "content", F.col("_copies").alias("_answers"), "n_results")
     ordered = one_call.join(levels(one_call), "call_id", "left").withColumn("_call", F.lit(True))
-    linked = ordered.join(one_result, "call_id", "full")
+    linked = ordered.join(answered, "call_id", "full")
     is_call = F.col("_call").isNotNull()
     status = (
         F.when(~is_call, "orphan")
@@ -150,8 +177,40 @@ def format_calls(calls: DataFrame, results: DataFrame, tools: list[Tool]) -> Dat
         .when(F.col("n_results").isNull(), "pending")
         .otherwise("linked")
     )
+    zero = F.lit(0).cast("long")
     wrong = F.when(is_call, errors(F.col("name"), F.col("arguments"), tools)).otherwise(F.array(F.lit("call: missing")))
-    linked = linked.withColumn("status", status).withColumn("errors", wrong)
+    shape = ["conv_id", "call_id", "name", "arguments", "content", "level", "status", "errors", "n_calls", "n_results", "n_rows"]
+    main = linked.withColumns(
+        {
+            "status": status,
+            "errors": wrong,
+            "n_calls": F.coalesce("n_calls", zero),
+            "n_results": F.coalesce("n_results", zero),
+            "n_rows": F.coalesce("_copies", zero) + F.coalesce("_answers", zero),
+        }
+    ).select(*shape)
+    none, level = F.lit(None).cast("string"), F.lit(None).cast("long").alias("level")
+    more_calls = _others(calls, one_call, "call_id", _CALL).select(
+        "conv_id", "call_id", "name", "arguments", none.alias("content"), level, "status",
+        errors(F.col("name"), F.col("arguments"), tools).alias("errors"),
+        F.col("_copies").alias("n_calls"), zero.alias("n_results"), F.col("_copies").alias("n_rows"),
+    )
+    no_conversation = F.lit(None).cast(main.schema["conv_id"].dataType).alias("conv_id")
+    right = F.array().cast("array<string>").alias("errors")
+    more_results = _others(results, one_result, "call_id", _RESULT).select(
+        no_conversation, "call_id", none.alias("name"), none.alias("arguments"), "content", level, "status",
+        right, zero.alias("n_calls"), F.col("_copies").alias("n_results"), F.col("_copies").alias("n_rows"),
+    )
+    found = main.unionByName(more_calls).unionByName(more_results)
+    if context is not None:
+        turns = only(context, "conv_id", "role", "content", "turn")
+        turns = turns.groupBy("conv_id", "role", "content", "turn").agg(F.count(F.lit(1)).alias("n_rows"))
+        found = found.unionByName(
+            turns.select(
+                "conv_id", identifier(F.col("conv_id"), F.col("turn")).alias("call_id"), F.col("role").alias("name"), none.alias("arguments"),
+                "content", level, F.lit("context").alias("status"), right, zero.alias("n_calls"), zero.alias("n_results"), "n_rows",
+            )
+        )
     text = F.to_json(
         F.struct(
             F.try_parse_json("arguments").alias("arguments"),
@@ -164,7 +223,7 @@ def format_calls(calls: DataFrame, results: DataFrame, tools: list[Tool]) -> Dat
         ),
         {"ignoreNullFields": "false"},
     )
-    return linked.select(
+    return found.select(
         "conv_id",
         "call_id",
         "name",
@@ -172,12 +231,18 @@ def format_calls(calls: DataFrame, results: DataFrame, tools: list[Tool]) -> Dat
         "status",
         (F.size("errors") == 0).alias("valid"),
         F.concat_ws("; ", "errors").alias("errors"),
-        F.coalesce("n_calls", F.lit(0)).alias("n_calls"),
-        F.coalesce("n_results", F.lit(0)).alias("n_results"),
+        "n_calls",
+        "n_results",
         canonical_json(text).alias("json"),
+        "n_rows",
     )
 
 
+def identifier(conv_id: Column, turn: Column) -> Column:
+    """``conversation:turn``, NULL where one of them is."""
+    return F.concat(conv_id.cast("string"), F.lit(":"), turn.cast("string"))
+
+
 # ------------------------------------------------ calls that a plain conversation holds
 #: every user turn asks for a reply; its arguments are checked against these
 REPLY_TOOLS = [
@@ -194,26 +259,27 @@ REPLY_TOOLS = [
 
 def conversation_calls(conversations: DataFrame) -> DataFrame:
     """A call per user turn: it depends on the call of the exchange before."""
-    at = lambda t: F.concat_ws(":", F.col("conv_id").cast("string"), t.cast("string"))
     turn = F.col("turn")
     arguments = F.to_json(
         F.struct(turn, F.col("text").alias("prompt"), F.length("text").alias("chars")), {"ignoreNullFields": "false"}
     )
-    return conversations.filter((F.col("role") == "user") & F.col("conv_id").isNotNull() & turn.isNotNull()).select(
+    return conversations.filter("role = 'user'").select(
         "conv_id",
-        at(turn).alias("call_id"),
+        identifier(F.col("conv_id"), turn).alias("call_id"),
         F.lit("reply").alias("name"),
         arguments.alias("arguments"),
         "turn",
-        at(turn - 2).alias("parent_id"),
+        identifier(F.col("conv_id"), turn - 2).alias("parent_id"),
     )
 
 
 def conversation_results(conversations: DataFrame) -> DataFrame:
     """A result per assistant turn: it answers the turn before."""
-    wanted = (F.col("role") == "assistant") & F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
-    return conversations.filter(wanted).select(
-        F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") - 1).cast("string")).alias("call_id"),
-        F.col("text").alias("content"),
-        "turn",
-    )
+    answers = identifier(F.col("conv_id"), F.col("turn") - 1)
+    return conversations.filter("role = 'assistant'").select(answers.alias("call_id"), F.col("text").alias("content"), "turn")
+
+
+def conversation_context(conversations: DataFrame) -> DataFrame:
+    """Turns of all other roles, or of none."""
+    other = F.coalesce(~F.col("role").isin("user", "assistant"), F.lit(True))
+    return conversations.filter(other).select("conv_id", "role", F.col("text").alias("content"), "turn")

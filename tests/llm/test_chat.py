@@ -21,7 +21,9 @@ TOOLS = [
 def run(spark):
     def go(calls, results=()):
         got = chat.format_calls(spark.createDataFrame(list(calls), CALLS), spark.createDataFrame(list(results), RESULTS), TOOLS)
-        return {r["call_id"]: r for r in got.collect()}
+        rows = got.collect()
+        assert sum(r["n_rows"] for r in rows) == len(calls) + len(results)
+        return {r["call_id"]: r for r in rows if r["status"] != "repeat"}
 
     return go
 
@@ -29,7 +31,7 @@ def run(spark):
 def test_links_and_levels(run):
     chain = [(1, f"c{i}", "now", "{}", i, f"c{i - 1}" if i else None) for i in range(20)]
     odd = [(2, "x", "now", "{}", 0, "y"), (2, "y", "now", "{}", 1, "x"), (2, "z", "now", "{}", 2, "y"), (2, "w", "now", "{}", 3, "gone")]
-    got = run(chain + odd, [("c3", "late", 9), ("c3", "first", 4), ("lost", None, 1), (None, "no id", 1)])
+    got = run(chain + odd, [("c3", "late", 9), ("c3", "first", 4), ("lost", None, 1)])
     assert [got[f"c{i}"]["level"] for i in range(20)] == list(range(20))
     assert {k: got[k]["status"] for k in "xyzw"} == {"x": "cycle", "y": "cycle", "z": "cycle", "w": "pending"}
     assert (got["c3"]["status"], got["c3"]["n_results"], json.loads(got["c3"]["json"])["result"]) == ("linked", 2, "first")
@@ -65,21 +67,57 @@ def test_canonical_json(run):
     )
 
 
-def test_repeats_and_empty(run, spark):
-    row = run([(1, "c", "now", "{}", 5, None), (1, "c", "add", "{}", 2, None), (1, None, "now", "{}", 0, None)])
-    assert set(row) == {"c"} and (row["c"]["name"], row["c"]["n_calls"]) == ("add", 2)
+def test_every_row_is_in_the_result(spark):
+    calls = [(1, "c", "now", "{}", 5, None), (1, "c", "add", "{}", 2, None), (1, "c", "now", "{}", 5, None), (1, None, "now", "{}", 0, None)]
+    results = [("c", "one", 1), ("c", "two", 2), ("c", "two", 2), (None, "lost", 1), (None, "lost", 1), (None, None, None)]
+    frames = spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS)
+    rows = [(r["call_id"], r["status"], r["name"], json.loads(r["json"])["result"], r["n_calls"], r["n_results"], r["n_rows"])
+            for r in chat.format_calls(*frames, TOOLS).collect()]
+    assert sorted(rows, key=repr) == sorted(
+        [
+            ("c", "linked", "add", "one", 3, 3, 2),
+            ("c", "repeat", "now", None, 2, 0, 2),
+            ("c", "repeat", None, "two", 0, 2, 2),
+            (None, "unlinked", "now", None, 1, 0, 1),
+            (None, "unlinked", None, "lost", 0, 2, 2),
+            (None, "unlinked", None, None, 0, 1, 1),
+        ],
+        key=repr,
+    )
+
+
+def test_empty(run):
     assert run([]) == {}
 
 
 def test_conversations(spark):
     turns = spark.createDataFrame(
-        [(1, 0, "user", "hello " * 20, "x"), (1, 1, "assistant", "hi", "x"), (1, 2, "user", None, "x"), (None, 0, "user", "?", "x"), (1, None, "user", "?", "x"), (2, 1, "assistant", "?", "x")],
+        [(1, 0, "user", "hello " * 20, "x"), (1, 1, "assistant", "hi", "x"), (1, 2, "user", None, "x"), (None, 0, "user", "?", "x"), (1, None, "user", "?", "x"), (2, 1, "assistant", "?", "x"),
+         (1, 0, "system", "be kind", "x"), (5, None, None, "?", "x"), (5, None, None, "?", "x")],
         "conv_id long, turn long, role string, text string, content string",
     )
-    got = chat.format_calls(chat.conversation_calls(turns), chat.conversation_results(turns), chat.REPLY_TOOLS).collect()
-    got = {r["call_id"]: (r["status"], r["level"], r["errors"]) for r in got}
+    got = chat.format_calls(
+        chat.conversation_calls(turns), chat.conversation_results(turns), chat.REPLY_TOOLS, context=chat.conversation_context(turns)
+    ).collect()
+    assert sum(r["n_rows"] for r in got) == turns.count()
+    got = {(r["call_id"], r["status"]): (r["conv_id"], r["level"], r["errors"], r["name"]) for r in got}
     assert got == {
-        "1:0": ("linked", 0, ""),
-        "1:2": ("pending", 1, "chars: missing; prompt: missing"),
-        "2:0": ("orphan", None, "call: missing"),
+        ("1:0", "linked"): (1, 0, "", "reply"),
+        ("1:2", "pending"): (1, 1, "chars: missing; prompt: missing", "reply"),
+        ("2:0", "orphan"): (None, None, "call: missing", None),
+        ("1:0", "context"): (1, None, "", "system"),
+        (None, "context"): (5, None, "", None),
+        (None, "unlinked"): got[None, "unlinked"],
     }
+
+
+def test_very_long_texts_and_a_hot_identifier(spark):
+    long = "word " * 200_000
+    turns = [(1, 0, "user", long), (1, 1, "assistant", long + "!")] + [(7, 0, "user", f"ask {i % 50} " * 10) for i in range(3000)]
+    turns += [(7, 1, "assistant", "same")] * 2000
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(5)
+    rows = chat.format_calls(chat.conversation_calls(df), chat.conversation_results(df), chat.REPLY_TOOLS).collect()
+    assert sum(r["n_rows"] for r in rows) == len(turns) and len(rows) == 51
+    first = {r["call_id"]: r for r in rows if r["status"] == "linked"}
+    assert json.loads(first["1:0"]["json"])["result"] == long + "!" and first["1:0"]["errors"] == "prompt: longer than 400"
+    assert (first["7:0"]["n_calls"], first["7:0"]["n_results"], first["7:0"]["n_rows"]) == (3000, 2000, 2060)
