@@ -51,6 +51,43 @@ def test_shuffle_joins_give_the_same(spark, docs_of, monkeypatch):
     assert found(spark, docs, items, docs_of) == want
 
 
+def test_uneven_weights_lose_no_window(spark, docs_of):
+    """Edits near the threshold where one long token carries most of the weight."""
+    rng = random.Random(17)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrst") for _ in range(n))
+    items, docs = [], []
+    for i in range(60):
+        words = [word(4) for _ in range(rng.randint(60, 125))]
+        words[rng.randrange(5, len(words) - 5)] = word(100)
+        items.append((i, " ".join(words)))
+        for n in range(4):
+            copy, long = list(words), max(range(len(words)), key=lambda k: len(words[k]))
+            for at in rng.sample([k for k in range(len(words)) if abs(k - long) > 6], rng.randint(2, 5)):
+                copy[at] = word(4)
+            if n == 3:
+                copy[long] = word(100)
+            docs.append((1000 * n + i, " ".join(copy)))
+    want = brute.leaked(docs, items)
+    near = {k for k, v in want.items() if v < 0.9}
+    assert len(near) > 60
+    assert set(found(spark, docs, items, docs_of)) == set(want)
+
+
+def test_two_thousand_items(spark, docs_of):
+    rng = random.Random(23)
+    words = [f"w{n}" for n in range(3000)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, text(rng.randint(20, 60))) for i in range(2000)]
+    docs = [(i, f"{text(30)} {items[i * 13][1]} {text(30)}") for i in range(100)] + [(500 + i, text(200)) for i in range(50)]
+    assert set(found(spark, docs, items, docs_of)) == {(i, i * 13) for i in range(100)}
+
+
+def test_very_long_text(spark, docs_of):
+    item = "this benchmark item has exactly nine words in it"
+    docs = [(1, "filler words of a long text " * 30_000 + item + " and more " * 1000), (2, "x" * 300_000)]
+    assert set(found(spark, docs, [(1, item)], docs_of)) == {(1, 1)}
+
+
 def test_blocks_cover_the_fingerprint():
     parts = decontaminate._blocks()
     assert len(parts) == decontaminate.RADIUS + 1
