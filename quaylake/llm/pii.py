@@ -1,11 +1,15 @@
 """Personal data in texts: exact base patterns and a BiLSTM-CRF tagger.
 
 Base spans (e-mail, IP, card, phone) come from fixed patterns. A character
-level bidirectional LSTM with CRF transitions is trained in numpy on the pattern
-matches of a bounded sample of documents. It adds spans that the patterns miss
-and that pass the check of their kind (numbers of digits, Luhn sum, byte range).
-It reads overlapping windows: every window that holds a digit or an ``@`` (no
-span of the four kinds is without one), so whole texts are covered. Each
+level bidirectional LSTM with CRF transitions is trained in numpy on labelled
+spans of a bounded sample of documents: the pattern matches, and the same
+documents with their matches rewritten in ways that the patterns miss. The
+rewriting (``varied``) is a seeded generator: words or brackets for the signs of
+an address, blanks around dots, dashes, slashes or dots inside numbers, national
+prefixes. The tagger adds such spans where they pass the check of their kind
+(form of an address, numbers of digits, Luhn sum, byte range). It reads
+overlapping windows: every window that holds a digit, an ``@`` or a word for it
+(no span of the four kinds is without one), so whole texts are covered. Each
 character takes its tag from the window in which it is most central, the tags
 of a text are joined to spans, and a span that touches a base span of its
 kind gives way to it.
@@ -20,7 +24,9 @@ rows are tagged alike.
 
 from __future__ import annotations
 
+import random
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,10 +39,10 @@ from quaylake.llm.common import only, ship, tidy
 KINDS = ("email", "ip", "card", "phone")
 #: documents looked at for training, and training windows, at most
 SAMPLE_DOCS = 20_000
-SAMPLE_WINDOWS = 3_000
+SAMPLE_WINDOWS = 8_000
 WINDOW, STRIDE = 64, 32
 HIDDEN = 24
-STEPS = 600
+STEPS = 800
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -44,7 +50,10 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_TRIGGER = re.compile(r"[0-9@]")
+_TRIGGER = re.compile(r"[0-9@]|[\[({]\s?(?:at|AT)\s?[\])}]| AT ")
+_AT = r"(?:@|[\[({]\s?(?:at|AT)\s?[\])}]|(?<= )AT(?= ))"
+_DOT = r"(?:\.|[\[({]\s?(?:dot|DOT)\s?[\])}]|(?<= )DOT(?= ))"
+_ADDRESS = re.compile(rf"[A-Za-z0-9._%+-]+ ?{_AT} ?[A-Za-z0-9-]+(?: ?{_DOT} ?[A-Za-z0-9-]+)+")
 
 Span = tuple[int, int, int]  # kind, start, end
 
@@ -77,7 +86,7 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 def holds(kind: int, found: str) -> bool:
     """The check that a span of a kind has to pass."""
     if kind == 0:
-        return re.search(r"[^@\s]\s*@\s*[^@\s]+\s*\.\s*[^@\s]", found) is not None
+        return _ADDRESS.fullmatch(found) is not None
     parts = re.findall("[0-9]+", found)
     if kind == 1:
         return len(parts) == 4 and all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or 0) <= 255 for x in parts)
@@ -85,9 +94,74 @@ def holds(kind: int, found: str) -> bool:
     return 13 <= len(digits) <= 19 and _luhn(digits) if kind == 2 else 9 <= len(digits) <= 15
 
 
+def _vary(kind: int, found: str, rng: random.Random) -> str:
+    """A span rewritten so that its pattern misses it."""
+    if kind == 0:
+        at, dot = rng.choice([("[at]", "[dot]"), (" [at] ", " [dot] "), ("(at)", "(dot)"), (" AT ", " DOT "), ("{at}", "."), (" @ ", "."), (" (at) ", "."), (" @ ", " . ")])
+        local, domain = found.split("@", 1)
+        return local + at + domain.replace(".", dot)
+    parts = re.findall("[0-9]+", found)
+    if kind == 1:
+        return rng.choice([" . ", "-", " .", ". ", "[.]", "(.)"]).join(parts)
+    digits = "".join(parts)
+    if kind == 2:
+        return rng.choice([".", "/", "  ", " - ", "_"]).join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    head, groups = digits[:2], [g for g in (digits[2:5], digits[5:8], digits[8:]) if g]
+    if len(digits) > 13 or rng.random() < 0.3:
+        return "+" + "/".join([head, *groups])  # other signs after a plus are in the pattern
+    return "00" + rng.choice(["-", " ", "/", "."]).join([head, *groups])
+
+
+def _fresh(kind: int, rng: random.Random) -> str:
+    """A new value of a kind."""
+    some = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    if kind == 0:
+        local = some(rng.randint(1, 8), letters) + rng.choice(["", ".", "_", "-", "9", "42"]) + some(rng.randint(1, 6), letters)
+        return local + "@" + ".".join([some(rng.randint(2, 9), letters) + rng.choice(["", "7"])] + rng.choice([["com"], ["org"], ["co", "uk"], ["example", "net"]]))
+    if kind == 1:
+        return ".".join(str(rng.randint(0, 255)) for _ in range(4))
+    if kind == 2:
+        head = some(rng.choice([12, 14, 15, 15, 15, 18]), "0123456789")
+        return next(head + c for c in "0123456789" if _luhn(head + c))
+    return "+" + some(1, "123456789") + some(rng.randint(8, 11), "0123456789")
+
+
+#: what stands near numbers and is no personal data
+_DECOYS = ("in 2024", "12 pages", "1. 2", "(3)", "10:30", "200 000", "3.5 %", "no. 7,", "1-2", "at noon", "1999/2000")
+
+
+def varied(text: str, spans: list[Span], seed: int) -> tuple[str, list[Span]]:
+    """The text with its spans rewritten, half of them with a new value, some between
+    other numbers, and where they are then; of spans that overlap the first is
+    taken. Rewritten spans that the patterns still match are labelled like any
+    other."""
+    rng = random.Random(seed)
+    out, labels, at, size = [], [], 0, 0
+
+    def put(part: str) -> None:
+        nonlocal size
+        out.append(part)
+        size += len(part)
+
+    for kind, s, e in sorted(spans, key=lambda x: (x[1], -x[2])):
+        if s < at:
+            continue
+        put(text[at:s])
+        if rng.random() < 0.3:
+            put(rng.choice(_DECOYS) + " ")
+        new = _vary(kind, _fresh(kind, rng) if rng.random() < 0.5 else text[s:e], rng)
+        labels.append((kind, size, size + len(new)))
+        put(new)
+        if rng.random() < 0.5:
+            put(rng.choice([",", ".", ")", ";", "\n", " " + rng.choice(_DECOYS), ", " + rng.choice(_DECOYS)]))
+        at = e
+    return "".join(out) + text[at:], labels
+
+
 def pattern_spans(text: str) -> list[Span]:
     """All matches of the fixed patterns, by kind and start, whether they pass
-    the checks or not; these are the labels of the tagger."""
+    the checks or not."""
     if not _TRIGGER.search(text):
         return []
     spans: list[Span] = [(0, s, e) for s, e in _emails(text)]
@@ -103,12 +177,12 @@ def base_spans(text: str) -> list[Span]:
 
 
 # ------------------------------------------------------------------------- windows
-_SINGLE = "@.-+() \n\t_%:/,\"'="
+_SINGLE = "@.-+() \n\t_%:/,\"'=[]{}ATDOatdo"
 
 
 def char_classes(text: str) -> np.ndarray:
     """Class of each code point: padding 0, digit, lower, upper, other letters and
-    signs beyond ASCII, signs of their own, other ASCII."""
+    signs beyond ASCII, signs and letters of their own, other ASCII."""
     codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     return _CLASS[np.minimum(codes, 128)]
 
@@ -393,7 +467,7 @@ def spans_text(spans: list[Span]) -> str:
 
 # --------------------------------------------------------------------------- Spark
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict | None:
-    """Fit the tagger on base spans of the documents with the smallest id hashes."""
+    """Fit the tagger on spans of the documents with the smallest id hashes."""
     import pyarrow as pa
 
     ship(docs.sparkSession)
@@ -407,11 +481,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> di
             xs, ys = [], []
             for t in batch.column(1).to_pylist():
                 t = t or ""
-                starts = window_starts(t)
-                if starts:
-                    tags = tag_array(len(t), pattern_spans(t))
-                    xs += [w.tobytes() for w in windows_of(char_classes(t), starts)]
-                    ys += [w.tobytes() for w in windows_of(tags, starts)]
+                spans = pattern_spans(t)
+                good = [x for x in spans if holds(x[0], t[x[1] : x[2]])]
+                forms = [(t, spans)] + ([varied(t, good, zlib.crc32(t.encode()) + i) for i in range(6)] if good else [])
+                for text, labels in forms:
+                    starts = window_starts(text)
+                    if starts:
+                        tags = tag_array(len(text), labels)
+                        xs += [w.tobytes() for w in windows_of(char_classes(text), starts)]
+                        ys += [w.tobytes() for w in windows_of(tags, starts)]
             yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary())], ["x", "y"])
 
     cuts = rows.mapInArrow(tidy(cut), "x binary, y binary").distinct()
