@@ -32,6 +32,7 @@ SPARK_TO_DUCK = {
     "double": "DOUBLE",
     "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
 }
 
 
