@@ -80,9 +80,9 @@ PLANNED_BYTES = 4 << 20
 
 def fewer(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` in no more partitions than its rows fill, where an upper bound of them is
-    known, or than the planner's (upper) estimate of its bytes does, but a few per
-    core at least: a small table written by every shuffle partition would be as
-    many tiny files. Partitions of large tables stay as they are."""
+    known, else in a few per core if the planner's estimate of its bytes is small: a
+    small table written by every shuffle partition would be as many tiny files. The
+    estimate grows with the input, so partitions of large tables stay as they are."""
     if rows is not None:
         return df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     planned = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -43,7 +43,7 @@ from quaylake.plans.broadcast import join_small
 MIN_DOCS = 3
 TOP = 200
 #: bytes of text that a task counts at once (a longer text is a chunk of its own)
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: sources of a block; a task holds the sums of one block against another
 SOURCES_PER_BLOCK = 256
 #: rows of a slice, on average
