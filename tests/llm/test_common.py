@@ -29,4 +29,4 @@ def test_planned_bytes_decide(spark, monkeypatch):
 def test_stored_tables_come_back(spark):
     df = spark.range(0, 100, 1, 9).withColumn("t", F.lit("é"))
     back = common.stored(df, "some")
-    assert back.schema == df.schema and sorted(back.collect()) == sorted(df.collect())
+    assert back.schema.simpleString() == df.schema.simpleString() and sorted(back.collect()) == sorted(df.collect())
