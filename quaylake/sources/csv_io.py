@@ -166,7 +166,14 @@ def read_csv(
     or a wrong number of fields, NULL for a good one.
     """
     names = [f.name for f in schema.fields]
-    raw, _, empty = _text_records(spark, path, names, header, multi_line, headers)
+    records = _text_records(spark, path, names, header, multi_line, headers)
+    return _typed_rows(records, schema, null_tokens, with_corrupt)
+
+
+def _typed_rows(records: tuple[DataFrame, list[str], str], schema: T.StructType, null_tokens: Sequence[str], with_corrupt: bool) -> DataFrame:
+    """``_text_records`` with the types of ``schema``."""
+    raw, _, empty = records
+    names = [f.name for f in schema.fields]
     values, wrong = [], F.col(_RAW).isNotNull()
     for f in schema.fields:
         text = _present(f.name, empty, null_tokens, isinstance(f.dataType, T.StringType))
@@ -175,9 +182,12 @@ def read_csv(
     shown = F.concat_ws(",", *[F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in names])
     # Catalyst may test records before it drops the headers, so those are never bad
     record = F.when(~F.col(_HEAD) & wrong, F.coalesce(F.col(_RAW), F.replace(shown, F.lit(empty), F.lit(""))))
-    out = raw.where(~F.col(_HEAD)).select(*values, record.alias(CORRUPT))
+    out = raw.where(~F.col(_HEAD))
     if with_corrupt:
-        return out
+        return out.select(*values, record.alias(CORRUPT))
+    # made by a generator, so that Catalyst does not write the test of a record out a
+    # second time below its values: in one method the two are too long to be compiled
+    out = out.select(F.inline(F.array(F.struct(*values, record.alias(CORRUPT)))))
     bad = F.raise_error(F.concat(F.lit("bad CSV record: "), F.col(CORRUPT))).cast("boolean")
     return out.where(F.when(F.col(CORRUPT).isNotNull(), bad).otherwise(True)).select(*[F.col(f"`{n}`") for n in names])
 
@@ -194,42 +204,49 @@ def infer_csv_types(
     """One row per column, from all rows: ``position``, ``name``, ``type``, ``n_rows``,
     ``n_missing`` and the values that are a boolean, an integer (of 64 bits), a
     number or a date. A column without values is text."""
-    raw, names, empty = _text_records(spark, path, None if names is None else list(names), header, multi_line, headers)
-    counts, columns = [], []
-    for i, name in enumerate(names):
-        text = _present(name, empty, null_tokens, is_text=True)
-        t = F.trim(text)
-        fits = {
-            "missing": text.isNull(),
-            "boolean": F.lower(t).isin("true", "false"),
-            "bigint": t.rlike(_INTEGER) & t.try_cast("bigint").isNotNull(),
-            "double": t.rlike(_NUMBER),
-            "date": t.rlike(_DATE) & t.try_cast("date").isNotNull(),
-        }
-        counts += [F.count_if(c).alias(f"{k}_{i}") for k, c in fits.items()]
-        of = {k: F.col(f"{k}_{i}") for k in fits}
-        values = F.col("n_rows") - of["missing"]
-        kind = F.lit("string")
-        for k in reversed(list(_LATTICE)):
-            kind = F.when((values > 0) & (of[k] == values), k).otherwise(kind)
-        columns.append(
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(name).alias("name"),
-                kind.alias("type"),
-                F.col("n_rows"),
-                of["missing"].alias("n_missing"),
-                of["boolean"].alias("n_boolean"),
-                of["bigint"].alias("n_integer"),
-                of["double"].alias("n_number"),
-                of["date"].alias("n_date"),
-            )
-        )
-    if not columns:
+    records = _text_records(spark, path, None if names is None else list(names), header, multi_line, headers)
+    return _inferred(spark, records, null_tokens)
+
+
+def _inferred(spark: SparkSession, records: tuple[DataFrame, list[str], str], null_tokens: Sequence[str]) -> DataFrame:
+    """The types of ``_text_records``. Each field is a row of its place and text, so that
+    one short expression tests the fields of all columns."""
+    raw, names, empty = records
+    if not names:
         told = "n_rows long, n_missing long, n_boolean long, n_integer long, n_number long, n_date long"
         return spark.createDataFrame([], f"position int, name string, type string, {told}")
-    one = raw.where(~F.col(_HEAD)).agg(F.count(F.lit(1)).alias("n_rows"), *counts)
-    return one.select(F.inline(F.array(*columns)))
+    texts = [_present(name, empty, null_tokens, is_text=True) for name in names]
+    fields = raw.where(~F.col(_HEAD)).select(F.posexplode(F.array(*texts)).alias("position", "text"))
+    t = F.trim("text")
+    fits = {
+        "boolean": F.lower(t).isin("true", "false"),
+        "bigint": t.rlike(_INTEGER) & t.try_cast("bigint").isNotNull(),
+        "double": t.rlike(_NUMBER),
+        "date": t.rlike(_DATE) & t.try_cast("date").isNotNull(),
+    }
+    found = fields.groupBy("position").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("text").isNull()).alias("missing"),
+        *[F.count_if(c).alias(k) for k, c in fits.items()],
+    )
+    # columns of files without records have no fields
+    columns = spark.createDataFrame(list(enumerate(names)), "position int, name string")
+    found = columns.join(found, "position", "left").fillna(0)
+    values = F.col("n_rows") - F.col("missing")
+    kind = F.lit("string")
+    for k in reversed(list(_LATTICE)):
+        kind = F.when((values > 0) & (F.col(k) == values), k).otherwise(kind)
+    return found.select(
+        "position",
+        "name",
+        kind.alias("type"),
+        "n_rows",
+        F.col("missing").alias("n_missing"),
+        F.col("boolean").alias("n_boolean"),
+        F.col("bigint").alias("n_integer"),
+        F.col("double").alias("n_number"),
+        F.col("date").alias("n_date"),
+    )
 
 
 def csv_schema(inferred: DataFrame) -> T.StructType:
@@ -245,9 +262,10 @@ def read_csv_inferred(
     multi_line: bool = False,
     headers: str = "by_file",
 ) -> DataFrame:
-    """Rows with inferred types: one pass infers, the other reads."""
-    schema = csv_schema(infer_csv_types(spark, path, null_tokens, multi_line=multi_line, headers=headers))
-    return read_csv(spark, path, schema, null_tokens, multi_line=multi_line, headers=headers)
+    """Rows with inferred types: one pass over the records infers, the other reads. With
+    ``headers="by_file"`` the files are read and their records stored once for both."""
+    records = _text_records(spark, path, None, True, multi_line, headers)
+    return _typed_rows(records, csv_schema(_inferred(spark, records, null_tokens)), null_tokens, False)
 
 
 def split_csv(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

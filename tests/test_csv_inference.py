@@ -120,3 +120,26 @@ def test_inference_without_rows(spark, tmp_dir):
     assert infer_csv_types(spark, empty).count() == 0 and csv_schema(infer_csv_types(spark, empty)) == T.StructType()
     bare = files(f"{tmp_dir}/bare", ["1,x\n2,y\n"])
     assert [r["type"] for r in infer_csv_types(spark, bare, names=["n", "t"], header=False).collect()] == ["bigint", "string"]
+
+
+def test_inferred_rows_read_the_files_once(spark, tmp_dir, monkeypatch):
+    seen = []
+    whole = csv_io._text_reader
+    monkeypatch.setattr(csv_io, "_text_reader", lambda *a: seen.append(1) or whole(*a))
+    path = files(f"{tmp_dir}/once", ["name,id\nx,1\n", "id,name\n2,\"\"\n"])
+    df = read_csv_inferred(spark, path)
+    assert sorted(map(tuple, df.select("id", "name").collect())) == [(1, "x"), (2, "")]
+    assert len(seen) == 1
+
+
+def test_a_record_is_tested_once(spark, tmp_dir):
+    """The filter on bad records lies above the values, not written out once more below."""
+    names = [f"c{i}" for i in range(8)]
+    path = files(f"{tmp_dir}/wide", [",".join(names) + "\n" + ",".join("12345678") + "\n"])
+    df = read_csv_inferred(spark, path)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("raise_error") == 1 and plan.count("concat_ws") == 1
+    assert [tuple(r) for r in df.collect()] == [tuple(range(1, 9))]
+    wrong = files(f"{tmp_dir}/wrong", ["id,name\nseven,x\n"])
+    with pytest.raises(Exception, match="bad CSV record: seven,x"):
+        read_csv(spark, wrong, PAIR).select("name").collect()
