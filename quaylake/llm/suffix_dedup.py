@@ -8,21 +8,24 @@ How equal strings meet without comparing everything:
 
 1. The least hash among the 24-byte grams of a window is a function of the
    window alone, so equal windows share it. Runs of windows with the same least
-   gram are the unit of work; a run's text is a *segment* (some 140 bytes).
-   Only grams that occur more than once can belong to a repeated window.
+   gram are the unit of work; a run's text is a *segment* (some 140 bytes). All
+   runs are shuffled by their gram once, as narrow rows without text.
 2. Equal segments are one segment: all but the first occurrence are removed.
-3. Distinct segments go to the shard of their gram. A shard concatenates them,
-   builds a suffix array by induced sorting and the permuted common prefixes of
-   neighbours; windows with 100 bytes in common form an interval, and all but
-   its first are removed.
+   Those with an equal, earlier one in their batch of rows are known to be copies
+   and go to other tasks than their gram, so that a very common passage does not
+   fill one.
+3. The distinct segments of a gram that has several, and those that hold their
+   gram twice, go to the shard of their gram; no other can hold a further repeat. A
+   shard concatenates them, builds a suffix array by induced sorting and the
+   permuted common prefixes of neighbours; windows with 100 bytes in common form
+   an interval, and all but its first are removed.
 4. A gram with more distinct segments than a shard should hold (a very common
    line in many surroundings) is taken apart into single windows, which meet by
    their own hash. So no group is unbounded and none is dropped.
 
-Shuffled data: grams (8 bytes per 39 bytes of text), narrow occurrences of
-repeated grams, and one copy of each distinct segment. Texts are read where
-they are; lists of segments and removed spans are broadcast to them up to a
-measured size and joined by a shuffle beyond it.
+Shuffled data: runs (one per 39 bytes of text), the texts, and one copy of each
+distinct segment of 3. Texts are dealt by document, once for the segments and the
+result. The form is the same at all sizes.
 
 Defined cases: a NULL text counts as empty; texts of under 100 bytes lose
 nothing; NULL ids come before all others; rows of one id and one text are one
@@ -37,13 +40,12 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaylake.llm.common import only, ship, shuffle_width, stored, tidy
 from quaylake.llm.rolling import hashes, mix, prefix_sums
 from quaylake.llm.suffix_array import _words, common_prefix, suffix_array
-from quaylake.plans.broadcast import join_small
 
 LENGTH = 100
 GRAM = 24
@@ -52,9 +54,13 @@ RUN = 256
 SHARD_BYTES = 1 << 20
 #: distinct segments of one gram that go to a shard together
 SEGMENTS_PER_GRAM = 4096
-#: lists are broadcast up to this size (measured), else joined by a shuffle
-BROADCAST_BYTES = 32 << 20
+#: lists are not broadcast at any size: they grow with the input, and a form that changes
+#: at some size would change the data shuffled per byte; above 0, Spark may choose
+BROADCAST_BYTES = 0
+#: single windows that are looked at together
+WINDOWS = 200_000
 FIRST_ID = -(1 << 63)  # stands for a NULL id
+COPY, FEW, MANY = 0, 1, 2  # kinds of occurrences
 
 
 def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -72,18 +78,24 @@ def least_grams(data: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndar
     return grams, _sliding(grams, SPAN, np.minimum)
 
 
-def chosen_grams(grams: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """The grams that are least in a window, one entry per position: a gram at two
-    places of one run of windows counts twice."""
+def chosen_places(grams: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Places of the grams that are least in a window."""
     edge = np.zeros(SPAN - 1, np.uint64)
-    most = _sliding(np.concatenate([edge, least, edge]), SPAN, np.maximum)
-    return grams[grams == most]
+    return np.flatnonzero(grams == _sliding(np.concatenate([edge, least, edge]), SPAN, np.maximum))
 
 
-def window_runs(data: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def looping(grams: np.ndarray, least: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Runs that may hold their gram twice; in others, no window repeats. Two places of a
+    run's gram have no other chosen gram between them."""
+    at = chosen_places(grams, least)
+    same = grams[at[1:]] == grams[at[:-1]]
+    one, two = at[:-1][same], np.append(at[1:][same], len(grams) + RUN)
+    return two[np.searchsorted(one, begin)] < end + SPAN - 1
+
+
+def window_runs(least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Least gram, first and last-plus-one window start of each run (texts of
     ``LENGTH`` bytes at least)."""
-    least = least_grams(data, sums)[1]
     begin = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
     end = np.append(begin[1:], len(least))
     if (end - begin).max() > RUN:
@@ -99,28 +111,37 @@ def _bytes_of(text: str | None) -> bytes:
     return (text or "").encode()
 
 
-def _grams(batches: Iterator) -> Iterator:
-    """Least grams of all windows, counted per batch."""
-    import pyarrow as pa
+# unit: the gram, or for known copies any number; at: start << 32, windows << 2, loops << 1, again
+_OCCURRENCE = "unit long, segment long, doc_id long, crc long, at long"
 
-    for batch in batches:
-        found = []
-        for t in batch.column(0).to_pylist():
-            data = np.frombuffer(_bytes_of(t), np.uint8)
-            if len(data) >= LENGTH:
-                found.append(chosen_grams(*least_grams(data, prefix_sums(data))))
-        if found:
-            grams, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], ["gram", "n"])
 
+def _marked(parts: list[tuple]):
+    """Occurrences as rows: gram, segment, document, crc, start, stop and loops of each
+    part, arrays but for the document and its crc. Rows of one place are one, and
+    those of a segment that comes earlier among these rows are marked."""
+    import pyarrow as pa
 
-_OCCURRENCE = "gram long, segment long, doc_id long, crc long, start int, stop int"
+    n = [len(p[0]) for p in parts]
+    gram, segment, start, stop, loops = (np.concatenate([p[i] for p in parts]) for i in (0, 1, 4, 5, 6))
+    doc, crc = (np.repeat(np.array([p[i] for p in parts], np.int64), n) for i in (2, 3))
+    by = np.lexsort((start, crc, doc, segment, gram))
+    same = [c[by][1:] == c[by][:-1] for c in (gram, segment, doc, crc, start)]
+    known = same[0] & same[1]
+    new = np.append(True, ~(known & same[2] & same[3] & same[4]))
+    # a place is there once, so a row after one of its segment comes later in the texts
+    again = np.empty(len(by), bool)
+    again[by] = np.append(False, known)
+    # as in the texts: neighbours of a document pack well
+    rows = np.sort(by[new])
+    gram, segment, doc, crc, start, stop, loops, again = (c[rows] for c in (gram, segment, doc, crc, start, stop, loops, again))
+    place = (crc.astype(np.uint64) << np.uint64(32)) | start.astype(np.uint64)
+    unit = np.where(again, mix(mix(place) + doc.view(np.uint64)), gram).view(np.int64)
+    at = (start.astype(np.int64) << 32) | ((stop - start).astype(np.int64) << 2) | (loops.astype(np.int64) << 1) | again
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (unit, segment.view(np.int64), doc, crc, at)], [f.split()[0] for f in _OCCURRENCE.split(", ")])
 
 
 def _occurrences(batches: Iterator) -> Iterator:
     """All runs: gram, hash of the segment, document and place."""
-    import pyarrow as pa
-
     for batch in batches:
         parts = []
         for doc, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -129,47 +150,63 @@ def _occurrences(batches: Iterator) -> Iterator:
             if len(data) < LENGTH:
                 continue
             sums = prefix_sums(data)
-            gram, start, stop = window_runs(data, sums)
+            grams, least = least_grams(data, sums)
+            gram, start, stop = window_runs(least)
             segment = mix(hashes(sums, start, stop + LENGTH - 1) + (stop - start).astype(np.uint64))
-            parts.append((gram.view(np.int64), segment.view(np.int64), doc, zlib.crc32(raw), start, stop))
+            parts.append((gram, segment, doc, zlib.crc32(raw), start, stop, looping(grams, least, start, stop)))
         if parts:
-            n = [len(p[0]) for p in parts]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([p[0] for p in parts])),
-                    pa.array(np.concatenate([p[1] for p in parts])),
-                    pa.array(np.repeat([p[2] for p in parts], n)),
-                    pa.array(np.repeat(np.array([p[3] for p in parts], np.int64), n)),
-                    pa.array(np.concatenate([p[4] for p in parts]).astype(np.int32)),
-                    pa.array(np.concatenate([p[5] for p in parts]).astype(np.int32)),
-                ],
-                ["gram", "segment", "doc_id", "crc", "start", "stop"],
-            )
+            yield _marked(parts)
+
+
+_PLACE = ("doc_id", "crc", "at")
+
+
+def _copy() -> Column:
+    """Whether a place comes after the first one of its segment."""
+    known = F.col("at").bitwiseAND(F.lit(1)) == 1
+    return known | (F.rank().over(Window.partitionBy("unit", "segment").orderBy(*_PLACE)) > 1)
 
 
-_PLACE = ("doc_id", "crc", "start")
+def _with_kinds(occurrences: DataFrame) -> DataFrame:
+    """Occurrences that matter (kind, gram, place): copies, and first ones whose gram has
+    other segments (few or many) or loops."""
+    segment = Window.partitionBy("unit", "segment").orderBy(*_PLACE)
+    rows = occurrences.repartition("unit").select("*", _copy().alias("copy"), F.row_number().over(segment).alias("row"))
+    rows = rows.withColumn("nth", F.dense_rank().over(Window.partitionBy("unit").orderBy("segment")))
+    rows = rows.withColumn("segments", F.max("nth").over(Window.partitionBy("unit")))
+    several = (F.col("segments") > 1) | (F.col("at").bitwiseAND(F.lit(2)) > 0)
+    kind = F.when(F.col("copy"), COPY).when((F.col("row") == 1) & several, F.when(F.col("segments") > SEGMENTS_PER_GRAM, MANY).otherwise(FEW))
+    rows = rows.withColumn("kind", kind).filter("kind IS NOT NULL")
+    return rows.select("kind", F.when(F.col("kind") != COPY, F.col("unit")).alias("gram"), *_PLACE)
 
 
-def _firsts(occurrences: DataFrame) -> DataFrame:
-    """The first occurrence of each distinct segment (gram, segment, first, stop)."""
-    first = F.min(F.struct(*_PLACE, "stop")).alias("first")
-    return occurrences.groupBy("gram", "segment").agg(first)
+def _start() -> Column:
+    return F.shiftright("at", 32)
 
 
-def _copies(occurrences: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Removed spans: all occurrences of a segment but the first."""
-    both = occurrences.join(firsts.withColumnRenamed("first", "_first"), ["gram", "segment"])
-    place = F.struct(*_PLACE)
-    earlier = F.struct(*[F.col(f"_first.{c}") for c in _PLACE])
-    return both.filter(place > earlier).select("doc_id", "crc", "start", (F.col("stop") + LENGTH - 1).alias("end"))
+def _windows() -> Column:
+    return F.shiftright(F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)), 2)
 
 
-def _with_lists(docs: DataFrame, rows: DataFrame, value) -> DataFrame:
-    """docs (doc_id, text) with the longs of ``rows`` that belong to them; documents
-    without any are left out. A list is bounded by the length of its text."""
-    lists = rows.groupBy("doc_id", "crc").agg(F.collect_list(value).alias("places"))
-    keyed = docs.withColumn("crc", F.crc32(F.col("text").cast("binary")))
-    return join_small(keyed, lists, ["doc_id", "crc"], "inner", max_bytes=BROADCAST_BYTES)
+def _spans(copies: DataFrame) -> DataFrame:
+    start = _start().cast("int")
+    return copies.select("doc_id", "crc", start.alias("start"), (start + _windows().cast("int") + LENGTH - 1).alias("end"))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.crc32(F.col("text").cast("binary")).alias("crc"))
+
+
+def _with_lists(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    """docs (doc_id, text) with their ``places``, by a shuffle at all sizes: the exchange
+    of the texts is the same in all such joins of a query, which Spark runs once."""
+    lists = lists if BROADCAST_BYTES > 0 else lists.hint("merge")
+    return _keyed(docs).join(lists, ["doc_id", "crc"], how).select("doc_id", "crc", "text", "places")
+
+
+def _listed(rows: DataFrame, value: Column) -> DataFrame:
+    """The longs of each document. A list is bounded by the length of its text."""
+    return rows.groupBy("doc_id", "crc").agg(F.collect_set(value).alias("places"))
 
 
 def _cut_segments(batches: Iterator) -> Iterator:
@@ -273,21 +310,21 @@ def _sort_shards(batches: Iterator) -> Iterator:
 
 def _single_windows(batches: Iterator) -> Iterator:
     """Every window of listed segments as an occurrence of its own."""
-    import pyarrow as pa
-
     for batch in batches:
+        parts, held = [], 0
         columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "crc", "text", "places")]
         for doc, crc, t, places in zip(*columns, strict=True):
             sums = prefix_sums(np.frombuffer(_bytes_of(t), np.uint8))
             starts = np.concatenate([np.arange(p & 0xFFFFFFFF, (p & 0xFFFFFFFF) + (p >> 32)) for p in places])
             one = hashes(sums, starts, starts + LENGTH)
             two = mix(hashes(sums, starts, starts + LENGTH // 2) ^ hashes(sums, starts + 7, starts + LENGTH))
-            n = len(starts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(np.full(n, doc, np.int64)), pa.array(np.full(n, crc, np.int64))]
-                + [pa.array(starts.astype(np.int32)), pa.array((starts + 1).astype(np.int32))],
-                ["gram", "segment", "doc_id", "crc", "start", "stop"],
-            )
+            parts.append((one, two, doc, crc, starts, starts + 1, np.zeros(len(starts), bool)))
+            held += len(starts)
+            if held > WINDOWS:
+                yield _marked(parts)
+                parts, held = [], 0
+        if parts:
+            yield _marked(parts)
 
 
 def _merge_places(batches: Iterator) -> Iterator:
@@ -309,37 +346,27 @@ def _merge_places(batches: Iterator) -> Iterator:
 def removed_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, crc, places) of documents that lose bytes: merged spans, each packed
     as start and end of 32 bits. ``docs``: doc_id (long, no NULL) and text."""
-    grams = docs.select("text").mapInArrow(tidy(_grams), "gram long, n long")
-    repeated = stored(grams.groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram"), "repeated-grams")
     found = docs.select("doc_id", "text").mapInArrow(tidy(_occurrences), _OCCURRENCE)
-    found = stored(join_small(found, repeated, "gram", "left_semi", max_bytes=BROADCAST_BYTES), "gram-occurrences")
-    firsts = stored(_firsts(found), "segments")
-    spans = _copies(found, firsts)
-
-    crowded = firsts.groupBy("gram").count().filter(F.col("count") > SEGMENTS_PER_GRAM).select("gram")
-    crowded = stored(crowded, "crowded-grams")
-    placed = firsts.select("gram", "first.*")
-    windows = (F.col("stop") - F.col("start")).cast("long")
-    few = join_small(placed, crowded, "gram", "left_anti", max_bytes=BROADCAST_BYTES)
-    size = firsts.agg(F.sum(F.col("first.stop") - F.col("first.start") + LENGTH)).first()[0] or 0
+    found = stored(_with_kinds(found), "occurrences")
+    spans = _spans(found.filter(F.col("kind") == COPY))
+
+    few = found.filter(F.col("kind") == FEW)
+    size = few.agg(F.sum(_windows() + LENGTH)).first()[0] or 0
     shards = min(max(1, size // SHARD_BYTES), 1 << 20)
     shard = F.pmod(F.xxhash64("gram"), F.lit(shards))
-    packed = F.shiftleft(shard, 41).bitwiseOR(F.shiftleft(windows, 32)).bitwiseOR(F.col("start").cast("long"))
-    cut = _with_lists(docs, few, packed).select("doc_id", "crc", "text", "places")
+    packed = F.shiftleft(_windows(), 32).bitwiseOR(_start())
+    cut = _with_lists(docs, _listed(few, F.shiftleft(shard, 41).bitwiseOR(packed)), "inner")
     cut = cut.mapInArrow(tidy(_cut_segments), "shard long, doc_id long, crc long, start int, text binary")
     sorted_rows = cut.repartition(shuffle_width(docs.sparkSession), "shard").sortWithinPartitions("shard")
     spans = spans.unionByName(sorted_rows.mapInArrow(tidy(_sort_shards), "doc_id long, crc long, start int, end int"))
 
-    if not crowded.isEmpty():
-        many = join_small(placed, crowded, "gram", "left_semi", max_bytes=BROADCAST_BYTES)
-        packed = F.shiftleft(windows, 32).bitwiseOR(F.col("start").cast("long"))
-        single = _with_lists(docs, many, packed).select("doc_id", "crc", "text", "places")
-        single = stored(single.mapInArrow(tidy(_single_windows), _OCCURRENCE), "crowded-windows")
-        spans = spans.unionByName(_copies(single, _firsts(single)))
+    many = found.filter(F.col("kind") == MANY)
+    if not many.isEmpty():
+        single = _with_lists(docs, _listed(many, packed), "inner").mapInArrow(tidy(_single_windows), _OCCURRENCE)
+        spans = spans.unionByName(_spans(single.withColumn("copy", _copy()).filter("copy")))
 
     span = F.shiftleft(F.col("start").cast("long"), 32).bitwiseOR(F.col("end").cast("long"))
-    lists = spans.groupBy("doc_id", "crc").agg(F.collect_list(span).alias("places"))
-    return lists.mapInArrow(tidy(_merge_places), "doc_id long, crc long, places array<long>")
+    return _listed(spans, span).mapInArrow(tidy(_merge_places), "doc_id long, crc long, places array<long>")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -352,9 +379,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    lists = removed_spans(rows)
-    keyed = rows.withColumn("crc", F.crc32(F.col("text").cast("binary")))
-    both = join_small(keyed, lists, ["doc_id", "crc"], "left", max_bytes=BROADCAST_BYTES)
+    both = _with_lists(rows, removed_spans(rows), "left")
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator) -> Iterator:

@@ -114,3 +114,41 @@ def test_query(spark):
         n, spans, kept = want[r["doc_id"]]
         assert (r["n_bytes"], r["n_removed"], r["n_spans"]) == (n, sum(b - a for a, b in spans), len(spans))
         assert r["kept_sha256"] == hashlib.sha256(kept).hexdigest()
+
+
+def test_texts_and_runs_are_shuffled_once(spark, docs_of):
+    """No exchange of runs before a filter, and one of texts, whatever their number."""
+    rows = rows_of(13)
+    out = suffix_dedup.remove_repeats(docs_of(rows))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    texts = [line for line in plan.splitlines() if "Exchange hashpartitioning(doc_id" in line]
+    assert sum("ReusedExchange" in line for line in plan.splitlines()) >= 1, plan
+    assert "BroadcastHashJoin" not in plan and texts
+
+
+def test_segments_alone_in_their_gram_stay_out_of_the_shards(spark, docs_of):
+    """Copies of whole texts need no shard; a text that repeats itself does."""
+    rng = random.Random(3)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(600))
+    packed = docs_of([(i, text) for i in range(5)]).select("doc_id", "text")
+    found = packed.mapInArrow(suffix_dedup._occurrences, suffix_dedup._OCCURRENCE)
+    kinds = {r["kind"]: r["n"] for r in suffix_dedup._with_kinds(found).groupBy("kind").agg({"*": "count"}).toDF("kind", "n").collect()}
+    assert set(kinds) == {suffix_dedup.COPY}
+    rows = [(1, "ab" * 150), (2, "xyz" * 50)]
+    want = brute(rows)
+    for r in suffix_dedup.remove_repeats(docs_of(rows)).collect():
+        assert r["n_removed"] > 0 and [tuple(s) for s in r["spans"]] == want[r["doc_id"]][1]
+
+
+def test_many_equal_rows_of_one_document(spark, docs_of):
+    """Rows of one id and one text are one document, in any number of batches."""
+    text = rows_of(14)[0][1] * 3
+    rows = [(None, text)] * 300 + [(1, text)]
+    rng = random.Random(1)
+    rng.shuffle(rows)
+    got = suffix_dedup.remove_repeats(docs_of(rows).repartition(6)).collect()
+    want = brute([(-1, text), (1, text)])
+    assert len(got) == 301
+    for r in got:
+        assert [tuple(s) for s in r["spans"]] == want[1 if r["doc_id"] == 1 else -1][1]
